@@ -7,6 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from samesense.skew import let
+
+SENTINEL = "end of text"
+
+
+def strict_json(text: Column) -> Column:
+    """The value of a JSON text, null if it is anything else.
+
+    The parser stops after the first value, so the text is put in a list before a marker:
+    only a single complete value leaves a list of exactly two with the marker last.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{SENTINEL}"]')))
+    listed = F.try_variant_get(wrapped, "$", "array<variant>")
+    return let(
+        listed,
+        lambda two: F.when(
+            (F.size(two) == 2)
+            & (
+                F.coalesce(
+                    F.try_variant_get(F.get(two, F.lit(1)), "$", "string"), F.lit("")
+                )
+                == SENTINEL
+            ),
+            F.get(two, F.lit(0)),
+        ),
+    )
+
 
 def rows_to_json(df: DataFrame, keep: Sequence[str] = (), name: str = "record") -> DataFrame:
     """Each row as one JSON record."""
@@ -18,7 +45,7 @@ def json_to_rows(df: DataFrame, text: str, schema: str, name: str = "item") -> D
 
     Text that does not parse stays one row with ``item`` null and the text in ``raw``.
     """
-    parsed = F.try_parse_json(F.col(text))
+    parsed = strict_json(F.col(text))
     as_list = F.when(
         F.schema_of_variant(parsed).startswith("ARRAY"),
         F.try_variant_get(parsed, "$", f"array<{schema}>"),

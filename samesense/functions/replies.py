@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samesense.skew import let
+from samesense.functions.convert import strict_json
 
 # Fences and patterns of the replies to be understood. ``(?d)`` lets only
 # a newline end a line; character classes are spelt out over Unicode.
@@ -30,7 +30,6 @@ SECTION_NAME = "[a-zA-Z_]+"
 GROUP = "group"
 
 ITEMS = "array<struct<attribute_name:string,is_duplicate:boolean,duplicate_group_id:string>>"
-SENTINEL = "end of reply"
 
 
 def _strip(text: Column) -> Column:
@@ -62,29 +61,6 @@ def candidate(reply: Column) -> Column:
     )
 
 
-def strict_json(text: Column) -> Column:
-    """The value of a JSON text, null if it is anything else.
-
-    The parser stops after the first value, so the text is put in a list before a marker:
-    only a single complete value leaves a list of exactly two with the marker last.
-    """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{SENTINEL}"]')))
-    listed = F.try_variant_get(wrapped, "$", "array<variant>")
-    return let(
-        listed,
-        lambda two: F.when(
-            (F.size(two) == 2)
-            & (
-                F.coalesce(
-                    F.try_variant_get(F.get(two, F.lit(1)), "$", "string"), F.lit("")
-                )
-                == SENTINEL
-            ),
-            F.get(two, F.lit(0)),
-        ),
-    )
-
-
 def embedded_json(reply: Column) -> Column:
     """The first whole ``duplicates`` object in the text that parses."""
     found = F.transform(F.regexp_extract_all(reply, F.lit(WHOLE_OBJECT), F.lit(0)), strict_json)

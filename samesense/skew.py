@@ -15,15 +15,28 @@ HOT_ROWS = 50_000
 SALTS = 64
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``rows / HOT_SHARE`` rows: at most ``HOT_SHARE`` of them."""
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    return (
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, known_rows: int | None = None
+) -> DataFrame | None:
+    """Keys with more than ``rows / HOT_SHARE`` rows: fewer than ``HOT_SHARE`` of them.
+
+    Counted up front in a job of its own (it reads only the key columns), so that the
+    plan of ``rows`` is not repeated inside the plan of the join. None if there are none.
+    """
+    total = rows.count() if known_rows is None else known_rows
+    if total <= hot_rows:
+        return None
+    least = max(hot_rows, total // HOT_SHARE)
+    found = (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > hot_rows) & (F.col("_n") * HOT_SHARE > total))
-        .select(*keys, F.lit(True).alias("_hot"))
+        .where(F.col("_n") > least)
+        .select(*keys)
     )
+    listed = found.collect()
+    if not listed:
+        return None
+    return rows.sparkSession.createDataFrame(listed, found.schema).withColumn("_hot", F.lit(True))
 
 
 def lookup(
@@ -42,14 +55,14 @@ def lookup(
     hash of the ``spread`` columns; the few hot rows of ``keyed`` are repeated once per
     salt. The salt is a function of stored columns, so a task that runs again after an
     executor was lost sends its rows to the same place. When ``keyed`` is small Spark
-    still turns the join into a broadcast by its own size check. A caller that knows the
-    number of rows passes ``known_rows``: with no more than ``hot_rows`` of them no key
-    can be hot and the search for hot keys is left out.
+    still turns the join into a broadcast by its own size check. Without hot keys this
+    is a plain join. ``known_rows`` saves counting rows the caller has counted.
     """
     keys = list(keys)
-    if known_rows is not None and known_rows <= hot_rows:
+    hot = hot_keys(rows.select(*keys), keys, hot_rows, known_rows)
+    if hot is None:
         return rows.join(keyed, keys, how)
-    hot = F.broadcast(hot_keys(rows.select(*keys), keys, hot_rows))
+    hot = F.broadcast(hot)
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
@@ -87,10 +100,11 @@ def positions(
     slice of one group, or more than ``slices`` counters.
     """
     group = list(group)
-    span = rows.agg(F.struct(F.min(order).alias("low"), F.max(order).alias("high"))).scalar()
-    low, high = span.getField("low"), span.getField("high")
-    width = F.greatest(F.lit(1), F.ceil((high - low + 1) / F.lit(slices)))
-    sliced = rows.withColumn("_slice", F.floor((F.col(order) - low) / width))
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        low, high = 0, 0
+    width = max(1, -(-(high - low + 1) // slices))
+    sliced = rows.withColumn("_slice", F.floor((F.col(order) - F.lit(low)) / F.lit(width)))
     before = Window.orderBy("_slice")
     if group:
         before = before.partitionBy(*group)

@@ -102,7 +102,7 @@ dense AS (
   LEFT JOIN buckets b ON b.row_id = t.{row_id} AND b.dim = d.dim),
 counted AS (SELECT row_id, list(n ORDER BY dim) AS counts FROM dense GROUP BY row_id),
 hashed AS (
-  SELECT t.*, list_transform(c.counts, x -> CAST(x / greatest(sqrt(list_sum(list_transform(c.counts, y -> y * y))), 1e-9) AS FLOAT)) AS v
+  SELECT t.*, list_transform(c.counts, lambda x: CAST(x / greatest(sqrt(list_sum(list_transform(c.counts, lambda y: y * y))), 1e-9) AS FLOAT)) AS v
   FROM (SELECT {row_id} AS row_id{keep} FROM {source}) t JOIN counted c USING (row_id))"""
 
 
@@ -110,7 +110,7 @@ def groups_sql(vectors: str, block: str, threshold: float) -> str:
     """CTE ``groups(row_id, root)``: connected similar rows of a block."""
     return f"""distinct_vectors AS (
   SELECT {block} AS block, CAST(v AS DOUBLE[]) AS v, min(row_id) AS rep, count(*) AS copies
-  FROM {vectors} WHERE list_sum(list_transform(CAST(v AS DOUBLE[]), x -> x * x)) > 0 GROUP BY ALL),
+  FROM {vectors} WHERE list_sum(list_transform(CAST(v AS DOUBLE[]), lambda x: x * x)) > 0 GROUP BY ALL),
 pairs AS (
   SELECT a.rep AS a, b.rep AS b FROM distinct_vectors a JOIN distinct_vectors b
   ON a.block = b.block AND a.rep <> b.rep AND list_cosine_similarity(a.v, b.v) >= {threshold}),

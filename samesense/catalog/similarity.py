@@ -1,0 +1,484 @@
+"""Vectors, blocks, similar groups and whole runs."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from samesense import plans
+from samesense.catalog.base import (
+    CENTERS,
+    DICT,
+    JUDGED,
+    dictionary,
+    groups_sql,
+    hashed_sql,
+    judged,
+    query,
+    table,
+    vectors,
+)
+from samesense.functions.text import group_key
+from samesense.functions.vectors import hashed_words, word_counts
+from samesense.operators import blocks as B
+from samesense.operators import embed as E
+from samesense.operators import rows as R
+from samesense.operators.components import components
+from samesense.operators.report import run_summary
+from samesense.operators.similar import fold_copies, place_in_cells, similar_groups
+from samesense.plans import dedup
+from samesense.storage import store
+
+THRESHOLD = 0.30
+VECS = "vecs AS (SELECT vec_id AS row_id, label AS cluster_id, embedding AS v FROM embeddings)"
+
+
+def text_encoder():
+    """A small encoder: length, number of blanks, number of a's."""
+
+    def encode(texts):
+        return np.array([[len(t), t.count(" "), t.count("a")] for t in texts], np.float32)
+
+    return encode
+
+
+@query(
+    "em1_embed",
+    """SELECT doc_id, CAST(length(text) AS DOUBLE) AS a, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS b,
+              CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS c FROM documents""",
+)
+def em1(spark, sf):
+    rows = E.embed(table(spark, sf, "documents").select("doc_id", "text"), text_encoder)
+    return rows.select(
+        "doc_id",
+        *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate("abc")],
+    )
+
+
+TOKENS = """tokens AS (
+  SELECT vec_id // 10 AS row_id, vec_id % 10 AS pos,
+         CASE WHEN label >= 5 AND (vec_id // 10) % 7 <> 0 THEN 1 ELSE 0 END AS mask,
+         CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"""
+
+
+def tokens(spark, sf):
+    row = F.floor(F.col("vec_id") / 10)
+    return table(spark, sf, "embeddings").select(
+        row.alias("row_id"),
+        (F.col("vec_id") % 10).alias("pos"),
+        F.when((F.col("label") >= 5) & (row % 7 != 0), 1).otherwise(0).alias("mask"),
+        F.col("embedding").alias("vec"),
+    )
+
+
+@query(
+    "em2_mean_pool",
+    f"""WITH {TOKENS}, d AS (SELECT row_id, mask, generate_subscripts(vec, 1) AS dim, unnest(vec) AS x FROM tokens),
+        m AS (SELECT row_id, dim, sum(x * mask) / greatest(sum(mask), 1e-9) AS x FROM d GROUP BY ALL)
+        SELECT row_id, count(*) AS dims, round(sum(x * dim), 6) + 0.0 AS weighted, round(max(x), 6) + 0.0 AS highest FROM m GROUP BY row_id""",
+)
+def em2(spark, sf):
+    pooled = E.mean_pool(tokens(spark, sf))
+    weighted = F.aggregate(
+        F.transform("embedding", lambda x, i: x * (i + 1)), F.lit(0.0), lambda t, x: t + x
+    )
+    return pooled.select(
+        "row_id",
+        F.size("embedding").cast("bigint").alias("dims"),
+        (F.round(weighted, 6) + 0.0).alias("weighted"),
+        (F.round(F.array_max("embedding"), 6) + 0.0).alias("highest"),
+    )
+
+
+@query(
+    "em3_truncate_tokens",
+    f"WITH {TOKENS} SELECT row_id, count(*) AS n_tokens, max(pos) AS last_pos FROM tokens WHERE pos < 6 GROUP BY row_id",
+)
+def em3(spark, sf):
+    return E.truncate_tokens(tokens(spark, sf), 6).groupBy("row_id").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.max("pos").alias("last_pos")
+    )
+
+
+@query(
+    "em4_hashed_words",
+    "WITH " + hashed_sql("documents", "doc_id", "text", "") +
+    """ SELECT c.row_id, CAST(list_sum(list_transform(c.counts, lambda x, i: x * i * i)) AS BIGINT) AS fingerprint,
+        CAST(list_sum(c.counts) AS BIGINT) AS n_words, round(CAST(h.v[8] AS DOUBLE), 6) AS eighth
+        FROM counted c JOIN hashed h USING (row_id)""",
+)
+def em4(spark, sf):
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("row_id"),
+        word_counts(F.col("text")).alias("counts"),
+    )
+    fingerprint = F.aggregate(
+        F.transform("counts", lambda x, i: x.cast("bigint") * (i + 1) * (i + 1)),
+        F.lit(0).cast("bigint"),
+        lambda t, x: t + x,
+    )
+    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda t, x: t + x)
+    size = F.sqrt(F.aggregate("counts", F.lit(0.0), lambda t, x: t + x.cast("double") * x))
+    eighth = (F.col("counts")[7] / F.greatest(size, F.lit(1e-9))).cast("float").cast("double")
+    return docs.select(
+        "row_id", fingerprint.alias("fingerprint"), total.alias("n_words"), F.round(eighth, 6).alias("eighth")
+    )
+
+
+@query(
+    "cl1_cluster_count",
+    """SELECT p_size, CAST(least(greatest(2, count(*) // 10), 20, count(*) - 1) AS BIGINT) AS k FROM part GROUP BY p_size""",
+)
+def cl1(spark, sf):
+    return table(spark, sf, "part").groupBy("p_size").agg(
+        B.cluster_count(F.count(F.lit(1))).alias("k")
+    )
+
+
+@query(
+    "cl2_fit_blocks",
+    """SELECT count(*) AS n_rows, CAST(least(greatest(2, count(*) // 10), 20, count(*) - 1) AS BIGINT) AS n_clusters,
+              count(*) AS at_nearest, true AS inertia_agrees FROM embeddings""",
+)
+def cl2(spark, sf):
+    """Facts that hold for any k-means result: all rows at their nearest center."""
+    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"), starts=2)
+    nearest = B.assign_nearest(fitted.rows, fitted.centers, "embedding")
+    both = fitted.rows.select("row_id", F.col("cluster_id").alias("own")).join(nearest, "row_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(fitted.n_clusters).cast("bigint").alias("n_clusters"),
+        F.count_if(F.col("own") == F.col("cluster_id")).alias("at_nearest"),
+        (F.abs(F.sum(F.pow("distance", F.lit(2))) - F.lit(fitted.inertia)) < 1e-3).alias(
+            "inertia_agrees"
+        ),
+    )
+
+
+@query(
+    "cl3_centers",
+    f"WITH {CENTERS} SELECT cluster_id, generate_subscripts(center, 1) - 1 AS dim, round(unnest(center), 6) + 0.0 AS x FROM centers",
+)
+def cl3(spark, sf):
+    centers = B.centers_of(vectors(spark, sf), "embedding")
+    return centers.select("cluster_id", F.posexplode("center").alias("dim", "x")).select(
+        "cluster_id", F.col("dim").cast("bigint").alias("dim"), (F.round("x", 6) + 0.0).alias("x")
+    )
+
+
+@query(
+    "cl4_attach_clusters",
+    "SELECT vec_id AS row_id, true AS in_range, CAST(1 AS BIGINT) AS n_clusters FROM embeddings",
+)
+def cl4(spark, sf):
+    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"), starts=1)
+    return fitted.rows.groupBy("row_id").agg(
+        F.bool_and(F.col("cluster_id").between(0, fitted.n_clusters - 1)).alias("in_range"),
+        F.count_distinct("cluster_id").alias("n_clusters"),
+    )
+
+
+@query(
+    "cl5_cluster_sizes",
+    """SELECT CAST(k AS INTEGER) AS cluster_id, count(vec_id) AS size FROM range(12) r(k)
+       LEFT JOIN embeddings ON label = k GROUP BY k""",
+)
+def cl5(spark, sf):
+    return B.cluster_sizes(vectors(spark, sf), 12)
+
+
+@query(
+    "cl6_silhouette",
+    f"""WITH {CENTERS}, d AS (
+          SELECT a.row_id, a.cluster_id AS own, b.cluster_id AS other, avg(list_distance(a.v, b.v)) AS m,
+                 sum(list_distance(a.v, b.v)) AS s, count(*) AS n
+          FROM vecs a CROSS JOIN vecs b GROUP BY ALL),
+        ab AS (SELECT row_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+                      min(CASE WHEN own <> other THEN m END) AS b FROM d GROUP BY row_id)
+        SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette_score FROM ab""",
+)
+def cl6(spark, sf):
+    return B.silhouette(vectors(spark, sf), "embedding").select(
+        F.round("silhouette_score", 6).alias("silhouette_score")
+    )
+
+
+@query(
+    "cl6_silhouette_squared",
+    f"""WITH {CENTERS}, d AS (
+          SELECT a.row_id, a.cluster_id AS own, b.cluster_id AS other,
+                 avg(list_distance(a.v, b.v) ** 2) AS m, sum(list_distance(a.v, b.v) ** 2) AS s, count(*) AS n
+          FROM vecs a CROSS JOIN vecs b GROUP BY ALL),
+        ab AS (SELECT row_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+                      min(CASE WHEN own <> other THEN m END) AS b FROM d GROUP BY row_id)
+        SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette_squared FROM ab""",
+)
+def cl6_squared(spark, sf):
+    rows = vectors(spark, sf)
+    score = B.silhouette_squared(rows, "embedding")
+    return rows.agg(F.round(F.max(F.lit(score)), 6).alias("silhouette_squared"))
+
+
+@query(
+    "cl7_inertia",
+    f"WITH {CENTERS} SELECT round(sum(list_distance(v, center) ** 2), 6) AS inertia FROM vecs JOIN centers USING (cluster_id)",
+)
+def cl7(spark, sf):
+    rows = vectors(spark, sf)
+    return B.inertia(rows, B.centers_of(rows, "embedding"), "embedding").select(
+        F.round("inertia", 6).alias("inertia")
+    )
+
+
+@query(
+    "cl8_plane_coordinates",
+    "SELECT count(*) AS n_rows, true AS centred, true AS ordered, true AS uncorrelated FROM embeddings",
+)
+def cl8(spark, sf):
+    flat = B.plane_coordinates(vectors(spark, sf), "embedding")
+    return flat.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        ((F.abs(F.avg("x")) < 1e-6) & (F.abs(F.avg("y")) < 1e-6)).alias("centred"),
+        (F.var_pop("x") >= F.var_pop("y")).alias("ordered"),
+        (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+    )
+
+
+NEAREST = f"""WITH {CENTERS}, d AS (
+  SELECT row_id, c.cluster_id, list_distance(v, center) AS distance FROM vecs CROSS JOIN centers c)
+SELECT row_id, arg_min(cluster_id, distance) AS cluster_id, round(min(distance), 6) AS distance FROM d GROUP BY row_id"""
+
+
+@query("jo5_assign_nearest", NEAREST)
+def jo5(spark, sf):
+    rows = vectors(spark, sf)
+    found = B.assign_nearest(rows, B.centers_of(rows, "embedding"), "embedding")
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query("jo5_assign_nearest_in_slices", NEAREST)
+def jo5_slices(spark, sf):
+    """The same with centers too large to send around."""
+    rows = vectors(spark, sf)
+    centers = store(B.centers_of(rows, "embedding"), "centers")
+    found = B.assign_nearest(rows, centers, "embedding", center_bytes=1500)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query(
+    "jo4_candidate_cells",
+    "SELECT label AS block, count(*) AS n_rows, count(*) AS homes FROM embeddings GROUP BY label",
+)
+def jo4(spark, sf):
+    """Who may have to meet whom: one home cell per row, next to the cells it visits.
+
+    That no pair is missed shows in ``du6_groups_large_blocks``.
+    """
+    rows = vectors(spark, sf)
+    folded = store(fold_copies(rows, "cluster_id", "embedding"), "folded").select(
+        "block", "row_id", "unit"
+    )
+    sizes = folded.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
+    placed = place_in_cells(folded, sizes, 0.9, tile_rows=8)
+    return placed.groupBy("block").agg(
+        F.count_distinct("row_id").alias("n_rows"),
+        F.count_if(F.col("role") < 2).alias("homes"),
+    )
+
+
+GROUPS = f"WITH RECURSIVE {VECS}, " + groups_sql("vecs", "cluster_id", THRESHOLD)
+
+
+@query(
+    "du5_duplicate_verdicts",
+    GROUPS + " SELECT vecs.row_id, cluster_id, root IS NOT NULL AS is_duplicate FROM vecs LEFT JOIN groups USING (row_id)",
+)
+def du5(spark, sf):
+    rows = vectors(spark, sf)
+    found = similar_groups(rows, "cluster_id", "embedding", THRESHOLD)
+    return R.attach(rows.drop("embedding"), found).select(
+        "row_id", "cluster_id", F.col("root").isNotNull().alias("is_duplicate")
+    )
+
+
+@query("du6_groups_small_blocks", GROUPS + " SELECT row_id, root FROM groups")
+def du6(spark, sf):
+    return similar_groups(vectors(spark, sf), "cluster_id", "embedding", THRESHOLD)
+
+
+@query("du6_groups_large_blocks", GROUPS + " SELECT row_id, root FROM groups")
+def du6_large(spark, sf):
+    """The same with every block treated as a large one."""
+    return similar_groups(vectors(spark, sf), "cluster_id", "embedding", THRESHOLD, tile_rows=16)
+
+
+@query(
+    "du6_components",
+    """WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, l_partkey + 100000000 AS b FROM lineitem
+                            WHERE l_quantity >= 49),
+       p AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+       reach(node, root) AS (
+         SELECT a, least(a, b) FROM p UNION SELECT p.b, r.root FROM reach r JOIN p ON p.a = r.node AND r.root < p.b)
+       SELECT node, min(root) AS root FROM (SELECT * FROM reach UNION ALL SELECT a, a FROM p) GROUP BY node""",
+)
+def du6_components(spark, sf):
+    """Orders and parts connected by large line items."""
+    edges = table(spark, sf, "lineitem").where("l_quantity >= 49").select(
+        "l_orderkey", (F.col("l_partkey") + 100000000).alias("part")
+    )
+    return components(edges, "l_orderkey", "part")
+
+
+@query(
+    "du7_number_groups",
+    GROUPS + """ SELECT g.row_id, 'cluster_' || v.cluster_id || '_group' || n.number AS group_id
+    FROM groups g JOIN vecs v USING (row_id) JOIN (
+      SELECT root, dense_rank() OVER (PARTITION BY cluster_id ORDER BY root) AS number
+      FROM (SELECT DISTINCT root, cluster_id FROM groups JOIN vecs USING (row_id))) n USING (root)""",
+)
+def du7(spark, sf):
+    rows = vectors(spark, sf)
+    found = store(similar_groups(rows, "cluster_id", "embedding", THRESHOLD), "found")
+    return dedup.number_groups(found, rows)
+
+
+@query(
+    "pi3_detect_by_similarity",
+    GROUPS + """, named AS (
+    SELECT g.row_id, 'cluster_' || v.cluster_id || '_group' || dense_rank() OVER (PARTITION BY v.cluster_id ORDER BY root) AS gid, root
+    FROM groups g JOIN vecs v USING (row_id))
+    SELECT v.row_id, v.cluster_id, n.gid IS NOT NULL AS is_duplicate, n.gid AS duplicate_group_id,
+           coalesce(n.root <> v.row_id, false) AS should_remove
+    FROM vecs v LEFT JOIN named n USING (row_id)""",
+)
+def pi3(spark, sf):
+    """Blocks given by label; the first row of a group stays."""
+    rows = vectors(spark, sf).withColumns(
+        {
+            "attribute_name": F.format_string("v%05d", "row_id"),
+            "attribute_definition": F.lit("vector"),
+        }
+    )
+    found = dedup.detect_duplicates(rows, threshold=THRESHOLD)
+    return R.removal_flag(found).select(
+        "row_id", "cluster_id", "is_duplicate", "duplicate_group_id", "should_remove"
+    )
+
+
+TEXT_GROUPS = (
+    "WITH RECURSIVE " + hashed_sql("documents", "doc_id", "text", ", lang, source, text") + ", "
+    + groups_sql("hashed", "lang", 0.99)
+)
+
+
+@query(
+    "pi3_detect_documents",
+    TEXT_GROUPS + """, ranked AS (
+      SELECT g.root, h.row_id, h.source AS name, row_number() OVER (
+        PARTITION BY g.root ORDER BY length(h.text) DESC, length(h.source), h.row_id) AS place
+      FROM groups g JOIN hashed h USING (row_id)),
+    best AS (SELECT root, name, row_id AS stays FROM ranked WHERE place = 1)
+    SELECT h.row_id, g.root IS NOT NULL AS is_duplicate, coalesce(b.stays <> h.row_id, false) AS should_remove
+    FROM hashed h LEFT JOIN groups g USING (row_id) LEFT JOIN best b ON b.root = g.root""",
+)
+def pi3_documents(spark, sf):
+    """Whole texts by language, word-hash vectors, one row of a group stays."""
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("row_id"),
+        F.col("source").alias("attribute_name"),
+        F.col("text").alias("attribute_definition"),
+        F.col("lang").alias("cluster_id"),
+        hashed_words(F.col("text")).alias("embedding"),
+    )
+    found = dedup.detect_duplicates(store(docs, "docs"), threshold=0.99, drop_same_name=True)
+    return R.removal_flag(found).select("row_id", "is_duplicate", "should_remove")
+
+
+@query(
+    "pi2_detect_incremental",
+    f"""WITH RECURSIVE {JUDGED},
+    bounds AS (SELECT max(row_id) FILTER (NOT should_remove AND row_id % 2 = 0) + 1 AS after,
+                      min(row_id) FILTER (row_id % 2 <> 0) AS low FROM judged),
+    united AS (
+      SELECT row_id, attribute_name, attribute_definition, cluster_id, 'existing' AS source, TRY_CAST(first_seen_in_round AS DOUBLE) AS seen
+      FROM judged WHERE row_id % 2 = 0 AND NOT should_remove
+      UNION ALL
+      SELECT row_id - low + after, attribute_name, attribute_definition, cluster_id, 'new', 2.0 FROM judged, bounds WHERE row_id % 2 <> 0),
+    texts AS (SELECT *, attribute_name || ': ' || attribute_definition AS text FROM united),
+    """ + hashed_sql("texts", "row_id", "text", ", cluster_id, attribute_name, attribute_definition, source, seen") + ", "
+    + groups_sql("hashed", "cluster_id", 0.95) + """, ranked AS (
+      SELECT g.root, h.row_id, h.attribute_name, row_number() OVER (PARTITION BY g.root ORDER BY
+        CASE WHEN source = 'existing' THEN 0 ELSE 1 END,
+        CASE WHEN source = 'existing' THEN coalesce(seen, 1e300) END,
+        CASE WHEN source = 'new' THEN -length(attribute_definition) END,
+        CASE WHEN source = 'new' THEN length(attribute_name) END, h.row_id) AS place
+      FROM groups g JOIN hashed h USING (row_id)),
+    best AS (SELECT root, attribute_name AS best FROM ranked WHERE place = 1)
+    SELECT h.row_id, h.source, g.root IS NOT NULL AS is_duplicate, coalesce(b.best <> h.attribute_name, false) AS should_remove
+    FROM hashed h LEFT JOIN groups g USING (row_id) LEFT JOIN best b ON b.root = g.root""",
+)
+def pi2_blocks(spark, sf):
+    """Survivors of an earlier run and a new batch, in given blocks."""
+    rows = judged(spark, sf)
+    previous = rows.where("row_id % 2 = 0").withColumn("block", F.col("cluster_id"))
+    batch = rows.where("row_id % 2 <> 0").select(
+        "row_id", "attribute_name", "attribute_definition", F.col("cluster_id").alias("block")
+    )
+    old = dedup.prepare_previous(previous, "latest")
+    united = R.combine(old, R.tag(batch, R.NEW, R.SECOND_ROUND)).withColumnRenamed("block", "cluster_id")
+    embedded = store(E.embed_hashed(E.with_text(united)).drop("text"), "embedded")
+    found = dedup.detect_duplicates(embedded, threshold=0.95, incremental=True)
+    return R.removal_flag(found).select("row_id", "source", "is_duplicate", "should_remove")
+
+
+@query("pi1_deduplicate")
+def pi1(spark, sf):
+    """A full run on the dictionary, k-means blocks included."""
+    rows = dictionary(spark, sf).drop("cluster_id")
+    return dedup.deduplicate(rows, starts=2, threshold=0.9).result.select(
+        "row_id", "attribute_name", "cluster_id", "is_duplicate", "duplicate_group_id", "should_remove"
+    )
+
+
+@query(
+    "pi1_deduplicate_summary",
+    "SELECT count(*) AS total_attributes, true AS adds_up, true AS groups_have_two, CAST(20 AS BIGINT) AS clusters FROM part",
+)
+def pi1_summary(spark, sf):
+    """Facts that hold for every full run."""
+    rows = dictionary(spark, sf).drop("cluster_id")
+    run = dedup.deduplicate(rows, starts=1, threshold=0.9)
+    kept, removed = F.col("attributes_to_keep"), F.col("attributes_to_remove")
+    return run.summary.select(
+        "total_attributes",
+        ((kept + removed == F.col("total_attributes")) & (removed <= F.col("duplicates_found"))).alias("adds_up"),
+        (F.col("duplicate_groups") * 2 <= F.col("duplicates_found")).alias("groups_have_two"),
+        "clusters",
+    )
+
+
+@query("pi2_deduplicate_incremental")
+def pi2(spark, sf):
+    """A full incremental run, k-means blocks included."""
+    rows = judged(spark, sf).drop("cluster_id")
+    batch = rows.where("row_id % 2 <> 0").select("row_id", "attribute_name", "attribute_definition")
+    run = dedup.deduplicate_incremental(
+        rows.where("row_id % 2 = 0"), batch, starts=1, threshold=0.9
+    )
+    return run.result.select(
+        "row_id", "attribute_name", "source", "first_seen_in_round", "is_duplicate", "should_remove"
+    )
+
+
+@query(
+    "pi4_prepare_previous",
+    f"""WITH {JUDGED} SELECT 'latest' AS layout, row_id, 'existing' AS source FROM judged WHERE NOT should_remove
+        UNION ALL SELECT 'run', row_id, 'existing' FROM judged WHERE row_id % 4 <> 1""",
+)
+def pi4(spark, sf):
+    rows = judged(spark, sf).withColumn("keep", F.col("row_id") % 4 != 1)
+    parts = [
+        dedup.prepare_previous(rows, layout).select(F.lit(layout).alias("layout"), "row_id", "source")
+        for layout in ("latest", "run")
+    ]
+    return parts[0].unionByName(parts[1])

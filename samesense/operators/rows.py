@@ -19,10 +19,13 @@ SECOND_ROUND = 2
 
 
 def tag(df: DataFrame, source: str, seen: int) -> DataFrame:
-    """Set ``source``; set ``first_seen_in_round`` unless the row already carries one."""
+    """Set ``source``; set ``first_seen_in_round`` unless an old row already carries one.
+
+    A round that is no number reads null and counts as the latest.
+    """
     carried = F.lit(seen).cast("int")
     if source == EXISTING and "first_seen_in_round" in df.columns:
-        carried = F.col("first_seen_in_round")
+        carried = F.col("first_seen_in_round").cast("string").try_cast("double").cast("int")
     return df.withColumn("source", F.lit(source)).withColumn("first_seen_in_round", carried)
 
 

@@ -57,35 +57,35 @@ PARSED = CANDIDATES + """, strict AS (SELECT *, CASE WHEN candidate <> '' AND js
 parsed AS (SELECT *, coalesce(j1, j2) AS j FROM strict)"""
 ITEMS = PARSED + """, listed AS (
   SELECT row_id, CAST(json_extract(j, '$.duplicates') AS JSON[]) AS l FROM parsed WHERE j IS NOT NULL),
-json_items AS (SELECT row_id, generate_subscripts(l, 1) AS at, unnest(l) AS i FROM listed),
-valid AS (SELECT row_id, at, i FROM json_items WHERE json_exists(i, '$.attribute_name')
+json_items AS (SELECT row_id, generate_subscripts(l, 1) AS idx, unnest(l) AS i FROM listed),
+valid AS (SELECT row_id, idx, i FROM json_items WHERE json_exists(i, '$.attribute_name')
   AND json_type(json_extract(i, '$.is_duplicate')) = 'BOOLEAN'
   AND (json_extract_string(i, '$.is_duplicate') = 'false' OR json_exists(i, '$.duplicate_group_id'))),
-from_json AS (SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY at) - 1 AS pos,
+from_json AS (SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY idx) - 1 AS pos,
     json_extract_string(i, '$.attribute_name') AS attribute_name,
     json_extract_string(i, '$.is_duplicate') = 'true' AS is_duplicate,
     CASE json_type(json_extract(i, '$.duplicate_group_id')) WHEN 'NULL' THEN 'None'
       WHEN 'BOOLEAN' THEN CASE json_extract_string(i, '$.duplicate_group_id') WHEN 'true' THEN 'True' ELSE 'False' END
       ELSE json_extract_string(i, '$.duplicate_group_id') END AS duplicate_group_id FROM valid),
-prose AS (SELECT row_id, 1 AS kind, generate_subscripts(ids, 1) AS at, 'group' || unnest(ids) AS gid,
+prose AS (SELECT row_id, 1 AS kind, generate_subscripts(ids, 1) AS idx, 'group' || unnest(ids) AS gid,
     regexp_extract_all(unnest(tails), '[\\p{L}\\p{N}_]+') AS names FROM (
     SELECT row_id, regexp_extract_all(r, '(?i)group(\\d+)[^\\w].*?:([^\\n]+)', 1) AS ids,
            regexp_extract_all(r, '(?i)group(\\d+)[^\\w].*?:([^\\n]+)', 2) AS tails FROM parsed WHERE j IS NULL)),
-bullets AS (SELECT row_id, 2 AS kind, generate_subscripts(g, 1) AS at, 'group' || unnest(g) AS gid,
+bullets AS (SELECT row_id, 2 AS kind, generate_subscripts(g, 1) AS idx, 'group' || unnest(g) AS gid,
     [unnest(a), unnest(b), unnest(c)] AS names FROM (SELECT row_id,
       regexp_extract_all(r, p, 1) AS a, regexp_extract_all(r, p, 2) AS b, regexp_extract_all(r, p, 3) AS c, regexp_extract_all(r, p, 4) AS g
       FROM parsed, (SELECT '(?i)- (\\w+),\\s*(\\w+)(?:,\\s*(\\w+))?\\s*\\(group(\\d+)\\)' AS p) WHERE j IS NULL)),
-entries AS (SELECT row_id, kind, at, gid, list_filter(names, lambda n: n <> '') AS names FROM (SELECT * FROM prose UNION ALL SELECT * FROM bullets) WHERE len(list_filter(names, lambda n: n <> '')) > 0),
-sections AS (SELECT row_id, 3 AS kind, at, 'group' || row_number() OVER (PARTITION BY row_id ORDER BY at) AS gid, names FROM (
-    SELECT row_id, at, regexp_extract_all(s, '[a-zA-Z_]+') AS names FROM (
-      SELECT row_id, generate_subscripts(ss, 1) AS at, unnest(ss) AS s FROM (
+entries AS (SELECT row_id, kind, idx, gid, list_filter(names, lambda n: n <> '') AS names FROM (SELECT * FROM prose UNION ALL SELECT * FROM bullets) WHERE len(list_filter(names, lambda n: n <> '')) > 0),
+sections AS (SELECT row_id, 3 AS kind, idx, 'group' || row_number() OVER (PARTITION BY row_id ORDER BY idx) AS gid, names FROM (
+    SELECT row_id, idx, regexp_extract_all(s, '[a-zA-Z_]+') AS names FROM (
+      SELECT row_id, generate_subscripts(ss, 1) AS idx, unnest(ss) AS s FROM (
         SELECT row_id, regexp_split_to_array(r, '\\n\\s*\\n') AS ss FROM parsed
         WHERE j IS NULL AND row_id NOT IN (SELECT row_id FROM entries)))
     WHERE contains(lower(s), 'duplicate') AND contains(lower(s), 'group')) WHERE len(names) >= 2),
 every AS (SELECT * FROM entries UNION ALL SELECT * FROM sections),
-first_seen AS (SELECT row_id, gid, min(kind * 1000 + at) AS seen FROM every GROUP BY ALL),
-words AS (SELECT row_id, gid, kind * 1000 + at AS at, generate_subscripts(names, 1) AS w, unnest(names) AS name FROM every),
-from_text AS (SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY seen, words.at, w) - 1 AS pos, name AS attribute_name,
+first_seen AS (SELECT row_id, gid, min(kind * 1000 + idx) AS seen FROM every GROUP BY ALL),
+words AS (SELECT row_id, gid, kind * 1000 + idx AS idx, generate_subscripts(names, 1) AS w, unnest(names) AS name FROM every),
+from_text AS (SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY seen, words.idx, w) - 1 AS pos, name AS attribute_name,
     true AS is_duplicate, gid AS duplicate_group_id FROM words JOIN first_seen USING (row_id, gid)),
 items AS (SELECT * FROM from_json UNION ALL SELECT * FROM from_text)"""
 
@@ -128,24 +128,24 @@ def pa3(spark, sf):
 
 def _entries(spark, sf, column):
     rows = sample_replies(spark, sf).where("row_id % 8 >= 4")
-    return rows.select("row_id", F.posexplode(column).alias("at", "e")).select(
-        "row_id", (F.col("at") + 1).cast("bigint").alias("at"), "e.gid", F.array_join("e.names", "|").alias("names")
+    return rows.select("row_id", F.posexplode(column).alias("idx", "e")).select(
+        "row_id", (F.col("idx") + 1).cast("bigint").alias("idx"), "e.gid", F.array_join("e.names", "|").alias("names")
     )
 
 
-@query("pa4_prose_groups", ITEMS + " SELECT row_id, at, gid, array_to_string(names, '|') AS names FROM entries WHERE kind = 1")
+@query("pa4_prose_groups", ITEMS + " SELECT row_id, idx, gid, array_to_string(names, '|') AS names FROM entries WHERE kind = 1")
 def pa4(spark, sf):
     return _entries(spark, sf, P.prose_groups(F.col("response")))
 
 
-@query("pa5_bullet_groups", ITEMS + " SELECT row_id, at, gid, array_to_string(names, '|') AS names FROM entries WHERE kind = 2")
+@query("pa5_bullet_groups", ITEMS + " SELECT row_id, idx, gid, array_to_string(names, '|') AS names FROM entries WHERE kind = 2")
 def pa5(spark, sf):
     return _entries(spark, sf, P.bullet_groups(F.col("response")))
 
 
 @query(
     "pa6_section_groups",
-    ITEMS + " SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY at) AS at, gid, array_to_string(names, '|') AS names FROM sections",
+    ITEMS + " SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY idx) AS idx, gid, array_to_string(names, '|') AS names FROM sections",
 )
 def pa6(spark, sf):
     return _entries(spark, sf, P.section_groups(F.col("response")))
@@ -333,7 +333,7 @@ def own_items(spark, sf):
             F.lit("}]}\n```"),
         ).alias("response"),
     )
-    return V.verdict_items(replies)
+    return store(V.verdict_items(replies), "items")
 
 
 @query(
@@ -449,7 +449,7 @@ def same_first_word(prompts, **_):
 
 @query(
     "pi3_detect_by_model",
-    f"""WITH {DICT}, names AS (SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(row_id) AS at FROM dict GROUP BY ALL),
+    f"""WITH {DICT}, names AS (SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(row_id) AS idx FROM dict GROUP BY ALL),
     flags AS (SELECT n.*, 'cluster_' || cluster_id || '_' || w AS group_id, f.first_row FROM names n
       JOIN (SELECT cluster_id, min(row_id) AS first_row FROM dict GROUP BY 1) f USING (cluster_id)
       WHERE (cluster_id, w) IN (SELECT (cluster_id, w) FROM names GROUP BY cluster_id, w HAVING count(*) > 1)),

@@ -294,12 +294,12 @@ def jo1(spark, sf):
 
 @query(
     "jo3_rows_named",
-    f"""WITH {DICT}, g AS (SELECT DISTINCT p_brand AS group_id, p_name AS attribute_name FROM part WHERE p_size < 10)
+    f"""WITH {DICT}, g AS (SELECT DISTINCT p_type AS group_id, p_name AS attribute_name FROM part)
         SELECT d.row_id, d.attribute_name, g.group_id FROM dict d JOIN g USING (attribute_name)""",
 )
 def jo3(spark, sf):
-    groups = table(spark, sf, "part").where("p_size < 10").select(
-        F.col("p_brand").alias("group_id"), F.array("p_name").alias("names")
+    groups = table(spark, sf, "part").select(
+        F.col("p_type").alias("group_id"), F.array("p_name").alias("names")
     )
     return R.rows_named(dictionary(spark, sf), groups).select("row_id", "attribute_name", "group_id")
 

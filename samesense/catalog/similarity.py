@@ -27,6 +27,7 @@ from samesense.operators.components import components
 from samesense.operators.report import run_summary
 from samesense.operators.similar import fold_copies, place_in_cells, similar_groups
 from samesense.plans import dedup
+from samesense.skew import lookup
 from samesense.storage import store
 
 THRESHOLD = 0.30
@@ -275,11 +276,10 @@ def jo4(spark, sf):
     That no pair is missed shows in ``du6_groups_large_blocks``.
     """
     rows = vectors(spark, sf)
-    folded = store(fold_copies(rows, "cluster_id", "embedding"), "folded").select(
-        "block", "row_id", "unit"
-    )
+    folded = store(fold_copies(rows, "cluster_id", "embedding"), "folded")
     sizes = folded.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
-    placed = place_in_cells(folded, sizes, 0.9, tile_rows=8)
+    sized = lookup(folded.select("block", "row_id", "unit"), sizes, ["block"], ["row_id"])
+    placed = place_in_cells(sized, 0.9, tile_rows=8)
     return placed.groupBy("block").agg(
         F.count_distinct("row_id").alias("n_rows"),
         F.count_if(F.col("role") < 2).alias("homes"),
@@ -314,19 +314,16 @@ def du6_large(spark, sf):
 
 @query(
     "du6_components",
-    """WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, l_partkey + 100000000 AS b FROM lineitem
-                            WHERE l_quantity >= 49),
-       p AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-       reach(node, root) AS (
-         SELECT a, least(a, b) FROM p UNION SELECT p.b, r.root FROM reach r JOIN p ON p.a = r.node AND r.root < p.b)
-       SELECT node, min(root) AS root FROM (SELECT * FROM reach UNION ALL SELECT a, a FROM p) GROUP BY node""",
+    """WITH hubs AS (SELECT o_custkey, min(o_orderkey) AS root FROM orders GROUP BY o_custkey)
+       SELECT o_orderkey AS node, root FROM orders JOIN hubs USING (o_custkey)
+       UNION ALL SELECT o_custkey + 1000000000000, root FROM hubs""",
 )
 def du6_components(spark, sf):
-    """Orders and parts connected by large line items."""
-    edges = table(spark, sf, "lineitem").where("l_quantity >= 49").select(
-        "l_orderkey", (F.col("l_partkey") + 100000000).alias("part")
+    """Orders connected through their customers."""
+    edges = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") + 1000000000000).alias("customer")
     )
-    return components(edges, "l_orderkey", "part")
+    return components(edges, "o_orderkey", "customer")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from samesense.catalog.base import CENTERS, DICT, JUDGED, dictionary, judged, query, table, vectors
 from samesense.operators import blocks as B
+from samesense.operators import rows as R
 from samesense.operators.model import reply_archive
 from samesense.operators.report import run_summary
 from samesense.operators.verdicts import verdict_records
@@ -234,12 +235,12 @@ def io15(spark, sf):
     "io16_write_run",
     f"""WITH {JUDGED} SELECT run_id, count(*) AS n_rows, count(*) FILTER (should_remove) AS removed
         FROM judged CROSS JOIN (VALUES ('first'), ('second'), ('latest')) r(run_id)
-        WHERE run_id <> 'first' OR cluster_id < 10 GROUP BY run_id""",
+        WHERE run_id <> 'first' OR source = 'existing' GROUP BY run_id""",
 )
 def io16(spark, sf):
     folder = fresh_path(spark, "runs")
     rows = judged(spark, sf)
-    S.write_run(rows.where("cluster_id < 10"), "first", folder)
+    S.write_run(R.existing_rows(rows), "first", folder)
     S.write_run(rows, "second", folder)
     runs = spark.read.parquet(f"{folder}/runs").select("run_id", "should_remove")
     latest = S.read_csv(spark, f"{folder}/latest_deduplication_results").select(

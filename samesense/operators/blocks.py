@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -26,6 +27,7 @@ SEED = 42
 STARTS = 10
 MAX_ITER = 300
 TOLERANCE = 1e-4
+PARALLEL_STARTS = 4
 
 # Centers up to this size are sent to every executor.
 CENTER_BYTES = 64 << 20
@@ -77,12 +79,16 @@ def fit_blocks(
             F.lit(0).alias("cluster_id"), vector_to_array("c").alias("center")
         )
         return Blocks(df.withColumn("cluster_id", F.lit(0)), centers, 1, n, None)
-    features.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for start in range(starts):
-        model = KMeans(k=k, seed=seed + start, maxIter=MAX_ITER, tol=TOLERANCE).fit(features)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    features.count()
+
+    def fit(start: int):
+        return KMeans(k=k, seed=seed + start, maxIter=MAX_ITER, tol=TOLERANCE).fit(features)
+
+    # the starts do not depend on each other, so some of them run side by side
+    with ThreadPoolExecutor(min(starts, PARALLEL_STARTS)) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(starts))
+        best = min(models, key=lambda model: model.summary.trainingCost)
     features.unpersist()
     rows = (
         best.setPredictionCol("cluster_id")

@@ -45,13 +45,16 @@ def infer(
     on_error: str = "raise",
     batch_prompts: int = 16,
     batch_tokens: int = 32_768,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``response, attempts, error``.
 
     ``generate(prompts, max_tokens=..., temperature=..., repeat_penalty=...)`` returns one
     text per prompt and always text, also for JSON. A failed batch is tried again prompt
     by prompt until ``attempts`` is used up; then the last error is raised, or recorded
-    with a null response if ``on_error`` is ``"record"``.
+    with a null response if ``on_error`` is ``"record"``. Prompts are few bytes but much
+    work, so they are dealt out over ``partitions`` (by default all task slots) instead of
+    being left in the few partitions their size would suggest.
     """
     if on_error not in ("raise", "record"):
         raise ValueError("on_error must be 'raise' or 'record'")
@@ -109,7 +112,8 @@ def infer(
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, response string, attempts int, error string")
+    slots = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots).mapInArrow(run, f"{schema}, response string, attempts int, error string")
 
 
 def answered(df: DataFrame, generate: Generate, label: str, **options) -> DataFrame:

@@ -22,8 +22,6 @@ No step samples, cuts off or approximates; anchors only decide who meets whom.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +36,9 @@ TILE_ROWS = 1024
 PACK_ROWS = 4096
 SLICE_ROWS = 20_000
 MAX_ANCHORS = 512
+# A cell with more tiles than this is cut again, at most so many times.
+CELL_TILES = 32
+MAX_LEVELS = 5
 # Slack for rounding in the distance bounds; it only lets a few more rows visit.
 SLACK = 1e-6
 
@@ -51,11 +52,14 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 def _local_groups(ids: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lowest id of the component of each row of a symmetric boolean matrix."""
+    order = np.argsort(ids)
     label = ids.copy()
     while True:
         lowest = np.minimum(
             label, np.where(near, label[None, :], np.iinfo(np.int64).max).min(axis=1)
         )
+        # a row also takes the label of the row it is labelled with
+        lowest = lowest[order[np.searchsorted(ids, lowest, sorter=order)]]
         if np.array_equal(lowest, label):
             return ids, label
         label = lowest
@@ -79,6 +83,10 @@ def _table(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
     return pa.table({"row_id": pa.array(rows, pa.int64()), "root": pa.array(roots, pa.int64())})
 
 
+def _radius(threshold: float) -> float:
+    return math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+
+
 def _compare_packs(threshold: float):
     def run(pack: pa.Table) -> pa.Table:
         pack = pack.sort_by([("block", "ascending"), ("row_id", "ascending")])
@@ -105,10 +113,9 @@ def _compare_units(threshold: float):
         ids = unit["row_id"].to_numpy()
         vectors = _matrix(unit["unit"], unit.num_rows)
         side = unit["side"].to_numpy()
-        compared = None
-        if side.max() > side.min():
-            # two different tiles: only pairs across; rows of one tile meet elsewhere
-            compared = side[:, None] != side[None, :]
+        same_tile = unit["kind"][0].as_py() == "00" and unit["a"][0] == unit["b"][0]
+        # of two different tiles only pairs across; rows of one tile meet elsewhere
+        compared = None if same_tile else side[:, None] != side[None, :]
         part = _edges_within(ids, vectors, threshold, compared)
         return _table([part] if part[0].size else [])
 
@@ -121,10 +128,10 @@ def _place(radius: float):
     def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         n = rows.num_rows
         ids = rows["row_id"].to_numpy()
-        block = rows["block"]
         if n == 0 or anchors.num_rows == 0:
             cell = np.zeros(n, np.int64)
-            return _placed(block, ids, cell, np.zeros(n, np.int32), ids, rows["unit"], np.arange(n))
+            role = np.zeros(n, np.int32)
+            return _placed(rows, ids, cell, role, ids, np.arange(n))
         anchors = anchors.sort_by([("row_id", "ascending")])
         points = _matrix(anchors["unit"], anchors.num_rows)
         kept: list[int] = []
@@ -151,56 +158,55 @@ def _place(radius: float):
         take = np.r_[np.arange(n), row]
         cells = np.r_[home, cell]
         return _placed(
-            block, ids[take], cells.astype(np.int64), role, anchor_ids[cells], rows["unit"], take
+            rows, ids[take], cells.astype(np.int64), role, anchor_ids[cells], take
         )
 
     return run
 
 
-def _placed(block, ids, cell, role, anchor, unit, take) -> pa.Table:
+def _placed(rows, ids, cell, role, anchor, take) -> pa.Table:
     index = pa.array(take)
     return pa.table(
         {
-            "block": block.take(index),
+            "block": rows["block"].take(index),
+            "size": rows["size"].take(index),
             "row_id": pa.array(ids, pa.int64()),
             "cell": pa.array(cell, pa.int64()),
             "role": pa.array(role, pa.int32()),
             "anchor": pa.array(anchor, pa.int64()),
-            "unit": unit.take(index),
+            "unit": rows["unit"].take(index),
         }
     )
 
 
 def place_in_cells(
     large: DataFrame,
-    sizes: DataFrame,
     threshold: float,
     tile_rows: int = TILE_ROWS,
     slice_rows: int = SLICE_ROWS,
     max_anchors: int = MAX_ANCHORS,
-    known_rows: int | None = None,
 ) -> DataFrame:
     """Candidate cells of the rows of large blocks: who may have to meet whom.
 
-    ``large``: ``block, row_id, unit``; ``sizes``: ``block, size``. The result has one
-    ``home`` row per input row and one row per foreign cell it visits.
+    ``large``: ``block, size, row_id, unit`` with the size of the block. The result has
+    one home row per input row and one row per foreign cell it visits.
     """
-    radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    sized = lookup(large, sizes, ["block"], ["row_id"], "inner", known_rows=known_rows)
+    radius = _radius(threshold)
     slices = F.ceil(F.col("size") / F.lit(slice_rows)).cast("int")
     wanted = F.least(F.lit(max_anchors), F.lit(16) + F.ceil(F.col("size") / F.lit(tile_rows)))
     # a stable draw: the hash of the id falls in the lowest wanted/size share
     draw = F.pmod(F.xxhash64("row_id", F.lit("anchor")), F.lit(1_000_000_007))
     # aliases give the anchors column ids of their own next to the rows they came from
-    anchors = sized.where(draw < wanted / F.col("size") * F.lit(1_000_000_007)).select(
+    anchors = large.where(draw < wanted / F.col("size") * F.lit(1_000_000_007)).select(
         F.col("block").alias("block"),
         F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
         F.col("row_id").alias("row_id"),
         F.col("unit").alias("unit"),
     )
-    rows = sized.select(
+    rows = large.select(
         "block",
         F.pmod(F.xxhash64("row_id", F.lit("slice")), slices).cast("int").alias("slice"),
+        "size",
         "row_id",
         "unit",
     )
@@ -210,22 +216,20 @@ def place_in_cells(
         .cogroup(anchors.groupBy("block", "slice"))
         .applyInArrow(
             _place(radius),
-            f"block {block_type}, row_id bigint, cell bigint, role int, anchor bigint, "
-            "unit array<double>",
+            f"block {block_type}, size bigint, row_id bigint, cell bigint, role int, "
+            "anchor bigint, unit array<double>",
         )
     )
 
 
-def compare_cells(placed: DataFrame, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges of the rows placed in cells, compared tile against tile."""
-    counts = placed.groupBy("block", "cell").agg(
-        *[
-            F.ceil(F.count_if(F.col("role") == role) / F.lit(tile_rows)).cast("int").alias(f"t{role}")
-            for role in (0, 1, 2)
-        ]
-    )
-    sized = lookup(placed, counts, ["block", "cell"], ["row_id"], "inner")
-    t0, t1, t2 = F.col("t0"), F.col("t1"), F.col("t2")
+def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Edges of the rows placed in cells, compared tile against tile.
+
+    ``counted`` carries ``n0, n1, n2``, the rows of each role in the cell.
+    """
+    t0, t1, t2 = [
+        F.ceil(F.col(f"n{role}") / F.lit(tile_rows)).cast("int") for role in (0, 1, 2)
+    ]
     own = F.when(F.col("role") == 0, t0).when(F.col("role") == 1, t1).otherwise(t2)
     tile = F.pmod(F.xxhash64("row_id", F.lit("tile")), own).cast("int")
 
@@ -266,7 +270,7 @@ def compare_cells(placed: DataFrame, threshold: float, tile_rows: int = TILE_ROW
         .otherwise(F.concat(meets("02", t0, False), meets("12", t1, False)))
     )
     return (
-        sized.withColumn("_tile", tile)
+        counted.withColumn("_tile", tile)
         .select("block", "cell", "row_id", "unit", F.explode(units).alias("u"))
         .select("block", "cell", "u.*", "row_id", "unit")
         .groupBy("block", "cell", "kind", "a", "b")
@@ -274,6 +278,54 @@ def compare_cells(placed: DataFrame, threshold: float, tile_rows: int = TILE_ROW
     )
 
 
+def large_block_edges(
+    large: DataFrame,
+    threshold: float,
+    tile_rows: int = TILE_ROWS,
+    cell_tiles: int = CELL_TILES,
+    max_levels: int = MAX_LEVELS,
+    known_rows: int | None = None,
+) -> DataFrame:
+    """Edges of large blocks, which are cut into cells again and again.
+
+    A cell that still holds more than ``cell_tiles`` tiles of rows to compare becomes a
+    block of its own as long as cutting pays, that is, halves the block; a cell without
+    structure, in which everything visits everything, is compared in tiles.
+    """
+    edges = None
+    for level in range(max_levels):
+        placed = store(place_in_cells(large, threshold, tile_rows), "placed")
+        counts = placed.groupBy("block", "cell").agg(
+            *[F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, 1, 2)]
+        )
+        counted = lookup(
+            placed,
+            counts,
+            ["block", "cell"],
+            ["row_id"],
+            "inner",
+            known_rows=known_rows if level == 0 else None,
+        )
+        rows = F.col("n0") + F.col("n1") + F.col("n2")
+        again = (F.col("n0") + F.col("n2") > cell_tiles * tile_rows) & (rows * 2 <= F.col("size"))
+        if level == max_levels - 1:
+            again = F.lit(False)
+        alike = placed.where("role = 1 and row_id <> anchor").select(
+            "row_id", F.col("anchor").alias("root")
+        )
+        found = alike.unionByName(compare_cells(counted.where(~again), threshold, tile_rows))
+        edges = found if edges is None else edges.unionByName(found)
+        if level == max_levels - 1 or counted.where(again).isEmpty():
+            return edges
+        large = counted.where(again).select(
+            F.concat_ws("/", "block", "cell").alias("block"),
+            rows.alias("size"),
+            "row_id",
+            "unit",
+        )
+    return edges
+
+
 def fold_copies(df: DataFrame, block: str, vector: str, row_id: str = "row_id") -> DataFrame:
     """One representative (lowest id) per distinct vector of a block, with its copies."""
     return (
@@ -321,14 +373,8 @@ def similar_groups(
         .applyInArrow(_compare_packs(threshold), EDGE)
     )
     if totals["l"]:
-        large = flagged.where("size is not null").drop("size")
-        placed = store(
-            place_in_cells(large, large_sizes, threshold, tile_rows, known_rows=total), "placed"
-        )
-        alike = placed.where("role = 1 and row_id <> anchor").select(
-            "row_id", F.col("anchor").alias("root")
-        )
-        edges = alike.unionByName(compare_cells(placed, threshold, tile_rows))
+        large = flagged.where("size is not null").withColumn("block", F.col("block").cast("string"))
+        edges = store(large_block_edges(large, threshold, tile_rows, known_rows=total), "alike")
         found = found.unionByName(
             components(edges, "row_id", "root").select(F.col("node").alias("row_id"), "root")
         )

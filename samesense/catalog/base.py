@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samesense.storage import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy per row."""
+    return spread(table(spark, folder, name).select(*columns))
+
+
 def dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """``part`` as a data dictionary with repeated names."""
     return table(spark, folder, "part").select(

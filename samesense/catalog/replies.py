@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from samesense.catalog.base import DICT, JUDGED, dictionary, judged, query, table
+from samesense.catalog.base import DICT, JUDGED, dictionary, judged, query, spread_table, table
 from samesense.functions import replies as P
 from samesense.functions.convert import strict_json
 from samesense.operators import model as M
@@ -13,7 +13,7 @@ from samesense.operators import rows as R
 from samesense.operators import survivors as S
 from samesense.operators import verdicts as V
 from samesense.plans import dedup
-from samesense.storage import store
+from samesense.storage import spread, store
 
 # One reply per part, in turn: fenced, plain fence, bare object, doubled fence, prose,
 # bullets, sections, noise; the object's second item is valid, null-named or invalid.
@@ -104,7 +104,8 @@ def sample_replies(spark, sf):
     }
     for mark, value in fills.items():
         form = F.replace(form, F.lit(mark), value)
-    return table(spark, sf, "part").select(
+    part = spread_table(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_brand")
+    return part.select(
         key.alias("row_id"), key.alias("cluster_id"), form.alias("response")
     )
 
@@ -157,7 +158,7 @@ def pa6(spark, sf):
 )
 def pa7(spark, sf):
     read = P.read_replies(sample_replies(spark, sf)).where("rung in ('lines', 'sections')")
-    return read.select("row_id", F.posexplode("items").alias("pos", "i")).select(
+    return read.select("row_id", F.posexplode_outer("items").alias("pos", "i")).where("pos is not null").select(
         "row_id", F.col("pos").cast("bigint").alias("pos"), "i.attribute_name", "i.duplicate_group_id"
     )
 
@@ -317,7 +318,7 @@ def own_items(spark, sf):
     )
     flag = (key % 4 != 0).cast("string")
     gid = F.when(key % 5 == 0, F.lit("null")).otherwise(F.concat(F.lit('"group'), (key % 3).cast("string"), F.lit('"')))
-    replies = own_rows(spark, sf).select(
+    replies = spread(own_rows(spark, sf)).select(
         "cluster_id",
         F.concat(
             F.lit('```json\n{"duplicates": [{"attribute_name": "'),

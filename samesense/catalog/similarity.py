@@ -15,6 +15,7 @@ from samesense.catalog.base import (
     hashed_sql,
     judged,
     query,
+    spread_table,
     table,
     vectors,
 )
@@ -27,7 +28,7 @@ from samesense.operators.components import components
 from samesense.operators.report import run_summary
 from samesense.operators.similar import fold_copies, place_in_cells, similar_groups
 from samesense.plans import dedup
-from samesense.skew import lookup
+from samesense.skew import let, lookup
 from samesense.storage import store
 
 THRESHOLD = 0.30
@@ -109,21 +110,21 @@ def em3(spark, sf):
         FROM counted c JOIN hashed h USING (row_id)""",
 )
 def em4(spark, sf):
-    docs = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("row_id"),
-        word_counts(F.col("text")).alias("counts"),
-    )
-    fingerprint = F.aggregate(
-        F.transform("counts", lambda x, i: x.cast("bigint") * (i + 1) * (i + 1)),
-        F.lit(0).cast("bigint"),
-        lambda t, x: t + x,
-    )
-    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda t, x: t + x)
-    size = F.sqrt(F.aggregate("counts", F.lit(0.0), lambda t, x: t + x.cast("double") * x))
-    eighth = (F.col("counts")[7] / F.greatest(size, F.lit(1e-9))).cast("float").cast("double")
+    def figures(counts):
+        squares = F.transform(counts, lambda x, i: x.cast("bigint") * (i + 1) * (i + 1))
+        size = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda t, x: t + x.cast("double") * x))
+        eighth = F.get(counts, F.lit(7)) / F.greatest(size, F.lit(1e-9))
+        zero = F.lit(0).cast("bigint")
+        return F.struct(
+            F.aggregate(squares, zero, lambda t, x: t + x).alias("fingerprint"),
+            F.aggregate(counts, zero, lambda t, x: t + x).alias("n_words"),
+            F.round(eighth.cast("float").cast("double"), 6).alias("eighth"),
+        )
+
+    docs = spread_table(spark, sf, "documents", "doc_id", "text")
     return docs.select(
-        "row_id", fingerprint.alias("fingerprint"), total.alias("n_words"), F.round(eighth, 6).alias("eighth")
-    )
+        F.col("doc_id").alias("row_id"), let(word_counts(F.col("text")), figures).alias("f")
+    ).select("row_id", "f.*")
 
 
 @query(
@@ -380,7 +381,7 @@ TEXT_GROUPS = (
 )
 def pi3_documents(spark, sf):
     """Whole texts by language, word-hash vectors, one row of a group stays."""
-    docs = table(spark, sf, "documents").select(
+    docs = spread_table(spark, sf, "documents", "doc_id", "source", "text", "lang").select(
         F.col("doc_id").alias("row_id"),
         F.col("source").alias("attribute_name"),
         F.col("text").alias("attribute_definition"),

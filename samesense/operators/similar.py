@@ -271,7 +271,8 @@ def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = TILE_RO
     )
     return (
         counted.withColumn("_tile", tile)
-        .select("block", "cell", "row_id", "unit", F.explode(units).alias("u"))
+        .select("block", "cell", "row_id", "unit", F.explode_outer(units).alias("u"))
+        .where("u is not null")
         .select("block", "cell", "u.*", "row_id", "unit")
         .groupBy("block", "cell", "kind", "a", "b")
         .applyInArrow(_compare_units(threshold), EDGE)

@@ -13,11 +13,16 @@ from samesense.skew import lookup, positions
 
 
 def verdict_items(replies: DataFrame) -> DataFrame:
-    """One row per valid item of each reply: ``cluster_id, page, pos, ...``."""
+    """One row per valid item of each reply: ``cluster_id, page, pos, ...``.
+
+    The outer explode keeps Spark from adding a "has items" filter, which it would push
+    below everything and so read each reply twice.
+    """
     kept = [c for c in ("cluster_id", "page", "pages") if c in replies.columns]
     return (
         read_replies(replies)
-        .select(*kept, F.posexplode("items").alias("pos", "item"))
+        .select(*kept, F.posexplode_outer("items").alias("pos", "item"))
+        .where("pos is not null")
         .select(*kept, "pos", "item.*")
     )
 

@@ -38,3 +38,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan over all task slots if it fills only a few of them.
+
+    For work that is heavy per row on a table that is small in bytes. A table with
+    enough splits is left as it is, without a shuffle. Meant for plain scans: asking a
+    plan with a shuffle in it for its partitions would run that shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)

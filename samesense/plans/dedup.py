@@ -98,7 +98,7 @@ def _by_similarity(
     page_rows: int,
 ) -> DataFrame:
     """Verdicts by row: rows of a block connected by similar vectors are one group."""
-    groups = similar_groups(rows, "cluster_id", vector, threshold)
+    groups = store(similar_groups(rows, "cluster_id", vector, threshold), "connected")
     plain = rows.drop(vector)
     named = store(number_groups(groups, plain), "groups")
     grouped = plain.join(named, "row_id")

@@ -87,8 +87,16 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header in each part; text that holds quotes or breaks is quoted."""
-    df.write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue="")
+    """CSV with a header in each part; text is written as it is, blanks at its ends too."""
+    df.write.mode(mode).csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def append_csv(df: DataFrame, path: str) -> None:

@@ -345,19 +345,19 @@ def ag4(spark, sf):
 
 @query(
     "ag5_names_per_group",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS group_id, string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, l_partkey) AS names
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+    """WITH m AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders)
+       SELECT CAST(o_custkey AS VARCHAR) AS group_id, CAST(pos // 4 AS BIGINT) AS page,
+              string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY o_orderkey) AS names FROM m GROUP BY ALL""",
 )
 def ag5(spark, sf):
-    lines = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
+    members = table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("group_id"),
+        F.col("o_orderkey").alias("seq"),
+        F.col("o_orderkey").cast("string").alias("attribute_name"),
     )
-    members = lines.select(
-        F.col("o_orderkey").cast("string").alias("group_id"),
-        F.struct("l_linenumber", "l_partkey").alias("seq"),
-        F.col("l_partkey").cast("string").alias("attribute_name"),
+    return V.names_per_group(members, 4).select(
+        "group_id", "page", F.array_join("names", "|").alias("names")
     )
-    return V.names_per_group(members).select("group_id", F.array_join("names", "|").alias("names"))
 
 
 @query(

@@ -33,12 +33,16 @@ def embed(
     text: str = "text",
     output: str = "embedding",
     batch_texts: int = 256,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add the vectors a caller's encoder gives for a text column.
 
     ``make_encoder`` runs once per partition, where it may load a model; the encoder maps
-    a list of texts to a matrix. Batches keep the model's memory use steady.
+    a list of texts to a matrix. Batches keep the model's memory use steady;
+    ``partitions`` deals out a table that is small in bytes but much work.
     """
+    if partitions:
+        df = df.repartition(partitions)
     position = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.skew import lookup, positions
+from samesense.storage import store
 
 PAGE_ROWS = 200
 
@@ -52,13 +53,14 @@ def _paged(df: DataFrame, page_rows: int) -> DataFrame:
 
 def listings(df: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Numbered listing of each cluster: ``cluster_id, page, pages, n_rows, listing``."""
-    shown = positions(distinct_rows(df), "row_id", ["cluster_id"])
-    sizes = distinct_rows(df).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    lines = store(distinct_rows(df), "lines")
+    shown = positions(lines, "row_id", ["cluster_id"])
+    sizes = lines.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     paged = _paged(lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner"), page_rows)
-    lines = F.sort_array(F.collect_list(F.struct("pos", _line(F.col("pos")).alias("line"))))
+    listed = F.sort_array(F.collect_list(F.struct("pos", _line(F.col("pos")).alias("line"))))
     return (
         paged.groupBy("cluster_id", "page", "pages")
-        .agg(lines.alias("_lines"))
+        .agg(listed.alias("_lines"))
         .select(
             "cluster_id",
             "page",
@@ -121,8 +123,8 @@ def best_prompts(
         .agg(F.min("row_id").alias("row_id"))
     )
     names = members.groupBy("group_id", "attribute_name").agg(F.min("seq").alias("seq"))
-    shown = texts.join(names, "attribute_name")
-    shown = positions(shown, "row_id", ["group_id"])
+    tied = lookup(texts, names, ["attribute_name"], ["row_id"], "inner")
+    shown = positions(store(tied, "lines"), "row_id", ["group_id"])
     sizes = shown.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     sized = lookup(shown, sizes, ["group_id"], ["row_id"], "inner")
     # one winner per page goes on, so pages need not overlap

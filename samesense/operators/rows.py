@@ -98,7 +98,7 @@ def attach(df: DataFrame, extra: DataFrame, how: str = "left") -> DataFrame:
 def rows_named(df: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows whose name is in a group's list of names (``group_id, names array<string>``)."""
     members = groups.select("group_id", F.explode("names").alias("attribute_name")).distinct()
-    return df.join(members, "attribute_name", "inner")
+    return lookup(df, members, ["attribute_name"], ["row_id"], "inner")
 
 
 def last_per_key(df: DataFrame, key: list[str], order: str, value: list[str]) -> DataFrame:

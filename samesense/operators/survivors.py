@@ -47,7 +47,8 @@ def best_names(members: DataFrame, rows: DataFrame, rank: Column) -> DataFrame:
     ends up in one task.
     """
     per_name = rows.groupBy("attribute_name").agg(F.min(rank).alias("rank"))
-    tied = members.select("group_id", "attribute_name").distinct().join(per_name, "attribute_name")
+    named = members.select("group_id", "attribute_name").distinct()
+    tied = lookup(named, per_name, ["attribute_name"], ["group_id"], "inner")
     return tied.groupBy("group_id").agg(
         F.min_by("attribute_name", "rank").alias("best_attribute"),
         F.min("rank").alias("rank"),

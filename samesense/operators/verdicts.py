@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from samesense.functions.replies import read_replies
 from samesense.functions.text import group_key
 from samesense.operators.components import components
+from samesense.operators.prompts import PAGE_ROWS
 from samesense.operators.rows import cluster_order
 from samesense.skew import lookup, positions
 
@@ -68,7 +69,9 @@ def flagged_items(items: DataFrame, rows: DataFrame) -> DataFrame:
     """
     known = rows.select("attribute_name").distinct()
     order = cluster_order(rows)
-    found = items.where("is_duplicate").join(known, "attribute_name", "left_semi")
+    found = lookup(
+        items.where("is_duplicate"), known, ["attribute_name"], ["cluster_id", "pos"], "left_semi"
+    )
     placed = lookup(found, order, ["cluster_id"], ["attribute_name", "pos"], "inner")
     page = F.col("page") if "page" in items.columns else F.lit(0).cast("bigint")
     return placed.select(
@@ -128,13 +131,18 @@ def group_members(flags: DataFrame) -> DataFrame:
     return flags.select("group_id", "attribute_name", "seq")
 
 
-def names_per_group(members: DataFrame) -> DataFrame:
-    """Names of each group as a list, in order. For groups known to be small."""
-    listed = F.sort_array(F.collect_list(F.struct("seq", "attribute_name")))
+def names_per_group(members: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Names of each group as lists, in the order of the number ``seq``.
+
+    A list holds at most ``page_rows`` names; a larger group has several, by ``page``.
+    """
+    placed = positions(members, "seq", ["group_id"])
+    page = F.floor((F.col("pos") - 1) / F.lit(page_rows)).alias("page")
+    listed = F.sort_array(F.collect_list(F.struct("pos", "attribute_name")))
     return (
-        members.groupBy("group_id")
+        placed.groupBy("group_id", page)
         .agg(listed.alias("_l"))
-        .select("group_id", F.col("_l.attribute_name").alias("names"))
+        .select("group_id", "page", F.col("_l.attribute_name").alias("names"))
     )
 
 

@@ -213,14 +213,19 @@ def deduplicate(
     incremental: bool = False,
     drop_same_name: bool = False,
     page_rows: int = P.PAGE_ROWS,
+    partitions: int | None = None,
 ) -> Run:
-    """Find duplicates in ``row_id, attribute_name, attribute_definition`` rows."""
+    """Find duplicates in ``row_id, attribute_name, attribute_definition`` rows.
+
+    ``partitions`` deals the rows out before they are embedded, for tables that are
+    small in bytes but much work for the encoder.
+    """
     if incremental and "source" not in df.columns:
         raise ValueError("an incremental run needs earlier results; see deduplicate_incremental")
     rows = df.drop(*VERDICTS)
     if "source" not in rows.columns:
         rows = R.tag(rows, R.NEW, R.FIRST_ROUND)
-    text = E.with_text(rows)
+    text = E.with_text(rows if partitions is None else rows.repartition(partitions))
     vectors = E.embed_hashed(text) if make_encoder is None else E.embed(text, make_encoder)
     embedded = store(vectors.drop("text"), "embedded")
     fitted = B.fit_blocks(

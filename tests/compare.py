@@ -27,7 +27,7 @@ def connect(folder):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.6g}" if value else "0"
+        return "nan" if math.isnan(value) else repr(value)
     if value is None:
         return "NULL"
     return repr(value)

@@ -118,11 +118,14 @@ def positions(
         )
     )
     inside = Window.partitionBy(*group, "_slice").orderBy(order)
-    return (
-        sliced.withColumn("_rank", F.row_number().over(inside))
-        .join(starts, [*group, "_slice"])
-        .withColumn(name, (F.col("_start") + F.col("_rank")).cast("bigint"))
-        .drop("_slice", "_rank", "_start")
+    ranked = sliced.withColumn("_rank", F.row_number().over(inside))
+    # null-safe, so that rows of a null group keep their place in the result
+    starts = starts.select(*[F.col(c).alias(f"_of_{c}") for c in [*group, "_slice"]], "_start")
+    same = F.lit(True)
+    for column in [*group, "_slice"]:
+        same = same & F.col(column).eqNullSafe(F.col(f"_of_{column}"))
+    return ranked.join(starts, same).select(
+        *rows.columns, (F.col("_start") + F.col("_rank")).cast("bigint").alias(name)
     )
 
 

@@ -244,13 +244,13 @@ def fi2(spark, sf):
 
 @query(
     "fi3_shared_clusters",
-    """WITH d AS (SELECT p_partkey AS row_id, CAST(p_partkey % 700 + p_size * 1000 AS INTEGER) AS cluster_id FROM part)
+    """WITH d AS (SELECT p_partkey AS row_id, CAST(p_partkey % 40 + p_size * 100 AS INTEGER) AS cluster_id FROM part)
        SELECT row_id, cluster_id FROM d WHERE cluster_id IN (SELECT cluster_id FROM d GROUP BY 1 HAVING count(*) > 1)""",
 )
 def fi3(spark, sf):
     rows = table(spark, sf, "part").select(
         F.col("p_partkey").alias("row_id"),
-        (F.col("p_partkey") % 700 + F.col("p_size") * 1000).cast("int").alias("cluster_id"),
+        (F.col("p_partkey") % 40 + F.col("p_size") * 100).cast("int").alias("cluster_id"),
     )
     return R.in_shared_clusters(rows).select("row_id", "cluster_id")
 

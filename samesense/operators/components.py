@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samesense.skew import lookup
-from samesense.storage import store
+from samesense.storage import discard, store
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -68,8 +68,11 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        current = store(_small_star(_large_star(current, before[0]), before[0]), "edges")
+        last, current = current, store(
+            _small_star(_large_star(current, before[0]), before[0]), "edges"
+        )
         after = _fingerprint(current)
+        discard(last)
         if after == before:
             break
         before = after

@@ -11,7 +11,7 @@ from samesense.operators.prompts import PAGE_ROWS, best_prompts
 from samesense.skew import lookup
 
 
-def _age(df: DataFrame) -> tuple[Column, Column]:
+def age_of(df: DataFrame) -> tuple[Column, Column]:
     """(0 for an existing row else 1, round with unknown rounds last)."""
     old = F.lit(1)
     if "source" in df.columns:
@@ -25,7 +25,7 @@ def _age(df: DataFrame) -> tuple[Column, Column]:
 
 def existing_rank(df: DataFrame) -> Column:
     """Existing rows first, then the earliest round, then row order; the least wins."""
-    old, seen = _age(df)
+    old, seen = age_of(df)
     seen = F.when(old == 0, seen).otherwise(F.lit(float("inf")))
     return F.struct(old.alias("age"), seen.alias("seen"), F.col("row_id").alias("at"))
 

@@ -103,7 +103,7 @@ def _by_similarity(
     named = store(number_groups(groups, plain), "groups")
     grouped = plain.join(named, "row_id")
     if survivor is None:
-        age, seen = S._age(grouped) if incremental else (F.lit(1), F.lit(0.0))
+        age, seen = S.age_of(grouped) if incremental else (F.lit(1), F.lit(0.0))
         is_old = age == 0
         rule = S.rule_rank(grouped)
         rank = F.struct(

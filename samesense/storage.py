@@ -37,7 +37,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table (cuts the lineage)."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table made by ``store`` that nothing refers to any more."""
+    context = stored.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

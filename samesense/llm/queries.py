@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import quality, urls
+from samesense.llm import pieces, quality, secrets, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,3 +111,72 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged, name = urls.judge_urls(pages, rules)
     return judged.select("page_id", f"{name}.*")
+
+
+_DIGITS = "translate(lpad(to_base(('0x' || substr(h, {0}, 10))::BIGINT, 32), 8, '0'), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+
+
+@query(
+    "op1_warc",
+    f"""WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, {' || '.join(_DIGITS.format(1 + 10 * i) for i in range(4))} AS payload_digest FROM hashed),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM firsts""",
+)
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+        ),
+        ",",
+    )
+
+
+@query("op6_secret_scans")
+def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found, name = secrets.scan(docs)
+    base = [rule.kind for rule in secrets.BASE]
+    count = lambda kind: F.size(F.filter(name, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(_joined(F.filter(name, lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        _joined(F.col(name)).alias("spans"),
+    )
+
+
+def tokenizer_model() -> str:
+    """Where the installed vocabulary file lies; nothing of it is kept in the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op10_sentencepiece")
+def sentencepiece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded, name = pieces.encode(docs, tokenizer_model())
+    return encoded.select(
+        "doc_id",
+        F.size(f"{name}.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(f"{name}.ids", ","), 256).alias("ids_sha256"),
+        F.sha2(f"{name}.decoded", 256).alias("decoded_sha256"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import pieces, quality, secrets, urls, warc
+from samesense.llm import pieces, quality, secrets, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,3 +180,8 @@ def sentencepiece_ids(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(f"{name}.ids", ","), 256).alias("ids_sha256"),
         F.sha2(f"{name}.decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_simhash")
+def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))

@@ -107,7 +107,8 @@ SELECT page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM split s LEFT JOIN fits f ON f.host = s.host AND f.path = s.path""",
 )
 def url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    listed = [F.struct(F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict")) for rule, verdict in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*listed)))
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged, name = urls.judge_urls(pages, rules)
     return judged.select("page_id", f"{name}.*")

@@ -8,79 +8,27 @@ exact, and judging a table is a projection: no join and no shuffle.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from samesense.llm import bloom
 from samesense.llm.words import LOWER, UPPER, fresh, let
 from samesense.storage import discard, store
 
 MAX_LEVELS = 64
 
 
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: 64-bit words, number of hashes, and its seed."""
-
-    words: tuple[int, ...]
-    hashes: int
-    seed: int
-
-
-def _places(key: Column, bits: int, hashes: int, seed: int) -> Column:
-    """Bit positions of a key: double hashing from two seeded 64-bit hashes."""
-    first = F.shiftrightunsigned(F.xxhash64(F.lit(2 * seed), key), 33)
-    second = F.shiftrightunsigned(F.xxhash64(F.lit(2 * seed + 1), key), 33)
-    return F.array(*[F.pmod(first + j * second, F.lit(bits)) for j in range(hashes)])
-
-
-def _build(keys: DataFrame, n: int, rate: float, seed: int, max_bytes: int) -> Level:
-    """A filter over ``n`` distinct ``key`` rows that admits others at ``rate``.
-
-    Its size is ``1.44 n log2(1 / rate)`` bits; more than ``max_bytes`` raises an error.
-    """
-    hashes = max(1, math.ceil(math.log2(1 / rate)))
-    bits = max(64, 64 * math.ceil(1.4427 * n * hashes / 64))
-    if bits // 8 > max_bytes:
-        raise ValueError(f"a filter over {n} keys takes {bits // 8} bytes; the bound is {max_bytes}")
-    place = F.explode(_places(F.col("key"), bits, hashes, seed))
-    rows = (
-        keys.select(place.alias("place"))
-        .groupBy(F.expr("place div 64").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
-        .collect()
-    )
-    words = [0] * (bits // 64)
-    for row in rows:
-        words[row["word"]] = row["bits"]
-    return Level(tuple(words), hashes, seed)
-
-
-def _admits(key: Column, level: Level) -> Column:
-    words = F.lit(list(level.words)).cast("array<bigint>")
-    bits = 64 * len(level.words)
-    return F.forall(
-        _places(key, bits, level.hashes, level.seed),
-        lambda place: F.get(words, F.floor(place / 64).cast("int")).bitwiseAND(
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
-        )
-        != 0,
-    )
-
-
-def contains(key: Column, levels: list[Level]) -> Column:
+def contains(key: Column, levels: list[bloom.Level]) -> Column:
     """Exact membership of a key of the universe the cascade was built for."""
     found = F.lit(bool(len(levels) % 2))
     for number in range(len(levels) - 1, -1, -1):
         # a key beyond the last level that admits it belongs to that level's own side
         beyond = found if number < len(levels) - 1 else F.lit(number % 2 == 0)
-        found = F.when(_admits(key, levels[number]), beyond).otherwise(F.lit(number % 2 == 1))
+        found = F.when(bloom.admits(key, levels[number]), beyond).otherwise(F.lit(number % 2 == 1))
     return found
 
 
-def cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = 64 << 20) -> list[Level]:
+def cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = 64 << 20) -> list[bloom.Level]:
     """Filter levels that tell ``listed`` keys from all other keys of ``universe``.
 
     Both have a column ``key``; listed keys outside the universe are never asked for and
@@ -100,20 +48,20 @@ def cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = 64 << 20) -
         "url-keys",
     )
     count = {row["side"]: row["n"] for row in keys.groupBy("side").agg(F.count("*").alias("n")).collect()}
-    levels: list[Level] = []
+    levels: list[bloom.Level] = []
     inside, outside = count.get(1, 0), count.get(0, 0)
     side, left = 1, keys.where("side = 1")
     while inside:
         if len(levels) == MAX_LEVELS:
             raise RuntimeError("the cascade does not end; keys collide in every hash")
         rate = min(0.5, inside / (1.4 * outside)) if not levels and outside else 0.5
-        level = _build(left, inside, rate, len(levels), max_bytes)
+        level = bloom.build(left, inside, rate, len(levels), max_bytes)
         levels.append(level)
         # the other side's keys that every level so far admits
         side = 1 - side
         left = keys.where(F.col("side") == side)
         for earlier in levels:
-            left = left.where(_admits(F.col("key"), earlier))
+            left = left.where(bloom.admits(F.col("key"), earlier))
         inside = left.count()
     discard(keys)
     return levels

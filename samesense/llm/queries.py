@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import pieces, quality, secrets, simhash, urls, warc
+from samesense.llm import decontaminate, pieces, quality, secrets, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,3 +186,8 @@ def sentencepiece_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_simhash")
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op5_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

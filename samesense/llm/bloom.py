@@ -62,3 +62,12 @@ def admits(key: Column, level: Level) -> Column:
         )
         != 0,
     )
+
+
+def split(rows: DataFrame, key: Column, keys: DataFrame, n: int, max_bytes: int = 32 << 20) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have one of the ``n`` hashes ``keys(key)``, and those that surely have none.
+
+    The first part is to be joined exactly; the second needs no shuffle.
+    """
+    level = build(keys, n, 0.005, 5, max_bytes, shrink=True)
+    return rows.where(admits(key, level)), rows.where(~admits(key, level))

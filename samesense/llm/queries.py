@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import decontaminate, pieces, quality, secrets, simhash, urls, warc
+from samesense.llm import decontaminate, lines, pieces, quality, secrets, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,3 +191,46 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def lines_sql(source: str) -> str:
+    """CTEs ``shortened(r, text, n_lines, n_deleted)`` and ``numbered_lines``: ``source(doc_id, text)`` without repeated runs."""
+    return rf"""numbered_lines AS (SELECT *, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS parts FROM {source}),
+raw_lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS raw_no FROM numbered_lines),
+worded AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY raw_no) - 1 AS i
+  FROM raw_lines WHERE regexp_matches(line, '[^ 	-]')),
+around AS (
+  SELECT r, doc_id, i, line AS a, lead(line) OVER o AS b, lag(line) OVER o AS p1, lag(line, 2) OVER o AS p2,
+         lead(line, 2) OVER o AS n1, lead(line, 3) OVER o AS n2
+  FROM worded WINDOW o AS (PARTITION BY r ORDER BY i)),
+grams AS (SELECT *, md5(a || chr(10) || b) AS g FROM around WHERE b IS NOT NULL),
+minima AS (
+  SELECT * FROM (SELECT *, lag(g) OVER o AS pg, lead(g) OVER o AS ng FROM grams WINDOW o AS (PARTITION BY r ORDER BY i))
+  WHERE g <= pg OR g < ng OR (pg IS NULL AND ng IS NULL)),
+met AS (
+  SELECT *, first_value(r) OVER o AS fr, first_value(i) OVER o AS fi, first_value(p1) OVER o AS fp1, first_value(p2) OVER o AS fp2,
+         first_value(n1) OVER o AS fn1, first_value(n2) OVER o AS fn2
+  FROM minima WINDOW o AS (PARTITION BY a, b ORDER BY doc_id, i)),
+runs AS (
+  SELECT r, i - CASE WHEN p1 = fp1 AND p2 = fp2 THEN 2 WHEN p1 = fp1 THEN 1 ELSE 0 END AS low,
+         i + 2 + CASE WHEN n1 = fn1 AND n2 = fn2 THEN 2 WHEN n1 = fn1 THEN 1 ELSE 0 END AS high
+  FROM met WHERE r <> fr OR i <> fi),
+gone AS (SELECT DISTINCT w.r, w.raw_no FROM runs u JOIN worded w ON w.r = u.r AND w.i >= u.low AND w.i < u.high),
+kept_lines AS (
+  SELECT l.r, coalesce(string_agg(l.line, chr(10) ORDER BY l.raw_no) FILTER (WHERE g.r IS NULL), '') AS text, count(g.r) AS n_deleted
+  FROM raw_lines l LEFT JOIN gone g ON g.r = l.r AND g.raw_no = l.raw_no GROUP BY l.r),
+shortened AS (
+  SELECT n.* EXCLUDE (text, parts), CASE WHEN n.text IS NOT NULL THEN k.text END AS text, n_deleted
+  FROM numbered_lines n JOIN kept_lines k USING (r))"""
+
+
+@query(
+    "op7_line_dedup",
+    f"WITH {lines_sql('documents')} SELECT doc_id, n_deleted, sha256(coalesce(text, '')) AS kept_sha256 FROM shortened",
+)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    shortened, count = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return shortened.select(
+        "doc_id", F.col(count).alias("n_deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from samesense.llm import bloom
 from samesense.skew import lookup
 from samesense.storage import discard, fresh_path, store
 
@@ -18,6 +19,7 @@ from samesense.storage import discard, fresh_path, store
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 MAX_ROUNDS = 64
+FILTER_BYTES = 32 << 20
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -39,14 +41,24 @@ def revisits(pages: DataFrame, page_id: str, payload: str, least_bytes: int = 0)
     """
     data = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     rows = pages.withColumn("_bytes", F.octet_length(data).cast("bigint")).withColumn("_digest", base32_sha1(data))
-    shared = (
+    shared = store(
         rows.where(F.col("_bytes") >= least_bytes)
         .groupBy("_digest", "_bytes")
         .agg(F.min(page_id).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
-        .select("_digest", "_bytes", "_first", F.lit(True).alias("_shared"))
+        .select("_digest", "_bytes", "_first", F.lit(True).alias("_shared")),
+        "payloads",
     )
-    return lookup(rows, shared, ["_digest", "_bytes"], [page_id, "_digest"])
+    alone = {"_first": F.lit(None).cast(rows.schema[page_id].dataType), "_shared": F.lit(False)}
+    n = shared.count()
+    if not n:
+        return rows.withColumns(alone)
+    # pages that the filter of shared digests does not admit are written without a shuffle
+    key = F.xxhash64("_digest")
+    level = bloom.build(shared.select(key.alias("key")), n, 0.001, 3, FILTER_BYTES, shrink=True)
+    likely = lookup(rows.where(bloom.admits(key, level)), shared, ["_digest", "_bytes"], [page_id, "_digest"])
+    other = rows.where(~bloom.admits(key, level)).withColumns(alone)
+    return likely.select(*other.columns).unionByName(other)
 
 
 def write_archive(

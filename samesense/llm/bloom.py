@@ -1,10 +1,11 @@
-"""Bloom filters built and asked by column functions alone."""
+"""Bloom filters for column functions, and bitmaps for tasks in Python, all of bounded size."""
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,3 +72,25 @@ def split(rows: DataFrame, key: Column, keys: DataFrame, n: int, max_bytes: int
     """
     level = build(keys, n, 0.005, 5, max_bytes, shrink=True)
     return rows.where(admits(key, level)), rows.where(~admits(key, level))
+
+
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """One bit per possible value of the top ``bits`` bits of a column ``key`` of 64-bit hashes.
+
+    ``2^bits / 8`` bytes whatever the number of keys; more keys only admit more. Returned as
+    unsigned 64-bit words, for ``in_bitmap`` inside tasks.
+    """
+    rows = (
+        hashes.select(F.shiftrightunsigned("key", 64 - bits).alias("bit"))
+        .groupBy(F.expr("cast(bit div 64 as int)").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    )
+    words = np.zeros(1 << (bits - 6), "int64")
+    found = rows.toArrow()
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.view("uint64")
+
+
+def in_bitmap(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    top = hashes >> np.uint64(64 - (len(words) * 64).bit_length() + 1)
+    return (words[(top >> np.uint64(6)).astype("int64")] >> (top & np.uint64(63))) & np.uint64(1) > 0

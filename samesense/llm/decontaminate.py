@@ -19,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
+from samesense.llm import bloom
 from samesense.llm.batches import append
 from samesense.llm.words import WORD, fresh
 from samesense.skew import lookup
@@ -33,6 +34,7 @@ from samesense.storage import store
 MASKS = ("11111", "111011", "11001011")
 WINDOW = 16
 AGREE = 0.8
+# Two megabytes, whatever the number of test texts.
 FILTER_BITS = 24
 WORDS = re.compile(WORD)
 
@@ -106,23 +108,6 @@ def _seed_lists(seeds: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, "int32"), values)
 
 
-def _bit(seed: Column) -> Column:
-    return F.shiftrightunsigned(seed, 64 - FILTER_BITS)
-
-
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """One bit per possible top ``FILTER_BITS`` bits of a seed: two megabytes, whatever the list."""
-    rows = (
-        seeds.select(_bit(F.col("seed")).alias("bit"))
-        .groupBy(F.expr("bit div 64").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    )
-    words = np.zeros(1 << (FILTER_BITS - 6), "int64")
-    found = rows.toArrow()
-    words[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return words.view("uint64")
-
-
 def regions(words: np.ndarray, admitted: np.ndarray, reach: int) -> list[tuple[int, int]]:
     """Word ranges with ``reach`` words of room around admitted places; overlapping ones joined."""
     if not len(admitted):
@@ -145,8 +130,7 @@ def training_regions(docs: DataFrame, text: str, filter_words, reach: int) -> tu
         def found(text):
             words = word_hashes(text)
             hashes, places = seed_hashes(words)
-            top = hashes >> np.uint64(64 - FILTER_BITS)
-            keep = (allowed[(top >> np.uint64(6)).astype("int64")] >> (top & np.uint64(63))) & np.uint64(1) > 0
+            keep = bloom.in_bitmap(hashes, allowed)
             hashes, places = hashes[keep], places[keep]
             out = []
             for low, high in regions(words, places, reach):
@@ -239,7 +223,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
         .distinct(),
         "test-seeds",
     )
-    allowed = spark.sparkContext.broadcast(seed_filter(seeds))
+    allowed = spark.sparkContext.broadcast(bloom.bitmap(seeds.select(F.col("seed").alias("key")), FILTER_BITS))
     longest = max(len(mask) for mask in MASKS)
     cut, name = training_regions(docs, "text", allowed, WINDOW + longest)
     found = store(

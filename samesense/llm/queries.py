@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import decontaminate, lines, pieces, quality, secrets, simhash, urls, warc
+from samesense.llm import classifier, decontaminate, lines, pieces, quality, secrets, simhash, substrings, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,7 +199,8 @@ def lines_sql(source: str) -> str:
 raw_lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS raw_no FROM numbered_lines),
 worded AS (
   SELECT *, row_number() OVER (PARTITION BY r ORDER BY raw_no) - 1 AS i
-  FROM raw_lines WHERE regexp_matches(line, '[^ 	-]')),
+  FROM raw_lines WHERE regexp_matches(line, '[^ 	-
+]')),
 around AS (
   SELECT r, doc_id, i, line AS a, lead(line) OVER o AS b, lag(line) OVER o AS p1, lag(line, 2) OVER o AS p2,
          lead(line, 2) OVER o AS n1, lead(line, 3) OVER o AS n2
@@ -234,3 +235,38 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return shortened.select(
         "doc_id", F.col(count).alias("n_deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query("op8_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = classifier.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    scored, name = classifier.score(docs, model)
+    return scored.select(
+        "doc_id",
+        classifier.held_out("doc_id").alias("held_out"),
+        F.col(name).alias("score"),
+        (F.col(name) >= classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query(
+    "op9_substring_dedup",
+    r"""WITH src AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(list_slice(w, i, i + 12), ' ')) AS g
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM src WHERE len(w) >= 13)),
+again AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS i FROM again),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM src),
+kept AS (
+  SELECT k.r, string_agg(word, ' ' ORDER BY k.i) FILTER (WHERE g.r IS NULL) AS text, count(g.r) AS n_removed
+  FROM words k LEFT JOIN gone g ON g.r = k.r AND g.i = k.i GROUP BY k.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM src LEFT JOIN kept USING (r)""",
+)
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs, name = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", f"{name}.n_words", f"{name}.n_removed", F.sha2(f"{name}.kept", 256).alias("kept_sha256"))

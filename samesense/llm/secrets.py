@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from samesense.llm import bloom
 from samesense.llm.batches import append
-from samesense.llm.words import fresh, whole
+from samesense.llm.words import fresh, let, whole
 from samesense.skew import lookup
 from samesense.storage import store
 
@@ -177,9 +177,12 @@ def _satisfied(posted: Column, query: Query, number: dict[str, int]) -> Column:
 
 def postings(texts: DataFrame, text: Column, trigrams: list[str]) -> DataFrame:
     """The inverted index: one row ``trigram`` (its number) per text that holds it."""
-    lowered = F.lower(text)
-    present = F.filter(
-        F.array(*[F.when(F.contains(lowered, F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]), lambda x: x.isNotNull()
+    present = let(
+        F.lower(text),
+        lambda lowered: F.filter(
+            F.array(*[F.when(F.contains(lowered, F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]),
+            lambda x: x.isNotNull(),
+        ),
     )
     return texts.withColumn("trigram", F.explode(present))
 

@@ -94,3 +94,18 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 def in_bitmap(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     top = hashes >> np.uint64(64 - (len(words) * 64).bit_length() + 1)
     return (words[(top >> np.uint64(6)).astype("int64")] >> (top & np.uint64(63))) & np.uint64(1) > 0
+
+
+def without(rows: DataFrame, keys: list[str], gone: DataFrame, n: int) -> DataFrame:
+    """``rows`` whose ``keys`` columns are not among the ``n`` rows of ``gone`` (null-safe).
+
+    Rows that a filter over ``gone`` does not admit are kept without a shuffle.
+    """
+    if not n:
+        return rows
+    likely, other = split(rows, F.xxhash64(*keys), gone.select(F.xxhash64(*keys).alias("key")), n)
+    listed = gone.select(*[F.col(k).alias(f"_gone_{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_gone_{i}"))
+    return likely.join(listed, same, "left_anti").unionByName(other)

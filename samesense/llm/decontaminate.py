@@ -249,3 +249,17 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
         .agg(F.max(F.struct("equal", (-F.col("start")).alias("first"), "end")).alias("best"))
         .select("doc_id", "item_id", (-F.col("best.first")).alias("start"), F.col("best.end").alias("end"), F.col("best.equal").alias("equal"))
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text overlaps with a test item.
+
+    Rows go by their text's hash, so of rows that share an id only those go that overlap.
+    """
+    one, two = fresh(docs, "_text1"), fresh(docs, "_text2")
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.withColumn(one, F.xxhash64(body)).withColumn(two, F.xxhash64(F.lit(3), body))
+    marked = keyed.select(F.struct(one, two).alias("id"), F.col(text).alias("text"))
+    found = contaminated(marked, items, "id", "text", item_id, item_text)
+    gone = store(found.select(F.col(f"doc_id.{one}").alias(one), F.col(f"doc_id.{two}").alias(two)).distinct(), "contaminated")
+    return bloom.without(keyed, [one, two], gone, gone.count()).select(*docs.columns)

@@ -220,3 +220,40 @@ def component_rows(docs: DataFrame) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest id.
+
+    A null id counts last; among equal ids the smallest text hash decides, and of rows equal
+    in both one stays. Texts of groups of one, which is most, are not shuffled.
+    """
+    one, two = fresh(docs, "_text1"), fresh(docs, "_text2")
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.withColumn(one, F.xxhash64(F.col(doc_id), body)).withColumn(two, F.xxhash64(F.lit(3), body))
+    narrow = keyed.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(one).alias("k1"), F.col(two).alias("k2"))
+    members = store(component_rows(narrow), "members")
+    # a group is known by its component id, or where all its ids are null by its fingerprint
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), "fingerprint")).alias("group")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
+    best = (
+        members.groupBy(group)
+        .agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("group", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2"))
+    )
+    crowded = lookup(members.select(group, "k1", "k2"), best, ["group"], ["k1"], "inner")
+    keys = store(crowded.select("k1", "k2", F.expr("k1 = b1 AND k2 = b2").alias("stays")).distinct(), "crowded")
+    n = keys.count()
+    if not n:
+        return docs
+    likely, other = bloom.split(keyed, F.xxhash64(one, two), keys.select(F.xxhash64("k1", "k2").alias("key")), n)
+    flag = fresh(keyed, "_stays")
+    named = keys.select(F.col("k1").alias(one), F.col("k2").alias(two), F.col("stays").alias(flag))
+    chosen = likely.join(named, [one, two], "left")
+    stays = chosen.where(F.col(flag)).dropDuplicates([one, two])
+    return (
+        stays.select(*docs.columns)
+        .unionByName(chosen.where(F.col(flag).isNull()).select(*docs.columns))
+        .unionByName(other.select(*docs.columns))
+    )

@@ -7,7 +7,7 @@ they are the same everywhere, and equal substrings are rewritten alike but for t
 at their ends: only those can depend on words outside. For a window of words the symbols
 that cannot are known, so equal windows hold the same interior symbols.
 
-Each window is marked with the first interior symbol of its highest round. Spark counts in
+Each window is marked with a long one of its interior symbols. Spark counts in
 which documents each symbol is a mark; a window whose symbol marks windows of one document
 only is no repeat. The windows that are left are compared by a hash of all their words.
 """
@@ -78,12 +78,13 @@ def window_marks(words: np.ndarray, width: int = WINDOW, rounds: int = ROUNDS) -
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, "uint64")
-    marks = words[:n].copy()
+    marks, held = words[:n].copy(), np.ones(n, "int32")
     names, place = name_runs(words)
     # a window does not see where the runs at its ends begin and end
     low, high = place[:n] + 1, place[width - 1 :]
     live = np.flatnonzero(low < high)
     low, high = low[live], high[live]
+    begins = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(words)).astype("int32")
     marks[live] = names[low]
     for number in range(rounds):
         if not len(live):
@@ -98,7 +99,14 @@ def window_marks(words: np.ndarray, width: int = WINDOW, rounds: int = ROUNDS) -
         high = place[last] + ~left[last]
         inside = np.flatnonzero(low < high)
         live, low, high = live[inside], low[inside], high[inside]
-        marks[live] = names[low]
+        begins = begins[np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(place))]
+        # of the first two interior symbols the longer one, if no earlier round had a longer
+        size = begins[1:] - begins[:-1]
+        second = np.minimum(low + 1, high - 1)
+        chosen = np.where(size[second] > size[low], second, low)
+        better = size[chosen] >= held[live]
+        held[live[better]] = size[chosen[better]]
+        marks[live[better]] = names[chosen[better]]
     return marks
 
 

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than
 # HOT_SHARE hot keys whatever the size of the table: that bounds the broadcast below.
 HOT_SHARE = 1000
 # Below this many rows a key is never worth splitting.
 HOT_ROWS = 50_000
-SALTS = 64
+# Rows of a hot key that share a partition; the number of parts follows from the key's count.
+SALT_ROWS = 200_000
+# Rows of the table that share a slice of ``positions``, as long as there are few enough slices.
+SLICE_ROWS = 500_000
+MAX_SLICES = 5_000
 
 
 def hot_keys(
@@ -20,23 +26,27 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with more than ``rows / HOT_SHARE`` rows: fewer than ``HOT_SHARE`` of them.
 
-    Counted up front in a job of its own (it reads only the key columns), so that the
-    plan of ``rows`` is not repeated inside the plan of the join. None if there are none.
+    Each comes with ``_salts``, the number of parts its rows are dealt into. Counted up
+    front in a job of its own (it reads only the key columns), so that the plan of ``rows``
+    is not repeated inside the plan of the join. None if there are none.
     """
     total = rows.count() if known_rows is None else known_rows
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _listed(counts, keys, "_n", total, hot_rows)
+
+
+def _listed(
+    counts: DataFrame, keys: Sequence[str], counted: str, total: int, hot_rows: int
+) -> DataFrame | None:
+    """The hot ones among counted keys, fewer than ``HOT_SHARE``, with ``_salts``."""
     if total <= hot_rows:
         return None
-    least = max(hot_rows, total // HOT_SHARE)
-    found = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > least)
-        .select(*keys)
+    n = F.col(counted)
+    found = counts.where(n > max(hot_rows, total // HOT_SHARE)).select(
+        *keys, F.greatest(F.lit(2), F.ceil(n / SALT_ROWS)).cast("int").alias("_salts")
     )
     listed = found.collect()
-    if not listed:
-        return None
-    return rows.sparkSession.createDataFrame(listed, found.schema).withColumn("_hot", F.lit(True))
+    return counts.sparkSession.createDataFrame(listed, found.schema) if listed else None
 
 
 def lookup(
@@ -46,70 +56,83 @@ def lookup(
     spread: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     known_rows: int | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
-    """Join many ``rows`` to ``keyed`` (one row per key) without a hot task.
-
-    Rows of hot keys, and rows with a null key, are dealt over ``salts`` partitions by a
-    hash of the ``spread`` columns; the few hot rows of ``keyed`` are repeated once per
-    salt. The salt is a function of stored columns, so a task that runs again after an
-    executor was lost sends its rows to the same place. When ``keyed`` is small Spark
-    still turns the join into a broadcast by its own size check. Without hot keys this
-    is a plain join. ``known_rows`` saves counting rows the caller has counted.
+    """Join many ``rows`` to ``keyed`` (few rows per key) without a hot task.
+
+    Rows of hot keys are dealt over as many parts as their count asks for, and rows with a
+    null key over as many as there are partitions, by a hash of the ``spread`` columns; the
+    hot rows of ``keyed`` are repeated once per part. The salt is a function of stored
+    columns, so a task that runs again after an executor was lost sends its rows to the
+    same place. When ``keyed`` is small Spark still turns the join into a broadcast by its
+    own size check. Without hot keys this is a plain join. ``known_rows`` saves counting
+    rows the caller has counted; ``counted`` names a column of ``keyed`` with the number of
+    ``rows`` of its key, where the caller has that too, and is dropped.
     """
     keys = list(keys)
-    hot = hot_keys(rows.select(*keys), keys, hot_rows, known_rows)
+    if counted is None:
+        hot = hot_keys(rows.select(*keys), keys, hot_rows, known_rows)
+    else:
+        total = rows.count() if known_rows is None else known_rows
+        hot = _listed(keyed, keys, counted, total, hot_rows)
+        keyed = keyed.drop(counted)
     if hot is None:
         return rows.join(keyed, keys, how)
     hot = F.broadcast(hot)
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
-    salted = rows.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(
-            F.coalesce("_hot", F.lit(False)) | missing,
-            F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"),
-        ).otherwise(F.lit(0)),
-    )
+    scattered = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = F.coalesce("_salts", F.when(missing, F.lit(scattered)).otherwise(F.lit(1)))
+    salted = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int"))
     repeated = keyed.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    joined = salted.drop("_hot").join(repeated.drop("_hot"), [*keys, "_salt"], how)
+    joined = salted.drop("_salts").join(repeated.drop("_salts"), [*keys, "_salt"], how)
     return joined.drop("_salt")
 
 
+def sliced(rows: DataFrame, order: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``rows`` with ``_slice``: numbers that rise with ``order``, about ``slice_rows`` rows each."""
+    leading = order
+    while isinstance(kind := rows.select(leading).schema[0].dataType, StructType):
+        leading = f"{leading}.{kind[0].name}"
+    at = F.col(leading).cast("double")
+    slices = min(MAX_SLICES, -(-rows.count() // slice_rows))
+    cuts: list[float] = []
+    if slices > 1:
+        shares = [i / slices for i in range(1, slices)]
+        cuts = sorted(set(rows.select(at.alias("at")).approxQuantile("at", shares, 0.2 / slices)))
+    if not cuts:
+        return rows.withColumn("_slice", F.lit(0.0))
+    bounds = [float("-inf"), *cuts, float("inf")]
+    cut = Bucketizer(splits=bounds, inputCol="_at", outputCol="_slice", handleInvalid="keep")
+    return cut.transform(rows.withColumn("_at", at)).drop("_at")
+
+
 def positions(
     rows: DataFrame,
     order: str,
     group: Sequence[str] = (),
     name: str = "pos",
-    slices: int = 4096,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """1-based position of each row inside its group, ordered by the number ``order``.
+    """1-based position of each row inside its group, ordered by ``order``.
 
-    A plain ``row_number`` sorts a whole group in one task. Here the range of ``order``
-    is cut into ``slices`` equal parts; a row's position is the number of rows in earlier
-    slices of its group plus its rank inside its own slice. No task sees more than one
-    slice of one group, or more than ``slices`` counters.
+    A plain ``row_number`` sorts a whole group in one task. Here the table is cut into
+    slices of about ``slice_rows`` rows in the order; a row's position is the number of
+    rows in earlier slices of its group plus its rank inside its own slice. The cuts are
+    approximate quantiles of the rows, wherever their ids lie; where exactly they fall
+    changes the work of a task and not the result. A struct is cut by its first field.
     """
     group = list(group)
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        low, high = 0, 0
-    width = max(1, -(-(high - low + 1) // slices))
-    sliced = rows.withColumn("_slice", F.floor((F.col(order) - F.lit(low)) / F.lit(width)))
+    cut = sliced(rows, order, slice_rows)
     before = Window.orderBy("_slice")
     if group:
         before = before.partitionBy(*group)
     starts = (
-        sliced.groupBy(*group, "_slice")
+        cut.groupBy(*group, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             *group,
@@ -118,7 +141,7 @@ def positions(
         )
     )
     inside = Window.partitionBy(*group, "_slice").orderBy(order)
-    ranked = sliced.withColumn("_rank", F.row_number().over(inside))
+    ranked = cut.withColumn("_rank", F.row_number().over(inside))
     # null-safe, so that rows of a null group keep their place in the result
     starts = starts.select(*[F.col(c).alias(f"_of_{c}") for c in [*group, "_slice"]], "_start")
     same = F.lit(True)

@@ -7,6 +7,8 @@ stages get column pruning and filter pushdown on it.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,9 +23,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        # only where driver and tasks are one process is a folder of this machine shared
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="samesense-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

@@ -144,7 +144,7 @@ def cl1(spark, sf):
 )
 def cl2(spark, sf):
     """Facts that hold for any k-means result: all rows at their nearest center."""
-    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"), starts=2)
+    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"))
     nearest = B.assign_nearest(fitted.rows, fitted.centers, "embedding")
     both = fitted.rows.select("row_id", F.col("cluster_id").alias("own")).join(nearest, "row_id")
     return both.agg(
@@ -173,7 +173,7 @@ def cl3(spark, sf):
     "SELECT vec_id AS row_id, true AS in_range, CAST(1 AS BIGINT) AS n_clusters FROM embeddings",
 )
 def cl4(spark, sf):
-    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"), starts=1)
+    fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"))
     return fitted.rows.groupBy("row_id").agg(
         F.bool_and(F.col("cluster_id").between(0, fitted.n_clusters - 1)).alias("in_range"),
         F.count_distinct("cluster_id").alias("n_clusters"),
@@ -433,7 +433,7 @@ def pi2_blocks(spark, sf):
 def pi1(spark, sf):
     """A full run on the dictionary, k-means blocks included."""
     rows = dictionary(spark, sf).drop("cluster_id")
-    return dedup.deduplicate(rows, starts=2, threshold=0.9).result.select(
+    return dedup.deduplicate(rows, threshold=0.9).result.select(
         "row_id", "attribute_name", "cluster_id", "is_duplicate", "duplicate_group_id", "should_remove"
     )
 
@@ -445,7 +445,7 @@ def pi1(spark, sf):
 def pi1_summary(spark, sf):
     """Facts that hold for every full run."""
     rows = dictionary(spark, sf).drop("cluster_id")
-    run = dedup.deduplicate(rows, starts=1, threshold=0.9)
+    run = dedup.deduplicate(rows, threshold=0.9)
     kept, removed = F.col("attributes_to_keep"), F.col("attributes_to_remove")
     return run.summary.select(
         "total_attributes",
@@ -461,7 +461,7 @@ def pi2(spark, sf):
     rows = judged(spark, sf).drop("cluster_id")
     batch = rows.where("row_id % 2 <> 0").select("row_id", "attribute_name", "attribute_definition")
     run = dedup.deduplicate_incremental(
-        rows.where("row_id % 2 = 0"), batch, starts=1, threshold=0.9
+        rows.where("row_id % 2 = 0"), batch, threshold=0.9
     )
     return run.result.select(
         "row_id", "attribute_name", "source", "first_seen_in_round", "is_duplicate", "should_remove"

@@ -36,7 +36,7 @@ def io1_ids(spark, sf):
     path = fresh_path(spark, "ordered")
     wide = dictionary(spark, sf).withColumn("key", F.col("row_id"))
     S.write_csv(wide.drop("row_id").repartitionByRange(4, "key").sortWithinPartitions("key"), path)
-    read = S.read_attributes(spark, path).withColumn("key", F.col("key").cast("bigint"))
+    read = S.read_attributes(spark, path, multi_line=False).withColumn("key", F.col("key").cast("bigint"))
     by_id = F.expr("lag(key) over (partition by row_id >> 33 order by row_id)")
     return read.withColumn("_before", by_id).agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -52,8 +52,12 @@ EVENTS = "SELECT event_id, event_type, value, props FROM events"
 def io2(spark, sf):
     path = fresh_path(spark, "events")
     columns = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
-    S.write_json(columns, path)
-    return S.read_json_lines(spark, path, columns.schema)
+    # documents of up to 1000 records each, one to a file, over several lines
+    record = F.to_json(F.struct(*columns.columns), {"ignoreNullFields": "false"})
+    documents = columns.groupBy(F.expr("event_id div 1000")).agg(F.collect_list(record).alias("all"))
+    value = F.concat(F.lit("[\n"), F.array_join("all", ",\n"), F.lit("\n]"))
+    documents.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return S.read_json(spark, path, columns.schema)
 
 
 @query(
@@ -156,15 +160,14 @@ def io11(spark, sf):
 
 @query(
     "io12_write_embeddings",
-    "SELECT vec_id AS row_id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM embeddings",
+    "SELECT vec_id AS row_id, generate_subscripts(embedding, 1) - 1 AS dim, round(CAST(unnest(embedding) AS DOUBLE), 6) + 0.0 AS x FROM embeddings",
 )
 def io12(spark, sf):
     path = fresh_path(spark, "vectors")
     S.write_embeddings(vectors(spark, sf), path)
-    return spark.read.parquet(path).select(
-        "row_id",
-        F.size("embedding").cast("bigint").alias("dims"),
-        F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"),
+    values = spark.read.parquet(path).select("row_id", F.posexplode("embedding").alias("dim", "x"))
+    return values.select(
+        "row_id", F.col("dim").cast("bigint").alias("dim"), (F.round(F.col("x").cast("double"), 6) + 0.0).alias("x")
     )
 
 
@@ -240,7 +243,8 @@ def io15(spark, sf):
 def io16(spark, sf):
     folder = fresh_path(spark, "runs")
     rows = judged(spark, sf)
-    S.write_run(R.existing_rows(rows), "first", folder)
+    S.write_run(rows, "first", folder)
+    S.write_run(R.existing_rows(rows), "first", folder)  # again: replaces the rows of that run
     S.write_run(rows, "second", folder)
     runs = spark.read.parquet(f"{folder}/runs").select("run_id", "should_remove")
     latest = S.read_csv(spark, f"{folder}/latest_deduplication_results").select(

@@ -22,8 +22,9 @@ KNOWN_TYPES = {
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; columns come by name, empty cells are null.
 
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file;
-    turn it off for large files that have none, so that Spark can split them.
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file. Cells
+    with line breaks would be cut without it, so it is on; turn it off for files that have
+    none, which Spark then splits.
     """
     raw = spark.read.csv(
         path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line
@@ -162,10 +163,13 @@ def write_verdicts(records: DataFrame, best: DataFrame, folder: str) -> None:
 
 
 def write_run(result: DataFrame, run_id: str, folder: str) -> None:
-    """Keep the result of a run under its id and replace the latest result."""
-    result.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(
-        f"{folder}/runs"
-    )
+    """Keep the result of a run under its id and replace the latest result.
+
+    A run written again replaces its own rows; other runs stay.
+    """
+    result.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("run_id").parquet(f"{folder}/runs")
     write_csv(result, f"{folder}/latest_deduplication_results", "overwrite")
 
 

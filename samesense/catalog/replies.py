@@ -234,17 +234,21 @@ def sv3(spark, sf):
 
 
 LISTING = f"""WITH {DICT}, shown AS (
-  SELECT cluster_id, attribute_name, attribute_definition, min(row_id) AS row_id FROM dict GROUP BY ALL),
+  SELECT cluster_id, attribute_name, attribute_definition, min(row_id) AS row_id, count(*) AS copies FROM dict GROUP BY ALL),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY row_id) AS pos FROM shown),
-listing AS (SELECT cluster_id, count(*) AS n_rows,
-  string_agg(pos || '. Name: ' || attribute_name || ' | Definition: ' || attribute_definition, chr(10) ORDER BY pos) AS listing
-  FROM numbered GROUP BY cluster_id)"""
-PAGE = 2000
+sized AS (SELECT *, count(*) OVER (PARTITION BY cluster_id) AS n FROM numbered),
+halved AS (SELECT *, CAST(ceil(n / {Q.PAGE_ROWS // 2}) AS BIGINT) AS halves, (pos - 1) // {Q.PAGE_ROWS // 2} AS own FROM sized),
+paged AS (SELECT *, unnest(CASE WHEN n <= {Q.PAGE_ROWS} THEN [0::BIGINT]
+    ELSE [least(own, o) * halves + greatest(own, o) FOR o IN range(halves) IF o <> own] END) AS page FROM halved),
+listing AS (SELECT cluster_id, page, CAST(sum(copies) AS BIGINT) AS n_rows,
+  string_agg(pos || '. Name: ' || attribute_name || ' | Definition: ' || attribute_definition
+    || CASE WHEN copies > 1 THEN ' | Rows: ' || copies ELSE '' END, chr(10) ORDER BY pos) AS listing
+  FROM paged GROUP BY cluster_id, page)"""
 
 
-@query("du1_listings", LISTING + " SELECT cluster_id, n_rows, listing FROM listing")
+@query("du1_listings", LISTING + " SELECT cluster_id, page, n_rows, listing FROM listing")
 def du1(spark, sf):
-    return Q.listings(dictionary(spark, sf), PAGE).select("cluster_id", "n_rows", "listing")
+    return Q.listings(dictionary(spark, sf)).select("cluster_id", "page", "n_rows", "listing")
 
 
 @query(
@@ -257,16 +261,16 @@ def du1(spark, sf):
 def du1_pages(spark, sf):
     """Clusters larger than a page: every two half pages share a prompt."""
     return Q.listings(dictionary(spark, sf), 10).groupBy("cluster_id").agg(
-        F.count(F.lit(1)).alias("n_pages"), F.sum("n_rows").alias("n_lines")
+        F.count(F.lit(1)).alias("n_pages"), F.sum("n_lines").alias("n_lines")
     )
 
 
 @query(
     "du2_detect_prompts",
-    LISTING + f" SELECT cluster_id, 'detect_duplicates_cluster_' || cluster_id AS context, {_sql_text(Q.DETECT_HEAD)} || listing || {_sql_text(Q.DETECT_TAIL)} AS prompt FROM listing",
+    LISTING + f" SELECT cluster_id, page, 'detect_duplicates_cluster_' || cluster_id AS context, {_sql_text(Q.DETECT_HEAD)} || listing || {_sql_text(Q.DETECT_TAIL)} AS prompt FROM listing",
 )
 def du2(spark, sf):
-    return Q.detect_prompts(Q.listings(dictionary(spark, sf), PAGE)).select("cluster_id", "context", "prompt")
+    return Q.detect_prompts(Q.listings(dictionary(spark, sf))).select("cluster_id", "page", "context", "prompt")
 
 
 def count_letters(prompts, max_tokens, **_):
@@ -386,9 +390,10 @@ def sv1(spark, sf):
 BEST_PROMPT = f"""WITH {JUDGED}, names AS (SELECT DISTINCT attribute_name || '' AS attribute_name, 'g' || length(attribute_name) AS group_id FROM judged),
 texts AS (SELECT attribute_name, attribute_definition, source = 'existing' AS old, min(row_id) AS row_id FROM judged GROUP BY ALL),
 lines AS (SELECT group_id, row_id, 'Name: ' || attribute_name || CASE WHEN old THEN ' | [EXISTING]' ELSE '' END || ' | Definition: ' || attribute_definition AS line
-  FROM texts JOIN names USING (attribute_name))
-SELECT group_id, {_sql_text(Q.BEST_HEAD + Q.BEST_OLD + chr(10))} || string_agg(line, chr(10) ORDER BY row_id) || {_sql_text(Q.BEST_TAIL)} AS prompt
-FROM lines GROUP BY group_id"""
+  FROM texts JOIN names USING (attribute_name)),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY group_id ORDER BY row_id) - 1) // {Q.PAGE_ROWS} AS page FROM lines)
+SELECT group_id, page, {_sql_text(Q.BEST_HEAD + Q.BEST_OLD + chr(10))} || string_agg(line, chr(10) ORDER BY row_id) || {_sql_text(Q.BEST_TAIL)} AS prompt
+FROM placed GROUP BY group_id, page"""
 
 
 @query("sv2_best_prompts", BEST_PROMPT)
@@ -399,7 +404,7 @@ def sv2(spark, sf):
         "attribute_name",
         F.col("row_id").alias("seq"),
     )
-    return Q.best_prompts(members, rows, incremental=True, page_rows=100_000).select("group_id", "prompt")
+    return Q.best_prompts(members, rows, incremental=True).select("group_id", "page", "prompt")
 
 
 @query(
@@ -450,19 +455,92 @@ def same_first_word(prompts, **_):
     return replies
 
 
-@query(
-    "pi3_detect_by_model",
-    f"""WITH {DICT}, names AS (SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(row_id) AS idx FROM dict GROUP BY ALL),
-    flags AS (SELECT n.*, 'cluster_' || cluster_id || '_' || w AS group_id, f.first_row FROM names n
-      JOIN (SELECT cluster_id, min(row_id) AS first_row FROM dict GROUP BY 1) f USING (cluster_id)
-      WHERE (cluster_id, w) IN (SELECT (cluster_id, w) FROM names GROUP BY cluster_id, w HAVING count(*) > 1)),
-    verdicts AS (SELECT attribute_name, arg_max(group_id, first_row) AS duplicate_group_id FROM flags GROUP BY 1),
-    ranked AS (SELECT g.group_id, d.attribute_name, row_number() OVER (PARTITION BY g.group_id ORDER BY length(d.attribute_definition) DESC, length(d.attribute_name), d.row_id) AS place
-      FROM flags g JOIN dict d USING (attribute_name)),
-    losers AS (SELECT f.attribute_name FROM flags f JOIN ranked r ON r.group_id = f.group_id AND place = 1 WHERE f.attribute_name <> r.attribute_name)
-    SELECT row_id, duplicate_group_id, attribute_name IN (SELECT attribute_name FROM losers) AS should_remove FROM dict LEFT JOIN verdicts USING (attribute_name)""",
-)
+# Names of a cluster with the same first word are one group; groups are numbered by first row.
+BY_MODEL = f"""WITH {DICT}, names AS (
+  SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(row_id) AS node, count(*) AS copies FROM {{rows}} GROUP BY ALL),
+big AS (SELECT cluster_id, w, min(node) AS root FROM names GROUP BY cluster_id, w HAVING {{enough}}),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY root) AS number FROM big),
+flags AS (SELECT n.*, 'cluster_' || n.cluster_id || '_group' || number AS group_id, f.first_row FROM names n
+  JOIN numbered USING (cluster_id, w)
+  JOIN (SELECT cluster_id, min(row_id) AS first_row FROM {{rows}} GROUP BY 1) f ON f.cluster_id = n.cluster_id),
+verdicts AS (SELECT attribute_name, arg_max(group_id, (first_row, node)) AS duplicate_group_id FROM flags GROUP BY 1),
+ranked AS (SELECT g.group_id, d.attribute_name, row_number() OVER (PARTITION BY g.group_id ORDER BY {{order}}) AS place
+  FROM flags g JOIN {{rows}} d USING (attribute_name)),
+losers AS (SELECT f.attribute_name FROM flags f JOIN ranked r ON r.group_id = f.group_id AND place = 1 WHERE f.attribute_name <> r.attribute_name)
+SELECT row_id, duplicate_group_id, attribute_name IN (SELECT attribute_name FROM losers) AS should_remove FROM {{rows}} LEFT JOIN verdicts USING (attribute_name)"""
+BY_RULE_ORDER = "length(d.attribute_definition) DESC, length(d.attribute_name), d.row_id"
+TWO_NAMES = "count(*) > 1"
+
+
+def by_model(spark, rows, **options):
+    found = dedup.detect_duplicates(rows, **{"judge": same_first_word, **options})
+    return R.removal_flag(found).select("row_id", "duplicate_group_id", "should_remove")
+
+
+@query("pi3_detect_by_model", BY_MODEL.format(rows="dict", enough=TWO_NAMES, order=BY_RULE_ORDER))
 def pi3_model(spark, sf):
     """Prompts, a model, its replies, verdicts by name and the rule for survivors."""
-    found = dedup.detect_duplicates(dictionary(spark, sf), judge=same_first_word, page_rows=PAGE)
-    return R.removal_flag(found).select("row_id", "duplicate_group_id", "should_remove")
+    return by_model(spark, dictionary(spark, sf))
+
+
+@query("pi3_detect_by_model_pages", BY_MODEL.format(rows="dict", enough=TWO_NAMES, order=BY_RULE_ORDER))
+def pi3_model_pages(spark, sf):
+    """The same when every cluster takes several pages."""
+    return by_model(spark, dictionary(spark, sf), page_rows=20)
+
+
+def last_shown(prompts, **_):
+    """A chooser that takes the last name listed."""
+    names = [[s.split("Name: ", 1)[1].split(" | ")[0] for s in p.splitlines() if "Name: " in s] for p in prompts]
+    return ['{"best_attribute": "' + n[-1] + '"}' for n in names]
+
+
+@query(
+    "sv3_model_best_pages",
+    f"""WITH {DICT} SELECT 'g' || length(attribute_name) % 7 AS group_id, count(DISTINCT attribute_name) AS n_names, true AS is_member
+        FROM dict GROUP BY 1""",
+)
+def sv3_pages(spark, sf):
+    """Groups over many pages: one winner each, and it is a name of its group."""
+    rows = dictionary(spark, sf)
+    group = F.concat(F.lit("g"), (F.length("attribute_name") % 7).cast("string")).alias("group_id")
+    members = rows.select(group, "attribute_name", F.col("row_id").alias("seq"))
+    best = S.model_best(members, rows, last_shown, page_rows=50)
+    named = members.groupBy("group_id").agg(F.count_distinct("attribute_name").alias("n_names"))
+    own = members.select("group_id", "attribute_name").distinct()
+    won = best.join(own, (own["group_id"] == best["group_id"]) & (own["attribute_name"] == best["best_attribute"]), "left").select(
+        best["group_id"], own["attribute_name"].isNotNull().alias("is_member")
+    )
+    return named.join(won, "group_id")
+
+
+def flags_copies(prompts, **_):
+    """A judge that takes names with the same first word, and rows listed as copies, for duplicates."""
+    replies = []
+    for prompt in prompts:
+        lines = [s.split("Name: ", 1)[1] for s in prompt.splitlines() if ". Name: " in s]
+        names = list(dict.fromkeys(s.split(" | ", 1)[0] for s in lines))
+        firsts = [n.split(" ", 1)[0] for n in names]
+        again = {s.split(" | ", 1)[0] for s in lines if " | Rows: " in s}
+        items = [
+            f'{{"attribute_name": "{n}", "is_duplicate": true, "duplicate_group_id": "{w}"}}'
+            for n, w in zip(names, firsts)
+            if firsts.count(w) > 1 or n in again
+        ]
+        replies.append('{"duplicates": [' + ", ".join(items) + "]}")
+    return replies
+
+
+TWICE = """(SELECT row_id, attribute_name, attribute_definition, row_id // 2 AS cluster_id FROM dict
+  UNION ALL SELECT row_id + 1000000000, attribute_name, attribute_definition, row_id // 2 FROM dict WHERE row_id % 3 = 0)"""
+
+
+@query(
+    "pi3_detect_copies_by_model",
+    BY_MODEL.format(rows=TWICE, enough="sum(copies) > 1 AND (count(*) > 1 OR max(copies) > 1)", order=BY_RULE_ORDER),
+)
+def pi3_copies(spark, sf):
+    """Clusters of very few rows, a third of them there twice: copies alone are a group too."""
+    rows = dictionary(spark, sf).withColumn("cluster_id", F.expr("row_id div 2"))
+    copies = rows.where("row_id % 3 = 0").withColumn("row_id", F.col("row_id") + 1000000000)
+    return by_model(spark, rows.unionByName(copies), judge=flags_copies)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samesense.functions.text import CHARS_PER_TOKEN, context_name
-from samesense.storage import store
+from samesense.storage import discard, store
 
 # Generation defaults and the number of attempts.
 MAX_NEW_TOKENS = 2048
@@ -17,9 +17,32 @@ TEMPERATURE = 0.2
 REPEAT_PENALTY = 1.2
 ATTEMPTS = 3
 
+# Prompts of one task: a lost task repeats no more calls than these.
+TASK_PROMPTS = 256
+
 Generate = Callable[..., list[str]]
 
 
+class PerWorker:
+    """A model that is built where it is used: ``make()`` runs at a task's first prompt.
+
+    ``make`` returns the function that maps prompts to texts; nothing it loads is sent
+    from the driver.
+    """
+
+    def __init__(self, make: Callable[[], Generate]):
+        self.make = make
+        self.loaded: Generate | None = None
+
+    def __getstate__(self):
+        return {"make": self.make, "loaded": None}
+
+    def __call__(self, prompts: list[str], **options) -> list[str]:
+        if self.loaded is None:
+            self.loaded = self.make()
+        return self.loaded(prompts, **options)
+
+
 def _batches(prompts: list[str], batch_prompts: int, batch_tokens: int) -> Iterator[slice]:
     """Runs of prompts bounded in number and in estimated tokens."""
     start, tokens = 0, 0
@@ -117,8 +140,17 @@ def infer(
 
 
 def answered(df: DataFrame, generate: Generate, label: str, **options) -> DataFrame:
-    """``infer``, written to the shared folder: a reply is costly and never the same twice."""
-    return store(infer(df, generate, **options), label)
+    """``infer``, written to the shared folder: a reply is costly and never the same twice.
+
+    The prompts are written first, so that they can be counted: tasks get a bounded number
+    of them, and all slots work if there are few.
+    """
+    prompts = store(df, f"{label}-prompts")
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    options.setdefault("partitions", max(slots, -(-prompts.count() // TASK_PROMPTS)))
+    replies = store(infer(prompts, generate, **options), label)
+    discard(prompts)
+    return replies
 
 
 def reply_archive(replies: DataFrame) -> DataFrame:

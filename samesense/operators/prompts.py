@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from samesense.functions.text import group_label
 from samesense.skew import lookup, positions
 from samesense.storage import store
 
@@ -20,11 +21,11 @@ PAGE_ROWS = 200
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Rows of a cluster with equal name and definition shown once, at their first row.
 
-    Verdicts go by name, so copies share them anyway; a value that fills a third of the
-    table takes one line.
+    A value that fills a third of the table takes one line, which states the number of its
+    ``copies``; they are judged like any other rows.
     """
     return df.groupBy("cluster_id", "attribute_name", "attribute_definition").agg(
-        F.min("row_id").alias("row_id")
+        F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("copies")
     )
 
 
@@ -35,6 +36,7 @@ def _line(number: Column) -> Column:
         F.coalesce("attribute_name", F.lit("nan")),
         F.lit(" | Definition: "),
         F.coalesce("attribute_definition", F.lit("nan")),
+        F.when(F.col("copies") > 1, F.concat(F.lit(" | Rows: "), F.col("copies").cast("string"))).otherwise(""),
     )
 
 
@@ -52,20 +54,25 @@ def _paged(df: DataFrame, page_rows: int) -> DataFrame:
 
 
 def listings(df: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Numbered listing of each cluster: ``cluster_id, page, pages, n_rows, listing``."""
+    """Numbered listing of each cluster: ``cluster_id, page, pages, n_rows, n_lines, attributes, listing``.
+
+    ``n_rows`` counts copies, ``n_lines`` does not; ``attributes`` are the names in order.
+    """
     lines = store(distinct_rows(df), "lines")
     shown = positions(lines, "row_id", ["cluster_id"])
     sizes = lines.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     paged = _paged(lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner"), page_rows)
-    listed = F.sort_array(F.collect_list(F.struct("pos", _line(F.col("pos")).alias("line"))))
+    line = F.struct("pos", _line(F.col("pos")).alias("line"), "attribute_name")
     return (
         paged.groupBy("cluster_id", "page", "pages")
-        .agg(listed.alias("_lines"))
+        .agg(F.sort_array(F.collect_list(line)).alias("_lines"), F.sum("copies").alias("n_rows"))
         .select(
             "cluster_id",
             "page",
             "pages",
-            F.size("_lines").cast("bigint").alias("n_rows"),
+            "n_rows",
+            F.size("_lines").cast("bigint").alias("n_lines"),
+            F.array_distinct("_lines.attribute_name").alias("attributes"),
             F.concat_ws("\n", F.col("_lines.line")).alias("listing"),
         )
     )
@@ -109,7 +116,7 @@ BEST_TAIL = (
 def best_prompts(
     members: DataFrame, rows: DataFrame, incremental: bool = False, page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """Prompt per page of a group: ``group_id, page, pages, names, prompt``.
+    """Prompt per page of a group: ``group_id, page, pages, names, context, prompt``.
 
     ``members``: ``group_id, attribute_name, seq``. Equal rows are shown once.
     """
@@ -152,6 +159,7 @@ def best_prompts(
             "page",
             "pages",
             F.array_distinct(F.transform(by_seq, lambda e: e["a"])).alias("names"),
+            F.concat(F.lit("best_attribute_"), group_label(F.array_distinct("_l.attribute_name"))).alias("context"),
             F.concat(
                 F.lit(BEST_HEAD + (BEST_OLD if incremental else "") + "\n"),
                 F.concat_ws("\n", F.col("_l.line")),

@@ -85,23 +85,37 @@ def model_best(
     page_rows: int = PAGE_ROWS,
     **options,
 ) -> DataFrame:
-    """Best name of each group picked by a model.
+    """Best name of each group picked by a model: ``group_id, best_attribute``.
 
     A group that fills several pages is decided in rounds: the winners of its pages meet
     on the next page. An unusable or failed reply leaves the first name of the group.
     """
-    decided = None
+    return model_choices(members, rows, generate, incremental, page_rows, **options)[0]
+
+
+def model_choices(
+    members: DataFrame,
+    rows: DataFrame,
+    generate: Generate,
+    incremental: bool = False,
+    page_rows: int = PAGE_ROWS,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """``model_best`` and the replies of all rounds."""
+    decided = replies = None
     options = {"on_error": "record", **options}
     while True:
         prompts = best_prompts(members, rows, incremental, page_rows)
-        picks = chosen_best(answered(prompts, generate, "choices", **options))
+        said = answered(prompts, generate, "choices", **options)
+        replies = said if replies is None else replies.unionByName(said)
+        picks = chosen_best(said)
         final = picks.where("pages = 1").select("group_id", "best_attribute")
         decided = final if decided is None else decided.unionByName(final)
         open_ = picks.where("pages > 1").select(
             "group_id", F.col("best_attribute").alias("attribute_name")
         )
         if open_.isEmpty():
-            return decided
+            return decided, replies
         members = lookup(
             members, open_.distinct(), ["group_id", "attribute_name"], ["seq"], "inner"
         )

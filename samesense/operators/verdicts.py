@@ -11,6 +11,7 @@ from samesense.operators.components import components
 from samesense.operators.prompts import PAGE_ROWS
 from samesense.operators.rows import cluster_order
 from samesense.skew import lookup, positions
+from samesense.storage import store
 
 
 def verdict_items(replies: DataFrame) -> DataFrame:
@@ -74,32 +75,47 @@ def flagged_items(items: DataFrame, rows: DataFrame) -> DataFrame:
     )
     placed = lookup(found, order, ["cluster_id"], ["attribute_name", "pos"], "inner")
     page = F.col("page") if "page" in items.columns else F.lit(0).cast("bigint")
+    copies = F.col("copies") if "copies" in items.columns else F.lit(1).cast("bigint")
     return placed.select(
         "attribute_name",
         "cluster_id",
         group_key(F.col("cluster_id"), F.col("duplicate_group_id")).alias("group_id"),
         F.struct("first_row", page.alias("page"), "pos").alias("seq"),
+        copies.alias("copies"),
     )
 
 
 def merge_pages(items: DataFrame, rows: DataFrame) -> DataFrame:
-    """Join up the groups of clusters that were shown on several pages.
+    """Join up the groups of a cluster, on however many pages it was shown.
 
-    A page numbers its groups on its own, and a row is shown on many pages. Groups that
+    A page numbers its groups on its own, and a row may be shown on several. Groups that
     share a name are one group; the groups of a cluster are numbered by their first row.
+    Each name comes once, with its number of rows in the cluster as ``copies``.
     """
-    one = items.where("pages = 1")
-    many = items.where("pages > 1 and is_duplicate")
-    nodes = rows.groupBy("cluster_id", "attribute_name").agg(F.min("row_id").alias("node"))
-    many = many.join(nodes, ["cluster_id", "attribute_name"])
+    nodes = store(
+        rows.groupBy("cluster_id", "attribute_name").agg(
+            F.min("row_id").alias("node"), F.count(F.lit(1)).alias("copies")
+        ),
+        "names",
+    )
+    # a name with many definitions is mentioned once per page and reply
+    flagged = items.where("is_duplicate").select("cluster_id", "page", "duplicate_group_id", "attribute_name").distinct()
+    flagged = store(
+        flagged.join(nodes, ["cluster_id", "attribute_name"]).select("cluster_id", "page", "duplicate_group_id", "node"),
+        "flagged",
+    )
     group = ["cluster_id", "page", "duplicate_group_id"]
-    hub = many.groupBy(*group).agg(F.min("node").alias("hub"))
-    edges = lookup(many, hub, group, ["node"], "inner")
+    hub = flagged.groupBy(*group).agg(F.min("node").alias("hub"))
+    edges = lookup(flagged, hub, group, ["node"], "inner")
     roots = components(edges, "node", "hub")
-    tied = nodes.join(roots, "node")
+    # a name alone in its group is its own root
+    rooted = flagged.select("node").distinct().join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root")
+    )
+    tied = store(nodes.join(rooted, "node"), "tied")
     heads = tied.where("node = root").select("cluster_id", "root")
     numbered = positions(heads, "root", ["cluster_id"], "number").drop("cluster_id")
-    merged = lookup(tied, numbered, ["root"], ["node"], "inner").select(
+    return lookup(tied, numbered, ["root"], ["node"], "inner").select(
         "cluster_id",
         F.lit(0).cast("bigint").alias("page"),
         F.lit(1).cast("bigint").alias("pages"),
@@ -107,8 +123,8 @@ def merge_pages(items: DataFrame, rows: DataFrame) -> DataFrame:
         "attribute_name",
         F.lit(True).alias("is_duplicate"),
         F.concat(F.lit("group"), F.col("number").cast("string")).alias("duplicate_group_id"),
+        "copies",
     )
-    return one.withColumn("pos", F.col("pos").cast("bigint")).unionByName(merged)
 
 
 def name_verdicts(flags: DataFrame) -> DataFrame:
@@ -127,8 +143,8 @@ def apply_by_name(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def group_members(flags: DataFrame) -> DataFrame:
-    """Members of each group in the order given, one row per mention."""
-    return flags.select("group_id", "attribute_name", "seq")
+    """Members of each group in the order given, one row per mention, with its ``copies``."""
+    return flags.select("group_id", "attribute_name", "seq", "copies")
 
 
 def names_per_group(members: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
@@ -147,6 +163,8 @@ def names_per_group(members: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame
 
 
 def shared_groups(members: DataFrame) -> DataFrame:
-    """Members of groups with at least two of them."""
-    sizes = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    """Members of groups with at least two of them; copies of a row count."""
+    mentions = F.sum("copies") if "copies" in members.columns else F.count(F.lit(1))
+    sizes = members.groupBy("group_id").agg(mentions.alias("_n")).where("_n > 1")
+    members = members.drop("copies")
     return lookup(members, sizes.drop("_n"), ["group_id"], ["attribute_name"], "inner")

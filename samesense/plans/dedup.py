@@ -15,10 +15,11 @@ from samesense.operators import prompts as P
 from samesense.operators import rows as R
 from samesense.operators import survivors as S
 from samesense.operators import verdicts as V
-from samesense.operators.model import Generate, answered
+from samesense.operators.model import Generate, answered, reply_archive
 from samesense.operators.report import run_summary
 from samesense.operators.similar import similar_groups
 from samesense.skew import lookup, positions
+from samesense.sources import tables as T
 from samesense.storage import store
 
 THRESHOLD = 0.8
@@ -27,24 +28,33 @@ VERDICTS = ("is_duplicate", "duplicate_group_id", "should_remove", "keep", "clus
 
 @dataclass
 class Run:
-    """``result``: the rows with verdicts; ``blocks``: clusters; ``summary``: one row."""
+    """``result``: the rows with verdicts; ``blocks``: clusters; ``summary``: one row.
+
+    A run with models also hands out what they said: ``replies`` and ``choices`` (prompt,
+    context, response, error), the verdict ``records`` per reply, and the ``best`` name per
+    member of each group.
+    """
 
     result: DataFrame
     blocks: B.Blocks
     summary: DataFrame
+    replies: DataFrame | None = None
+    choices: DataFrame | None = None
+    records: DataFrame | None = None
+    best: DataFrame | None = None
 
-    def metrics(self) -> DataFrame:
-        """Clusters, Euclidean silhouette (null beyond SILHOUETTE_ROWS), and squared one.
+    def metrics(self, euclidean: bool = True) -> DataFrame:
+        """Clusters, inertia, and the silhouette on distances and on squared ones.
 
-        The Euclidean figure needs all distances, so large runs report the linear
-        squared-distance figure only, under its own name.
+        The Euclidean figure compares all rows with all rows, the squared one is linear.
+        With ``euclidean=False`` the first is null, at any size.
         """
         rows, k = self.blocks.rows, self.blocks.n_clusters
         score = rows.sparkSession.range(1).select(F.lit(None).cast("double").alias("silhouette_score"))
         squared = None
         if k > 1 and self.blocks.n_rows > k:
             squared = B.silhouette_squared(rows, "embedding")
-            if self.blocks.n_rows <= B.SILHOUETTE_ROWS:
+            if euclidean:
                 score = B.silhouette(rows, "embedding")
         return score.select(
             F.lit(k).cast("bigint").alias("n_clusters"),
@@ -54,15 +64,25 @@ class Run:
         )
 
 
+@dataclass
+class Judged:
+    """Rows with verdicts, and what the models said on the way."""
+
+    rows: DataFrame
+    replies: DataFrame | None = None
+    choices: DataFrame | None = None
+    best: DataFrame | None = None
+
+
 def _choose(
     members: DataFrame,
     rows: DataFrame,
     survivor: Generate | None,
     incremental: bool,
     page_rows: int,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """Best name per group; a group with an existing row never reaches the model."""
-    old = None
+    old = replies = None
     if incremental:
         old = S.existing_best(members, rows)
         known = old.select("group_id", F.lit(True).alias("_old"))
@@ -71,8 +91,8 @@ def _choose(
     if survivor is None:
         best = S.rule_best(members, rows)
     else:
-        best = S.model_best(members, rows, survivor, incremental, page_rows)
-    return best if old is None else old.unionByName(best)
+        best, replies = S.model_choices(members, rows, survivor, incremental, page_rows)
+    return best if old is None else old.unionByName(best), replies
 
 
 def number_groups(groups: DataFrame, rows: DataFrame) -> DataFrame:
@@ -96,12 +116,13 @@ def _by_similarity(
     incremental: bool,
     drop_same_name: bool,
     page_rows: int,
-) -> DataFrame:
+) -> Judged:
     """Verdicts by row: rows of a block connected by similar vectors are one group."""
     groups = store(similar_groups(rows, "cluster_id", vector, threshold), "connected")
     plain = rows.drop(vector)
     named = store(number_groups(groups, plain), "groups")
     grouped = plain.join(named, "row_id")
+    choices = None
     if survivor is None:
         age, seen = S.age_of(grouped) if incremental else (F.lit(1), F.lit(0.0))
         is_old = age == 0
@@ -121,7 +142,7 @@ def _by_similarity(
         )
     else:
         members = grouped.select("group_id", "attribute_name", F.col("row_id").alias("seq"))
-        names = _choose(members, grouped, survivor, incremental, page_rows)
+        names, choices = _choose(members, grouped, survivor, incremental, page_rows)
         stays = lookup(grouped, names, ["group_id"], ["row_id"], "inner").where(
             "attribute_name <=> best_attribute"
         )
@@ -137,11 +158,13 @@ def _by_similarity(
     verdict = judged.select(
         "row_id", F.col("group_id").alias("duplicate_group_id"), stays.alias("keep")
     )
-    return (
+    done = (
         R.attach(plain, verdict)
         .withColumn("is_duplicate", F.col("duplicate_group_id").isNotNull())
         .withColumn("keep", F.coalesce("keep", F.lit(True)))
     )
+    shown = judged.select("group_id", "attribute_name", F.col("_best").alias("best_attribute"))
+    return Judged(done, None, choices, shown)
 
 
 def _by_model(
@@ -149,15 +172,46 @@ def _by_model(
     judge: Generate,
     survivor: Generate | None,
     incremental: bool,
+    drop_same_name: bool,
     page_rows: int,
-) -> DataFrame:
-    """Verdicts by name: a model reads the listing of each block."""
+) -> Judged:
+    """Verdicts by name: a model reads the listing of each block.
+
+    A prompt that fails to the last attempt is recorded, and its rows count as different.
+    """
     listed = P.listings(R.in_shared_clusters(rows), page_rows).where("n_rows > 1")
-    replies = answered(P.detect_prompts(listed), judge, "replies")
-    items = V.verdict_items(replies)
-    if not replies.where("pages > 1").isEmpty():
-        items = V.merge_pages(items, rows)
-    return verdicts_from_items(items, rows, survivor, incremental, page_rows)
+    replies = answered(P.detect_prompts(listed), judge, "replies", on_error="record")
+    items = store(V.verdict_items(replies), "items")
+    merged = store(V.merge_pages(items, rows), "merged")
+    judged = _from_items(merged, rows, survivor, incremental, drop_same_name, page_rows)
+    judged.replies = replies
+    return judged
+
+
+def _from_items(
+    items: DataFrame,
+    rows: DataFrame,
+    survivor: Generate | None,
+    incremental: bool,
+    drop_same_name: bool,
+    page_rows: int,
+) -> Judged:
+    flags = store(V.flagged_items(items, rows), "flags")
+    shared = store(V.shared_groups(V.group_members(flags)), "shared")
+    best, choices = _choose(shared, rows, survivor, incremental, page_rows)
+    best = store(best, "best")
+    judged = V.apply_by_name(rows, V.name_verdicts(flags))
+    marked = S.mark_losers(judged, S.losing_names(shared, best))
+    if drop_same_name:
+        # of the rows that carry a winning name the first one stays
+        winners = best.select(F.col("best_attribute").alias("attribute_name")).distinct()
+        first = lookup(rows, winners, ["attribute_name"], ["row_id"], "left_semi").groupBy("attribute_name").agg(
+            F.min("row_id").alias("_stays")
+        )
+        marked = lookup(marked, first, ["attribute_name"], ["row_id"]).withColumn(
+            "keep", F.col("keep") & (F.col("_stays").isNull() | (F.col("row_id") == F.col("_stays")))
+        ).drop("_stays")
+    return Judged(marked, None, choices, S.best_records(shared, best))
 
 
 def verdicts_from_items(
@@ -166,16 +220,13 @@ def verdicts_from_items(
     survivor: Generate | None = None,
     incremental: bool = False,
     page_rows: int = P.PAGE_ROWS,
+    drop_same_name: bool = False,
 ) -> DataFrame:
     """Apply verdict items to the rows by name and choose the survivors."""
-    flags = store(V.flagged_items(items, rows), "flags")
-    shared = V.shared_groups(V.group_members(flags))
-    best = _choose(shared, rows, survivor, incremental, page_rows)
-    judged = V.apply_by_name(rows, V.name_verdicts(flags))
-    return S.mark_losers(judged, S.losing_names(shared, best))
+    return _from_items(items, rows, survivor, incremental, drop_same_name, page_rows).rows
 
 
-def detect_duplicates(
+def judge_rows(
     clustered: DataFrame,
     judge: Generate | None = None,
     survivor: Generate | None = None,
@@ -185,18 +236,29 @@ def detect_duplicates(
     incremental: bool = False,
     drop_same_name: bool = False,
     page_rows: int = P.PAGE_ROWS,
+) -> Judged:
+    """``detect_duplicates`` with the models' replies and the best names."""
+    rows = clustered.drop("is_duplicate", "duplicate_group_id", "keep", "should_remove")
+    if judge is None:
+        return _by_similarity(
+            rows, vector, threshold, survivor, incremental, drop_same_name, page_rows
+        )
+    return _by_model(rows.drop(vector), judge, survivor, incremental, drop_same_name, page_rows)
+
+
+def detect_duplicates(
+    clustered: DataFrame,
+    judge: Generate | None = None,
+    survivor: Generate | None = None,
+    **options,
 ) -> DataFrame:
     """Judge rows that carry ``cluster_id``: adds ``is_duplicate, duplicate_group_id, keep``.
 
     Without ``judge`` rows are compared by the cosine of ``vector``; with it, the model's
     replies are parsed and applied by name. Without ``survivor`` a rule picks who stays.
+    Options are those of ``judge_rows``.
     """
-    rows = clustered.drop("is_duplicate", "duplicate_group_id", "keep", "should_remove")
-    if judge is None:
-        return _by_similarity(
-            rows, vector, threshold, survivor, incremental, drop_same_name, page_rows
-        )
-    return _by_model(rows.drop(vector), judge, survivor, incremental, page_rows)
+    return judge_rows(clustered, judge, survivor, **options).rows
 
 
 def deduplicate(
@@ -214,11 +276,13 @@ def deduplicate(
     drop_same_name: bool = False,
     page_rows: int = P.PAGE_ROWS,
     partitions: int | None = None,
+    vectors: DataFrame | None = None,
 ) -> Run:
     """Find duplicates in ``row_id, attribute_name, attribute_definition`` rows.
 
     ``partitions`` deals the rows out before they are embedded, for tables that are
-    small in bytes but much work for the encoder.
+    small in bytes but much work for the encoder. Rows whose ``row_id`` is in ``vectors``
+    (``row_id, embedding``, as an earlier run wrote them) are not embedded again.
     """
     if incremental and "source" not in df.columns:
         raise ValueError("an incremental run needs earlier results; see deduplicate_incremental")
@@ -226,13 +290,21 @@ def deduplicate(
     if "source" not in rows.columns:
         rows = R.tag(rows, R.NEW, R.FIRST_ROUND)
     text = E.with_text(rows if partitions is None else rows.repartition(partitions))
-    vectors = E.embed_hashed(text) if make_encoder is None else E.embed(text, make_encoder)
-    embedded = store(vectors.drop("text"), "embedded")
+    encode = E.embed_hashed if make_encoder is None else (lambda df: E.embed(df, make_encoder))
+    if vectors is None:
+        embedded = encode(text)
+    else:
+        stored = vectors.select("row_id", F.col("embedding").cast("array<float>").alias("embedding"))
+        known = text.join(stored, "row_id").select(*text.columns, "embedding")
+        embedded = known.unionByName(
+            encode(text.join(stored.select("row_id"), "row_id", "left_anti").select(*text.columns))
+        )
+    embedded = store(embedded.drop("text"), "embedded")
     fitted = B.fit_blocks(
         embedded, "embedding", max_cluster_size, max_clusters, seed, starts
     )
     fitted.rows = store(fitted.rows, "clustered")
-    judged = detect_duplicates(
+    judged = judge_rows(
         fitted.rows,
         judge,
         survivor,
@@ -241,8 +313,43 @@ def deduplicate(
         drop_same_name=drop_same_name,
         page_rows=page_rows,
     )
-    result = store(R.removal_flag(judged), "result")
-    return Run(result, fitted, run_summary(result))
+    result = store(R.removal_flag(judged.rows), "result")
+    summary, records = run_summary(result), None
+    if judged.replies is not None:
+        records = V.verdict_records(judged.replies)
+        failed = judged.replies.agg(F.count_if(F.col("error").isNotNull())).scalar()
+        summary = summary.withColumn("failed_prompts", failed)
+    return Run(result, fitted, summary, judged.replies, judged.choices, records, judged.best)
+
+
+def write_all(
+    run: Run,
+    folder: str,
+    run_id: str,
+    input_file: str,
+    *,
+    incremental: bool = False,
+    previous_results: str | None = None,
+    config: dict[str, str] | None = None,
+    seconds: float = 0.0,
+    euclidean: bool = True,
+) -> None:
+    """Write everything a run leaves behind under ``folder``."""
+    blocks = run.blocks
+    T.write_embeddings(blocks.rows, f"{folder}/embeddings")
+    sizes = B.cluster_sizes(blocks.rows, blocks.n_clusters)
+    T.write_blocks(blocks.rows.drop("embedding"), sizes, run.metrics(euclidean), folder)
+    if run.records is not None:
+        records = run.records.select("cluster_id", "page", "attributes", "duplicates", "duplicate_groups")
+        T.write_verdicts(records, run.best, folder)
+    for name, said in (("detect_replies", run.replies), ("best_replies", run.choices)):
+        if said is not None:
+            T.write_parquet(reply_archive(said), f"{folder}/{name}")
+    T.write_run(run.result, run_id, folder)
+    metadata = T.run_metadata(
+        run.summary, run_id, input_file, incremental, previous_results, config or {}, seconds
+    )
+    T.write_metadata(metadata, folder)
 
 
 def prepare_previous(result: DataFrame, layout: str = "latest") -> DataFrame:

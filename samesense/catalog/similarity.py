@@ -168,16 +168,24 @@ def cl3(spark, sf):
     )
 
 
-@query(
-    "cl4_attach_clusters",
-    "SELECT vec_id AS row_id, true AS in_range, CAST(1 AS BIGINT) AS n_clusters FROM embeddings",
-)
+@query("cl4_attach_clusters", "SELECT vec_id AS row_id, true AS at_nearest FROM embeddings")
 def cl4(spark, sf):
+    """Every row has one cluster, and its center is the nearest, worked out in columns."""
     fitted = B.fit_blocks(store(vectors(spark, sf).drop("cluster_id"), "vectors"))
-    return fitted.rows.groupBy("row_id").agg(
-        F.bool_and(F.col("cluster_id").between(0, fitted.n_clusters - 1)).alias("in_range"),
-        F.count_distinct("cluster_id").alias("n_clusters"),
+    gap = lambda x, c: (x.cast("double") - c) * (x.cast("double") - c)
+    far = F.aggregate(F.zip_with("embedding", "center", gap), F.lit(0.0), lambda total, x: total + x)
+    # at most twenty centers
+    listed = fitted.centers.collect()
+    every = F.explode(
+        F.array(*[F.struct(F.lit(r["cluster_id"]).alias("cluster_id"), F.lit(r["center"]).alias("center")) for r in listed])
+    )
+    met = fitted.rows.select("row_id", F.col("cluster_id").alias("own"), "embedding", every.alias("c")).select(
+        "row_id", "own", "embedding", "c.cluster_id", "c.center"
+    )
+    per_row = met.groupBy("row_id", "own").agg(
+        F.min(far).alias("least"), F.max(F.when(F.col("own") == F.col("cluster_id"), far)).alias("ours")
     )
+    return per_row.select("row_id", (F.col("ours") <= F.col("least") + 1e-9).alias("at_nearest"))
 
 
 @query(
@@ -455,6 +463,80 @@ def pi1_summary(spark, sf):
     )
 
 
+def around(table: str, start: str) -> str:
+    """CTEs after ``hashed``: rows placed at the nearest of twenty centers, and their groups."""
+    return f""", dims AS (
+      SELECT {start} AS c, generate_subscripts(v, 1) AS dim, CAST(unnest(v) AS DOUBLE) AS x FROM hashed),
+    centers AS (SELECT c, list(m ORDER BY dim) AS center FROM (SELECT c, dim, avg(x) AS m FROM dims GROUP BY ALL) GROUP BY c),
+    near AS (SELECT row_id, arg_min(c, list_distance(CAST(v AS DOUBLE[]), center)) AS cluster_id FROM hashed CROSS JOIN centers GROUP BY row_id),
+    placed AS (SELECT h.*, CAST(cluster_id AS INTEGER) AS cluster_id FROM hashed h JOIN near USING (row_id)), {groups_sql('placed', 'cluster_id', 0.9)},
+    named AS (SELECT g.row_id, g.root, 'cluster_' || p.cluster_id || '_group' || dense_rank() OVER (PARTITION BY p.cluster_id ORDER BY root) AS gid
+      FROM groups g JOIN placed p USING (row_id)), """
+
+
+def label_centers(embedded, label):
+    return B.centers_of(embedded.withColumn("cluster_id", label.cast("int")), "embedding")
+
+
+@query(
+    "pi1_deduplicate_given_centers",
+    f"WITH RECURSIVE {DICT}, texts AS (SELECT *, cluster_id AS size, attribute_name || ': ' || attribute_definition AS text FROM dict), "
+    + hashed_sql("texts", "row_id", "text", ", size, attribute_name, attribute_definition")
+    + around("hashed", "size % 20")
+    + """ranked AS (SELECT n.gid, p.attribute_name, row_number() OVER (PARTITION BY n.gid ORDER BY
+        length(attribute_definition) DESC, length(attribute_name), row_id) AS place FROM named n JOIN placed p USING (row_id)),
+    best AS (SELECT gid, attribute_name AS best FROM ranked WHERE place = 1)
+    SELECT p.row_id, p.attribute_name, p.cluster_id, n.gid IS NOT NULL AS is_duplicate, n.gid AS duplicate_group_id,
+           coalesce(b.best <> p.attribute_name, false) AS should_remove
+    FROM placed p LEFT JOIN named n USING (row_id) LEFT JOIN best b ON b.gid = n.gid""",
+)
+def pi1_given(spark, sf):
+    """A full run around given centers: everything but the fit can be said in SQL."""
+    rows = dictionary(spark, sf)
+    embedded = E.embed_hashed(E.with_text(rows))
+    run = dedup.deduplicate(
+        rows.drop("cluster_id"), threshold=0.9, centers=store(label_centers(embedded, F.col("cluster_id") % 20), "centers")
+    )
+    return run.result.select(
+        "row_id", "attribute_name", "cluster_id", "is_duplicate", "duplicate_group_id", "should_remove"
+    )
+
+
+@query(
+    "pi2_incremental_given_centers",
+    f"""WITH RECURSIVE {JUDGED},
+    bounds AS (SELECT max(row_id) FILTER (NOT should_remove AND row_id % 2 = 0) + 1 AS after,
+                      min(row_id) FILTER (row_id % 2 <> 0) AS low FROM judged),
+    united AS (
+      SELECT row_id, attribute_name, attribute_definition, 'existing' AS source, TRY_CAST(first_seen_in_round AS DOUBLE) AS seen
+      FROM judged WHERE row_id % 2 = 0 AND NOT should_remove
+      UNION ALL
+      SELECT row_id - low + after, attribute_name, attribute_definition, 'new', 2.0 FROM judged, bounds WHERE row_id % 2 <> 0),
+    texts AS (SELECT *, attribute_name || ': ' || attribute_definition AS text FROM united),
+    """ + hashed_sql("texts", "row_id", "text", ", attribute_name, attribute_definition, source, seen")
+    + around("hashed", "length(attribute_name) % 20")
+    + """ranked AS (SELECT n.gid, p.attribute_name, row_number() OVER (PARTITION BY n.gid ORDER BY
+        CASE WHEN source = 'existing' THEN 0 ELSE 1 END,
+        CASE WHEN source = 'existing' THEN coalesce(seen, 1e300) END,
+        CASE WHEN source = 'new' THEN -length(attribute_definition) END,
+        CASE WHEN source = 'new' THEN length(attribute_name) END, row_id) AS place FROM named n JOIN placed p USING (row_id)),
+    best AS (SELECT gid, attribute_name AS best FROM ranked WHERE place = 1)
+    SELECT p.row_id, p.source, p.cluster_id, n.gid IS NOT NULL AS is_duplicate, n.gid AS duplicate_group_id,
+           coalesce(b.best <> p.attribute_name, false) AS should_remove
+    FROM placed p LEFT JOIN named n USING (row_id) LEFT JOIN best b ON b.gid = n.gid""",
+)
+def pi2_given(spark, sf):
+    """A full incremental run around given centers."""
+    rows = judged(spark, sf).drop("cluster_id")
+    old = rows.where("row_id % 2 = 0")
+    batch = rows.where("row_id % 2 <> 0").select("row_id", "attribute_name", "attribute_definition")
+    united = R.combine(dedup.prepare_previous(old), R.tag(batch, R.NEW, R.SECOND_ROUND))
+    embedded = E.embed_hashed(E.with_text(united))
+    centers = store(label_centers(embedded, F.length("attribute_name") % 20), "centers")
+    run = dedup.deduplicate_incremental(old, batch, threshold=0.9, centers=centers)
+    return run.result.select("row_id", "source", "cluster_id", "is_duplicate", "duplicate_group_id", "should_remove")
+
+
 @query("pi2_deduplicate_incremental")
 def pi2(spark, sf):
     """A full incremental run, k-means blocks included."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from samesense.skew import lookup
+from samesense.storage import store
 
 # Defaults of the blocking step.
 MAX_CLUSTER_SIZE = 10
@@ -63,7 +64,9 @@ def fit_blocks(
 ) -> Blocks:
     """K-means blocks: the best of ``starts`` fits. ``df`` should be a stored table.
 
-    Labels are attached by the model's own transform, row by row, so no join is needed.
+    All starts move in the same passes: a pass over the vectors hands on one sum per task,
+    start and cluster, and starts that have settled drop out. Starting centers are drawn
+    from a bounded sample chosen by a hash. Labels are attached row by row, without a join.
     """
     spark = df.sparkSession
     n, k = df.agg(
@@ -103,6 +106,14 @@ def fit_blocks(
     return Blocks(_labelled(df, vector, tried[best]), centers, k, n, float(costs[best]))
 
 
+def given_blocks(df: DataFrame, vector: str, centers: DataFrame) -> Blocks:
+    """Blocks around given centers instead of fitted ones."""
+    near = store(assign_nearest(df, centers, vector), "nearest")
+    n, cost = near.agg(F.count(F.lit(1)), F.sum(F.pow("distance", F.lit(2)))).first()
+    rows = df.join(near.select("row_id", "cluster_id"), "row_id").select(*df.columns, "cluster_id")
+    return Blocks(rows, centers, centers.count(), n, cost)
+
+
 def _spread_out(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """Starting centers: each next one is drawn in proportion to its squared distance."""
     chosen = [points[rng.integers(len(points))]]

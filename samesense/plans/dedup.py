@@ -277,12 +277,15 @@ def deduplicate(
     page_rows: int = P.PAGE_ROWS,
     partitions: int | None = None,
     vectors: DataFrame | None = None,
+    centers: DataFrame | None = None,
 ) -> Run:
     """Find duplicates in ``row_id, attribute_name, attribute_definition`` rows.
 
     ``partitions`` deals the rows out before they are embedded, for tables that are
     small in bytes but much work for the encoder. Rows whose ``row_id`` is in ``vectors``
     (``row_id, embedding``, as an earlier run wrote them) are not embedded again.
+    With ``centers`` (``cluster_id, center``) each row goes to the nearest of them, and no
+    k-means is fitted.
     """
     if incremental and "source" not in df.columns:
         raise ValueError("an incremental run needs earlier results; see deduplicate_incremental")
@@ -300,9 +303,10 @@ def deduplicate(
             encode(text.join(stored.select("row_id"), "row_id", "left_anti").select(*text.columns))
         )
     embedded = store(embedded.drop("text"), "embedded")
-    fitted = B.fit_blocks(
-        embedded, "embedding", max_cluster_size, max_clusters, seed, starts
-    )
+    if centers is None:
+        fitted = B.fit_blocks(embedded, "embedding", max_cluster_size, max_clusters, seed, starts)
+    else:
+        fitted = B.given_blocks(embedded, "embedding", centers)
     fitted.rows = store(fitted.rows, "clustered")
     judged = judge_rows(
         fitted.rows,

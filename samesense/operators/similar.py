@@ -15,6 +15,8 @@ but a thin set of edges with the same connected components:
    ``radius`` to an earlier anchor are dropped. Rows within half a radius of their anchor
    are all alike by the triangle inequality: one edge to the anchor each, and they are
    never compared with each other. What is left is compared in tiles of bounded size.
+   Cells hold ids; vectors join them once, after it is known what each plan would copy. A
+   block without structure, in which rows visit most cells, is compared tile by tile uncut.
 
 No step samples, cuts off or approximates; anchors only decide who meets whom.
 """
@@ -39,6 +41,10 @@ MAX_ANCHORS = 512
 # A cell with more tiles than this is cut again, at most so many times.
 CELL_TILES = 32
 MAX_LEVELS = 5
+# Foreign cells a row of a slice visits on average before its block is left uncut.
+MAX_VISITS = 32
+UNCUT = 3
+PLACE_ROWS = 4096
 # Slack for rounding in the distance bounds; it only lets a few more rows visit.
 SLACK = 1e-6
 
@@ -122,16 +128,14 @@ def _compare_units(threshold: float):
     return run
 
 
-def _place(radius: float):
+def _place(radius: float, max_visits: int):
     """Home cell and visited cells of the rows of one slice of a large block."""
 
     def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         n = rows.num_rows
         ids = rows["row_id"].to_numpy()
         if n == 0 or anchors.num_rows == 0:
-            cell = np.zeros(n, np.int64)
-            role = np.zeros(n, np.int32)
-            return _placed(rows, ids, cell, role, ids, np.arange(n))
+            return _placed(rows, ids, np.zeros(n, np.int64), np.zeros(n, np.int32), ids, np.arange(n))
         anchors = anchors.sort_by([("row_id", "ascending")])
         points = _matrix(anchors["unit"], anchors.num_rows)
         kept: list[int] = []
@@ -142,24 +146,28 @@ def _place(radius: float):
                 kept.append(i)
         points = points[kept]
         anchor_ids = anchors["row_id"].to_numpy()[kept]
-        vectors = _matrix(rows["unit"], n)
-        squared = np.maximum(0.0, 2.0 - 2.0 * (vectors @ points.T))
-        home = squared.argmin(axis=1)
-        own = squared[np.arange(n), home]
         gaps = np.linalg.norm(points[:, None, :] - points[None, :, :], axis=2)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (squared - own[:, None]) / (2.0 * gaps[home])
-        # each pair across two cells meets in the one with the higher anchor number
-        later = np.arange(len(points))[None, :] > home[:, None]
-        row, cell = np.nonzero(later & (plane <= radius + SLACK))
-        core = np.sqrt(own) <= radius / 2.0 - SLACK
-        # role 0: home, to be compared; 1: home, within half a radius; 2: visitor
-        role = np.r_[core.astype(np.int32), np.full(row.size, 2, np.int32)]
-        take = np.r_[np.arange(n), row]
-        cells = np.r_[home, cell]
-        return _placed(
-            rows, ids[take], cells.astype(np.int64), role, anchor_ids[cells], take
-        )
+        parts, visits = [], 0
+        for low in range(0, n, PLACE_ROWS):
+            vectors = _matrix(rows.slice(low, PLACE_ROWS)["unit"], min(PLACE_ROWS, n - low))
+            squared = np.maximum(0.0, 2.0 - 2.0 * (vectors @ points.T))
+            home = squared.argmin(axis=1)
+            own = squared[np.arange(len(home)), home]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = (squared - own[:, None]) / (2.0 * gaps[home])
+            # each pair across two cells meets in the one with the higher anchor number
+            later = np.arange(len(points))[None, :] > home[:, None]
+            row, cell = np.nonzero(later & (plane <= radius + SLACK))
+            core = np.sqrt(own) <= radius / 2.0 - SLACK
+            visits += row.size
+            if visits > max_visits * n:
+                # cutting does not pay here: say so, in one row per row
+                return _placed(rows, ids, np.zeros(n, np.int64), np.full(n, UNCUT, np.int32), ids, np.arange(n))
+            # role 0: home, to be compared; 1: home, within half a radius; 2: visitor
+            role = np.r_[core.astype(np.int32), np.full(row.size, 2, np.int32)]
+            parts.append((np.r_[home, cell], role, low + np.r_[np.arange(len(home)), row]))
+        cells, role, take = (np.concatenate([part[i] for part in parts]) for i in range(3))
+        return _placed(rows, ids[take], cells.astype(np.int64), role, anchor_ids[cells], take)
 
     return run
 
@@ -174,7 +182,6 @@ def _placed(rows, ids, cell, role, anchor, take) -> pa.Table:
             "cell": pa.array(cell, pa.int64()),
             "role": pa.array(role, pa.int32()),
             "anchor": pa.array(anchor, pa.int64()),
-            "unit": rows["unit"].take(index),
         }
     )
 
@@ -185,11 +192,13 @@ def place_in_cells(
     tile_rows: int = TILE_ROWS,
     slice_rows: int = SLICE_ROWS,
     max_anchors: int = MAX_ANCHORS,
+    max_visits: int = MAX_VISITS,
 ) -> DataFrame:
     """Candidate cells of the rows of large blocks: who may have to meet whom.
 
-    ``large``: ``block, size, row_id, unit`` with the size of the block. The result has
-    one home row per input row and one row per foreign cell it visits.
+    ``large``: ``block, size, row_id, unit`` with the size of the block. The result holds
+    ids: one home row per input row and one row per foreign cell it visits. A slice whose
+    rows would visit more than ``max_visits`` cells on average has role ``UNCUT`` instead.
     """
     radius = _radius(threshold)
     slices = F.ceil(F.col("size") / F.lit(slice_rows)).cast("int")
@@ -215,9 +224,8 @@ def place_in_cells(
         rows.groupBy("block", "slice")
         .cogroup(anchors.groupBy("block", "slice"))
         .applyInArrow(
-            _place(radius),
-            f"block {block_type}, size bigint, row_id bigint, cell bigint, role int, "
-            "anchor bigint, unit array<double>",
+            _place(radius, max_visits),
+            f"block {block_type}, size bigint, row_id bigint, cell bigint, role int, anchor bigint",
         )
     )
 
@@ -285,44 +293,71 @@ def large_block_edges(
     tile_rows: int = TILE_ROWS,
     cell_tiles: int = CELL_TILES,
     max_levels: int = MAX_LEVELS,
-    known_rows: int | None = None,
 ) -> DataFrame:
     """Edges of large blocks, which are cut into cells again and again.
 
-    A cell that still holds more than ``cell_tiles`` tiles of rows to compare becomes a
-    block of its own as long as cutting pays, that is, halves the block; a cell without
-    structure, in which everything visits everything, is compared in tiles.
+    Who goes where is worked out with ids alone and counted. A block whose cells would copy
+    more vectors than its tiles is compared tile by tile, uncut. A cell that still holds
+    more than ``cell_tiles`` tiles of rows to compare becomes a block of its own as long as
+    that halves the block.
     """
     edges = None
     for level in range(max_levels):
         placed = store(place_in_cells(large, threshold, tile_rows), "placed")
-        counts = placed.groupBy("block", "cell").agg(
-            *[F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, 1, 2)]
+        by_role = [F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, 1, 2)]
+        counts = store(
+            placed.groupBy("block", "cell").agg(*by_role, F.max("role").alias("worst"), F.max("size").alias("size")),
+            "cells",
         )
-        counted = lookup(
-            placed,
-            counts,
-            ["block", "cell"],
-            ["row_id"],
-            "inner",
-            known_rows=known_rows if level == 0 else None,
+        tiles = [F.ceil(F.col(f"n{role}") / F.lit(tile_rows)) for role in (0, 1, 2)]
+        copies = F.col("n0") * (tiles[0] + tiles[1] + tiles[2]) + F.col("n1") * (tiles[0] + tiles[2])
+        copies = copies + F.col("n2") * (tiles[0] + tiles[1])
+        # per block: vectors that its cells would copy, against those of its tiles uncut
+        uncut = counts.groupBy("block").agg(
+            (
+                (F.max("worst") == UNCUT)
+                | (F.sum(copies) >= F.max("size") * F.ceil(F.max("size") / F.lit(tile_rows)))
+            ).alias("uncut")
         )
         rows = F.col("n0") + F.col("n1") + F.col("n2")
         again = (F.col("n0") + F.col("n2") > cell_tiles * tile_rows) & (rows * 2 <= F.col("size"))
-        if level == max_levels - 1:
-            again = F.lit(False)
-        alike = placed.where("role = 1 and row_id <> anchor").select(
+        again = ~F.col("uncut") & again if level < max_levels - 1 else F.lit(False)
+        cells = counts.join(uncut, "block").select(
+            "block", "cell", "n0", "n1", "n2", "uncut", again.alias("again"), rows.alias("rows")
+        )
+        cells = store(cells, "cells")
+        total = placed.count()
+        sized = lookup(placed.drop("size"), cells, ["block", "cell"], ["row_id"], "inner", known_rows=total)
+        # vectors come in here, once, when it is known who goes where
+        known = large.select(F.col("block"), F.col("row_id"), F.col("size"), F.col("unit"))
+        whole = (
+            sized.where("uncut and role <> 2")
+            .join(known, ["block", "row_id"])
+            .select(
+                "block",
+                F.lit(0).cast("bigint").alias("cell"),
+                "row_id",
+                F.lit(0).alias("role"),
+                "unit",
+                F.col("size").alias("n0"),
+                F.lit(0).cast("bigint").alias("n1"),
+                F.lit(0).cast("bigint").alias("n2"),
+            )
+        )
+        cut = sized.where("not uncut").join(known.drop("size"), ["block", "row_id"])
+        here = cut.where("not again").select(*whole.columns).unionByName(whole)
+        alike = sized.where("role = 1 and row_id <> anchor").select(
             "row_id", F.col("anchor").alias("root")
         )
-        found = alike.unionByName(compare_cells(counted.where(~again), threshold, tile_rows))
+        found = alike.unionByName(compare_cells(here, threshold, tile_rows))
         edges = found if edges is None else edges.unionByName(found)
-        if level == max_levels - 1 or counted.where(again).isEmpty():
+        if cells.where("again").isEmpty():
             return edges
-        large = counted.where(again).select(
-            F.concat_ws("/", "block", "cell").alias("block"),
-            rows.alias("size"),
-            "row_id",
-            "unit",
+        large = store(
+            cut.where("again").select(
+                F.concat_ws("/", "block", "cell").alias("block"), F.col("rows").alias("size"), "row_id", "unit"
+            ),
+            "recut",
         )
     return edges
 
@@ -375,7 +410,7 @@ def similar_groups(
     )
     if totals["l"]:
         large = flagged.where("size is not null").withColumn("block", F.col("block").cast("string"))
-        edges = store(large_block_edges(large, threshold, tile_rows, known_rows=total), "alike")
+        edges = store(large_block_edges(store(large, "large"), threshold, tile_rows), "alike")
         found = found.unionByName(
             components(edges, "row_id", "root").select(F.col("node").alias("row_id"), "root")
         )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from samesense.operators import similar
 from samesense.operators.components import components
-from samesense.operators.similar import large_block_edges, similar_groups
+from samesense.operators.similar import large_block_edges, place_in_cells, similar_groups
 
 
 def roots_of(nodes, edges):
@@ -108,3 +108,19 @@ def test_components_of_a_long_path(spark):
     got = components(shuffled, "a", "b").collect()
     assert len(got) == 301
     assert len({r.root for r in got}) == 1
+
+
+def test_blocks_without_structure_stay_uncut(spark):
+    """Random unit vectors, some with a twin: placing copies no vector and is bounded, groups are exact."""
+    rng = np.random.default_rng(6)
+    points = rng.standard_normal((1500, 48))
+    points[1450:] = points[:50] + 0.01 * rng.standard_normal((50, 48))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    rows = spark.createDataFrame(
+        [("b", 1500, i, [float(x) for x in p]) for i, p in enumerate(points)],
+        "block string, size bigint, row_id bigint, unit array<double>",
+    )
+    placed = place_in_cells(rows, 0.9, tile_rows=64, max_visits=4)
+    assert "unit" not in placed.columns and placed.count() <= 1500 * 5
+    found = {(r.node, r.root) for r in components(large_block_edges(rows, 0.9, tile_rows=64), "row_id", "root").collect()}
+    assert found == {(i, i) for i in range(50)} | {(1450 + i, i) for i in range(50)}

@@ -9,11 +9,15 @@ that cannot are known, so equal windows hold the same interior symbols.
 
 Each window is marked with a long one of its interior symbols. Spark counts in
 which documents each symbol is a mark; a window whose symbol marks windows of one document
-only is no repeat. The windows that are left are compared by a hash of all their words.
+only is no repeat. The windows that are left are compared by hashes of all their words, first
+whole chunks of them and then one by one.
 """
 
 from __future__ import annotations
 
+import gc
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,7 +29,7 @@ from samesense.llm import bloom
 from samesense.llm.batches import slices
 from samesense.llm.words import fresh, whole
 from samesense.skew import lookup
-from samesense.storage import store
+from samesense.storage import discard, store
 
 WINDOW = 13
 ROUNDS = 5
@@ -110,15 +114,27 @@ def window_marks(words: np.ndarray, width: int = WINDOW, rounds: int = ROUNDS) -
     return marks
 
 
+def _joined(left: np.ndarray, right: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Hashes of ``n`` substrings from those of their first ``size`` words and of the rest."""
+    return _mix(left[:n] * _C + right[size : size + n] * _A)
+
+
 def window_hashes(words: np.ndarray, width: int = WINDOW) -> np.ndarray:
-    """A 64-bit hash of the words of every window."""
+    """A 64-bit hash of the words of every window, by joining halves of powers of two."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, "uint64")
-    found = np.zeros(n, "uint64")
-    for i in range(width):
-        found = found * _A + words[i : i + n]
-    return _mix(found)
+    found, covered = None, 0
+    power, size = words, 1
+    while True:
+        if width & size:
+            count = len(words) - covered - size + 1
+            found = power if found is None else _joined(found, power, count, covered)
+            covered += size
+        if covered == width:
+            return found[:n]
+        power = _joined(power, power, len(words) - 2 * size + 1, size)
+        size *= 2
 
 
 def split_words(text: bytes) -> list[bytes]:
@@ -130,7 +146,7 @@ def _named(texts: list[bytes], names: WordNames) -> tuple[np.ndarray, np.ndarray
     """Word names of several texts in one row, and where each text begins and the last ends."""
     words = [split_words(text) for text in texts]
     ends = np.cumsum([0, *map(len, words)])
-    flat = np.fromiter((names[w] for row in words for w in row), "uint64", int(ends[-1]))
+    flat = np.fromiter(map(names.__getitem__, chain.from_iterable(words)), "uint64", int(ends[-1]))
     return flat, ends
 
 
@@ -178,10 +194,15 @@ def symbols(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, kind)
 
 
-def candidate_windows(docs: DataFrame, allowed) -> DataFrame:
-    """``doc_id, print, at, hashes``: consecutive windows whose marks the bitmap admits."""
+def candidate_chunks(docs: DataFrame, allowed) -> DataFrame:
+    """``doc_id, print, at, hashes, chunk``: consecutive windows whose marks the bitmap admits.
+
+    A chunk ends where candidates end, and where the mark changes to one of a fixed quarter
+    of all symbols; so where documents agree for long, their chunks do too. ``chunk`` is a
+    hash of all its windows.
+    """
     kind = StructType().add("doc_id", LongType()).add("print", IntegerType()).add("at", IntegerType())
-    kind = kind.add("hashes", ArrayType(LongType(), False))
+    kind = kind.add("hashes", ArrayType(LongType(), False)).add("chunk", LongType())
 
     def run(batches):
         names, filter_words = WordNames(), allowed.value
@@ -193,62 +214,100 @@ def candidate_windows(docs: DataFrame, allowed) -> DataFrame:
                 at, owner = _windows(ends, WINDOW)
                 if not len(at):
                     continue
-                keep = bloom.in_bitmap(window_marks(words)[at], filter_words)
-                at, owner = at[keep], owner[keep]
+                marks = window_marks(words)[at]
+                keep = bloom.in_bitmap(marks, filter_words)
+                at, owner, marks = at[keep], owner[keep], marks[keep]
                 if not len(at):
                     continue
                 hashes = window_hashes(words)[at]
-                first = np.flatnonzero(np.append(True, (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])))
+                begins = np.ones(len(at), bool)
+                begins[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
+                begins[1:] |= (marks[1:] != marks[:-1]) & ((_mix(marks[1:]) & np.uint64(3)) == 0)
+                first = np.flatnonzero(begins)
+                bounds = np.append(first, len(at))
+                # a sum of hashes mixed with their place in the chunk
+                place = (np.arange(len(at)) - np.repeat(first, np.diff(bounds))).astype("uint64")
+                chunk = _mix(np.add.reduceat(_mix(hashes + place * _B), first))
                 head = owner[first]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[start:end][head]),
                         pa.array(prints[start:end][head]),
                         pa.array((at[first] - ends[head]).astype("int32")),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(first, len(at)).astype("int32")), pa.array(hashes.view("int64"))
-                        ),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype("int32")), pa.array(hashes.view("int64"))),
+                        pa.array(chunk.view("int64")),
                     ],
-                    ["doc_id", "print", "at", "hashes"],
+                    ["doc_id", "print", "at", "hashes", "chunk"],
                 )
 
     return docs.select("doc_id", "print", F.col("text").cast("binary").alias("text")).mapInArrow(run, kind)
 
 
-def release(df: DataFrame) -> None:
-    """Let Spark's cleaner delete shuffle files of plans that were written and are done with."""
-    df.sparkSession.sparkContext._jvm.System.gc()
+def settled(df: DataFrame, label: str, *done: DataFrame) -> DataFrame:
+    """``store``, then let Spark's cleaner delete the shuffle files behind the written table.
+
+    The cleaner acts on plans that nothing refers to any more, on either side of the bridge.
+    ``done`` are stored tables that are not needed from here on.
+    """
+    stored = store(df, label)
+    for table in done:
+        discard(table)
+    gc.collect()
+    stored.sparkSession.sparkContext._jvm.System.gc()
+    return stored
+
+
+def _firsts(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that occur in documents of different ids, with the smallest id and the count."""
+    return (
+        rows.groupBy(key)
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+        .where("first < last")
+        .select(key, "first", "n")
+    )
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """``doc_id, print, starts``: windows whose words also begin in a document with a smaller id.
+    """``doc_id, print, runs``: windows whose words also begin in a document with a smaller id.
 
-    ``docs`` has ``doc_id`` (not null), ``print`` (a hash of the text) and ``text``.
+    ``docs`` has ``doc_id`` (not null), ``print`` (a hash of the text) and ``text``. ``runs``
+    are structs ``at, n`` of consecutive window starts. Chunks are compared first. One that
+    an earlier document has too is repeated as a whole, and has no window that the earlier
+    one lacks; only the windows of all other chunks are then compared one by one.
     """
     spark = docs.sparkSession
-    shared = store(
+    shared = settled(
         symbols(docs).groupBy("name").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("name"),
         "shared-symbols",
     )
-    release(shared)
     allowed = spark.sparkContext.broadcast(bloom.bitmap(shared.select(F.col("name").alias("key")), FILTER_BITS))
-    windows = store(candidate_windows(docs, allowed), "windows")
-    each = windows.select("doc_id", "print", F.posexplode("hashes").alias("i", "hash"), "at").select(
-        "doc_id", "print", "hash", (F.col("at") + F.col("i")).alias("at")
+    chunks = settled(candidate_chunks(docs, allowed), "chunks", shared)
+    earlier = settled(_firsts(chunks, "chunk"), "first-chunks")
+    whole_chunk = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+    judged = settled(
+        lookup(chunks, earlier, ["chunk"], ["doc_id", "at"], counted="n").select(
+            "doc_id",
+            "print",
+            "at",
+            F.size("hashes").alias("n"),
+            F.when(~whole_chunk, F.col("hashes")).alias("hashes"),
+        ),
+        "judged-chunks",
+        chunks,
+        earlier,
     )
-    firsts = store(
-        each.groupBy("hash")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last")
-        .select("hash", "first"),
-        "first-windows",
+    each = judged.where("hashes IS NOT NULL").select(
+        "doc_id", "print", F.posexplode("hashes").alias("i", "hash"), "at"
+    ).select("doc_id", "print", "hash", (F.col("at") + F.col("i")).alias("at"))
+    earlier = settled(_firsts(each, "hash"), "first-windows")
+    n = judged.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    single = lookup(each, earlier, ["hash"], ["doc_id", "at"], "inner", known_rows=n, counted="n").where("doc_id > first")
+    runs = judged.where("hashes IS NULL").select("doc_id", "print", "at", "n").unionByName(
+        single.select("doc_id", "print", "at", F.lit(1).alias("n"))
+    )
+    return settled(
+        runs.groupBy("doc_id", "print").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "runs", judged, earlier
     )
-    release(firsts)
-    n = windows.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    later = lookup(each, firsts, ["hash"], ["doc_id", "at"], "inner", known_rows=n).where("doc_id > first")
-    starts = store(later.groupBy("doc_id", "print").agg(F.collect_set("at").alias("starts")), "starts")
-    release(starts)
-    return starts
 
 
 KEPT = StructType().add("n_words", LongType()).add("n_removed", LongType()).add("kept", "string")
@@ -268,12 +327,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     plain = keyed.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(key).alias("print"), whole(text).alias("text")
     )
-    starts = fresh(keyed, "_starts")
+    runs = fresh(keyed, "_runs")
     gone = repeated_windows(plain).select(
-        F.col("doc_id").alias("_of_id"), F.col("print").alias("_of_print"), F.col("starts").alias(starts)
+        F.col("doc_id").alias("_of_id"), F.col("print").alias("_of_print"), F.col("runs").alias(runs)
     )
     joined = keyed.join(gone, (F.col(doc_id) == F.col("_of_id")) & (F.col(key) == F.col("_of_print")), "left")
-    place = joined.columns.index(starts), joined.columns.index(text)
+    place = joined.columns.index(runs), joined.columns.index(text)
     kind = StructType([*docs.schema.fields]).add(name, KEPT)
     columns = [joined.columns.index(c) for c in docs.columns]
     labels = [*docs.columns, name]
@@ -292,14 +351,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return joined.mapInArrow(run, kind), name
 
 
-def _kept(text: bytes, starts) -> tuple[int, int, str]:
+def _kept(text: bytes, runs) -> tuple[int, int, str]:
     words = split_words(text)
-    if not starts.is_valid:
+    if not runs.is_valid:
         return len(words), 0, b" ".join(words).decode()
+    at, n = (field.to_numpy(zero_copy_only=False) for field in runs.values.flatten())
     change = np.zeros(len(words) + 1, "int64")
-    at = starts.values.to_numpy(zero_copy_only=False)
     np.add.at(change, at, 1)
-    np.add.at(change, at + WINDOW, -1)
+    np.add.at(change, at + n + (WINDOW - 1), -1)
     stays = np.cumsum(change[:-1]) == 0
     kept = [w for w, s in zip(words, stays.tolist(), strict=True) if s]
     return len(words), len(words) - len(kept), b" ".join(kept).decode()

@@ -1,10 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed is a fixed mask over consecutive words; words at its gaps are ignored. Test and
-training texts are hashed under every mask; equal hashes are hits. Around each hit the
-texts are laid side by side and their equal words counted, so a passage is found although
-words in it were replaced. With the masks below, any ``WINDOW`` words (or a whole item of 8
-words or more, if it is shorter) of which at least four in five agree hold a hit.
+training texts are hashed under every mask; equal hashes are hits. Words count as equal
+whatever their case and punctuation. Around each hit the texts are laid side by side and
+their equal words counted, so a passage is found although words in it were replaced. With
+the masks below, any ``WINDOW`` words (or a whole item of 8 words or more, if it is shorter)
+of which at least four in five agree hold a hit.
 
 Training texts are not shuffled. A filter of bounded size over the test hashes goes to the
 tasks; what it admits is cut out of the text as a region with room for verification, and
@@ -25,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from samesense.llm import bloom
 from samesense.llm.batches import append
-from samesense.llm.words import WORD, fresh
+from samesense.llm.words import fresh
 from samesense.skew import lookup
 from samesense.storage import store
 
@@ -36,7 +37,8 @@ WINDOW = 16
 AGREE = 0.8
 # Two megabytes, whatever the number of test texts.
 FILTER_BITS = 24
-WORDS = re.compile(WORD)
+TABLE_ENTRIES = 400_000
+PUNCTUATION = re.compile(r"[\W_]+")
 
 SEEDS = ArrayType(StructType().add("seed", LongType(), False).add("at", IntegerType(), False), False)
 REGION = (
@@ -52,9 +54,24 @@ def tolerated(n: int, agree: float = AGREE) -> int:
     return int((1 - agree) * n + 1e-9)
 
 
-def word_hashes(text: str) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w) for w in WORDS.findall(text)), "uint64")
+class WordNames(dict):
+    """A 64-bit hash of each word, without case and punctuation."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= TABLE_ENTRIES:
+            self.clear()
+        name = self[word] = xxhash.xxh64_intdigest(plain_word(word.decode()))
+        return name
+
+
+def plain_word(word: str) -> str:
+    return PUNCTUATION.sub("", word.lower())
+
+
+def word_hashes(text: str, names: WordNames) -> np.ndarray:
+    # of bytes, ``split`` takes the six ASCII white-space characters
+    words = text.encode().split()
+    return np.fromiter(map(names.__getitem__, words), "uint64", len(words))
 
 
 def seed_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +102,10 @@ def item_seeds(items: DataFrame) -> DataFrame:
     kind = StructType().add("words", ArrayType(LongType(), False)).add("seeds", SEEDS)
 
     def start():
+        names = WordNames()
+
         def work(texts):
-            words = [word_hashes(t) for t in texts]
+            words = [word_hashes(t, names) for t in texts]
             seeds = [seed_hashes(w) for w in words]
             return pa.StructArray.from_arrays([_lists([w.view("int64") for w in words], "int64"), _seed_lists(seeds)], ["words", "seeds"])
 
@@ -125,10 +144,10 @@ def training_regions(docs: DataFrame, text: str, filter_words, reach: int) -> tu
     name = fresh(docs, "regions")
 
     def start():
-        allowed = filter_words.value
+        allowed, names = filter_words.value, WordNames()
 
         def found(text):
-            words = word_hashes(text)
+            words = word_hashes(text, names)
             hashes, places = seed_hashes(words)
             keep = bloom.in_bitmap(hashes, allowed)
             hashes, places = hashes[keep], places[keep]

@@ -15,11 +15,15 @@ from samesense.llm.queries import QUERIES
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def words_of(text):
+    return [re.sub(r"[\W_]+", "", w.lower()) for w in WORD.findall(text or "")]
+
+
 def plain(docs, items):
     """Best overlap per document id and item id, looking at all diagonals."""
     best = {}
     for (doc, text), (item, question) in itertools.product(docs, items):
-        a, b = WORD.findall(text or ""), WORD.findall(question or "")
+        a, b = words_of(text), words_of(question)
         if len(b) < 5:
             continue
         known = {w: i for i, w in enumerate(b)}
@@ -61,6 +65,7 @@ def cases():
         question = items[rng.randrange(30)][1]
         filler = " ".join(f"q{rng.randrange(300)}" for _ in range(rng.randrange(0, 80)))
         docs.append((1000 + i, f"{filler} {changed(question, rng.choice([0, 0.1, 0.2, 0.3]), rng)} {filler}"))
+    docs += [(1500 + i, items[i][1].upper().replace(" ", ", ")) for i in range(5)]
     docs += [(2000, items[7][1] + "\n" + LONG + "\n" + items[7][1]), (2001, items[8][1][:40])]
     return docs, items
 

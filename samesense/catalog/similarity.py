@@ -277,21 +277,32 @@ def jo5_slices(spark, sf):
 
 @query(
     "jo4_candidate_cells",
-    "SELECT label AS block, count(*) AS n_rows, count(*) AS homes FROM embeddings GROUP BY label",
+    """WITH v AS (SELECT label AS block, CAST(embedding AS DOUBLE[]) AS v, min(vec_id) AS row_id FROM embeddings GROUP BY ALL),
+    pairs AS (SELECT a.block, count(*) AS n FROM v a JOIN v b ON a.block = b.block AND a.row_id < b.row_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9 GROUP BY a.block)
+    SELECT block, count(*) AS n_rows, CAST(coalesce(max(n), 0) AS BIGINT) AS similar_pairs FROM v LEFT JOIN pairs USING (block) GROUP BY block""",
 )
 def jo4(spark, sf):
-    """Who may have to meet whom: one home cell per row, next to the cells it visits.
+    """Who may have to meet whom: rows of a block with their cells.
 
-    That no pair is missed shows in ``du6_groups_large_blocks``.
+    Counts the similar pairs that share a cell, which must be all there are.
     """
     rows = vectors(spark, sf)
     folded = store(fold_copies(rows, "cluster_id", "embedding"), "folded")
     sizes = folded.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
-    sized = lookup(folded.select("block", "row_id", "unit"), sizes, ["block"], ["row_id"])
-    placed = place_in_cells(sized, 0.9, tile_rows=8)
-    return placed.groupBy("block").agg(
-        F.count_distinct("row_id").alias("n_rows"),
-        F.count_if(F.col("role") < 2).alias("homes"),
+    sized = store(lookup(folded.select("block", "row_id", "unit"), sizes, ["block"], ["row_id"]), "sized")
+    placed = store(place_in_cells(sized, 0.9, tile_rows=8), "placed").select("block", "cell", "row_id")
+    other = placed.select("block", "cell", F.col("row_id").alias("other_id"))
+    met = placed.join(other, ["block", "cell"]).where("row_id < other_id").select("row_id", "other_id").distinct()
+    unit = sized.select("block", "row_id", "unit")
+    theirs = sized.select(F.col("row_id").alias("other_id"), F.col("unit").alias("other_unit"))
+    dot = F.aggregate(
+        F.zip_with("unit", "other_unit", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x
+    )
+    alike = met.join(unit, "row_id").join(theirs, "other_id").where(dot >= 0.9)
+    found = alike.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(found, "block", "left").select(
+        "block", F.col("size").alias("n_rows"), F.coalesce("n", F.lit(0)).alias("similar_pairs")
     )
 
 

@@ -13,7 +13,6 @@ hand on links that span their connected fingerprints, never all pairs.
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
@@ -38,12 +37,14 @@ LEAST_BYTES = BYTES - DISTANCE
 # A longer list is cut into tiles, and tiles are compared two by two in different tasks.
 TILE = 4096
 FILTER_BYTES = 32 << 20
-WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+# Fingerprints that one task indexes.
+TASK_PRINTS = 20_000
 
 
 def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """XXH64 of each shingle of the lower-cased words; of the whole sequence if it is shorter."""
-    words = WORDS.findall(text.encode().lower())
+    # of bytes, both touch ASCII only: letters A to Z, and the six white-space characters
+    words = text.encode().lower().split()
     joined = b" ".join(words)
     if not words:
         return np.zeros(0, "uint64")
@@ -164,7 +165,8 @@ def _links_of_lists(postings: DataFrame) -> DataFrame:
 
 def links(prints: DataFrame, tile: int = TILE) -> DataFrame:
     """Links ``u, v`` between distinct ``fp`` rows that connect all pairs within the distance."""
-    postings = index(prints)
+    # a fingerprint is few bytes and many postings: dealt out by number, not by bytes
+    postings = index(prints.repartition(max(1, -(-prints.count() // TASK_PRINTS))))
     lists = store(
         postings.groupBy("list", "bytes")
         .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))

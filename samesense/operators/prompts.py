@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.functions.text import group_label
-from samesense.skew import lookup, positions
+from samesense.skew import lookup, meet, positions
 from samesense.storage import store
 
 PAGE_ROWS = 200
@@ -130,7 +130,7 @@ def best_prompts(
         .agg(F.min("row_id").alias("row_id"))
     )
     names = members.groupBy("group_id", "attribute_name").agg(F.min("seq").alias("seq"))
-    tied = lookup(texts, names, ["attribute_name"], ["row_id"], "inner")
+    tied = meet(store(texts, "texts"), store(names, "names"), ["attribute_name"], ["row_id"], ["group_id"])
     shown = positions(store(tied, "lines"), "row_id", ["group_id"])
     sizes = shown.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     sized = lookup(shown, sizes, ["group_id"], ["row_id"], "inner")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samesense.skew import lookup
+from samesense.skew import lookup, meet
 
 # Provenance tags and round numbers.
 EXISTING = "existing"
@@ -98,7 +98,7 @@ def attach(df: DataFrame, extra: DataFrame, how: str = "left") -> DataFrame:
 def rows_named(df: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows whose name is in a group's list of names (``group_id, names array<string>``)."""
     members = groups.select("group_id", F.explode("names").alias("attribute_name")).distinct()
-    return lookup(df, members, ["attribute_name"], ["row_id"], "inner")
+    return meet(df, members, ["attribute_name"], ["row_id"], ["group_id"])
 
 
 def last_per_key(df: DataFrame, key: list[str], order: str, value: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from samesense.operators.report import run_summary
 from samesense.operators.similar import similar_groups
 from samesense.skew import lookup, positions
 from samesense.sources import tables as T
-from samesense.storage import store
+from samesense.storage import store, temporary
 
 THRESHOLD = 0.8
 VERDICTS = ("is_duplicate", "duplicate_group_id", "should_remove", "keep", "cluster_id")
@@ -289,41 +289,46 @@ def deduplicate(
     """
     if incremental and "source" not in df.columns:
         raise ValueError("an incremental run needs earlier results; see deduplicate_incremental")
-    rows = df.drop(*VERDICTS)
-    if "source" not in rows.columns:
-        rows = R.tag(rows, R.NEW, R.FIRST_ROUND)
-    text = E.with_text(rows if partitions is None else rows.repartition(partitions))
-    encode = E.embed_hashed if make_encoder is None else (lambda df: E.embed(df, make_encoder))
-    if vectors is None:
-        embedded = encode(text)
-    else:
-        stored = vectors.select("row_id", F.col("embedding").cast("array<float>").alias("embedding"))
-        known = text.join(stored, "row_id").select(*text.columns, "embedding")
-        embedded = known.unionByName(
-            encode(text.join(stored.select("row_id"), "row_id", "left_anti").select(*text.columns))
+    # what a run needs on its way is deleted at its end; what it hands out is kept
+    with temporary() as keep:
+        rows = df.drop(*VERDICTS)
+        if "source" not in rows.columns:
+            rows = R.tag(rows, R.NEW, R.FIRST_ROUND)
+        text = E.with_text(rows if partitions is None else rows.repartition(partitions))
+        encode = E.embed_hashed if make_encoder is None else (lambda df: E.embed(df, make_encoder))
+        if vectors is None:
+            embedded = encode(text)
+        else:
+            stored = vectors.select("row_id", F.col("embedding").cast("array<float>").alias("embedding"))
+            known = text.join(stored, "row_id").select(*text.columns, "embedding")
+            embedded = known.unionByName(
+                encode(text.join(stored.select("row_id"), "row_id", "left_anti").select(*text.columns))
+            )
+        embedded = store(embedded.drop("text"), "embedded")
+        if centers is None:
+            fitted = B.fit_blocks(embedded, "embedding", max_cluster_size, max_clusters, seed, starts)
+        else:
+            fitted = B.given_blocks(embedded, "embedding", centers)
+        fitted.rows = keep(store(fitted.rows, "clustered"))
+        judged = judge_rows(
+            fitted.rows,
+            judge,
+            survivor,
+            threshold=threshold,
+            incremental=incremental,
+            drop_same_name=drop_same_name,
+            page_rows=page_rows,
         )
-    embedded = store(embedded.drop("text"), "embedded")
-    if centers is None:
-        fitted = B.fit_blocks(embedded, "embedding", max_cluster_size, max_clusters, seed, starts)
-    else:
-        fitted = B.given_blocks(embedded, "embedding", centers)
-    fitted.rows = store(fitted.rows, "clustered")
-    judged = judge_rows(
-        fitted.rows,
-        judge,
-        survivor,
-        threshold=threshold,
-        incremental=incremental,
-        drop_same_name=drop_same_name,
-        page_rows=page_rows,
-    )
-    result = store(R.removal_flag(judged.rows), "result")
-    summary, records = run_summary(result), None
-    if judged.replies is not None:
-        records = V.verdict_records(judged.replies)
-        failed = judged.replies.agg(F.count_if(F.col("error").isNotNull())).scalar()
-        summary = summary.withColumn("failed_prompts", failed)
-    return Run(result, fitted, summary, judged.replies, judged.choices, records, judged.best)
+        result = keep(store(R.removal_flag(judged.rows), "result"))
+        best = None if judged.best is None else keep(store(judged.best, "best"))
+        replies = None if judged.replies is None else keep(judged.replies)
+        choices = None if judged.choices is None else keep(store(judged.choices, "all-choices"))
+        summary, records = run_summary(result), None
+        if replies is not None:
+            records = V.verdict_records(replies)
+            failed = replies.agg(F.count_if(F.col("error").isNotNull())).scalar()
+            summary = summary.withColumn("failed_prompts", failed)
+        return Run(result, fitted, summary, replies, choices, records, best)
 
 
 def write_all(

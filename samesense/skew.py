@@ -93,6 +93,42 @@ def lookup(
     return joined.drop("_salt")
 
 
+def meet(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Inner join in which a key may have many rows on both sides.
+
+    A key that is hot on a side is dealt into parts there by a hash of that side's spread
+    columns, and the other side's rows of the key are repeated once per part; a key that is
+    hot on both sides becomes a grid of parts. Both sides should be stored tables.
+    """
+    keys = list(keys)
+
+    def dealt(df: DataFrame, spread: Sequence[str], own: str, other: str) -> DataFrame:
+        salt = F.pmod(F.xxhash64(*spread), F.col(own)).cast("int")
+        return df.withColumn(f"{own}_at", salt).withColumn(
+            f"{other}_at", F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        ).drop(own, other)
+
+    sides = [left, right]
+    for name, source in (("_left", left), ("_right", right)):
+        hot = hot_keys(source.select(*keys), keys, hot_rows)
+        for i, side in enumerate(sides):
+            if hot is None:
+                sides[i] = side.withColumn(name, F.lit(1))
+            else:
+                parts = F.broadcast(hot.withColumnRenamed("_salts", name))
+                sides[i] = side.join(parts, keys, "left").withColumn(name, F.coalesce(name, F.lit(1)))
+    one = dealt(sides[0], left_spread, "_left", "_right")
+    two = dealt(sides[1], right_spread, "_right", "_left")
+    return one.join(two, [*keys, "_left_at", "_right_at"]).drop("_left_at", "_right_at")
+
+
 def sliced(rows: DataFrame, order: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``rows`` with ``_slice``: numbers that rise with ``order``, about ``slice_rows`` rows each."""
     leading = order

@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,18 +39,51 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark)}/samesense/{label}-{uuid.uuid4().hex}"
 
 
+# Tables written inside an open ``temporary`` block, innermost last.
+_open: list[dict[str, DataFrame]] = []
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table (cuts the lineage)."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
+    if _open:
+        _open[-1][path] = stored
     return stored
 
 
+@contextmanager
+def temporary() -> Iterator[Callable[[DataFrame | None], DataFrame | None]]:
+    """Delete the tables stored inside the block at its end, but for those that are kept.
+
+    Yields ``keep(table)``, which returns its argument. What leaves the block must read kept
+    tables only.
+    """
+    kept: set[str] = set()
+
+    def keep(stored: DataFrame | None) -> DataFrame | None:
+        if stored is not None:
+            kept.add(stored._stored_at)
+        return stored
+
+    _open.append({})
+    try:
+        yield keep
+    finally:
+        for path, stored in _open.pop().items():
+            if path not in kept:
+                discard(stored)
+            elif _open:
+                _open[-1][path] = stored
+
+
 def discard(stored: DataFrame) -> None:
     """Delete a table made by ``store`` that nothing refers to any more."""
     context = stored.sparkSession.sparkContext
+    for tables in _open:
+        tables.pop(stored._stored_at, None)
     path = context._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -1,6 +1,7 @@
 """What a run with models leaves behind, and how it takes failures and copies."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from samesense import deduplicate, deduplicate_incremental, detect_duplicates
 from samesense.operators.model import PerWorker, answered
 from samesense.plans.dedup import write_all
 from samesense.sources.sample import sample_attributes
+from samesense.storage import checkpoint_folder
 
 
 def listed(prompt):
@@ -126,3 +128,21 @@ def test_stored_vectors_are_used_again(run, spark):
     batch = sample_attributes(spark, 5).withColumn("attribute_name", F.concat(F.lit("new "), "attribute_name"))
     more = deduplicate_incremental(run.result, batch, vectors=vectors, max_clusters=3, threshold=0.9)
     assert more.result.where("source = 'new'").count() == 5
+
+
+def stored_tables(spark):
+    folder = f"{checkpoint_folder(spark).removeprefix('file:')}/samesense"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_nothing_but_what_is_handed_out_stays(spark):
+    before = stored_tables(spark)
+    done = deduplicate(sample_attributes(spark, 30), None, all_alike, first_listed, max_clusters=3)
+    left = {name.rsplit("-", 1)[0] for name in stored_tables(spark) - before}
+    assert left <= {"result", "clustered", "replies", "best", "all-choices"}, left
+    # all of it can still be read
+    assert done.result.count() == 30 and done.blocks.rows.count() == 30 and done.metrics().count() == 1
+    assert done.records.count() == done.replies.count() and done.best.count() > 0 and done.choices.count() > 0
+    before = stored_tables(spark)
+    deduplicate(sample_attributes(spark, 30), max_clusters=3).result.count()
+    assert {name.rsplit("-", 1)[0] for name in stored_tables(spark) - before} <= {"result", "clustered", "best"}

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from samesense import skew
-from samesense.skew import hot_keys, lookup, positions
+from samesense.skew import hot_keys, lookup, meet, positions
 
 
 def test_lookup_with_hot_and_null_keys(spark):
@@ -65,3 +65,12 @@ def test_lookup_by_counts_of_the_caller(spark):
     assert sorted(map(tuple, got.select("id", "key", "top").collect())) == sorted(
         map(tuple, want.select("id", "key", "top").collect())
     )
+
+
+def test_meet_with_keys_hot_on_either_side(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SALT_ROWS", 20)
+    left = spark.range(200).select(F.col("id").alias("a"), F.when(F.col("id") < 90, F.lit(1)).otherwise(F.col("id") % 9).alias("key"))
+    right = spark.range(200).select(F.col("id").alias("b"), F.when(F.col("id") < 70, F.lit(2)).when(F.col("id") < 110, F.lit(1)).otherwise(F.col("id") % 11).alias("key"))
+    got = meet(left, right, ["key"], ["a"], ["b"], hot_rows=30)
+    want = left.join(right, "key").select("key", "a", "b")
+    assert got.select("key", "a", "b").exceptAll(want).count() == 0 and got.count() == want.count()

@@ -66,7 +66,7 @@ def fit_blocks(
 
     All starts move in the same passes: a pass over the vectors hands on one sum per task,
     start and cluster, and starts that have settled drop out. Starting centers are drawn
-    from a bounded sample chosen by a hash. Labels are attached row by row, without a join.
+    from a bounded sample chosen by a hash and first settle on it. Labels are attached row by row, without a join.
     """
     spark = df.sparkSession
     n, k = df.agg(
@@ -81,7 +81,9 @@ def fit_blocks(
     order = F.xxhash64(F.lit(seed), "row_id") if "row_id" in df.columns else F.xxhash64(F.lit(seed), vector)
     sample = df.select(vector).orderBy(order).limit(SEED_ROWS_PER_CLUSTER * k).toArrow()
     points = _matrix(sample[vector], sample.num_rows)
-    tried = [_spread_out(points, k, np.random.default_rng(seed + start)) for start in range(starts)]
+    tried = [
+        _settled(points, _spread_out(points, k, np.random.default_rng(seed + start))) for start in range(starts)
+    ]
     moving = list(range(starts))
     for _ in range(MAX_ITER):
         sums = _sums(df, vector, [tried[start] for start in moving])
@@ -126,6 +128,21 @@ def _spread_out(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndar
     return np.array(chosen)
 
 
+def _settled(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Centers moved over the bounded sample until they rest, which saves passes over all rows."""
+    for _ in range(MAX_ITER):
+        label, _ = _nearest(points, np.arange(len(centers)), centers)
+        count = np.bincount(label, minlength=len(centers))
+        total = np.zeros_like(centers)
+        np.add.at(total, label, points)
+        fresh = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], centers)
+        moved = ((fresh - centers) ** 2).sum(axis=1).max()
+        centers = fresh
+        if moved <= TOLERANCE**2:
+            break
+    return centers
+
+
 def _sums(
     df: DataFrame, vector: str, starts: list[np.ndarray]
 ) -> list[dict[int, tuple[int, np.ndarray, float]]]:

@@ -33,6 +33,8 @@ from samesense.storage import discard, store
 
 WINDOW = 13
 ROUNDS = 5
+# Rounds whose symbols are too short to be marks.
+SHORT_ROUNDS = 1
 TABLE_ENTRIES = 400_000
 # 32 megabytes, whatever the number of symbols.
 FILTER_BITS = 28
@@ -63,18 +65,19 @@ def name_runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(begins)
     length = np.diff(at, append=len(names)).astype("uint64")
     first = names[at]
-    return np.where(length > 1, _mix(first * _C + length), first), np.cumsum(begins, dtype="int32") - 1
+    return np.where(length > 1, _mix(first * _C + length), first), np.cumsum(begins) - 1
 
 
 def name_pairs(names: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a left and a right symbol as one; the new places, and which symbols are left."""
-    left = (_mix(names ^ np.uint64(number * 0x1234567 + 1)) >> np.uint64(63)).astype(bool)
+    # names are well mixed already, so the top bit of a product by an odd number is a fair side
+    left = names * np.uint64(int(_B) * (2 * number + 1) % 2**64) > np.uint64(2**63 - 1)
     heads = np.flatnonzero(left[:-1] & ~left[1:])
     renamed = names.copy()
-    renamed[heads] = _mix(names[heads] * _C + _mix(names[heads + 1] + _A))
+    renamed[heads] = _mix(names[heads] * _C + names[heads + 1] * _A)
     stays = np.ones(len(names), bool)
     stays[heads + 1] = False
-    return renamed[stays], np.cumsum(stays, dtype="int32") - 1, left
+    return renamed[stays], np.cumsum(stays) - 1, left
 
 
 def window_marks(words: np.ndarray, width: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
@@ -82,58 +85,50 @@ def window_marks(words: np.ndarray, width: int = WINDOW, rounds: int = ROUNDS) -
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, "uint64")
-    marks, held = words[:n].copy(), np.ones(n, "int32")
     names, place = name_runs(words)
+    begins = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(words))
     # a window does not see where the runs at its ends begin and end
     low, high = place[:n] + 1, place[width - 1 :]
-    live = np.flatnonzero(low < high)
-    low, high = low[live], high[live]
-    begins = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(words)).astype("int32")
-    marks[live] = names[low]
+    marks, held = words[:n].copy(), np.ones(n, "int64")
     for number in range(rounds):
-        if not len(live):
-            break
         names, place, left = name_pairs(names, number)
-        # the first symbol may be the right half of a pair unless it is a left one
-        on_left = left[low]
-        after = np.append(place, place[-1] + 1)
-        low = after[low + ~on_left]
-        # the last may be the left half of a pair unless it is a right one
-        last = high - 1
-        high = place[last] + ~left[last]
-        inside = np.flatnonzero(low < high)
-        live, low, high = live[inside], low[inside], high[inside]
         begins = begins[np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(place))]
+        # the first symbol may be the right half of a pair unless it is a left one; the last
+        # may be the left half unless it is a right one; an empty range stays empty
+        low = np.append(place, place[-1] + 1).take(low + ~np.append(left, True).take(low))
+        last = np.maximum(high - 1, 0)
+        high = place.take(last) + ~left.take(last)
+        if number < SHORT_ROUNDS:
+            continue
         # of the first two interior symbols the longer one, if no earlier round had a longer
-        size = begins[1:] - begins[:-1]
-        second = np.minimum(low + 1, high - 1)
-        chosen = np.where(size[second] > size[low], second, low)
-        better = size[chosen] >= held[live]
-        held[live[better]] = size[chosen[better]]
-        marks[live[better]] = names[chosen[better]]
+        size = np.append(np.diff(begins), 0)
+        second = np.minimum(low + 1, np.maximum(high - 1, low))
+        first_size, second_size = size.take(low), size.take(second)
+        chosen = np.where(second_size > first_size, second, low)
+        longest = np.maximum(first_size, second_size)
+        better = np.flatnonzero((low < high) & (longest >= held))
+        held[better] = longest[better]
+        marks[better] = names.take(chosen[better])
     return marks
 
 
-def _joined(left: np.ndarray, right: np.ndarray, n: int, size: int) -> np.ndarray:
-    """Hashes of ``n`` substrings from those of their first ``size`` words and of the rest."""
-    return _mix(left[:n] * _C + right[size : size + n] * _A)
-
-
 def window_hashes(words: np.ndarray, width: int = WINDOW) -> np.ndarray:
-    """A 64-bit hash of the words of every window, by joining halves of powers of two."""
+    """A 64-bit polynomial hash of the words of every window, by joining halves of powers of two."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, "uint64")
     found, covered = None, 0
     power, size = words, 1
     while True:
+        factor = np.uint64(pow(int(_A), size, 2**64))
         if width & size:
+            # what is covered so far stands before the next ``size`` words
             count = len(words) - covered - size + 1
-            found = power if found is None else _joined(found, power, count, covered)
+            found = power if found is None else found[:count] * factor + power[covered : covered + count]
             covered += size
         if covered == width:
-            return found[:n]
-        power = _joined(power, power, len(words) - 2 * size + 1, size)
+            return _mix(found[:n])
+        power = power[:-size] * factor + power[size:]
         size *= 2
 
 
@@ -327,11 +322,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     plain = keyed.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(key).alias("print"), whole(text).alias("text")
     )
-    runs = fresh(keyed, "_runs")
+    runs, of_id, of_print = fresh(keyed, "_runs"), fresh(keyed, "_of_id"), fresh(keyed, "_of_print")
     gone = repeated_windows(plain).select(
-        F.col("doc_id").alias("_of_id"), F.col("print").alias("_of_print"), F.col("runs").alias(runs)
+        F.col("doc_id").alias(of_id), F.col("print").alias(of_print), F.col("runs").alias(runs)
     )
-    joined = keyed.join(gone, (F.col(doc_id) == F.col("_of_id")) & (F.col(key) == F.col("_of_print")), "left")
+    joined = keyed.join(gone, (F.col(doc_id) == F.col(of_id)) & (F.col(key) == F.col(of_print)), "left")
     place = joined.columns.index(runs), joined.columns.index(text)
     kind = StructType([*docs.schema.fields]).add(name, KEPT)
     columns = [joined.columns.index(c) for c in docs.columns]

@@ -65,7 +65,8 @@ class WordNames(dict):
 
 
 def plain_word(word: str) -> str:
-    return PUNCTUATION.sub("", word.lower())
+    lowered = word.lower()
+    return lowered if lowered.isalnum() else PUNCTUATION.sub("", lowered)
 
 
 def word_hashes(text: str, names: WordNames) -> np.ndarray:

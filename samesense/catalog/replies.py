@@ -457,7 +457,9 @@ def same_first_word(prompts, **_):
 
 # Names of a cluster with the same first word are one group; groups are numbered by first row.
 BY_MODEL = f"""WITH {DICT}, names AS (
-  SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(row_id) AS node, count(*) AS copies FROM {{rows}} GROUP BY ALL),
+  SELECT cluster_id, attribute_name, split_part(attribute_name, ' ', 1) AS w, min(node) AS node, max(copies) > 1 AS again
+  FROM (SELECT cluster_id, attribute_name, attribute_definition, min(row_id) AS node, count(*) AS copies FROM {{rows}} GROUP BY ALL)
+  GROUP BY ALL),
 big AS (SELECT cluster_id, w, min(node) AS root FROM names GROUP BY cluster_id, w HAVING {{enough}}),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY root) AS number FROM big),
 flags AS (SELECT n.*, 'cluster_' || n.cluster_id || '_group' || number AS group_id, f.first_row FROM names n
@@ -537,7 +539,7 @@ TWICE = """(SELECT row_id, attribute_name, attribute_definition, row_id // 2 AS
 
 @query(
     "pi3_detect_copies_by_model",
-    BY_MODEL.format(rows=TWICE, enough="sum(copies) > 1 AND (count(*) > 1 OR max(copies) > 1)", order=BY_RULE_ORDER),
+    BY_MODEL.format(rows=TWICE, enough="count(*) > 1 OR bool_or(again)", order=BY_RULE_ORDER),
 )
 def pi3_copies(spark, sf):
     """Clusters of very few rows, a third of them there twice: copies alone are a group too."""

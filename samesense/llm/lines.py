@@ -7,6 +7,10 @@ both. A fingerprint's owner is its first occurrence, by document id and line. Ev
 occurrence is laid beside the owner and extended both ways while lines agree, as far as the
 next fingerprint must have come; the lines matched are deleted.
 
+The default of two lines and two grams is what the SQL of ``op7_line_dedup`` states: a line that
+repeats alone stays. With ``gram=1, window=1`` every line is a fingerprint, and each line that
+an earlier place holds is deleted (``op7_single_line_dedup``).
+
 All steps are column functions. Fingerprints carry the few line hashes around them, so
 documents themselves are never joined with each other.
 """
@@ -63,14 +67,18 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
         worded_lines(F.col("text")),
         lambda lines: F.struct(
             F.transform(lines, lambda line: F.xxhash64(line)).alias("h"),
+            # one line is known by two hashes, as a gram of two is
+            *([F.transform(lines, lambda line: F.xxhash64(F.lit(4), line)).alias("h2")] if gram == 1 else []),
             let(grams(lines, gram), lambda g: winnow(g, window)).alias("at"),
         ),
     )
     rows = docs.select("k1", "k2", "owner_id", made.alias("made"))
-    placed = rows.select("k1", "k2", "owner_id", F.col("made.h").alias("h"), F.explode("made.at").alias("line"))
+    hashes = [F.col(f"made.{name}").alias(name) for name in (["h", "h2"] if gram == 1 else ["h"])]
+    placed = rows.select("k1", "k2", "owner_id", *hashes, F.explode("made.at").alias("line"))
+    key = F.array(F.get("h", F.col("line")), F.get("h2", F.col("line"))) if gram == 1 else F.slice("h", F.col("line") + 1, gram)
     before = F.slice("h", F.greatest(F.col("line") - window, F.lit(0)) + 1, F.least(F.col("line"), F.lit(window)))
     return placed.select(
-        F.slice("h", F.col("line") + 1, gram).alias("lines"),
+        key.alias("lines"),
         F.struct(F.col("owner_id").isNull().alias("no_id"), "owner_id", "k1", "k2", "line").alias("place"),
         F.reverse(before).alias("before"),
         F.slice("h", F.col("line") + gram + 1, window).alias("after"),
@@ -88,8 +96,8 @@ def _agree(one: Column, two: Column, reach: int) -> Column:
 
 def repeated(prints: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Runs to delete: ``k1, k2, low, high``, counting lines with a word, end exclusive."""
-    prints = store(prints.select(*[F.get("lines", F.lit(i)).alias(f"l{i}") for i in range(gram)], "place", "before", "after"), "line-prints")
-    lines = [f"l{i}" for i in range(gram)]
+    lines = [f"l{i}" for i in range(max(2, gram))]
+    prints = store(prints.select(*[F.get("lines", F.lit(i)).alias(n) for i, n in enumerate(lines)], "place", "before", "after"), "line-prints")
     owners = store(
         prints.groupBy(*lines)
         .agg(

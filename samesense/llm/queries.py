@@ -231,12 +231,32 @@ shortened AS (
     f"WITH {lines_sql('documents')} SELECT doc_id, n_deleted, sha256(coalesce(text, '')) AS kept_sha256 FROM shortened",
 )
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    shortened, count = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return _shortened(spark, folder, lines.GRAM, lines.WINDOW)
+
+
+def _shortened(spark: SparkSession, folder: str, gram: int, window: int) -> DataFrame:
+    shortened, count = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), gram=gram, window=window)
     return shortened.select(
         "doc_id", F.col(count).alias("n_deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
 
 
+@query(
+    "op7_single_line_dedup",
+    r"""WITH numbered AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+raw_lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS raw_no FROM numbered),
+again AS (
+  SELECT r, raw_no FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, r, raw_no) > 1)
+SELECT l.doc_id, count(a.r) AS n_deleted,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.raw_no) FILTER (WHERE a.r IS NULL), '')) AS kept_sha256
+FROM raw_lines l LEFT JOIN again a ON a.r = l.r AND a.raw_no = l.raw_no GROUP BY l.r, l.doc_id""",
+)
+def single_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every repeated line goes, also one that repeats alone."""
+    return _shortened(spark, folder, 1, 1)
+
+
 @query("op8_quality_classifier")
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

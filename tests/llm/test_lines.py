@@ -92,6 +92,32 @@ def test_any_long_run_is_found(spark):
     assert all((r[count] >= lines.GRAM) == (r["doc_id"] % 2 == 1) for r in shortened.collect())
 
 
+def test_lone_lines_are_deleted(spark):
+    """One short and one 50-word line, each shared alone between unlike neighbours."""
+    long = " ".join(f"word{i}" for i in range(50))
+    rows = [(d, "\n".join([f"a{d}", "shared line", f"b{d}", "", long, f"c{d}"])) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    shortened, count = lines.dedup_lines(docs, gram=1, window=1)
+    got = {r["doc_id"]: (r["text"], r[count]) for r in shortened.collect()}
+    assert got == {d: (t, 0) if d == 0 else (f"a{d}\nb{d}\n\nc{d}", 2) for d, t in rows}
+    # the query too: no line with a word is left twice
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    seen, want = set(), {}
+    for doc, text in docs:
+        repeats = 0
+        kept = []
+        for line in (text or "").split("\n"):
+            if HAS_WORD.search(line) and line in seen:
+                repeats += 1
+            else:
+                kept.append(line)
+                seen.add(line)
+        want[doc] = (repeats, hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_deleted"], r["kept_sha256"]) for r in QUERIES["op7_single_line_dedup"](spark, folder).collect()}
+    assert got == want and sum(n for n, _ in want.values()) > 100
+
+
 def test_empty_table(spark):
     assert lines.dedup_lines(empty_docs(spark))[0].count() == 0
 

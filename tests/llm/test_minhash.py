@@ -1,0 +1,41 @@
+"""Near copies of the pipeline's stage against all pairs."""
+
+import random
+
+import corpus_pipeline
+from samesense.llm.simhash import shingle_hashes
+
+
+def plain_kept(rows):
+    """Smallest id of each component of pairs that share 0.8 of their five-word shingles."""
+    sets = [set(shingle_hashes(t, 5).tolist()) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if 10 * len(one & sets[j]) >= 8 * len(one | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                label[high] = low
+    return sorted({rows[find(i)][0] for i in range(len(rows))})
+
+
+def test_near_copies_leave_one(spark):
+    rng = random.Random(4)
+    rows = []
+    for g in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(250)]
+        for _ in range(5):
+            rows.append((len(rows), " ".join(words)))
+            # a chain: each text has up to seven words replaced in the one before
+            for place in rng.sample(range(250), rng.randrange(1, 8)):
+                words[place] = f"new{rng.random()}"
+    want = plain_kept(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r["doc_id"] for r in got.collect()) == want
+    assert 30 <= len(want) < 100

@@ -3,27 +3,39 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from samesense.llm.words import fresh, let
+
 
 @dataclass(frozen=True)
 class Level:
-    """One filter: its 64-bit words, number of hashes, and seed."""
+    """One filter: a one-row table of its 64-bit words, their number, the hashes, and the seed.
+
+    The words are data, not part of a plan: a column function reads them through a scalar
+    subquery, which Spark runs once and hands to the tasks as one value.
+    """
 
-    words: tuple[int, ...]
+    table: DataFrame
+    size: int
     hashes: int
     seed: int
 
+    def words(self) -> Column:
+        return self.table.scalar()
+
 
-def _places(key: Column, bits: int, hashes: int, seed: int) -> Column:
+def _places(key: Column, bits: int, hashes: int, seed: int) -> list[Column]:
     """Bit positions of a key: double hashing from two seeded 31-bit hashes."""
     first = F.shiftrightunsigned(F.xxhash64(F.lit(2 * seed), key), 33)
     second = F.shiftrightunsigned(F.xxhash64(F.lit(2 * seed + 1), key), 33)
-    return F.array(*[F.pmod(first + j * second, F.lit(bits)) for j in range(hashes)])
+    return [F.pmod(first + j * second, F.lit(bits)) for j in range(hashes)]
 
 
 def bits_needed(n: int, rate: float) -> int:
@@ -33,6 +45,9 @@ def bits_needed(n: int, rate: float) -> int:
 def build(keys: DataFrame, n: int, rate: float, seed: int, max_bytes: int, shrink: bool = False) -> Level:
     """A filter over ``n`` distinct ``key`` rows that admits other keys at ``rate``.
 
+    The driver holds the words twice for a moment, as numbers and as the table: at most
+    ``max_bytes`` each, and twelve bytes per word while they arrive.
+
     Its size is ``1.44 n log2(1 / rate)`` bits. If that is more than ``max_bytes`` it is an
     error, or with ``shrink`` the filter stays at the bound and admits more.
     """
@@ -42,27 +57,41 @@ def build(keys: DataFrame, n: int, rate: float, seed: int, max_bytes: int, shrin
             raise ValueError(f"a filter over {n} keys takes {bits // 8} bytes; the bound is {max_bytes}")
         bits = 64 * (max_bytes // 8)
         hashes = max(1, min(hashes, round(0.693 * bits / n)))
-    rows = (
-        keys.select(F.explode(_places(F.col("key"), bits, hashes, seed)).alias("place"))
-        .groupBy(F.expr("place div 64").alias("word"))
+    found = (
+        keys.select(F.explode(F.array(*_places(F.col("key"), bits, hashes, seed))).alias("place"))
+        .groupBy(F.expr("cast(place div 64 as int)").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
-        .collect()
-    )
-    words = [0] * (bits // 64)
-    for row in rows:
-        words[row["word"]] = row["bits"]
-    return Level(tuple(words), hashes, seed)
-
-
-def admits(key: Column, level: Level) -> Column:
-    words = F.lit(list(level.words)).cast("array<bigint>")
-    return F.forall(
-        _places(key, 64 * len(level.words), level.hashes, level.seed),
-        lambda place: F.get(words, F.floor(place / 64).cast("int")).bitwiseAND(
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
-        )
-        != 0,
+        .toArrow()
     )
+    words = np.zeros(bits // 64, "int64")
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    row = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words))
+    return Level(keys.sparkSession.createDataFrame(pa.table({"words": row})), len(words), hashes, seed)
+
+
+def admits(key: Column, level: Level, words: Column | None = None) -> Column:
+    """Whether the filter holds ``key``; inside a lambda ``words`` come from ``with_words``."""
+    words = level.words() if words is None else words
+    found = F.lit(True)
+    for place in _places(key, 64 * level.size, level.hashes, level.seed):
+        word = F.get(words, F.shiftrightunsigned(place, 6).cast("int"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+        found = found & (word.bitwiseAND(bit) != 0)
+    return found
+
+
+def with_words(rows: DataFrame, name: str, levels: list[Level], body: Callable[[list[Column]], Column]) -> DataFrame:
+    """``rows`` with a column ``name``: ``body`` of the words of each level, for use inside lambdas.
+
+    A subquery may not stand inside a lambda, so the words come as a column, used once; Spark
+    folds both projections into one, so no row ever carries the words.
+    """
+    if not levels:
+        return rows.withColumn(name, body([]))
+    held = fresh(rows, "_words")
+    listed = rows.withColumn(held, F.array(*[level.words() for level in levels]))
+    made = let(F.col(held), lambda words: body([F.get(words, F.lit(i)) for i in range(len(levels))]))
+    return listed.withColumn(name, made).drop(held)
 
 
 def split(rows: DataFrame, key: Column, keys: DataFrame, n: int, max_bytes: int = 32 << 20) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,6 @@ hand on links that span their connected fingerprints, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -225,19 +224,9 @@ def component_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
-    # a group is known by its component id, or where all its ids are null by its fingerprint
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), "fingerprint"))
-    return component_rows(docs).withColumn("group", group)
-
-
-def keep_one(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", grouped: Callable[[DataFrame], DataFrame] = _grouped
-) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that with the smallest id.
 
-    ``grouped`` gives rows ``doc_id, text, k1, k2`` a column ``group``, by SimHash if not told.
-
     A null id counts last; among equal ids the smallest text hash decides, and of rows equal
     in both one stays. Texts of groups of one, which is most, are not shuffled.
     """
@@ -245,7 +234,9 @@ def keep_one(
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumn(one, F.xxhash64(F.col(doc_id), body)).withColumn(two, F.xxhash64(F.lit(3), body))
     narrow = keyed.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(one).alias("k1"), F.col(two).alias("k2"))
-    members = store(grouped(narrow), "members")
+    # a group is known by its component id, or where all its ids are null by its fingerprint
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), "fingerprint"))
+    members = store(component_rows(narrow).withColumn("group", group), "members")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
     best = (
         members.groupBy("group")

@@ -18,13 +18,16 @@ from samesense.storage import discard, store
 MAX_LEVELS = 64
 
 
-def contains(key: Column, levels: list[bloom.Level]) -> Column:
-    """Exact membership of a key of the universe the cascade was built for."""
+def contains(key: Column, levels: list[bloom.Level], words: list[Column] | None = None) -> Column:
+    """Exact membership of a key of the universe the cascade was built for.
+
+    Inside a lambda the levels' ``words`` come from ``bloom.with_words``.
+    """
     found = F.lit(bool(len(levels) % 2))
     for number in range(len(levels) - 1, -1, -1):
         # a key beyond the last level that admits it belongs to that level's own side
         beyond = found if number < len(levels) - 1 else F.lit(number % 2 == 0)
-        found = F.when(bloom.admits(key, levels[number]), beyond).otherwise(F.lit(number % 2 == 1))
+        found = F.when(bloom.admits(key, levels[number], None if words is None else words[number]), beyond).otherwise(F.lit(number % 2 == 1))
     return found
 
 
@@ -135,7 +138,7 @@ def judge_urls(
     known = cascade(listed.select("key"), universe, max_bytes)
     blocking = cascade(listed.where("blocked").select("key"), listed.select("key"), max_bytes)
 
-    def decide(hits: Column) -> Column:
+    def decide(hits: Column, words: list[Column]) -> Column:
         best = F.array_max(
             F.transform(
                 hits,
@@ -149,12 +152,15 @@ def judge_urls(
                 F.col(name)["path"].alias("path"),
                 key.alias("rule"),
                 F.when(key.isNull(), default)
-                .when(contains(key, blocking), "block")
+                .when(contains(key, blocking, words), "block")
                 .otherwise("allow")
                 .alias("verdict"),
             ),
         )
 
-    hits = F.filter(keys, lambda key: contains(key, known))
-    hits = F.when(F.col(name)["host"] != "", hits).otherwise(F.array().cast("array<string>"))
-    return split.withColumn(name, let(hits, decide)), name
+    def judged(words: list[Column]) -> Column:
+        hits = F.filter(keys, lambda key: contains(key, known, words[: len(known)]))
+        hits = F.when(F.col(name)["host"] != "", hits).otherwise(F.array().cast("array<string>"))
+        return let(hits, lambda found: decide(found, words[len(known) :]))
+
+    return bloom.with_words(split, name, [*known, *blocking], judged), name

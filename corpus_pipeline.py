@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import decontaminate, lines, minhash, pieces, quality, simhash
+from samesense.llm import decontaminate, lines, pieces, quality, simhash
 from samesense.llm.queries import tokenizer_model
 from samesense.storage import store
 
@@ -32,9 +32,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id.
 
-    Near copies share 0.8 of their five-word shingles or more, directly or through others.
+    Near copies by SimHash over four-word shingles, at most four differing bits.
     """
-    return simhash.keep_one(docs, grouped=minhash.component_rows)
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ STAGES = [
     ("sentencepiece", sentencepiece),
 ]
 
-# MinHash, spaced seeds and the tokenizer have no SQL; tests/llm/test_pipeline.py holds
+# SimHash, spaced seeds and the tokenizer have no SQL; tests/llm/test_pipeline.py holds
 # every stage against a plain version.
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import classifier, decontaminate, lines, pieces, quality, secrets, simhash, substrings, urls, warc
+from samesense.llm import classifier, decontaminate, divergence, lines, pieces, quality, secrets, simhash, substrings, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -290,3 +290,40 @@ FROM src LEFT JOIN kept USING (r)""",
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs, name = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", f"{name}.n_words", f"{name}.n_removed", F.sha2(f"{name}.kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_source_divergence",
+    r"""WITH src AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+found AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM src),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+sizes AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM src),
+counted AS (SELECT f.lang, f.source, f.term, count(*) AS n FROM found f JOIN kept k ON k.lang = f.lang AND k.term = f.term GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::BIGINT AS n FROM counted GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (coalesce(t.n, 0) + 5 * s.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (k.n + 5) // (s.n + 5 * s.v))::BIGINT AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source)
+SELECT lang, source, 'pair' AS part, item, value,
+       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term)::INTEGER AS rank
+  FROM dense WHERE n > 0 AND p > q) WHERE rank <= 50""",
+)
+def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from samesense.llm.words import PART_BYTES, parts
 from samesense.skew import positions
 from samesense.storage import store
 
@@ -37,21 +38,15 @@ ROWS = 64
 COLUMNS = 1024
 # Entries of a task's counting tables before they are handed on.
 TABLE_ENTRIES = 400_000
-PART_BYTES = 1 << 20
 # Every byte outside a term becomes a blank: ASCII other than letters. Bytes of other characters stay.
 _TERMS = bytes(b if b >= 0x80 else b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 else 32 for b in range(256))
+_BETWEEN = bytes(b for b in range(256) if _TERMS[b] == 32)
 
 
-def terms_of(data: bytes) -> Iterator[list[bytes]]:
+def terms_of(data: bytes, size: int = PART_BYTES) -> Iterator[list[bytes]]:
     """The terms of a text in UTF-8, a bounded part of the text at a time."""
-    low = 0
-    while low < len(data):
-        high = low + PART_BYTES
-        # a part ends where a term does
-        while high < len(data) and _TERMS[data[high]] != 32:
-            high += 1
-        yield data[low:high].translate(_TERMS).split()
-        low = high
+    for part in parts(data, _BETWEEN, size):
+        yield part.translate(_TERMS).split()
 
 
 def count_terms(docs: DataFrame) -> DataFrame:

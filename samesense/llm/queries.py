@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samesense.llm import classifier, decontaminate, divergence, lines, pieces, quality, secrets, simhash, substrings, urls, warc
+from samesense.llm import alignment, classifier, decontaminate, divergence, lattice, lines, pieces, quality, secrets, simhash, substrings, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -327,3 +327,23 @@ SELECT * FROM (
 )
 def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    aligned, name = alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_model())
+    return aligned.select("doc_id", f"{name}.*")
+
+
+@query("op13_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored, name = lattice.score(docs, lattice.training(), tokenizer_model())
+    return scored.select("doc_id", (~lattice.training()).alias("held_out"), f"{name}.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,3 +35,19 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+PART_BYTES = 1 << 20
+# The bytes that end a word.
+BLANKS = b" \t\n\x0b\x0c\r"
+
+
+def parts(data: bytes, ends: bytes = BLANKS, size: int = PART_BYTES) -> Iterator[bytes]:
+    """A text in UTF-8 in parts of about ``size`` bytes, cut only at bytes among ``ends``."""
+    low = 0
+    while low < len(data):
+        high = min(low + size, len(data))
+        while high < len(data) and data[high] not in ends:
+            high += 1
+        yield data[low:high]
+        low = high

@@ -1,17 +1,19 @@
-"""Line dedup by winnowing: repeated runs of lines are deleted where they come later.
-
-The lines of a document that hold a word are hashed, and every ``GRAM`` lines in a row form
-a gram. Of each ``WINDOW`` grams in a row the smallest (of equal ones the last) is a
-fingerprint, so any run of ``WINDOW + GRAM - 1`` lines that two places share holds one in
-both. A fingerprint's owner is its first occurrence, by document id and line. Every other
-occurrence is laid beside the owner and extended both ways while lines agree, as far as the
-next fingerprint must have come; the lines matched are deleted.
-
-The default of two lines and two grams is what the SQL of ``op7_line_dedup`` states: a line that
-repeats alone stays. With ``gram=1, window=1`` every line is a fingerprint, and each line that
-an earlier place holds is deleted (``op7_single_line_dedup``).
-
-All steps are column functions. Fingerprints carry the few line hashes around them, so
+"""Line dedup by winnowing: repeated lines are deleted where they come later.
+
+The lines of a document that hold a word are hashed. Of every ``WINDOW`` lines in a row the one with
+the smallest hash (of equal ones the last) is a fingerprint, so any ``WINDOW`` lines that two places
+share hold the same fingerprint in both. Lines of at least ``LEAST_WORDS`` words are fingerprints
+too, whatever their neighbours. A fingerprint's owner is its first place, by document id and line.
+Every later place is matched with the owner and extended both ways as far as the next
+fingerprint must have come: there the owner is the first place of the fingerprint together with
+the line after or before it, since the longer context may have come first somewhere else.
+
+So any two lines in a row that an earlier place holds are deleted, and any single line of
+``LEAST_WORDS`` words or more; a shorter line that repeats alone goes only where it is a window's
+minimum in both places. With ``least_words=1`` every line is a fingerprint, and each line that an
+earlier place holds is deleted (``op7_single_line_dedup``).
+
+All steps are column functions. Fingerprints carry the hashes of the lines around them, so
 documents themselves are never joined with each other.
 """
 
@@ -21,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.llm import bloom
-from samesense.llm.words import WORD, fresh, let, whole
+from samesense.llm.words import SPACE, WORD, fresh, let, whole
 from samesense.skew import lookup
 from samesense.storage import store
 
-GRAM = 2
 WINDOW = 2
+# Lines of so many words are fingerprints wherever they stand.
+LEAST_WORDS = 5
 
 
 def _raw_lines(text: Column) -> Column:
@@ -38,15 +41,6 @@ def worded_lines(text: Column) -> Column:
     return F.filter(_raw_lines(text), lambda line: line.rlike(WORD))
 
 
-def grams(lines: Column, gram: int = GRAM) -> Column:
-    """MD5 of every ``gram`` lines in a row."""
-    made = F.transform(
-        F.sequence(F.lit(0), F.size(lines) - gram),
-        lambda i: F.md5(F.array_join(F.slice(lines, i + 1, F.lit(gram)), "\n")),
-    )
-    return F.when(F.size(lines) >= gram, made).otherwise(F.array().cast("array<string>"))
-
-
 def winnow(hashes: Column, window: int = WINDOW) -> Column:
     """Places of the minima of every ``window`` hashes in a row, of equal ones the last."""
     last = F.greatest(F.size(hashes) - window, F.lit(0))
@@ -61,61 +55,70 @@ def winnow(hashes: Column, window: int = WINDOW) -> Column:
     )
 
 
-def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """``k1, k2, owner_id, text`` rows as fingerprints with place and surroundings."""
+def long_lines(lines: Column, least_words: int) -> Column:
+    """Places of the lines with at least so many words."""
+    long = f"(?:{WORD}{SPACE}){{{least_words - 1}}}{WORD}"
+    return F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(long), i)), lambda i: i.isNotNull())
+
+
+def fingerprints(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``k1, k2, owner_id, text`` rows as fingerprints with their place and the lines next to them.
+
+    A line is known by two 64-bit hashes: ``l0, l1``, those before it ``p0, p1``, those after ``n0, n1``.
+    """
+
+    def chosen(lines: Column) -> Column:
+        if least_words <= 1:
+            return F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
+        minima = let(F.transform(lines, lambda line: F.md5(line)), lambda hashes: winnow(hashes))
+        return F.array_distinct(F.concat(minima, long_lines(lines, least_words)))
+
     made = let(
         worded_lines(F.col("text")),
         lambda lines: F.struct(
-            F.transform(lines, lambda line: F.xxhash64(line)).alias("h"),
-            # one line is known by two hashes, as a gram of two is
-            *([F.transform(lines, lambda line: F.xxhash64(F.lit(4), line)).alias("h2")] if gram == 1 else []),
-            let(grams(lines, gram), lambda g: winnow(g, window)).alias("at"),
+            F.transform(lines, lambda line: F.xxhash64(line)).alias("h0"),
+            F.transform(lines, lambda line: F.xxhash64(F.lit(4), line)).alias("h1"),
+            chosen(lines).alias("at"),
         ),
     )
     rows = docs.select("k1", "k2", "owner_id", made.alias("made"))
-    hashes = [F.col(f"made.{name}").alias(name) for name in (["h", "h2"] if gram == 1 else ["h"])]
-    placed = rows.select("k1", "k2", "owner_id", *hashes, F.explode("made.at").alias("line"))
-    key = F.array(F.get("h", F.col("line")), F.get("h2", F.col("line"))) if gram == 1 else F.slice("h", F.col("line") + 1, gram)
-    before = F.slice("h", F.greatest(F.col("line") - window, F.lit(0)) + 1, F.least(F.col("line"), F.lit(window)))
+    placed = rows.select("k1", "k2", "owner_id", "made.h0", "made.h1", F.explode("made.at").alias("line"))
+    near = {side + str(i): F.when(F.col("line") + step >= 0, F.get(f"h{i}", F.col("line") + step))
+            for side, step in (("l", 0), ("p", -1), ("n", 1)) for i in (0, 1)}
     return placed.select(
-        key.alias("lines"),
+        *[value.alias(name) for name, value in near.items()],
         F.struct(F.col("owner_id").isNull().alias("no_id"), "owner_id", "k1", "k2", "line").alias("place"),
-        F.reverse(before).alias("before"),
-        F.slice("h", F.col("line") + gram + 1, window).alias("after"),
     )
 
 
-def _agree(one: Column, two: Column, reach: int) -> Column:
-    """Leading elements that two arrays share."""
-    steps = F.filter(
-        F.sequence(F.lit(1), F.lit(reach)),
-        lambda n: (F.size(one) >= n) & (F.size(two) >= n) & (F.slice(one, F.lit(1), n) == F.slice(two, F.lit(1), n)),
+def _later(prints: DataFrame, keys: list[str], first: str) -> DataFrame:
+    """``prints`` whose ``keys`` are in several places, with the first of them."""
+    owners = store(
+        prints.groupBy(*keys).agg(F.min("place").alias(first), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
+        "line-owners",
     )
-    return F.size(steps)
+    # a frequent line owns a large share of the rows: hot ones are split
+    return lookup(prints, owners, keys, ["place"], "inner")
 
 
-def repeated(prints: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def repeated(prints: DataFrame) -> DataFrame:
     """Runs to delete: ``k1, k2, low, high``, counting lines with a word, end exclusive."""
-    lines = [f"l{i}" for i in range(max(2, gram))]
-    prints = store(prints.select(*[F.get("lines", F.lit(i)).alias(n) for i, n in enumerate(lines)], "place", "before", "after"), "line-prints")
-    owners = store(
-        prints.groupBy(*lines)
-        .agg(
-            F.min(F.struct("place", "before", "after")).alias("owner"),
-            F.count(F.lit(1)).alias("n"),
+    prints = store(prints, "line-prints")
+    line = ["l0", "l1"]
+    again = store(_later(prints, line, "first"), "repeated-lines")
+    runs = None
+    for extended, keys, low, high in ((None, [], 0, 1), ("n0", ["n0", "n1"], 0, 2), ("p0", ["p0", "p1"], -1, 1)):
+        met = again
+        if extended:
+            met = _later(again.drop("first").where(F.col(extended).isNotNull()), line + keys, "first")
+        found = met.where("place <> first").select(
+            F.col("place.k1").alias("k1"),
+            F.col("place.k2").alias("k2"),
+            (F.col("place.line") + low).alias("low"),
+            (F.col("place.line") + high).alias("high"),
         )
-        .where("n > 1")
-        .select(*lines, "owner"),
-        "line-owners",
-    )
-    # a frequent fingerprint owns a large share of the rows: hot ones are split
-    met = lookup(prints, owners, lines, ["place"], "inner").where("place <> owner.place")
-    return met.select(
-        F.col("place.k1").alias("k1"),
-        F.col("place.k2").alias("k2"),
-        (F.col("place.line") - _agree(F.col("before"), F.col("owner.before"), window)).alias("low"),
-        (F.col("place.line") + gram + _agree(F.col("after"), F.col("owner.after"), window)).alias("high"),
-    )
+        runs = found if runs is None else runs.unionByName(found)
+    return runs
 
 
 def _delete(text: Column, runs: Column) -> Column:
@@ -148,9 +151,9 @@ def _delete(text: Column, runs: Column) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, window: int = WINDOW
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
 ) -> tuple[DataFrame, str]:
-    """``docs`` with repeated runs deleted from the text, and a column of how many lines went.
+    """``docs`` with repeated lines deleted from the text, and a column of how many lines went.
 
     Documents are ordered by id (null last), then by a hash of the text. Lines are compared
     whole; lines without a word are left where they are and do not interrupt a run. A null
@@ -163,7 +166,7 @@ def dedup_lines(
     keyed = docs.withColumn(k1, hashed(1)).withColumn(k2, hashed(2))
     plain = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(doc_id).alias("owner_id"), body.alias("text"))
     runs = store(
-        repeated(fingerprints(plain, gram, window), gram, window)
+        repeated(fingerprints(plain, least_words))
         .groupBy("k1", "k2")
         .agg(F.collect_set(F.struct("low", "high")).alias("runs")),
         "line-runs",

@@ -202,21 +202,15 @@ worded AS (
   FROM raw_lines WHERE regexp_matches(line, '[^ 	-
 ]')),
 around AS (
-  SELECT r, doc_id, i, line AS a, lead(line) OVER o AS b, lag(line) OVER o AS p1, lag(line, 2) OVER o AS p2,
-         lead(line, 2) OVER o AS n1, lead(line, 3) OVER o AS n2
+  SELECT r, doc_id, i, line, md5(line) AS h, lag(md5(line)) OVER o AS before, lead(md5(line)) OVER o AS after, lead(line) OVER o AS next
   FROM worded WINDOW o AS (PARTITION BY r ORDER BY i)),
-grams AS (SELECT *, md5(a || chr(10) || b) AS g FROM around WHERE b IS NOT NULL),
-minima AS (
-  SELECT * FROM (SELECT *, lag(g) OVER o AS pg, lead(g) OVER o AS ng FROM grams WINDOW o AS (PARTITION BY r ORDER BY i))
-  WHERE g <= pg OR g < ng OR (pg IS NULL AND ng IS NULL)),
-met AS (
-  SELECT *, first_value(r) OVER o AS fr, first_value(i) OVER o AS fi, first_value(p1) OVER o AS fp1, first_value(p2) OVER o AS fp2,
-         first_value(n1) OVER o AS fn1, first_value(n2) OVER o AS fn2
-  FROM minima WINDOW o AS (PARTITION BY a, b ORDER BY doc_id, i)),
+prints AS (
+  SELECT * FROM around
+  WHERE h <= before OR h < after OR (before IS NULL AND after IS NULL) OR regexp_matches(line, '([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{4}}[^\x20\x09-\x0D]')),
 runs AS (
-  SELECT r, i - CASE WHEN p1 = fp1 AND p2 = fp2 THEN 2 WHEN p1 = fp1 THEN 1 ELSE 0 END AS low,
-         i + 2 + CASE WHEN n1 = fn1 AND n2 = fn2 THEN 2 WHEN n1 = fn1 THEN 1 ELSE 0 END AS high
-  FROM met WHERE r <> fr OR i <> fi),
+  SELECT r, i AS low, i + 1 AS high FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, r, i) AS k FROM prints) WHERE k > 1
+  UNION ALL
+  SELECT r, i, i + 2 FROM (SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, r, i) AS k FROM around WHERE next IS NOT NULL) WHERE k > 1),
 gone AS (SELECT DISTINCT w.r, w.raw_no FROM runs u JOIN worded w ON w.r = u.r AND w.i >= u.low AND w.i < u.high),
 kept_lines AS (
   SELECT l.r, coalesce(string_agg(l.line, chr(10) ORDER BY l.raw_no) FILTER (WHERE g.r IS NULL), '') AS text, count(g.r) AS n_deleted
@@ -231,11 +225,11 @@ shortened AS (
     f"WITH {lines_sql('documents')} SELECT doc_id, n_deleted, sha256(coalesce(text, '')) AS kept_sha256 FROM shortened",
 )
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return _shortened(spark, folder, lines.GRAM, lines.WINDOW)
+    return _shortened(spark, folder, lines.LEAST_WORDS)
 
 
-def _shortened(spark: SparkSession, folder: str, gram: int, window: int) -> DataFrame:
-    shortened, count = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), gram=gram, window=window)
+def _shortened(spark: SparkSession, folder: str, least_words: int) -> DataFrame:
+    shortened, count = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), least_words=least_words)
     return shortened.select(
         "doc_id", F.col(count).alias("n_deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
@@ -254,7 +248,7 @@ FROM raw_lines l LEFT JOIN again a ON a.r = l.r AND a.raw_no = l.raw_no GROUP BY
 )
 def single_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every repeated line goes, also one that repeats alone."""
-    return _shortened(spark, folder, 1, 1)
+    return _shortened(spark, folder, 1)
 
 
 @query("op8_quality_classifier")

@@ -9,36 +9,32 @@ from samesense.llm import lines
 from samesense.llm.queries import QUERIES
 
 HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def plain_dedup(rows, gram=2, window=2):
-    """Texts of ``(id, text)`` rows without repeated runs; ids distinct."""
+def plain_dedup(rows, least_words=5):
+    """Texts of ``(id, text)`` rows without repeated lines; ids distinct."""
     docs = []
     for doc, text in rows:
         parts = (text or "").split("\n")
         worded = [i for i, line in enumerate(parts) if HAS_WORD.search(line)]
         docs.append((doc, parts, worded, [parts[i] for i in worded]))
-    prints = {}
+    seen, pairs, gone = set(), set(), [set() for _ in docs]
     for d in sorted(range(len(docs)), key=lambda d: (docs[d][0] is None, docs[d][0])):
         row = docs[d][3]
-        grams = [hashlib.md5("\n".join(row[i : i + gram]).encode()).hexdigest() for i in range(len(row) - gram + 1)]
-        chosen = set()
-        for j in range(max(1, len(grams) - window + 1) if grams else 0):
-            chosen.add(min(range(j, min(j + window, len(grams))), key=lambda i: (grams[i], -i)))
-        for i in sorted(chosen):
-            prints.setdefault(tuple(row[i : i + gram]), []).append((d, i))
-    gone = [set() for _ in docs]
-    for places in prints.values():
-        first, start = places[0]
-        other = docs[first][3]
-        for d, i in places[1:]:
-            row = docs[d][3]
-            low, high = 0, 0
-            while low < window and i - low > 0 and start - low > 0 and row[i - low - 1] == other[start - low - 1]:
-                low += 1
-            while high < window and i + gram + high < len(row) and start + gram + high < len(other) and row[i + gram + high] == other[start + gram + high]:
-                high += 1
-            gone[d].update(docs[d][2][i - low : i + gram + high])
+        hashes = [hashlib.md5(line.encode()).hexdigest() for line in row]
+        chosen = {i for i, line in enumerate(row) if len(WORDS.findall(line)) >= least_words}
+        for j in range(max(1, len(row) - 1) if row else 0):
+            chosen.add(min(range(j, min(j + 2, len(row))), key=lambda i: (hashes[i], -i)))
+        for i, line in enumerate(row):
+            if i in chosen:
+                if line in seen:
+                    gone[d].add(docs[d][2][i])
+                seen.add(line)
+            if i + 1 < len(row):
+                if (line, row[i + 1]) in pairs:
+                    gone[d].update(docs[d][2][i : i + 2])
+                pairs.add((line, row[i + 1]))
     return [
         "\n".join(line for i, line in enumerate(parts) if i not in gone[d]) if rows[d][1] is not None else None
         for d, (_, parts, _, _) in enumerate(docs)
@@ -80,26 +76,43 @@ def test_edge_rows_and_repeats(spark):
     assert [r[count] for r in rows if r["doc_id"] is None] .count(3) == 1
 
 
-def test_any_long_run_is_found(spark):
-    """A run of ``WINDOW + GRAM - 1`` lines shared by two documents loses lines in the later one."""
-    n = lines.WINDOW + lines.GRAM - 1
+def test_any_run_of_two_lines_is_found(spark):
+    """Two short lines in a row that an earlier document has go, both of them."""
     rows = []
     for d in range(60):
-        run = [f"run {d} {i}" for i in range(n)]
+        run = [f"run {d} {i}" for i in range(lines.WINDOW)]
         rows += [(2 * d, "\n".join([f"a{d}", *run, f"b{d}"])), (2 * d + 1, "\n".join([f"c{d}", *run, f"d{d}"]))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     shortened, count = lines.dedup_lines(docs)
-    assert all((r[count] >= lines.GRAM) == (r["doc_id"] % 2 == 1) for r in shortened.collect())
+    assert all(r[count] == 2 * (r["doc_id"] % 2) for r in shortened.collect())
+
+
+def test_first_place_of_a_longer_run(spark):
+    """The first place of a line is alone, a later one holds a run that a third repeats."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for d in range(0, 120, 3):
+        x, y, z = (f"{w} {rng.random()}" for w in ("one", "two", "three"))
+        texts = [rng.choice([[x], [y], [z]]), [x, y, z], [x, y, z]]
+        rows += [(d + k, "\n".join([f"a{d + k}", *t, f"b{d + k}"])) for k, t in enumerate(texts)]
+        want[d + 2] = f"a{d + 2}\nb{d + 2}"
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    shortened, _ = lines.dedup_lines(docs)
+    assert {r["doc_id"]: r["text"] for r in shortened.collect() if r["doc_id"] % 3 == 2} == want
 
 
 def test_lone_lines_are_deleted(spark):
-    """One short and one 50-word line, each shared alone between unlike neighbours."""
-    long = " ".join(f"word{i}" for i in range(50))
-    rows = [(d, "\n".join([f"a{d}", "shared line", f"b{d}", "", long, f"c{d}"])) for d in range(40)]
+    """A line of two, of five and of fifty words, each shared alone between unlike neighbours."""
+    long, five = (" ".join(f"word{i}" for i in range(n)) for n in (50, 5))
+    rows = [(d, "\n".join([f"a{d}", "shared line", f"b{d}", "", long, f"c{d}", f" {five} ", f"d{d}"])) for d in range(40)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    shortened, count = lines.dedup_lines(docs, gram=1, window=1)
-    got = {r["doc_id"]: (r["text"], r[count]) for r in shortened.collect()}
-    assert got == {d: (t, 0) if d == 0 else (f"a{d}\nb{d}\n\nc{d}", 2) for d, t in rows}
+    for least, most in ((lines.LEAST_WORDS, 2), (1, 3)):
+        shortened, count = lines.dedup_lines(docs, least_words=least)
+        got = {r["doc_id"]: (r["text"], r[count]) for r in shortened.collect()}
+        assert got[0] == (rows[0][1], 0)
+        for d in range(1, 40):
+            assert most <= got[d][1] <= 3 and long not in got[d][0] and five not in got[d][0]
+            assert got[d][0].replace("shared line\n", "") == f"a{d}\nb{d}\n\nc{d}\nd{d}"
     # the query too: no line with a word is left twice
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()

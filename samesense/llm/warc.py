@@ -20,6 +20,9 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 MAX_ROUNDS = 64
 FILTER_BYTES = 32 << 20
+# The profile of a record that repeats a payload, and a time that says nothing.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+DATE = "1970-01-01T00:00:00Z"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -62,10 +65,13 @@ def revisits(pages: DataFrame, page_id: str, payload: str, least_bytes: int = 0)
 
 
 def write_archive(
-    pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0
+    pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, date: str = DATE
 ) -> None:
     """One record per page; files are as many as the result has partitions.
 
+    ``date`` is the time of capture that every record states, in UTC; it is given and not taken from
+    the clock, so that a run again writes the same bytes.
+
     A null payload is empty; a null id or URL leaves its header value empty. Of pages with
     equal payloads those with the smallest id are responses, the others revisits without a
     block; so rows repeated with the smallest id are all responses.
@@ -81,6 +87,8 @@ def write_archive(
     lines = [
         (F.lit("WARC-Type: "), F.when(again, "revisit").otherwise("response")),
         (F.lit("WARC-Record-ID: "), name("_id")),
+        (F.lit("WARC-Date: "), F.lit(date)),
+        (F.lit("WARC-Profile: "), F.when(again, PROFILE)),
         (F.lit("WARC-Target-URI: "), uri),
         (F.lit("WARC-Payload-Digest: sha1:"), F.col("_digest")),
         (F.lit("WARC-Payload-Length: "), F.col("_bytes").cast("string")),

@@ -89,3 +89,18 @@ def test_payload_text_is_in_the_archive(spark, tmp_path):
     data = b"".join(f.read_bytes() for f in sorted((tmp_path / "archive").glob("part-*")))
     assert ("ünï\U0001f600\r\n\r\n" * 9).encode() in data
     assert b"\r\nInjected" not in data
+
+
+def test_mandatory_headers(spark, tmp_path):
+    """Every record states a date, every revisit a profile; the same pages give the same bytes."""
+    found = []
+    for run in ("one", "two"):
+        path = str(tmp_path / run)
+        warc.write_archive(pages(spark).coalesce(1), path, date="2024-05-06T07:08:09Z")
+        found.append(b"".join(f.read_bytes() for f in sorted((tmp_path / run).glob("part-*"))))
+    assert found[0] == found[1]
+    heads = [r.split(b"\r\n\r\n")[0] for r in found[0].split(b"WARC/1.1\r\nWARC-Type: ") if b"<urn:page:999>" not in r and b"WARC-Date" in r]
+    assert len(heads) > 250
+    for head in heads:
+        assert b"\r\nWARC-Date: 2024-05-06T07:08:09Z\r\n" in head
+        assert (b"\r\nWARC-Profile: http" in head) == head.startswith(b"revisit")

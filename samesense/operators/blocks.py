@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
 
 from samesense.skew import lookup
 from samesense.storage import store
@@ -26,8 +28,8 @@ SEED = 42
 STARTS = 10
 MAX_ITER = 300
 TOLERANCE = 1e-4
-# Rows per cluster in the bounded sample from which starting centers are drawn.
-SEED_ROWS_PER_CLUSTER = 100
+# Fits that run side by side on the same vectors.
+PARALLEL_FITS = 5
 
 # Centers up to this size are sent to every executor.
 CENTER_BYTES = 64 << 20
@@ -62,50 +64,44 @@ def fit_blocks(
     seed: int = SEED,
     starts: int = STARTS,
 ) -> Blocks:
-    """K-means blocks: the best of ``starts`` fits. ``df`` should be a stored table.
+    """K-means blocks: the best of ``starts`` fits of Spark's own k-means.
 
-    All starts move in the same passes: a pass over the vectors hands on one sum per task,
-    start and cluster, and starts that have settled drop out. Starting centers are drawn
-    from a bounded sample chosen by a hash and first settle on it. Labels are attached row by row, without a join.
+    Every start seeds itself by k-means|| on the executors. All starts read one cached
+    table of vectors, ``PARALLEL_FITS`` at a time, so that the many short jobs of one fit
+    leave no slots idle. Of equal costs the first start is kept. ``df`` should be a stored table.
     """
-    spark = df.sparkSession
     n, k = df.agg(
         F.count(F.lit(1)), cluster_count(F.count(F.lit(1)), max_cluster_size, max_clusters)
     ).first()
+    features = array_to_vector(F.col(vector)).alias("_features")
     if k < 2:
         center = df.agg(Summarizer.mean(array_to_vector(F.col(vector))).alias("c"))
         centers = center.select(
             F.lit(0).alias("cluster_id"), vector_to_array("c").alias("center")
         )
         return Blocks(df.withColumn("cluster_id", F.lit(0)), centers, 1, n, None)
-    order = F.xxhash64(F.lit(seed), "row_id") if "row_id" in df.columns else F.xxhash64(F.lit(seed), vector)
-    sample = df.select(vector).orderBy(order).limit(SEED_ROWS_PER_CLUSTER * k).toArrow()
-    points = _matrix(sample[vector], sample.num_rows)
-    tried = [
-        _settled(points, _spread_out(points, k, np.random.default_rng(seed + start))) for start in range(starts)
-    ]
-    moving = list(range(starts))
-    for _ in range(MAX_ITER):
-        sums = _sums(df, vector, [tried[start] for start in moving])
-        still = []
-        for place, start in enumerate(moving):
-            fresh = tried[start].copy()
-            for cluster, (count, total, _) in sums[place].items():
-                fresh[cluster] = total / count
-            moved = ((fresh - tried[start]) ** 2).sum(axis=1).max()
-            tried[start] = fresh
-            if moved > TOLERANCE**2:
-                still.append(start)
-        moving = still
-        if not moving:
-            break
-    costs = [sum(cost for *_, cost in found.values()) for found in _sums(df, vector, tried)]
-    best = int(np.argmin(costs))
-    centers = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(tried[best])],
+    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(start: int) -> KMeansModel:
+        return KMeans(
+            k=k,
+            seed=seed + start,
+            maxIter=MAX_ITER,
+            tol=TOLERANCE,
+            featuresCol="_features",
+            predictionCol="cluster_id",
+        ).fit(vectors)
+
+    with ThreadPoolExecutor(min(starts, PARALLEL_FITS)) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(starts)))
+    vectors.unpersist()
+    best = min(models, key=lambda model: model.summary.trainingCost)
+    centers = df.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(best.clusterCenters())],
         "cluster_id int, center array<double>",
     )
-    return Blocks(_labelled(df, vector, tried[best]), centers, k, n, float(costs[best]))
+    rows = best.transform(df.select("*", features)).drop("_features")
+    return Blocks(rows, centers, k, n, float(best.summary.trainingCost))
 
 
 def given_blocks(df: DataFrame, vector: str, centers: DataFrame) -> Blocks:
@@ -116,96 +112,6 @@ def given_blocks(df: DataFrame, vector: str, centers: DataFrame) -> Blocks:
     return Blocks(rows, centers, centers.count(), n, cost)
 
 
-def _spread_out(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centers: each next one is drawn in proportion to its squared distance."""
-    chosen = [points[rng.integers(len(points))]]
-    nearest = ((points - chosen[0]) ** 2).sum(axis=1)
-    while len(chosen) < k:
-        total = nearest.sum()
-        place = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
-        chosen.append(points[place])
-        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
-    return np.array(chosen)
-
-
-def _settled(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Centers moved over the bounded sample until they rest, which saves passes over all rows."""
-    for _ in range(MAX_ITER):
-        label, _ = _nearest(points, np.arange(len(centers)), centers)
-        count = np.bincount(label, minlength=len(centers))
-        total = np.zeros_like(centers)
-        np.add.at(total, label, points)
-        fresh = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], centers)
-        moved = ((fresh - centers) ** 2).sum(axis=1).max()
-        centers = fresh
-        if moved <= TOLERANCE**2:
-            break
-    return centers
-
-
-def _sums(
-    df: DataFrame, vector: str, starts: list[np.ndarray]
-) -> list[dict[int, tuple[int, np.ndarray, float]]]:
-    """Count, vector sum and cost of each cluster for several sets of centers, in one pass."""
-    shared = df.sparkSession.sparkContext.broadcast(starts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = shared.value
-        held: dict[tuple[int, int], list] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column(0), batch.num_rows)
-            for start, centers in enumerate(sets):
-                label, far = _nearest(x, np.arange(len(centers)), centers)
-                for cluster in np.unique(label):
-                    own = label == cluster
-                    entry = held.setdefault((start, int(cluster)), [0, np.zeros(x.shape[1]), 0.0])
-                    entry[0] += int(own.sum())
-                    entry[1] += x[own].sum(axis=0)
-                    entry[2] += float((far[own] ** 2).sum())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([key[0] for key in held], pa.int32()),
-                pa.array([key[1] for key in held], pa.int32()),
-                pa.array([e[0] for e in held.values()], pa.int64()),
-                pa.array([e[1] for e in held.values()], pa.list_(pa.float64())),
-                pa.array([e[2] for e in held.values()], pa.float64()),
-            ],
-            names=["start", "cluster", "n", "total", "cost"],
-        )
-
-    parts = df.select(vector).mapInArrow(
-        run, "start int, cluster int, n bigint, total array<double>, cost double"
-    )
-    found = parts.groupBy("start", "cluster").agg(
-        F.sum("n").alias("n"),
-        vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
-        F.sum("cost").alias("cost"),
-    )
-    out: list[dict[int, tuple[int, np.ndarray, float]]] = [{} for _ in starts]
-    # at most one row per start and cluster
-    for row in found.collect():
-        out[row["start"]][row["cluster"]] = (row["n"], np.array(row["total"]), row["cost"])
-    return out
-
-
-def _labelled(df: DataFrame, vector: str, centers: np.ndarray) -> DataFrame:
-    """``df`` with the number of the nearest center as ``cluster_id``."""
-    place = df.columns.index(vector)
-    labels = [*df.columns, "cluster_id"]
-    shared = df.sparkSession.sparkContext.broadcast(centers)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                label, _ = _nearest(_matrix(batch.column(place), batch.num_rows), np.arange(len(own)), own)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label, pa.int32())], names=labels)
-
-    return df.mapInArrow(run, StructType([*df.schema.fields]).add("cluster_id", IntegerType()))
-
-
 def centers_of(df: DataFrame, vector: str, cluster: str = "cluster_id") -> DataFrame:
     """Mean vector of each cluster; whole vectors are combined before the shuffle."""
     return (

@@ -11,13 +11,16 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samesense.functions.text import embedding_text
+from samesense.functions.text import CHARS_PER_TOKEN, embedding_text
 from samesense.functions.vectors import DIMENSIONS, hashed_words
 
 # The token limit of the encoders and the clamp of an all-masked text.
 MAX_TOKENS = 512
 CLAMP = 1e-9
 
+# Estimated tokens of a batch, padding included.
+BATCH_TOKENS = 16_384
+
 Encoder = Callable[[list[str]], "np.ndarray"]
 
 
@@ -27,6 +30,22 @@ def with_text(df: DataFrame, name: str = "text") -> DataFrame:
     )
 
 
+def token_batches(texts: list[str], batch_texts: int, batch_tokens: int, limit: int) -> Iterator[np.ndarray]:
+    """Places of the texts of each batch, short texts first.
+
+    A batch is as wide as its longest text, as the encoder pads it: its number of texts times
+    their longest estimate, cut at ``limit``, stays within ``batch_tokens``; a text alone may
+    be up to ``limit`` wide.
+    """
+    sizes = np.array([min(max(1, len(t or "") // CHARS_PER_TOKEN), limit) for t in texts], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    start = 0
+    for end in range(1, len(order) + 1):
+        if end == len(order) or end - start >= batch_texts or (end - start + 1) * sizes[order[end]] > batch_tokens:
+            yield order[start:end]
+            start = end
+
+
 def embed(
     df: DataFrame,
     make_encoder: Callable[[], Encoder],
@@ -34,29 +53,43 @@ def embed(
     output: str = "embedding",
     batch_texts: int = 256,
     partitions: int | None = None,
+    batch_tokens: int = BATCH_TOKENS,
+    max_tokens: int = MAX_TOKENS,
+    truncate: bool = False,
 ) -> DataFrame:
     """Add the vectors a caller's encoder gives for a text column.
 
     ``make_encoder`` runs once per partition, where it may load a model; the encoder maps
-    a list of texts to a matrix. Batches keep the model's memory use steady;
-    ``partitions`` deals out a table that is small in bytes but much work.
+    a list of texts to a matrix. Texts of a like length go together, and a batch is bounded in
+    texts and in estimated tokens, so a long text among short ones does not widen them all.
+    An encoder is taken to read ``max_tokens`` of a text; with ``truncate`` the rest is not
+    even handed over. ``partitions`` deals out a table that is small in bytes but much work.
     """
     if partitions:
         df = df.repartition(partitions)
     position = df.columns.index(text)
+    longest = max_tokens * CHARS_PER_TOKEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_texts):
-                part = batch.slice(start, batch_texts)
-                if encoder is None:
-                    encoder = make_encoder()
-                matrix = np.asarray(encoder(part.column(position).to_pylist()), dtype=np.float32)
-                vectors = pa.array(list(matrix), type=pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, vectors], names=[*part.schema.names, output]
-                )
+            if not batch.num_rows:
+                continue
+            if encoder is None:
+                encoder = make_encoder()
+            texts = batch.column(position).to_pylist()
+            if truncate:
+                texts = [t and t[:longest] for t in texts]
+            vectors = None
+            for places in token_batches(texts, batch_texts, batch_tokens, max_tokens):
+                matrix = np.asarray(encoder([texts[i] for i in places]), dtype=np.float32)
+                if vectors is None:
+                    vectors = np.empty((len(texts), matrix.shape[1]), np.float32)
+                vectors[places] = matrix
+            size = vectors.shape[1]
+            offsets = np.arange(0, vectors.size + 1, size, dtype=np.int32) if size else np.zeros(len(texts) + 1, np.int32)
+            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(vectors.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, output])
 
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields

@@ -1,15 +1,22 @@
-"""Run a caller's text model over a prompt table."""
+"""Run a caller's text model over a prompt table.
+
+A reply costs more than anything else in a run. ``answered_once`` keeps replies in a table
+keyed by what was asked: equal prompts are asked once, a run that was stopped goes on with
+the prompts that have no reply yet, and a later run asks only what is new.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samesense.functions.text import CHARS_PER_TOKEN, context_name
-from samesense.storage import discard, store
+from samesense.skew import lookup
+from samesense.storage import discard, exists, fresh_path, store
 
 # Generation defaults and the number of attempts.
 MAX_NEW_TOKENS = 2048
@@ -19,6 +26,8 @@ ATTEMPTS = 3
 
 # Prompts of one task: a lost task repeats no more calls than these.
 TASK_PROMPTS = 256
+# Tasks per slot whose replies are written together: what a stopped run may have to ask again.
+GROUP_WAVES = 2
 
 Generate = Callable[..., list[str]]
 
@@ -76,8 +85,9 @@ def infer(
     text per prompt and always text, also for JSON. A failed batch is tried again prompt
     by prompt until ``attempts`` is used up; then the last error is raised, or recorded
     with a null response if ``on_error`` is ``"record"``. Prompts are few bytes but much
-    work, so they are dealt out over ``partitions`` (by default all task slots) instead of
-    being left in the few partitions their size would suggest.
+    work, so they are dealt out over ``partitions`` instead of being left in the few
+    partitions their size would suggest: by default ``TASK_PROMPTS`` a task, and at least one task
+    per slot. For that the prompts are counted, so ``df`` should be cheap to read twice.
     """
     if on_error not in ("raise", "record"):
         raise ValueError("on_error must be 'raise' or 'record'")
@@ -135,24 +145,100 @@ def infer(
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    slots = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots).mapInArrow(run, f"{schema}, response string, attempts int, error string")
+    return df.repartition(partitions or _parts(df)).mapInArrow(run, f"{schema}, response string, attempts int, error string")
+
+
+def _parts(prompts: DataFrame) -> int:
+    slots = prompts.sparkSession.sparkContext.defaultParallelism
+    return max(slots, -(-prompts.count() // TASK_PROMPTS))
 
 
-def answered(df: DataFrame, generate: Generate, label: str, **options) -> DataFrame:
+def answered(df: DataFrame, generate: Generate, label: str, folder: str | None = None, **options) -> DataFrame:
     """``infer``, written to the shared folder: a reply is costly and never the same twice.
 
     The prompts are written first, so that they can be counted: tasks get a bounded number
-    of them, and all slots work if there are few.
+    of them, and all slots work if there are few. With ``folder`` replies are kept there under
+    ``label``, as ``answered_once`` does.
     """
     prompts = store(df, f"{label}-prompts")
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    options.setdefault("partitions", max(slots, -(-prompts.count() // TASK_PROMPTS)))
-    replies = store(infer(prompts, generate, **options), label)
+    if folder is None:
+        replies = store(infer(prompts, generate, **options), label)
+    else:
+        replies = store(answered_once(prompts, generate, f"{folder}/{label}", **options), label)
     discard(prompts)
     return replies
 
 
+def reply_key(prompt: Column, model: str = "", **parameters) -> Column:
+    """What was asked, as a hash: the prompt, the model's name and the generation parameters."""
+    said = json.dumps([model, parameters], sort_keys=True)
+    return F.sha2(F.concat(F.lit(said), F.when(prompt.isNull(), "-").otherwise(F.concat(F.lit("+"), prompt))), 256)
+
+
+def known_replies(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Replies kept in ``folder``: ``key, response, attempts, error``, one row per key.
+
+    A prompt that failed and was answered later has its answer; None if there is no table.
+    """
+    if not exists(spark, folder):
+        return None
+    said = spark.read.schema("key string, response string, attempts int, error string").parquet(folder)
+    best = F.max_by(F.struct("response", "attempts", "error"), F.col("error").isNull())
+    return said.groupBy("key").agg(best.alias("said")).select("key", "said.*")
+
+
+def answered_once(
+    df: DataFrame,
+    generate: Generate,
+    folder: str,
+    prompt: str = "prompt",
+    *,
+    model: str = "",
+    group_prompts: int | None = None,
+    max_tokens: int = MAX_NEW_TOKENS,
+    temperature: float = TEMPERATURE,
+    repeat_penalty: float = REPEAT_PENALTY,
+    **options,
+) -> DataFrame:
+    """Add ``response, attempts, error`` to a stored ``df``, asking no prompt twice.
+
+    Replies are kept in ``folder``, keyed by prompt, ``model`` and generation parameters. Prompts
+    without a reply there are asked in groups of about ``group_prompts`` (by default what all
+    slots do in ``GROUP_WAVES`` rounds of tasks); a group's replies are committed together,
+    so a run that is stopped loses one group, and the same call goes on from there. Failed
+    prompts are recorded, and asked again by the next call.
+    """
+    spark = df.sparkSession
+    parameters = {"max_tokens": max_tokens, "temperature": temperature, "repeat_penalty": repeat_penalty}
+    key = reply_key(F.col(prompt), model, **parameters)
+    asked = df.groupBy(key.alias("key")).agg(F.first(prompt).alias("prompt"))
+    known = known_replies(spark, folder)
+    if known is not None:
+        asked = asked.join(known.where("error is null").select("key"), "key", "left_anti")
+    asked = store(asked, "asked")
+    missing = asked.count()
+    if missing:
+        slots = spark.sparkContext.defaultParallelism
+        size = group_prompts or slots * GROUP_WAVES * TASK_PROMPTS
+        groups = -(-missing // size)
+        path = fresh_path(spark, "groups")
+        number = F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int")
+        asked.withColumn("group", number).repartition("group").write.partitionBy("group").parquet(path)
+        tasks = min(size, max(slots, -(-min(size, missing) // TASK_PROMPTS)))
+        for group in range(groups):
+            part = spark.read.schema("key string, prompt string, group int").parquet(path).where(F.col("group") == group)
+            said = infer(part, generate, **parameters, **{"partitions": tasks, **options})
+            said.select("key", "response", "attempts", "error").write.mode("append").parquet(folder)
+    discard(asked)
+    replies = known_replies(spark, folder)
+    keyed = df.withColumn("key", key)
+    if replies is None:
+        empty = [F.lit(None).cast(kind).alias(name) for name, kind in (("response", "string"), ("attempts", "int"), ("error", "string"))]
+        return keyed.select(*df.columns, *empty)
+    # a prompt that many rows share is a hot key
+    return lookup(keyed, replies, ["key"], df.columns).select(*df.columns, "response", "attempts", "error")
+
+
 def reply_archive(replies: DataFrame) -> DataFrame:
     """Raw replies with a file-safe context name and the time: ``context, response, ts``."""
     return replies.select(

@@ -1,9 +1,9 @@
 """Prompt tables: what a judge and a chooser are shown.
 
 A prompt lists at most ``page_rows`` rows, so no task ever holds a whole large block. A
-block that needs more is cut into half pages and every two half pages share a prompt:
-any two rows of the block are still shown together. That costs a prompt per pair of half
-pages, so blocks should mostly fit one page (raise ``max_clusters`` with the data).
+block that needs more is covered by pages (``cover``): rows whose vectors are alike are still
+shown together, and the number of prompts grows with the rows. Without vectors a block is cut
+into half pages and every two half pages share a prompt, a prompt per pair of half pages.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.functions.text import group_label
+from samesense.operators.cover import covering_pages, half_pages
 from samesense.skew import lookup, meet, positions
 from samesense.storage import store
 
@@ -29,39 +30,42 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     )
 
 
+# The labels of a listing's line, and the prefixes of the contexts.
+NAME, DEFINITION = "Name: ", " | Definition: "
+DETECT_CONTEXT, BEST_CONTEXT = "detect_duplicates_cluster_", "best_attribute_"
+
+
 def _line(number: Column) -> Column:
     return F.concat(
         number.cast("string"),
-        F.lit(". Name: "),
+        F.lit(". " + NAME),
         F.coalesce("attribute_name", F.lit("nan")),
-        F.lit(" | Definition: "),
+        F.lit(DEFINITION),
         F.coalesce("attribute_definition", F.lit("nan")),
         F.when(F.col("copies") > 1, F.concat(F.lit(" | Rows: "), F.col("copies").cast("string"))).otherwise(""),
     )
 
 
-def _paged(df: DataFrame, page_rows: int) -> DataFrame:
-    """Add ``page`` and ``pages`` to rows that carry ``pos`` and ``n`` of their group."""
-    half = max(1, page_rows // 2)
-    halves = F.ceil(F.col("n") / F.lit(half))
-    own = F.floor((F.col("pos") - 1) / F.lit(half))
-    partners = F.filter(F.sequence(F.lit(0).cast("bigint"), halves - 1), lambda o: o != own)
-    pages = F.when(F.col("n") <= page_rows, F.array(F.lit(0).cast("bigint"))).otherwise(
-        F.transform(partners, lambda o: F.least(own, o) * halves + F.greatest(own, o))
-    )
-    count = F.when(F.col("n") <= page_rows, F.lit(1)).otherwise(halves * (halves - 1) / 2)
-    return df.withColumn("pages", count.cast("bigint")).withColumn("page", F.explode(pages))
-
-
-def listings(df: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+def listings(
+    df: DataFrame, page_rows: int = PAGE_ROWS, vector: str | None = None, threshold: float | None = None
+) -> DataFrame:
     """Numbered listing of each cluster: ``cluster_id, page, pages, n_rows, n_lines, attributes, listing``.
 
-    ``n_rows`` counts copies, ``n_lines`` does not; ``attributes`` are the names in order.
+    ``n_rows`` counts copies, ``n_lines`` does not; ``attributes`` are the names in order. Without a
+    ``vector`` every two rows of a cluster share a page; with it those whose cosine is at least
+    ``threshold``, and the number of pages follows the number of rows.
     """
     lines = store(distinct_rows(df), "lines")
     shown = positions(lines, "row_id", ["cluster_id"])
-    sizes = lines.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-    paged = _paged(lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner"), page_rows)
+    if vector is None or threshold is None:
+        sizes = lines.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+        paged = half_pages(lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner"), page_rows)
+    else:
+        vectors = lines.select("cluster_id", "row_id").join(df.select("row_id", vector), "row_id")
+        paged = shown.join(covering_pages(vectors, vector, threshold, page_rows), ["cluster_id", "row_id"])
+    paged = store(paged, "paged-lines")
+    pages = paged.groupBy("cluster_id").agg(F.count_distinct("page").alias("pages"))
+    paged = lookup(paged, pages, ["cluster_id"], ["row_id"], "inner")
     line = F.struct("pos", _line(F.col("pos")).alias("line"), "attribute_name")
     return (
         paged.groupBy("cluster_id", "page", "pages")
@@ -97,7 +101,7 @@ def detect_prompts(listed: DataFrame) -> DataFrame:
         "prompt", F.concat(F.lit(DETECT_HEAD), F.col("listing"), F.lit(DETECT_TAIL))
     ).withColumn(
         "context",
-        F.concat(F.lit("detect_duplicates_cluster_"), F.col("cluster_id").cast("string")),
+        F.concat(F.lit(DETECT_CONTEXT), F.col("cluster_id").cast("string")),
     )
 
 
@@ -139,10 +143,10 @@ def best_prompts(
         "pages", F.ceil(F.col("n") / F.lit(page_rows))
     )
     line = F.concat(
-        F.lit("Name: "),
+        F.lit(NAME),
         F.col("attribute_name"),
         F.when(F.col("existing"), F.lit(" | [EXISTING]")).otherwise(F.lit("")),
-        F.lit(" | Definition: "),
+        F.lit(DEFINITION),
         F.coalesce("attribute_definition", F.lit("nan")),
     )
     listed = F.sort_array(
@@ -159,7 +163,7 @@ def best_prompts(
             "page",
             "pages",
             F.array_distinct(F.transform(by_seq, lambda e: e["a"])).alias("names"),
-            F.concat(F.lit("best_attribute_"), group_label(F.array_distinct("_l.attribute_name"))).alias("context"),
+            F.concat(F.lit(BEST_CONTEXT), group_label(F.array_distinct("_l.attribute_name"))).alias("context"),
             F.concat(
                 F.lit(BEST_HEAD + (BEST_OLD if incremental else "") + "\n"),
                 F.concat_ws("\n", F.col("_l.line")),

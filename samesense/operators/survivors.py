@@ -99,14 +99,15 @@ def model_choices(
     generate: Generate,
     incremental: bool = False,
     page_rows: int = PAGE_ROWS,
+    folder: str | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """``model_best`` and the replies of all rounds."""
+    """``model_best`` and the replies of all rounds, which are kept in ``folder`` if it is given."""
     decided = replies = None
     options = {"on_error": "record", **options}
     while True:
         prompts = best_prompts(members, rows, incremental, page_rows)
-        said = answered(prompts, generate, "choices", **options)
+        said = answered(prompts, generate, "choices", folder, **options)
         replies = said if replies is None else replies.unionByName(said)
         picks = chosen_best(said)
         final = picks.where("pages = 1").select("group_id", "best_attribute")

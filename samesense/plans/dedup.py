@@ -80,6 +80,7 @@ def _choose(
     survivor: Generate | None,
     incremental: bool,
     page_rows: int,
+    folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Best name per group; a group with an existing row never reaches the model."""
     old = replies = None
@@ -91,7 +92,7 @@ def _choose(
     if survivor is None:
         best = S.rule_best(members, rows)
     else:
-        best, replies = S.model_choices(members, rows, survivor, incremental, page_rows)
+        best, replies = S.model_choices(members, rows, survivor, incremental, page_rows, folder)
     return best if old is None else old.unionByName(best), replies
 
 
@@ -116,6 +117,7 @@ def _by_similarity(
     incremental: bool,
     drop_same_name: bool,
     page_rows: int,
+    folder: str | None,
 ) -> Judged:
     """Verdicts by row: rows of a block connected by similar vectors are one group."""
     groups = store(similar_groups(rows, "cluster_id", vector, threshold), "connected")
@@ -142,7 +144,7 @@ def _by_similarity(
         )
     else:
         members = grouped.select("group_id", "attribute_name", F.col("row_id").alias("seq"))
-        names, choices = _choose(members, grouped, survivor, incremental, page_rows)
+        names, choices = _choose(members, grouped, survivor, incremental, page_rows, folder)
         stays = lookup(grouped, names, ["group_id"], ["row_id"], "inner").where(
             "attribute_name <=> best_attribute"
         )
@@ -174,16 +176,20 @@ def _by_model(
     incremental: bool,
     drop_same_name: bool,
     page_rows: int,
+    folder: str | None,
+    vector: str | None,
+    candidates: float | None,
 ) -> Judged:
     """Verdicts by name: a model reads the listing of each block.
 
     A prompt that fails to the last attempt is recorded, and its rows count as different.
     """
-    listed = P.listings(R.in_shared_clusters(rows), page_rows).where("n_rows > 1")
-    replies = answered(P.detect_prompts(listed), judge, "replies", on_error="record")
+    listed = P.listings(R.in_shared_clusters(rows), page_rows, vector, candidates).where("n_rows > 1")
+    rows = rows if vector is None else rows.drop(vector)
+    replies = answered(P.detect_prompts(listed), judge, "replies", folder, on_error="record")
     items = store(V.verdict_items(replies), "items")
     merged = store(V.merge_pages(items, rows), "merged")
-    judged = _from_items(merged, rows, survivor, incremental, drop_same_name, page_rows)
+    judged = _from_items(merged, rows, survivor, incremental, drop_same_name, page_rows, folder)
     judged.replies = replies
     return judged
 
@@ -195,10 +201,11 @@ def _from_items(
     incremental: bool,
     drop_same_name: bool,
     page_rows: int,
+    folder: str | None = None,
 ) -> Judged:
     flags = store(V.flagged_items(items, rows), "flags")
     shared = store(V.shared_groups(V.group_members(flags)), "shared")
-    best, choices = _choose(shared, rows, survivor, incremental, page_rows)
+    best, choices = _choose(shared, rows, survivor, incremental, page_rows, folder)
     best = store(best, "best")
     judged = V.apply_by_name(rows, V.name_verdicts(flags))
     marked = S.mark_losers(judged, S.losing_names(shared, best))
@@ -236,14 +243,23 @@ def judge_rows(
     incremental: bool = False,
     drop_same_name: bool = False,
     page_rows: int = P.PAGE_ROWS,
+    replies: str | None = None,
+    candidates: float | None = THRESHOLD,
 ) -> Judged:
-    """``detect_duplicates`` with the models' replies and the best names."""
+    """``detect_duplicates`` with the models' replies and the best names.
+
+    A judge is shown rows of a block larger than a page together from the similarity
+    ``candidates`` on, if there are vectors; with None any two rows, at the price of prompts that
+    grow with the square of the block.
+    With a folder ``replies`` the models' replies are kept there and no prompt is asked twice.
+    """
     rows = clustered.drop("is_duplicate", "duplicate_group_id", "keep", "should_remove")
     if judge is None:
         return _by_similarity(
-            rows, vector, threshold, survivor, incremental, drop_same_name, page_rows
+            rows, vector, threshold, survivor, incremental, drop_same_name, page_rows, replies
         )
-    return _by_model(rows.drop(vector), judge, survivor, incremental, drop_same_name, page_rows)
+    shown = vector if vector in rows.columns else None
+    return _by_model(rows, judge, survivor, incremental, drop_same_name, page_rows, replies, shown, candidates)
 
 
 def detect_duplicates(
@@ -278,6 +294,8 @@ def deduplicate(
     partitions: int | None = None,
     vectors: DataFrame | None = None,
     centers: DataFrame | None = None,
+    replies: str | None = None,
+    candidates: float | None = THRESHOLD,
 ) -> Run:
     """Find duplicates in ``row_id, attribute_name, attribute_definition`` rows.
 
@@ -285,7 +303,9 @@ def deduplicate(
     small in bytes but much work for the encoder. Rows whose ``row_id`` is in ``vectors``
     (``row_id, embedding``, as an earlier run wrote them) are not embedded again.
     With ``centers`` (``cluster_id, center``) each row goes to the nearest of them, and no
-    k-means is fitted.
+    k-means is fitted. ``replies`` names a folder that keeps the models' replies: a run that was
+    stopped, or one over more rows, asks only prompts that have no reply there. ``candidates`` is
+    the similarity from which two rows of a block larger than a page share a prompt (see ``judge_rows``).
     """
     if incremental and "source" not in df.columns:
         raise ValueError("an incremental run needs earlier results; see deduplicate_incremental")
@@ -318,17 +338,19 @@ def deduplicate(
             incremental=incremental,
             drop_same_name=drop_same_name,
             page_rows=page_rows,
+            replies=replies,
+            candidates=candidates,
         )
         result = keep(store(R.removal_flag(judged.rows), "result"))
         best = None if judged.best is None else keep(store(judged.best, "best"))
-        replies = None if judged.replies is None else keep(judged.replies)
+        said = None if judged.replies is None else keep(judged.replies)
         choices = None if judged.choices is None else keep(store(judged.choices, "all-choices"))
         summary, records = run_summary(result), None
-        if replies is not None:
-            records = V.verdict_records(replies)
-            failed = replies.agg(F.count_if(F.col("error").isNotNull())).scalar()
+        if said is not None:
+            records = V.verdict_records(said)
+            failed = said.agg(F.count_if(F.col("error").isNotNull())).scalar()
             summary = summary.withColumn("failed_prompts", failed)
-        return Run(result, fitted, summary, replies, choices, records, best)
+        return Run(result, fitted, summary, said, choices, records, best)
 
 
 def write_all(

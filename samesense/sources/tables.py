@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samesense.storage import store
+from samesense.storage import discard, store
+
+# Records that one task writes.
+FILE_ROWS = 100_000
 
 # The types of the columns a run writes; every other column is text.
 KNOWN_TYPES = {
@@ -155,10 +158,17 @@ def write_blocks(rows: DataFrame, sizes: DataFrame, metrics: DataFrame, folder:
 
 
 def write_verdicts(records: DataFrame, best: DataFrame, folder: str) -> None:
-    """Verdicts by cluster and the best names by group."""
-    records.write.partitionBy("cluster_id").option("ignoreNullFields", "false").json(
-        f"{folder}/duplicates"
-    )
+    """Verdicts by cluster and the best names by group.
+
+    The records are counted and dealt out by ranges of clusters, ``FILE_ROWS`` to a task: a cluster is one
+    file, or as many as its own records ask for, whatever the number of tasks before.
+    """
+    records = store(records, "records")
+    tasks = max(1, -(-records.count() // FILE_ROWS))
+    # a large cluster is cut inside, by its texts
+    dealt = records.repartitionByRange(tasks, "cluster_id", F.xxhash64(F.to_json(F.struct(*records.columns))))
+    dealt.write.partitionBy("cluster_id").option("ignoreNullFields", "false").json(f"{folder}/duplicates")
+    discard(records)
     write_json(best, f"{folder}/best_attributes")
 
 

@@ -79,6 +79,13 @@ def temporary() -> Iterator[Callable[[DataFrame | None], DataFrame | None]]:
                 _open[-1][path] = stored
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store it is."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
 def discard(stored: DataFrame) -> None:
     """Delete a table made by ``store`` that nothing refers to any more."""
     context = stored.sparkSession.sparkContext

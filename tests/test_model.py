@@ -2,9 +2,11 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from samesense.operators import embed as E
 from samesense.operators import model as M
 from samesense.operators import prompts as P
 from samesense.operators import survivors as S
@@ -106,3 +108,30 @@ def test_existing_rows_win_by_round_then_order(spark):
     )
     assert [tuple(r) for r in S.existing_best(members, rows).collect()] == [("g1", "e")]
     assert {r.group_id: r.best_attribute for r in S.rule_best(members, rows).collect()} == {"g1": "a", "g2": "g"}
+
+
+def test_batches_of_texts_are_as_wide_as_the_budget():
+    texts = ["a" * 40] * 50 + ["b" * 4_000_000] + ["c" * 400] * 20 + [None, ""]
+    parts = list(E.token_batches(texts, 16, 400, 512))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(texts)))
+    for part in parts:
+        sizes = [min(max(1, len(texts[i] or "") // 4), 512) for i in part]
+        assert len(part) <= 16 and (len(part) == 1 or max(sizes) * len(part) <= 400)
+    # the long text does not widen the short ones
+    assert [i for part in parts if 50 in part for i in part] == [50]
+
+
+def longest_seen():
+    return lambda texts: [[max(len(t) for t in texts), len(texts), len(t)] for t in texts]
+
+
+def test_embedding_keeps_rows_apart(spark):
+    rows = [(i, "x" * (4 * (i % 7) + 4)) for i in range(100)] + [(100, "y" * 100_000)]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    got = {r.id: r.embedding for r in E.embed(df, longest_seen, batch_tokens=64).collect()}
+    for i, text in rows:
+        widest, together, own = got[i]
+        assert own == len(text)
+        assert together == 1 if i == 100 else widest // 4 * together <= 64
+    cut = {r.id: r.embedding for r in E.embed(df, longest_seen, truncate=True, max_tokens=10).collect()}
+    assert cut[100][2] == 40 and cut[3][2] == 16

@@ -5,7 +5,8 @@ training texts are hashed under every mask; equal hashes are hits. Words count a
 whatever their case and punctuation. Around each hit the texts are laid side by side and
 their equal words counted, so a passage is found although words in it were replaced. With
 the masks below, any ``WINDOW`` words (or a whole item of 8 words or more, if it is shorter)
-of which at least four in five agree hold a hit.
+of which at least four in five agree hold a hit. An item of fewer words is hashed whole: of five to
+seven words one may differ, so there is a mask per place of the gap; of one to four none may.
 
 Training texts are not shuffled. A filter of bounded size over the test hashes goes to the
 tasks; what it admits is cut out of the text as a region with room for verification, and
@@ -35,6 +36,8 @@ from samesense.storage import store
 MASKS = ("11111", "111011", "11001011")
 WINDOW = 16
 AGREE = 0.8
+# Shorter items are hashed whole.
+SHORT = 8
 # Two megabytes, whatever the number of test texts.
 FILTER_BITS = 24
 TABLE_ENTRIES = 400_000
@@ -75,10 +78,23 @@ def word_hashes(text: str, names: WordNames) -> np.ndarray:
     return np.fromiter(map(names.__getitem__, words), "uint64", len(words))
 
 
-def seed_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and place of every seed of a row of word hashes, under all masks."""
+def short_masks(n: int) -> dict[int, str]:
+    """Masks over a whole item of ``n`` words, by number: one per word that may differ, or the full one."""
+    if tolerated(n):
+        return {SHORT * n + gap: "1" * gap + "0" + "1" * (n - gap - 1) for gap in range(n)}
+    return {SHORT * n: "1" * n}
+
+
+def seed_hashes(words: np.ndarray, lengths: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of every seed of a row of word hashes, under all masks.
+
+    ``lengths`` are the short items' numbers of words, whose own masks are used too.
+    """
     hashes, places = [], []
-    for number, mask in enumerate(MASKS):
+    masks = dict(enumerate(MASKS))
+    for length in lengths:
+        masks |= short_masks(length)
+    for number, mask in masks.items():
         n = len(words) - len(mask) + 1
         if n <= 0:
             continue
@@ -107,7 +123,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
 
         def work(texts):
             words = [word_hashes(t, names) for t in texts]
-            seeds = [seed_hashes(w) for w in words]
+            seeds = [seed_hashes(w, (len(w),) if 0 < len(w) < SHORT else ()) for w in words]
             return pa.StructArray.from_arrays([_lists([w.view("int64") for w in words], "int64"), _seed_lists(seeds)], ["words", "seeds"])
 
         return work
@@ -140,8 +156,11 @@ def regions(words: np.ndarray, admitted: np.ndarray, reach: int) -> list[tuple[i
     ]
 
 
-def training_regions(docs: DataFrame, text: str, filter_words, reach: int) -> tuple[DataFrame, str]:
-    """``docs`` without the text, one row per region that the filter admits."""
+def training_regions(docs: DataFrame, text: str, filter_words, reach: int, lengths: tuple[int, ...]) -> tuple[DataFrame, str]:
+    """``docs`` without the text, one row per region that the filter admits.
+
+    ``lengths`` are the numbers of words of the short items there are.
+    """
     name = fresh(docs, "regions")
 
     def start():
@@ -149,7 +168,7 @@ def training_regions(docs: DataFrame, text: str, filter_words, reach: int) -> tu
 
         def found(text):
             words = word_hashes(text, names)
-            hashes, places = seed_hashes(words)
+            hashes, places = seed_hashes(words, lengths)
             keep = bloom.in_bitmap(hashes, allowed)
             hashes, places = hashes[keep], places[keep]
             out = []
@@ -229,9 +248,9 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     ``start`` and ``end`` count words of the document, ``equal`` the equal words between;
     of several places in a document the first of those with most equal words. ``WINDOW``
     words in a row, or a whole shorter item, must agree in four words of five. Null and empty
-    texts overlap with nothing, nor do items of fewer than five words; an empty table on
-    either side gives no row. Rows repeated, or sharing an id, give one row per id and item;
-    null ids stay null. Whole texts are searched.
+    texts overlap with nothing; an item of fewer than five words is found only as it is. An
+    empty table on either side gives no row. Rows repeated, or sharing an id, give one row per id and
+    item; null ids stay null. Whole texts are searched.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
@@ -245,7 +264,9 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     )
     allowed = spark.sparkContext.broadcast(bloom.bitmap(seeds.select(F.col("seed").alias("key")), FILTER_BITS))
     longest = max(len(mask) for mask in MASKS)
-    cut, name = training_regions(docs, "text", allowed, WINDOW + longest)
+    # at most SHORT - 1 numbers; without short items their masks cost nothing
+    short = test.select(F.size("words").alias("n")).where(F.col("n").between(1, SHORT - 1)).distinct().collect()
+    cut, name = training_regions(docs, "text", allowed, WINDOW + longest, tuple(sorted(row["n"] for row in short)))
     found = store(
         cut.select("doc_id", F.xxhash64("doc_id", f"{name}.words", f"{name}.start").alias("region"), f"{name}.*"), "regions"
     )

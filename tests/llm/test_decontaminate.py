@@ -24,7 +24,7 @@ def plain(docs, items):
     best = {}
     for (doc, text), (item, question) in itertools.product(docs, items):
         a, b = words_of(text), words_of(question)
-        if len(b) < 5:
+        if not b:
             continue
         known = {w: i for i, w in enumerate(b)}
         if not known.keys() & set(a):
@@ -58,7 +58,7 @@ def changed(words, rate, rng):
 
 def cases():
     rng = random.Random(8)
-    items = [(i, " ".join(f"q{rng.randrange(300)}" for _ in range(rng.randrange(3, 60)))) for i in range(30)]
+    items = [(i, " ".join(f"q{rng.randrange(300)}" for _ in range(n))) for i, n in enumerate([*range(1, 9), *(rng.randrange(3, 60) for _ in range(22))])]
     items += [(30, None), (31, ""), (32, "four words are few"), (33, items[5][1]), (5, items[5][1]), (None, items[6][1])]
     docs = []
     for i in range(120):
@@ -76,11 +76,11 @@ def test_equals_plain_search(spark):
     table = spark.createDataFrame([(*i, 1, 2) for i in items], "item_id bigint, text string, seeds int, words int")
     want = plain([(r["doc_id"], r["text"]) for r in docs.collect()], items)
     assert len(want) > 60
-    mine = got(decontaminate.contaminated(docs, table))
-    # items of five to seven words are found where a mask stays whole
-    short = {str(i) for i, t in items if t and len(t.split()) < 8}
-    assert [r for r in mine if r[1] not in short] == [r for r in want if r[1] not in short]
-    assert set(mine) <= set(want)
+    assert got(decontaminate.contaminated(docs, table)) == want
+    # short items too, those of five words or more also with a word replaced
+    words = {str(i): len((t or "").split()) for i, t in items}
+    assert {words[r[1]] for r in want} >= set(range(1, 9))
+    assert any(words[r[1]] in (5, 6, 7) and r[4] < words[r[1]] for r in want)
 
 
 @pytest.mark.parametrize("n", range(8, 17))
@@ -94,6 +94,14 @@ def test_masks_leave_no_gap(n):
         )
 
 
+@pytest.mark.parametrize("n", range(1, 8))
+def test_short_masks_leave_no_gap(n):
+    masks = decontaminate.short_masks(n)
+    assert len(masks) == (n if n >= 5 else 1)
+    for replaced in itertools.combinations(range(n), decontaminate.tolerated(n)):
+        assert any(all(bit == "0" for i, bit in enumerate(mask) if i in replaced) for mask in masks.values())
+
+
 def test_empty_tables(spark):
     docs, nothing = edge_docs(spark), empty_docs(spark).withColumnRenamed("doc_id", "item_id")
     items = spark.createDataFrame([(1, "one two three four five six")], "item_id bigint, text string")

@@ -13,7 +13,7 @@ from samesense.operators import rows as R
 from samesense.operators import survivors as S
 from samesense.operators import verdicts as V
 from samesense.plans import dedup
-from samesense.storage import spread, store
+from samesense.storage import fresh_path, spread, store
 
 # One reply per part, in turn: fenced, plain fence, bare object, doubled fence, prose,
 # bullets, sections, noise; the object's second item is valid, null-named or invalid.
@@ -290,6 +290,25 @@ def du3(spark, sf):
     return M.infer(docs, count_letters, "text", max_tokens=100).select("doc_id", "response", "attempts")
 
 
+def replies_with(prompts, **_):
+    return [f"re: {p}" for p in prompts]
+
+
+@query(
+    "du3_answered_once",
+    """SELECT conv_id, turn, 're: ' || coalesce(text, '') AS response, (SELECT count(DISTINCT coalesce(text, '')) FROM conversations) AS asked
+       FROM conversations""",
+)
+def du3_once(spark, sf):
+    """Every turn answered by a model that is asked each text once; a second run asks nothing."""
+    folder = fresh_path(spark, "kept-replies")
+    turns = store(table(spark, sf, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("prompt")), "turns")
+    M.answered_once(turns, replies_with, folder)
+    again = M.answered_once(turns, replies_with, folder)
+    asked = spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("asked")).scalar()
+    return again.select("conv_id", "turn", "response", asked.alias("asked"))
+
+
 @query(
     "du4_retry",
     f"WITH {DICT} SELECT row_id, CASE WHEN NOT contains(attribute_definition, 'PROMO') THEN lower(attribute_definition) END AS response, contains(attribute_definition, 'PROMO') AS failed, contains(attribute_definition, 'PROMO') AS used_all FROM dict",

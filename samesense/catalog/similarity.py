@@ -20,11 +20,13 @@ from samesense.catalog.base import (
     vectors,
 )
 from samesense.functions.text import group_key
-from samesense.functions.vectors import hashed_words, word_counts
+from samesense.functions.vectors import dot, hashed_words, normalised, word_counts
 from samesense.operators import blocks as B
 from samesense.operators import embed as E
 from samesense.operators import rows as R
 from samesense.operators.components import components
+from samesense.operators.cover import covering_pages
+from samesense.operators.increments import GroupIndex
 from samesense.operators.report import run_summary
 from samesense.operators.similar import fold_copies, place_in_cells, similar_groups
 from samesense.plans import dedup
@@ -335,6 +337,43 @@ def du6_large(spark, sf):
     return similar_groups(vectors(spark, sf), "cluster_id", "embedding", THRESHOLD, tile_rows=16)
 
 
+@query("du6_groups_in_rounds", GROUPS + " SELECT row_id, root FROM groups")
+def du6_rounds(spark, sf):
+    """The same, all rows in three rounds: each is compared with the cells it reaches."""
+    rows = vectors(spark, sf)
+    index = GroupIndex(spark, THRESHOLD)
+    part = F.pmod(F.xxhash64("row_id"), F.lit(3))
+    for number in range(3):
+        index.add(rows.where(part == number), "cluster_id", "embedding")
+    return index.groups()
+
+
+PAGE = 20
+
+
+@query(
+    "du1_covering_pages",
+    GROUPS + """ SELECT vecs.row_id, cluster_id, root IS NOT NULL AS shown_with_alike, true AS fits
+    FROM vecs LEFT JOIN groups USING (row_id)""",
+)
+def du1_cover(spark, sf):
+    """Every row with an alike one in its block is on a page with one, and no page is too long."""
+    rows = vectors(spark, sf).select("row_id", "cluster_id", normalised(F.col("embedding")).alias("unit"))
+    pages = covering_pages(rows, "unit", THRESHOLD, PAGE).join(rows.select("row_id", "unit"), "row_id")
+    listed = pages.groupBy("cluster_id", "page").agg(F.collect_list(F.struct("row_id", "unit")).alias("page_rows"))
+    alike = lambda one, two: (one["row_id"] != two["row_id"]) & (dot(one["unit"], two["unit"]) >= THRESHOLD)
+    shown = F.transform(
+        "page_rows",
+        lambda one: F.struct(
+            one["row_id"].alias("row_id"), F.exists("page_rows", lambda two: alike(one, two)).alias("found")
+        ),
+    )
+    per_page = listed.select("cluster_id", (F.size("page_rows") <= PAGE).alias("fits"), F.inline(shown))
+    return per_page.groupBy("row_id", "cluster_id").agg(
+        F.max("found").alias("shown_with_alike"), F.min("fits").alias("fits")
+    )
+
+
 @query(
     "du6_components",
     """WITH hubs AS (SELECT o_custkey, min(o_orderkey) AS root FROM orders GROUP BY o_custkey)

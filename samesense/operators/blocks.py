@@ -29,7 +29,7 @@ STARTS = 10
 MAX_ITER = 300
 TOLERANCE = 1e-4
 # Fits that run side by side on the same vectors.
-PARALLEL_FITS = 5
+PARALLEL_FITS = 10
 
 # Centers up to this size are sent to every executor.
 CENTER_BYTES = 64 << 20

@@ -33,8 +33,11 @@ PARALLEL_FITS = 10
 
 # Centers up to this size are sent to every executor.
 CENTER_BYTES = 64 << 20
-# Rows and other rows that meet in one task.
+# Rows and other rows that meet in one task, and of these at a time.
 SLICE_ROWS = 8192
+MEET_ROWS = 1024
+# Slack for rounding in a bound; it only lets a few more clusters be measured.
+SLACK = 1e-9
 
 
 def cluster_count(
@@ -284,16 +287,124 @@ def distance_sums(
     )
 
 
+def _sums_to(targets: DataFrame, members: DataFrame, slice_rows: int) -> DataFrame:
+    """Sum of distances of each row to all rows of its target clusters: ``row_id, cluster_id, total``.
+
+    ``targets``: ``row_id, cluster_id, v``; ``members``: ``cluster_id, other_id, w``. Slices of both sides of
+    a cluster meet in pairs, as many as their rows ask for.
+    """
+    parts = lambda df, name: df.groupBy("cluster_id").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(slice_rows)).cast("int").alias(name)
+    )
+    shape = store(parts(targets, "_m").join(parts(members, "_n"), "cluster_id"), "cluster-slices")
+
+    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        cut = lookup(df, shape, ["cluster_id"], [key], "inner")
+        at = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
+        return cut.withColumn(f"{own}_at", at).withColumn(
+            f"{other}_at", F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        ).drop("_m", "_n")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        n, m = left.num_rows, right.num_rows
+        total = np.zeros(n)
+        if n and m:
+            x, y = _matrix(left["v"], n), _matrix(right["w"], m)
+            ids, others = left["row_id"].to_numpy(), right["other_id"].to_numpy()
+            for low in range(0, n, MEET_ROWS):
+                part = x[low : low + MEET_ROWS]
+                squared = (part**2).sum(axis=1)[:, None] - 2.0 * part @ y.T + (y**2).sum(axis=1)[None, :]
+                # a row is at distance 0 from itself, whatever rounding says
+                squared[ids[low : low + MEET_ROWS, None] == others[None, :]] = 0.0
+                total[low : low + MEET_ROWS] = np.sqrt(np.maximum(squared, 0.0)).sum(axis=1)
+        return pa.table({"row_id": left["row_id"], "cluster_id": left["cluster_id"], "total": pa.array(total)})
+
+    keys = ["cluster_id", "_m_at", "_n_at"]
+    met = dealt(targets, "row_id", "_m", "_n").groupBy(*keys).cogroup(dealt(members, "other_id", "_n", "_m").groupBy(*keys))
+    sums = met.applyInArrow(meet, "row_id bigint, cluster_id int, total double")
+    return sums.groupBy("row_id", "cluster_id").agg(F.sum("total").alias("total"))
+
+
+def _targets(rows: DataFrame, centers: list, known: bool) -> DataFrame:
+    """Clusters each row has to be measured against: ``row_id, cluster_id, v``.
+
+    First its own and that of the nearest other center. Then, where ``rows`` carry the mean distance
+    ``b`` to the latter, named ``first``, every other cluster whose center is not farther than ``b``:
+    the mean distance to a cluster is never less than the distance to its center.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (np.array([c for c, _ in centers], np.int32), np.array([v for _, v in centers], np.float64))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, points = shared.value
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x, own = _matrix(batch.column(2), n), batch.column(1).to_numpy()
+            far = np.sqrt(np.maximum(0.0, (x**2).sum(axis=1)[:, None] - 2.0 * x @ points.T + (points**2).sum(axis=1)[None, :]))
+            mine = ids[None, :] == own[:, None]
+            if known:
+                first, b = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+                wanted = (far <= b[:, None] * (1 + SLACK) + SLACK) & ~mine & (ids[None, :] != first[:, None])
+            else:
+                wanted = mine.copy()
+                if len(ids) > 1:
+                    wanted[np.arange(n), np.where(mine, np.inf, far).argmin(axis=1)] = True
+            row, cell = np.nonzero(wanted)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), pa.array(ids[cell]), batch.column(2).take(take)], names=["row_id", "cluster_id", "v"]
+            )
+
+    return rows.mapInArrow(run, "row_id bigint, cluster_id int, v array<double>")
+
+
 def silhouette_rows(
-    df: DataFrame, vector: str, cluster: str = "cluster_id", row_id: str = "row_id"
+    df: DataFrame,
+    vector: str,
+    cluster: str = "cluster_id",
+    row_id: str = "row_id",
+    center_bytes: int = CENTER_BYTES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Euclidean silhouette of each row; 0 for a row alone in its cluster."""
-    sums = distance_sums(df, vector, cluster, row_id)
+    """Euclidean silhouette of each row, exact; 0 for a row alone in its cluster.
+
+    ``compared`` is the number of rows it was measured against: its own cluster, and of the others
+    those that their centers do not rule out. More centers than ``center_bytes`` hold are not
+    sent to the executors; then all rows meet all rows.
+    """
+    rows = store(
+        df.select(
+            F.col(row_id).cast("bigint").alias("row_id"),
+            F.col(cluster).cast("int").alias("own"),
+            F.col(vector).cast("array<double>").alias("v"),
+        ),
+        "silhouette-rows",
+    )
+    sizes = rows.groupBy(F.col("own").alias("cluster_id")).agg(F.count(F.lit(1)).alias("others"))
+    k, d = rows.agg(F.count_distinct("own"), F.max(F.size("v"))).first()
+    if k * (d or 0) * 8 > center_bytes:
+        sums = distance_sums(df, vector, cluster, row_id, slice_rows)
+    else:
+        centers = [(c, list(v)) for c, v in centers_of(rows, "v", "own").collect()]
+        members = rows.select(F.col("own").alias("cluster_id"), F.col("row_id").alias("other_id"), F.col("v").alias("w"))
+        first = store(_targets(rows, centers, False), "first-targets")
+        sums = store(_sums_to(first, members, slice_rows), "first-sums")
+        whose = rows.select("row_id", "own")
+        near = lookup(sums.join(whose, "row_id").where("cluster_id <> own"), sizes, ["cluster_id"], ["row_id"], "inner")
+        bound = near.select("row_id", F.col("cluster_id").alias("first"), (F.col("total") / F.col("others")).alias("b"))
+        bounded = store(rows.join(bound, "row_id").select("row_id", "own", "v", "first", "b"), "bounded")
+        rest = store(_targets(bounded, centers, True), "other-targets")
+        sums = sums.unionByName(_sums_to(rest, members, slice_rows)).join(whose, "row_id")
+        sums = lookup(sums, sizes, ["cluster_id"], ["row_id"], "inner")
     own = F.col("own") == F.col("cluster_id")
     per_row = sums.groupBy("row_id").agg(
         F.max(F.when(own, F.col("others"))).alias("_n"),
         F.max(F.when(own, F.col("total"))).alias("_in"),
         F.min(F.when(~own, F.col("total") / F.col("others"))).alias("b"),
+        F.sum("others").alias("compared"),
     )
     a = F.col("_in") / (F.col("_n") - 1)
     return per_row.select(
@@ -301,13 +412,18 @@ def silhouette_rows(
         F.when((F.col("_n") > 1) & F.col("b").isNotNull(), (F.col("b") - a) / F.greatest(a, "b"))
         .otherwise(F.lit(0.0))
         .alias("silhouette"),
+        "compared",
     )
 
 
 def silhouette(
     df: DataFrame, vector: str, cluster: str = "cluster_id", row_id: str = "row_id"
 ) -> DataFrame:
-    """Mean Euclidean silhouette; null unless 1 < clusters < rows. Quadratic in the rows."""
+    """Mean Euclidean silhouette; null unless 1 < clusters < rows.
+
+    Each row is measured against its own cluster and those that may be nearest, so the work grows
+    with the rows times the rows of a few clusters.
+    """
     shape = df.agg(F.count_distinct(cluster).alias("k"), F.count(F.lit(1)).alias("n"))
     mean = silhouette_rows(df, vector, cluster, row_id).agg(F.avg("silhouette")).scalar()
     return shape.select(

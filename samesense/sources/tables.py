@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from samesense.sources.records import csv_records
 from samesense.storage import discard, store
 
 # Records that one task writes.
@@ -22,22 +23,41 @@ KNOWN_TYPES = {
 }
 
 
+def _typed(raw: DataFrame, *kept: str) -> DataFrame:
+    """Empty cells as nulls, and the columns a run writes in their types."""
+    cell = lambda c: F.nullif(F.col(f"`{c}`"), F.lit("")).cast(KNOWN_TYPES.get(c, "string")).alias(c)
+    return raw.select(*kept, *[cell(c) for c in raw.columns if c not in kept])
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; columns come by name, empty cells are null.
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file. Cells
     with line breaks would be cut without it, so it is on; turn it off for files that have
-    none, which Spark then splits.
+    none, which Spark then splits. ``read_csv_in_splits`` reads large files of either kind.
     """
     raw = spark.read.csv(
         path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line
     )
-    return raw.select(
-        *[
-            F.nullif(F.col(f"`{c}`"), F.lit("")).cast(KNOWN_TYPES.get(c, "string")).alias(c)
-            for c in raw.columns
-        ]
-    )
+    return _typed(raw)
+
+
+def read_csv_in_splits(spark: SparkSession, path: str) -> DataFrame | None:
+    """As ``read_csv``, with ``row_id`` in file order, and many tasks per file.
+
+    Line breaks inside quotes are found by a scan over the files' quotes. That takes quotes to
+    stand around cells, or doubled inside them; None if a file ends inside quotes. Line ends inside
+    cells stay as they are.
+    """
+    records = csv_records(spark, path)
+    if records is None:
+        return None
+    names = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True).columns
+    kind = ", ".join("`" + c.replace("`", "``") + "` string" for c in names)
+    cells = F.from_csv("record", kind, {"quote": '"', "escape": '"', "multiLine": "true"})
+    parsed = records.select(F.col("row_id").alias("_row"), cells.alias("_cells"))
+    columns = [F.col(f"_cells.`{c}`").alias(c) for c in names if c != "row_id"]
+    return _typed(parsed.select(F.col("_row").alias("row_id"), *columns), "row_id")
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:
@@ -67,12 +87,17 @@ def with_row_ids(df: DataFrame) -> DataFrame:
 
 
 def read_attributes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A data dictionary: ``row_id, attribute_name, attribute_definition`` and the rest."""
-    raw = read_csv(spark, path, multi_line)
+    """A data dictionary: ``row_id, attribute_name, attribute_definition`` and the rest.
+
+    With ``multi_line`` cells may hold line breaks, and files are read in splits all the same; only
+    files whose quotes do not match are read whole, one task each.
+    """
+    rows = read_csv_in_splits(spark, path) if multi_line else None
+    raw = read_csv(spark, path, multi_line) if rows is None else rows
     missing = {"attribute_name", "attribute_definition"} - set(raw.columns)
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")
-    return with_row_ids(raw)
+    return with_row_ids(raw) if rows is None else rows
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

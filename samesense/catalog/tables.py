@@ -112,18 +112,31 @@ def io8(spark, sf):
     return S.read_json_lines(spark, path, labels.schema)
 
 
-@query(
-    "io9_merge_keys",
-    """SELECT p_partkey, CASE WHEN p_size > 20 THEN 'new ' || p_name ELSE p_brand END AS value
-       FROM part WHERE p_size <= 30 OR p_size > 20""",
-)
-def io9(spark, sf):
+MERGED = """SELECT p_partkey, CASE WHEN p_size > 20 THEN 'new ' || p_name ELSE p_brand END AS value
+       FROM part WHERE p_size <= 30 OR p_size > 20"""
+
+
+def _old_and_new(spark, sf):
     part = table(spark, sf, "part")
     old = part.where("p_size <= 30").select("p_partkey", F.col("p_brand").alias("value"))
     new = part.where("p_size > 20").select(
         "p_partkey", F.concat(F.lit("new "), "p_name").alias("value")
     )
-    return S.merge_keys(old, new, "p_partkey")
+    return old, new
+
+
+@query("io9_merge_keys", MERGED)
+def io9(spark, sf):
+    return S.merge_keys(*_old_and_new(spark, sf), "p_partkey")
+
+
+@query("io9_upsert", MERGED)
+def io9_upsert(spark, sf):
+    """The same into a stored table, of which only folders with changed keys are replaced."""
+    path = fresh_path(spark, "upserted")
+    for rows in _old_and_new(spark, sf):
+        S.upsert(rows, path, "p_partkey")
+    return S.read_upserted(spark, path)
 
 
 @query(

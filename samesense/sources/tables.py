@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from samesense.sources.records import csv_records
-from samesense.storage import discard, store
+from samesense.storage import discard, exists, store
 
+# Folders that an updated table is spread over.
+BUCKETS = 64
 # Records that one task writes.
 FILE_ROWS = 100_000
 
@@ -164,6 +166,47 @@ def merge_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return both.groupBy(key).agg(newest.alias("_v")).select(key, "_v.*")
 
 
+def upsert(new: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> int:
+    """Update a keyed table at ``path``: new keys are added, the new value of an old key wins.
+
+    The table is spread over folders by the hash of the key. Only folders that hold a key of
+    ``new`` are read, merged and replaced; files of all others stay as they are. Returns the number of
+    folders replaced. The number of ``buckets`` is fixed by the first write. Of a key that ``new`` holds
+    several times some row wins; a null key is a key like any other.
+    """
+    spark = new.sparkSession
+    if exists(spark, path):
+        held = spark.read.parquet(path)
+        sizes = held.select("_buckets").limit(1).collect()
+        buckets = sizes[0][0] if sizes else buckets
+    else:
+        held = None
+    placed = store(
+        new.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).withColumn("_buckets", F.lit(buckets)), "updates"
+    )
+    touched = [row[0] for row in placed.select("_bucket").distinct().collect()]
+    if held is None:
+        merged = placed.groupBy(key).agg(F.max_by(F.struct(*[c for c in placed.columns if c != key]), F.lit(0)).alias("_v"))
+        merged = merged.select(key, "_v.*")
+    else:
+        if sorted(held.columns) != sorted(placed.columns):
+            raise ValueError("only tables with the same columns can be merged")
+        merged = merge_keys(held.where(F.col("_bucket").isin(touched)), placed, key)
+    # written apart first: a table cannot be replaced while it is read
+    merged = store(merged, "merged")
+    merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "_bucket"
+    ).parquet(path)
+    for table in (placed, merged):
+        discard(table)
+    return len(touched)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``upsert`` wrote, without its marks."""
+    return spark.read.parquet(path).drop("_bucket", "_buckets")
+
+
 def merge_maps(old, new):
     """Update a map column by another one: the value of ``new`` wins."""
     kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))

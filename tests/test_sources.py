@@ -67,6 +67,25 @@ def test_merge(spark):
         S.merge_keys(old, new.withColumnRenamed("v", "w"), "k")
 
 
+def test_an_update_replaces_only_the_folders_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda pairs: spark.createDataFrame(pairs, "k string, v int")
+    files = lambda: {f for f in glob.glob(f"{path}/*/*.parquet")}
+    read = lambda: {r.k: r.v for r in S.read_upserted(spark, path).collect()}
+    assert S.upsert(rows([(f"k{i}", i) for i in range(40)] + [(None, 7)]), path, "k", buckets=8) == 8
+    before = files()
+    want = {f"k{i}": i for i in range(40)} | {None: 7}
+    assert read() == want and len(before) == 8
+    # another number of buckets later on changes nothing
+    assert S.upsert(rows([("k3", None)]), path, "k", buckets=5) == 1
+    assert read() == want | {"k3": None} and len(files() & before) == 7
+    assert S.upsert(rows([("new", 1), (None, 8)]), path, "k") <= 2
+    assert read() == want | {"k3": None, "new": 1, None: 8} and len(files() & before) >= 5
+    assert S.upsert(rows([]), path, "k") == 0
+    with pytest.raises(ValueError):
+        S.upsert(rows([("a", 1)]).withColumnRenamed("v", "w"), path, "k")
+
+
 @pytest.mark.parametrize("n", [0, 5, 36, 50])
 def test_sample(spark, n):
     rows = sample_attributes(spark, n).orderBy("row_id").collect()

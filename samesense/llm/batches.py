@@ -16,12 +16,12 @@ SLICE_ROWS = 512
 Work = Callable[[list[str]], pa.Array]
 
 
-def slices(texts: pa.Array, most_rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch with at most ``SLICE_BYTES`` of text and ``most_rows`` each, or one row."""
+def slices(texts: pa.Array, most_rows: int = SLICE_ROWS, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch with at most ``most_bytes`` of text and ``most_rows`` each, or one row."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("int64"))
     start = 0
     while start < len(texts):
-        limit = (sizes[start - 1] if start else 0) + SLICE_BYTES
+        limit = (sizes[start - 1] if start else 0) + most_bytes
         end = min(max(int(np.searchsorted(sizes, limit, "right")), start + 1), start + most_rows, len(texts))
         yield start, end
         start = end

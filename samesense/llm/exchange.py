@@ -1,6 +1,6 @@
 """Look up the keys of texts in a corpus-wide table, without a row per occurrence.
 
-Texts are taken in blocks of a few megabytes. A block becomes one row: what its documents
+Texts are taken in blocks of some megabytes. A block becomes one row: what its documents
 need (numbers that point into the block's list of distinct keys), and that list. Only the
 distinct keys of a block are exploded, joined and counted; the answers come back as one array
 per block. A key stands in a block once, so no key has more rows than there are blocks.
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 from samesense.llm.batches import slices
 from samesense.storage import store
 
-BLOCK_ROWS = 4096
+# Larger blocks have fewer distinct keys in all, and cost a task more memory.
+BLOCK_BYTES = 16 << 20
+BLOCK_ROWS = 16_384
 
 # Per block: columns per document, columns per distinct key, and other values of the block.
 Made = tuple[dict[str, pa.Array], dict[str, pa.Array], dict[str, pa.Array]]
@@ -42,6 +45,7 @@ def write_blocks(
     per_key: StructType,
     per_block: StructType,
     label: str,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Written rows ``block, docs, keys`` and the block's own values.
 
@@ -60,7 +64,7 @@ def write_blocks(
         work = start()
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for low, high in slices(batch.column(0), BLOCK_ROWS):
+            for low, high in slices(batch.column(0), BLOCK_ROWS, block_bytes):
                 part = batch.slice(low, high - low)
                 doc, key, own = work(part, part.column(0).to_pylist())
                 if others:
@@ -80,31 +84,36 @@ def keys_of(blocks: DataFrame) -> DataFrame:
 
 
 def answered(blocks: DataFrame, table: DataFrame, key: str, values: list[Column]) -> DataFrame:
-    """``blocks`` without keys, and ``found``: structs of ``place`` and ``values`` of the table per key."""
+    """``blocks`` without keys, and ``found``: ``place`` and ``values`` of the table, an array of each.
+
+    The arrays are made by one aggregate, row by row, so they are in the same order; plain arrays take
+    half the room of an array of structs.
+    """
     asked = keys_of(blocks).select("block", "place", key)
-    found = asked.join(table, key).groupBy("block").agg(F.collect_list(F.struct("place", *values)).alias("found"))
-    return blocks.drop("keys").join(found, "block", "left")
+    lists = [F.collect_list(value).alias(f"found_{i}") for i, value in enumerate((F.col("place"), *values))]
+    return blocks.drop("keys").join(asked.join(table, key).groupBy("block").agg(*lists), "block", "left")
 
 
 def finish(
-    answers: DataFrame, row_kind: StructType, name: str, kind: StructType, work: Callable[[dict, dict], dict[str, pa.Array]]
+    answers: DataFrame, row_kind: StructType, name: str, kind: StructType, work: Callable[[dict, list], dict[str, pa.Array]]
 ) -> DataFrame:
     """One row per document again: its columns, and a struct ``name`` that ``work`` makes.
 
-    ``work`` takes a block's columns and, as arrays in the order of the keys, what was found.
+    ``work`` takes a block's columns and, as arrays in the order of the keys, the values found; no keys, no values.
     """
     schema = StructType([*row_kind.fields]).add(name, kind)
-    columns = answers.columns
+    columns = [c for c in answers.columns if not c.startswith("found_")]
+    lists = [c for c in answers.columns if c.startswith("found_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = {c: batch.column(c)[i] for c in columns}
-                found = {}
-                if block["found"].is_valid:
-                    held = block["found"].values
-                    order = pa.compute.sort_indices(held.field("place"))
-                    found = {f.name: held.field(f.name).take(order) for f in held.type}
+                held = [batch.column(c)[i].values for c in lists]
+                found = []
+                if held[0] is not None:
+                    order = pa.compute.sort_indices(held[0])
+                    found = [values.take(order) for values in held[1:]]
                 docs = block["docs"].values
                 made = work({**block, "docs": docs}, found)
                 rows = docs.field("row") if row_kind.fields else None

@@ -16,12 +16,13 @@ of a few megabytes of text, never a word per occurrence.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructType
@@ -182,13 +183,13 @@ def score(
     def start():
         def work(batch, texts):
             number: dict[bytes, int] = {}
-            own, times, offsets, lengths = [], [], [0], []
+            own, times, seen = array("i"), array("i"), array("q")
+            offsets, lengths = [0], []
             learned = batch.column(flag).to_pylist()
-            seen: list[int] = []
             for data, counted in zip(texts, learned, strict=True):
                 found = word_counts(data)
                 places = [number.setdefault(word, len(number)) for word in found]
-                seen.extend([0] * (len(number) - len(seen)))
+                seen.extend(repeat(0, len(number) - len(seen)))
                 if counted:
                     for place, n in zip(places, found.values(), strict=True):
                         seen[place] += n
@@ -196,10 +197,10 @@ def score(
                 times.extend(found.values())
                 offsets.append(len(own))
                 lengths.append(sum(found.values()))
-            listed = lambda values: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+            listed = lambda values: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(values, "int32")))
             return (
                 {"n_words": pa.array(lengths, pa.int64()), "word": listed(own), "times": listed(times)},
-                {"word": pa.array(list(number), pa.binary()).cast(pa.string()), "seen": pa.array(seen, pa.int64())},
+                {"word": pa.array(list(number), pa.binary()).cast(pa.string()), "seen": pa.array(np.frombuffer(seen, "int64"))},
                 {"ends": pa.array([sum(learned)], pa.int64())},
             )
 
@@ -219,8 +220,7 @@ def score(
     def work(block, found):
         docs = block["docs"]
         rows = len(docs)
-        c = found["c"].to_numpy() if found else np.zeros(0, "int64")
-        lp = found["lp"].to_numpy() if found else np.zeros(0)
+        c, lp = (x.to_numpy() for x in found) if found else (np.zeros(0, "int64"), np.zeros(0))
         lists = docs.field("word")
         at = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy()))
         word, times = lists.flatten().to_numpy(), docs.field("times").flatten().to_numpy()

@@ -2,12 +2,12 @@
 
 No piece of the vocabulary has a white-space marker after another character, so no merge
 crosses the start of a marked word: a text is the row of its marked words, and its ids
-are their ids one after the other. Each distinct marked word is segmented once per table;
-a text's ids and its decoded form are then put together by position.
+are their ids one after the other. A model with such a piece is refused. Distinct marked words
+are segmented once per table; a text's ids and its decoded form are put together by position.
 
-The table lives in the task and is bounded. One table for the whole corpus, joined back
-by position through a shuffle, moves every word of every text twice, which is several
-times the input; see the README for figures.
+The table lives in the task, and is emptied when it is full, so a word is segmented once per task, or
+again after that; not once for the whole corpus. One table for the corpus, joined back by position
+through a shuffle, does not fit the limits; see the README for measured figures.
 """
 
 from __future__ import annotations
@@ -71,6 +71,8 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> tuple[DataFrame,
     text. Nothing but the row's own text is looked at: repeated rows get equal results, an
     empty table an empty table, and a name clash is avoided.
     """
+    if crossing := crossing_pieces(model):
+        raise ValueError(f"{len(crossing)} pieces cross the start of a word, as {crossing[0]!r}; this method does not fit")
     name = fresh(docs, "pieces")
     marked = re.compile(f"{MARK}+[^{MARK}]*")
 

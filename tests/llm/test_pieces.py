@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pytest
 import sentencepiece
 
 from edge import edge_docs, empty_docs
@@ -24,6 +25,12 @@ def test_model_suits_the_method():
     assert pieces.crossing_pieces(tokenizer_model()) == []
 
 
+def test_other_models_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "crossing_pieces", lambda model: ["a▁b"])
+    with pytest.raises(ValueError, match="a▁b"):
+        pieces.encode(edge_docs(spark), tokenizer_model())
+
+
 def test_equals_library_on_whole_texts(spark):
     docs = edge_docs(spark, random_texts(300))
     encoded, name = pieces.encode(docs, tokenizer_model())

@@ -17,9 +17,11 @@ corpus is looked up by blocks of documents (``exchange``).
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,18 @@ MARK = "▁"
 # A block begins at a run of blanks. After other white space, and before more than one blank or a
 # blank before white space, the byte tokenizer may join over the boundary, so the block goes on.
 CHUNK = re.compile(r" +[^ ]*(?:(?<=\s)(?! \S) +[^ ]*)*")
-# Entries and bytes of a task's table of blocks before it is emptied.
-TABLE_ENTRIES = 200_000
+# Entries and bytes of a worker's table of blocks before it is thinned out to the half used most.
+TABLE_ENTRIES = 150_000
 TABLE_BYTES = 32 << 20
+# Texts that share a list of linked ids. A worker holds the blocks of that much text beside its table.
+TEXT_BYTES = 2 << 20
+# Texts whose blocks are looked up, and blocks that are aligned, at a time.
+SLICE_CHARACTERS = 1 << 20
+LEARN = 20_000
+# Fixed value: how a byte-level vocabulary of this kind cuts a text before it is merged.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Pairs of ids that are sent to the tasks as a whole: 64 MB.
+LOOKUP_PAIRS = 4 << 20
 # Entries of a product that are expanded at a time.
 EXPAND = 1 << 20
 
@@ -149,21 +160,46 @@ def byte_of_character() -> dict[str, int]:
     return found
 
 
+def byte_encoder(byte_file: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
+    """The byte-level tokenizer of a file as a function of a text, and the bytes of its entries.
+
+    Where entries are numbered in the order of their merges, as ranks, ``tiktoken`` gives the same ids
+    several times faster; other files are read by ``tokenizers``. Strings of special tokens inside a
+    text are plain text for both.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(byte_file, encoding="utf-8") as file:
+        listed = json.load(file)
+    special = {entry["content"] for entry in listed["added_tokens"]}
+    vocabulary = listed["model"]["vocab"]
+    byte = byte_of_character()
+    plain = {piece: i for piece, i in vocabulary.items() if piece not in special}
+    known = {**{entry["content"]: entry["id"] for entry in listed["added_tokens"]}, **vocabulary}
+    spelled = [b""] * (max(known.values()) + 1)
+    for piece, i in known.items():
+        spelled[i] = piece.encode() if piece in special else bytes(byte[c] for c in piece)
+    merges = ("".join(m if isinstance(m, list) else m.split(" ")) for m in listed["model"]["merges"])
+    ranked = all(plain.get(piece) == 256 + i for i, piece in enumerate(merges))
+    cut = listed["pre_tokenizer"] or {}
+    if ranked and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not listed["normalizer"]:
+        ranks = {spelled[i]: i for i in plain.values()}
+        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return encoding.encode_ordinary, spelled
+    tokenizer = Tokenizer.from_file(byte_file)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, spelled
+
+
 class Pair:
     """The two tokenizers, with the bytes of every entry."""
 
     def __init__(self, byte_file: str, piece_file: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_file)
-        # strings of special tokens inside a text are plain text
-        self.a.encode_special_tokens = True
+        self.encode_a, self.bytes_a = byte_encoder(byte_file)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        byte = byte_of_character()
-        entries = {i: piece for piece, i in self.a.get_vocab(with_added_tokens=True).items()}
-        spelled = lambda piece: bytes(byte[c] for c in piece) if all(c in byte for c in piece) else piece.encode()
-        self.bytes_a = [spelled(entries.get(i, "")) for i in range(max(entries) + 1)]
         pieces = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))
         self.bytes_b = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)
@@ -171,7 +207,7 @@ class Pair:
         self.blank = self.b.piece_to_id(MARK)
 
     def ids_a(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        return list(map(self.encode_a, texts))
 
     def ids_b(self, texts: list[str]) -> list[list[int]]:
         """Of texts that begin with the blank the library adds itself; a blank alone is its piece."""
@@ -182,6 +218,28 @@ class Pair:
         return b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
 
 
+def shown_groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Groups as ``a1,a2|b1;a3|b2,b3;``, and where each begins; every group has tokens of both."""
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+    side = np.concatenate([2 * group_a, 2 * group_b + 1])[order]
+    numbers = list(map(str, np.concatenate([a, b])[order].tolist()))
+    following = np.concatenate([side[1:], [-1]])
+    ends = np.where(following == side, ",", np.where(following == side + 1, "|", ";"))
+    # the side after A's own is B's of the same group; the next group's A is an even number
+    ends[(side % 2 == 1) & (following != side)] = ";"
+    text = "".join([x for pair in zip(numbers, ends.tolist(), strict=True) for x in pair]).encode()
+    sizes = np.fromiter(map(len, numbers), "int64", len(numbers)) + 1
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    heads = np.flatnonzero(np.concatenate([[True], side[1:] // 2 != side[:-1] // 2]))
+    return text, np.concatenate([starts[heads], [len(text)]])
+
+
+def _gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of consecutive ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)
+
+
 class Blocks:
     """Alignments of distinct blocks, numbered as they come, and what a document sums up of them."""
 
@@ -189,108 +247,128 @@ class Blocks:
         self.pair = Pair(byte_file, piece_file)
         self.lengths_a = np.array([len(x) for x in self.pair.bytes_a])
         self.lengths_b = np.array([len(x) for x in self.pair.bytes_b])
-        self.clear()
-
-    def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.bytes = 0
-        # per block: whether it is spelled, A tokens, B tokens, groups, links, group links
-        self.figures = np.zeros((1024, 6), "int64")
+        self.names: list[str] = []
         self.shown: list[bytes] = []
-        self.links: list[np.ndarray] = []
-
-    def full(self) -> bool:
-        return len(self.shown) > TABLE_ENTRIES or self.bytes > TABLE_BYTES
+        # per block: whether it is spelled, A tokens, B tokens, groups, links, group links
+        self.figures = np.zeros((0, 6), "int64")
+        # per block: first of its links, how many, and in how many documents' blocks it was used
+        self.links = np.zeros((0, 3), "int64")
+        # links of all blocks: ids of both tokens, and how often
+        self.linked = np.zeros((0, 2), "int64")
+        self.bytes = 0
 
-    def learn(self, texts: list[str]) -> int:
+    def thin_out(self) -> None:
+        """Once the table is full, keep the half that was used most, and of that what was used again."""
+        if len(self.names) <= TABLE_ENTRIES and self.bytes <= TABLE_BYTES:
+            return
+        most = np.argsort(-self.links[:, 2], kind="stable")[: TABLE_ENTRIES // 2]
+        kept = self._again(most)
+        sizes = self.links[kept, 1]
+        take = _gathered(self.links[kept, 0], sizes)
+        self.linked = self.linked[take]
+        self.figures = self.figures[kept]
+        self.links = np.stack([np.cumsum(sizes) - sizes, sizes, self.links[kept, 2]], axis=1)
+        self.shown = [self.shown[i] for i in kept.tolist()]
+        self.names = [self.names[i] for i in kept.tolist()]
+        self.number = {name: i for i, name in enumerate(self.names)}
+        self.bytes = sum(map(len, self.shown))
+
+    def _again(self, most: np.ndarray) -> np.ndarray:
+        used = np.sort(most[self.links[most, 2] > 1])
+        # whole documents have a number for the moment only
+        return used[np.array([bool(self.names[i]) for i in used.tolist()], bool)] if len(used) else used
+
+    def learn(self, texts: list[str], known: bool = True) -> int:
         """Align texts, each a blank and more, under new numbers; returns the first."""
-        first = len(self.shown)
-        while first + len(texts) > len(self.figures):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
+        first, n = len(self.shown), len(texts)
         ids_a, ids_b = self.pair.ids_a(texts), self.pair.ids_b(texts)
         good = [self.pair.spelled(t.encode(), a, b) for t, a, b in zip(texts, ids_a, ids_b, strict=True)]
-        self.shown.extend([b""] * len(texts))
-        self.links.extend([np.zeros(0, "int64")] * len(texts))
-        places = [i for i, g in enumerate(good) if g]
-        self.bytes += sum(len(t) for t in texts)
-        if not places:
-            return first
-        # all of them are one block-diagonal pair of matrices
-        own_a, own_b = ([ids[i] for i in places] for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([np.array(x, "int64") for x in own]) for own in (own_a, own_b))
-        in_a, in_b = (np.repeat(np.array(places), [len(x) for x in own]) for own in (own_a, own_b))
-        lengths_a, lengths_b = self.lengths_a[a], self.lengths_b[b]
-        group_a, group_b = groups_of(lengths_a, lengths_b)
-        figures = self.figures[first : first + len(texts)]
-        figures[places, 0] = 1
-        n = len(texts)
-        figures[:, 1], figures[:, 2] = np.bincount(in_a, minlength=n), np.bincount(in_b, minlength=n)
-        heads = np.flatnonzero(np.concatenate([[True], group_a[1:] != group_a[:-1]]))
-        figures[:, 3] = np.bincount(in_a[heads], minlength=n)
-        left, right = group_links(group_a, group_b)
-        np.add.at(figures[:, 5], in_a, product_sizes(left, right))
-        found = []
-        for row, column, _ in overlap_links(lengths_a, lengths_b):
-            found.append((in_a[row], a[row] << 32 | b[column]))
-        block = np.concatenate([x for x, _ in found])
-        linked = np.concatenate([x for _, x in found])
-        figures[:, 4] = np.bincount(block, minlength=n)
-        cuts = np.searchsorted(block, np.arange(n + 1))
-        shown = self._shown(a, b, in_a, in_b, group_a, group_b)
-        for i in places:
-            self.links[first + i] = linked[cuts[i] : cuts[i + 1]]
-            self.shown[first + i] = shown[i]
+        figures, links = np.zeros((n, 6), "int64"), np.zeros((n, 3), "int64")
+        links[:, 0] = len(self.linked)
+        shown = [b""] * n
+        places = np.flatnonzero(good)
+        if len(places):
+            # all of them are one block-diagonal pair of matrices
+            own_a, own_b = ([ids[i] for i in places.tolist()] for ids in (ids_a, ids_b))
+            counts_a, counts_b = (np.fromiter(map(len, own), "int64", len(own)) for own in (own_a, own_b))
+            a = np.fromiter(chain.from_iterable(own_a), "int64", int(counts_a.sum()))
+            b = np.fromiter(chain.from_iterable(own_b), "int64", int(counts_b.sum()))
+            in_a, in_b = np.repeat(places, counts_a), np.repeat(places, counts_b)
+            lengths_a, lengths_b = self.lengths_a[a], self.lengths_b[b]
+            group_a, group_b = groups_of(lengths_a, lengths_b)
+            heads = np.flatnonzero(np.concatenate([[True], group_a[1:] != group_a[:-1]]))
+            figures[places, 0] = 1
+            figures[places, 1], figures[places, 2] = counts_a, counts_b
+            figures[:, 3] = np.bincount(in_a[heads], minlength=n)
+            np.add.at(figures[:, 5], in_a, product_sizes(*group_links(group_a, group_b)))
+            found = [(in_a[row], a[row] << 32 | b[column]) for row, column, _ in overlap_links(lengths_a, lengths_b)]
+            block, pair = (np.concatenate([part[i] for part in found]) for i in range(2))
+            figures[:, 4] = np.bincount(block, minlength=n)
+            # equal links of a block once
+            order = np.lexsort((pair, block))
+            block, pair = block[order], pair[order]
+            cuts = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (pair[1:] != pair[:-1])]))
+            often = np.diff(np.concatenate([cuts, [len(pair)]]))
+            links[:, 1] = np.bincount(block[cuts], minlength=n)
+            links[:, 0] = len(self.linked) + np.cumsum(links[:, 1]) - links[:, 1]
+            self.linked = np.concatenate([self.linked, np.stack([pair[cuts], often], axis=1)])
+            text, starts = shown_groups(a, b, group_a, group_b)
+            ends = starts[np.cumsum(figures[places, 3])].tolist()
+            begin = 0
+            for place, end in zip(places.tolist(), ends, strict=True):
+                shown[place] = text[begin : end - 1]
+                begin = end
+        self.figures, self.links = np.concatenate([self.figures, figures]), np.concatenate([self.links, links])
+        self.shown.extend(shown)
+        self.names.extend(texts if known else [""] * n)
+        self.bytes += sum(map(len, texts)) + sum(map(len, shown))
         return first
 
-    @staticmethod
-    def _shown(a, b, in_a, in_b, group_a, group_b) -> dict[int, bytes]:
-        """Each block's groups as ``a1,a2|b1;a3|b2,b3``."""
-        out: dict[int, list[str]] = {}
-        ia = ib = 0
-        a, b, own, group_a, group_b = a.tolist(), b.tolist(), in_a.tolist(), group_a.tolist(), group_b.tolist()
-        while ia < len(a):
-            group, block = group_a[ia], own[ia]
-            ja, jb = ia, ib
-            while ja < len(a) and group_a[ja] == group:
-                ja += 1
-            while jb < len(b) and group_b[jb] == group:
-                jb += 1
-            out.setdefault(block, []).append(",".join(map(str, a[ia:ja])) + "|" + ",".join(map(str, b[ib:jb])))
-            ia, ib = ja, jb
-        return {block: ";".join(groups).encode() for block, groups in out.items()}
-
-    def document(self, text: str) -> np.ndarray:
-        """Numbers of the blocks a text consists of, in order; none if it has no tokens."""
-        if not text:
-            return np.zeros(0, "int64")
-        number = self.number
-        chunks = CHUNK.findall(" " + text)
-        missing = [c for c in dict.fromkeys(chunks) if c not in number]
-        if missing:
-            first = self.learn(missing)
-            for i, chunk in enumerate(missing):
-                number[chunk] = first + i
-        found = np.fromiter((number[c] for c in chunks), "int64", len(chunks))
-        if self.figures[found, 0].all():
-            return found
-        whole = self.learn([" " + text])
-        return np.array([whole]) if self.figures[whole, 0] else np.zeros(0, "int64")
+    def documents(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of the blocks each text consists of, in order; none if it has no tokens."""
+        number, out, low = self.number, [], 0
+        while low < len(texts):
+            high, size = low, 0
+            while high < len(texts) and (high == low or size + len(texts[high]) <= SLICE_CHARACTERS):
+                size += len(texts[high])
+                high += 1
+            rows = [CHUNK.findall(" " + text) if text else [] for text in texts[low:high]]
+            missing = [c for c in dict.fromkeys(chain.from_iterable(rows)) if c not in number]
+            for begin in range(0, len(missing), LEARN):
+                part = missing[begin : begin + LEARN]
+                first = self.learn(part)
+                number.update(zip(part, range(first, first + len(part)), strict=True))
+            for text, row in zip(texts[low:high], rows, strict=True):
+                found = np.fromiter(map(number.__getitem__, row), "int32", len(row))
+                if not self.figures[found, 0].all():
+                    # a block is not spelled: look at the text as a whole
+                    whole = self.learn([" " + text], known=False)
+                    found = np.array([whole][: self.figures[whole, 0]], "int32")
+                out.append(found)
+            low = high
+        return out
 
 
 _WORKER: dict[tuple[str, str], Blocks] = {}
 
 
 def worker_blocks(byte_file: str, piece_file: str) -> Blocks:
-    """The table of this Python worker; it outlives a task, and is emptied when full."""
+    """The table of this Python worker; it outlives a task, and is thinned out when full."""
     key = (byte_file, piece_file)
     if key not in _WORKER:
         _WORKER[key] = Blocks(byte_file, piece_file)
     return _WORKER[key]
 
 
-def align(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text") -> tuple[DataFrame, str]:
+def align(
+    docs: DataFrame, byte_file: str, piece_file: str, text: str = "text", lookup_pairs: int = LOOKUP_PAIRS
+) -> tuple[DataFrame, str]:
     """``docs`` without the text, with a struct of the alignment's figures, and the struct's name.
 
+    The counted pairs of ids are sent to the tasks if they are at most ``lookup_pairs``, sixteen bytes
+    each; more of them are joined with the blocks' keys. The results are the same.
+
     ``n_links`` counts overlapping tokens, ``n_best`` those whose pair of ids is linked as often in
     the corpus as any pair of its B id, ``count_sum`` how often their pairs are linked, summed;
     ``groups_sha256`` hashes the groups, ``n_group_links`` counts the links inside groups. A null or
@@ -313,29 +391,33 @@ def align(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text")
         blocks = worker_blocks(byte_file, piece_file)
 
         def work(batch, texts):
-            if blocks.full():
-                blocks.clear()
-            documents = [blocks.document(data.decode()) for data in texts]
+            blocks.thin_out()
+            documents = blocks.documents([data.decode() for data in texts])
             hashes = [
-                hashlib.sha256(b";".join([blocks.shown[i] for i in own])).hexdigest() if len(own) else "" for own in map(np.ndarray.tolist, documents)
+                hashlib.sha256(b";".join([blocks.shown[i] for i in own])).hexdigest() if len(own) else ""
+                for own in map(np.ndarray.tolist, documents)
             ]
             at = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-            every = np.concatenate(documents) if documents else np.zeros(0, "int64")
-            sums = [np.bincount(at, blocks.figures[every, f], len(documents)).astype("int64") for f in (1, 2, 3, 4, 5)]
+            every = np.concatenate(documents)
+            sums = []
+            for figure in range(1, 6):
+                total = np.zeros(len(documents), "int64")
+                np.add.at(total, at, blocks.figures[every, figure])
+                sums.append(total)
             counted = [np.unique(d, return_counts=True) for d in documents]
             used, place = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
             times = np.concatenate([c[1] for c in counted])
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(c[0]) for c in counted])]), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (place, times)]
-            # links of each block, equal ones once
-            links = [np.unique(blocks.links[i], return_counts=True) for i in used.tolist()]
-            linked = np.concatenate([x for x, _ in links]) if links else np.zeros(0, "int64")
-            often = np.concatenate([n for _, n in links]) if links else np.zeros(0, "int64")
-            starts = np.concatenate([[0], np.cumsum([len(x) for x, _ in links])]).astype("int64")
-            pairs, places = np.unique(linked, return_inverse=True)
-            in_block = np.bincount(place, times, len(used)).astype("int64")
+            blocks.links[used, 2] += 1
+            sizes = blocks.links[used, 1]
+            linked = blocks.linked[_gathered(blocks.links[used, 0], sizes)]
+            often, starts = linked[:, 1], np.concatenate([[0], np.cumsum(sizes)])
+            pairs, places = np.unique(linked[:, 0], return_inverse=True)
+            in_block = np.zeros(len(used), "int64")
+            np.add.at(in_block, place, times)
             n = np.zeros(len(pairs), "int64")
-            np.add.at(n, places, often * np.repeat(in_block, np.diff(starts)))
+            np.add.at(n, places, often * np.repeat(in_block, sizes))
             whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int32()))
             per_doc = dict(zip(("n_a", "n_b", "n_groups", "n_links", "n_group_links"), map(pa.array, sums), strict=True))
             return (
@@ -346,24 +428,36 @@ def align(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text")
 
         return work
 
-    blocks = exchange.write_blocks(docs, text, start, per_doc, per_key, per_block, "aligned-blocks")
+    blocks = exchange.write_blocks(docs, text, start, per_doc, per_key, per_block, "aligned-blocks", TEXT_BYTES)
     pairs = store(exchange.keys_of(blocks).groupBy("pair").agg(F.sum("n").alias("n")), "id-pairs")
     b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
     best = pairs.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
     table = store(pairs.withColumn("b", b).join(best, "b").select("pair", F.col("n").alias("total"), (F.col("n") == F.col("most")).alias("best")), "pair-counts")
-    answers = exchange.answered(blocks, table, "pair", [F.col("total"), F.col("best")])
+    few = pairs.count() <= lookup_pairs
+    if few:
+        # pairs in order, and their totals with the mark of the best in the lowest bit
+        known = table.select("pair", (2 * F.col("total") + F.col("best").cast("bigint")).alias("marked")).toArrow()
+        order = np.argsort(known["pair"].to_numpy())
+        shared = docs.sparkSession.sparkContext.broadcast((known["pair"].to_numpy()[order], known["marked"].to_numpy()[order]))
+        answers = blocks
+    else:
+        answers = exchange.answered(blocks, table, "pair", [F.col("total"), F.col("best")])
 
     def work(block, found):
+        if few and len(block["keys"].values):
+            listed, marked = shared.value
+            mine = marked[np.searchsorted(listed, block["keys"].values.field("pair").to_numpy())]
+            found = [pa.array(mine >> 1), pa.array(mine & 1)]
         docs = block["docs"]
         rows = len(docs)
         starts, places, often = (block[c].values.to_numpy() for c in ("starts", "places", "often"))
         own, times = docs.field("own").flatten().to_numpy(), docs.field("times").flatten().to_numpy().astype("int64")
         at = np.repeat(np.arange(rows), np.diff(docs.field("own").offsets.to_numpy()))
         made = {f: docs.field(f) for f in ("n_a", "n_b", "n_groups", "n_links")}
-        for figure, column in (("n_best", "best"), ("count_sum", "total")):
+        for figure, place in (("n_best", 1), ("count_sum", 0)):
             total = np.zeros(rows, "int64")
             if found:
-                value = found[column].to_numpy(zero_copy_only=False).astype("int64")
+                value = found[place].to_numpy(zero_copy_only=False).astype("int64")
                 summed = np.concatenate([[0], np.cumsum(often * value[places])])
                 np.add.at(total, at, (summed[starts[1:]] - summed[starts[:-1]])[own] * times)
             made[figure] = pa.array(total)

@@ -99,7 +99,8 @@ def finish(
 ) -> DataFrame:
     """One row per document again: its columns, and a struct ``name`` that ``work`` makes.
 
-    ``work`` takes a block's columns and, as arrays in the order of the keys, the values found; no keys, no values.
+    ``work`` takes a block's columns and, as arrays in the order of the keys, the values found; no keys, or
+    blocks that were not ``answered``, no values.
     """
     schema = StructType([*row_kind.fields]).add(name, kind)
     columns = [c for c in answers.columns if not c.startswith("found_")]
@@ -111,7 +112,7 @@ def finish(
                 block = {c: batch.column(c)[i] for c in columns}
                 held = [batch.column(c)[i].values for c in lists]
                 found = []
-                if held[0] is not None:
+                if held and held[0] is not None:
                     order = pa.compute.sort_indices(held[0])
                     found = [values.take(order) for values in held[1:]]
                 docs = block["docs"].values

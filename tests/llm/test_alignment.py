@@ -1,11 +1,13 @@
 """Cross-tokenizer alignment against whole texts and plain loops."""
 
 import hashlib
+import json
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from edge import DOCS, edge_docs, empty_docs
 from samesense.llm import alignment
@@ -14,12 +16,21 @@ from samesense.llm.queries import tokenizer_file, tokenizer_model
 FILES = (tokenizer_file("byte_bpe_50k.json"), tokenizer_model())
 
 
+TOKENIZER = Tokenizer.from_file(FILES[0])
+TOKENIZER.encode_special_tokens = True
+
+
+def whole_a(text):
+    """Ids of the byte-level file by its own library."""
+    return TOKENIZER.encode(" " + text, add_special_tokens=False).ids
+
+
 def plain_tokens(pair, text):
     """Byte ranges and ids of both tokenizers over the whole text, or None."""
     if not text:
         return None
     data = (" " + text).encode()
-    ids = [pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text)]
+    ids = [whole_a(text), pair.b.encode(text)]
     if any(b"".join(table[i] for i in x) != data for x, table in zip(ids, (pair.bytes_a, pair.bytes_b), strict=True)):
         return None
     out = []
@@ -73,11 +84,12 @@ def odd_text(rng):
     return "".join(rng.choices(parts, weights, k=rng.randrange(1, 40)))
 
 
-def test_equals_plain_loops(spark):
+@pytest.mark.parametrize("lookup_pairs", [alignment.LOOKUP_PAIRS, 0])
+def test_equals_plain_loops(spark, lookup_pairs):
     rng = random.Random(7)
     rows = [(i, odd_text(rng)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got, name = alignment.align(docs, *FILES)
+    got, name = alignment.align(docs, *FILES, lookup_pairs=lookup_pairs)
     found = {r["doc_id"]: tuple(r[name]) for r in got.collect()}
     want = plain_align([t for _, t in rows])
     assert found == {i: w for (i, _), w in zip(rows, want, strict=True)}
@@ -114,23 +126,46 @@ def test_blocks_are_whole_texts():
         chunks = alignment.CHUNK.findall(" " + text)
         assert "".join(chunks) == " " + text
         a = [i for ids in blocks.pair.ids_a(chunks) for i in ids]
-        assert a == blocks.pair.a.encode(" " + text, add_special_tokens=False).ids, text
+        assert a == whole_a(text), text
         b = [i for ids in blocks.pair.ids_b(chunks) for i in ids]
         assert b == blocks.pair.b.encode(text), text
 
 
-def test_emptied_tables_change_nothing(monkeypatch):
+def test_thinned_tables_change_nothing(monkeypatch):
     rng = random.Random(2)
-    texts = [odd_text(rng) for _ in range(50)]
-    blocks = alignment.Blocks(*FILES)
-    seen = []
-    for size in (200_000, 0):
+    texts = [odd_text(rng) for _ in range(60)]
+    shown = []
+    for size in (150_000, 40, 0):
         monkeypatch.setattr(alignment, "TABLE_ENTRIES", size)
-        for text in texts:
-            if blocks.full():
-                blocks.clear()
-            seen.append(b";".join(blocks.shown[i] for i in blocks.document(text)))
-    assert seen[:50] == seen[50:]
+        blocks, seen = alignment.Blocks(*FILES), []
+        for low in range(0, 60, 5):
+            blocks.thin_out()
+            assert size < 100 or len(blocks.names) > 60 or low < 30
+            found = blocks.documents(texts[low : low + 5])
+            for own in found:
+                blocks.links[own, 2] += 1
+                pairs = np.concatenate([blocks.linked[blocks.links[i, 0] : blocks.links[i, 0] + blocks.links[i, 1]] for i in own.tolist()] or [np.zeros((0, 2), int)])
+                seen.append((b";".join(blocks.shown[i] for i in own), blocks.figures[own].sum(axis=0).tolist(), sorted(map(tuple, pairs.tolist()))))
+        shown.append(seen)
+    assert shown[0] == shown[1] == shown[2]
+
+
+def test_other_byte_files_go_through_their_library(tmp_path):
+    """Entries that are not numbered by their merges: the same ids as the library's."""
+    with open(FILES[0], encoding="utf-8") as file:
+        listed = json.load(file)
+    listed["model"]["merges"] = listed["model"]["merges"][:1000] + listed["model"]["merges"][1001:]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(listed), encoding="utf-8")
+    encode, spelled = alignment.byte_encoder(str(path))
+    other = Tokenizer.from_file(str(path))
+    other.encode_special_tokens = True
+    rng = random.Random(6)
+    for _ in range(200):
+        text = " " + odd_text(rng)
+        ids = encode(text)
+        assert ids == other.encode(text, add_special_tokens=False).ids
+        assert b"".join(spelled[i] for i in ids) == text.encode()
 
 
 @pytest.mark.parametrize("expand", [1, 7, 1 << 20])

@@ -24,9 +24,11 @@ No step samples, cuts off or approximates; anchors only decide who meets whom.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.functions.vectors import normalised
@@ -36,6 +38,11 @@ from samesense.storage import store
 
 TILE_ROWS = 1024
 PACK_ROWS = 4096
+# Rows of a side that meet in one task, and of these at a time.
+UNIT_ROWS = 4096
+MEET_ROWS = 1024
+# Compared pairs that cost as much as one more copy of a vector.
+COPY_PAIRS = 256
 SLICE_ROWS = 20_000
 MAX_ANCHORS = 512
 # A cell with more tiles than this is cut again, at most so many times.
@@ -71,11 +78,9 @@ def _local_groups(ids: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.nda
         label = lowest
 
 
-def _edges_within(ids, vectors, threshold, compared=None):
-    """Spanning edges of the rows of one block or tile."""
+def _edges_within(ids, vectors, threshold):
+    """Spanning edges of the rows of one block."""
     near = vectors @ vectors.T >= threshold
-    if compared is not None:
-        near &= compared
     np.fill_diagonal(near, False)
     touched = np.flatnonzero(near.any(axis=1))
     if touched.size == 0:
@@ -112,18 +117,86 @@ def _compare_packs(threshold: float):
     return run
 
 
+def _near(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    near = np.empty((len(left), len(right)), bool)
+    for low in range(0, len(left), MEET_ROWS):
+        near[low : low + MEET_ROWS] = left[low : low + MEET_ROWS] @ right.T >= threshold
+    return near
+
+
+def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the rows of two sides that are near one across, with the lowest id of their component.
+
+    Each row is looked at once, from a flat frontier, so nothing as large as ``near`` is made but its transpose.
+    """
+    back = np.ascontiguousarray(near.T)
+    root_of = [np.full(len(left), -1), np.full(len(right), -1)]
+    lowest: list[int] = []
+    for start in np.flatnonzero(near.any(axis=1)):
+        if root_of[0][start] >= 0:
+            continue
+        number, least, side = len(lowest), left[start], 0
+        frontier = np.array([start])
+        root_of[0][start] = number
+        while frontier.size:
+            links, found = (near, root_of[1]) if side == 0 else (back, root_of[0])
+            hit = np.zeros(links.shape[1], bool)
+            for low in range(0, len(frontier), MEET_ROWS):
+                hit |= links[frontier[low : low + MEET_ROWS]].any(axis=0)
+            frontier = np.flatnonzero(hit & (found < 0))
+            found[frontier] = number
+            side = 1 - side
+            if frontier.size:
+                least = min(least, (left if side == 0 else right)[frontier].min())
+        lowest.append(least)
+    ids = np.concatenate([left[root_of[0] >= 0], right[root_of[1] >= 0]])
+    number = np.concatenate([r[r >= 0] for r in root_of])
+    return ids, np.array(lowest, np.int64)[number]
+
+
+def _sides(unit: pa.Table) -> tuple[bool, list[np.ndarray]]:
+    """Whether a unit is one tile that meets itself, and the places of the rows of its sides."""
+    if unit["kind"][0].as_py() == "00" and unit["a"][0] == unit["b"][0]:
+        return True, [np.arange(unit.num_rows)] * 2
+    # of two different tiles only pairs across; rows of one tile meet elsewhere
+    side = unit["side"].to_numpy()
+    return False, [np.flatnonzero(side == value) for value in (0, 1)]
+
+
 def _compare_units(threshold: float):
     def run(unit: pa.Table) -> pa.Table:
         if unit.num_rows < 2:
             return _table([])
         ids = unit["row_id"].to_numpy()
         vectors = _matrix(unit["unit"], unit.num_rows)
-        side = unit["side"].to_numpy()
-        same_tile = unit["kind"][0].as_py() == "00" and unit["a"][0] == unit["b"][0]
-        # of two different tiles only pairs across; rows of one tile meet elsewhere
-        compared = None if same_tile else side[:, None] != side[None, :]
-        part = _edges_within(ids, vectors, threshold, compared)
-        return _table([part] if part[0].size else [])
+        same_tile, (left, right) = _sides(unit)
+        near = _near(vectors[left], vectors[right], threshold)
+        if same_tile:
+            np.fill_diagonal(near, False)
+            touched = np.flatnonzero(near.any(axis=1))
+            near[touched, touched] = True
+        return _table([_forest(near, ids[left], ids[right])])
+
+    return run
+
+
+def _count_units(threshold: float):
+    def run(unit: pa.Table) -> pa.Table:
+        ids = unit["id"].to_numpy()
+        vectors = _matrix(unit["unit"], unit.num_rows)
+        same_tile, (left, right) = _sides(unit)
+        # a pair is two rows of different ids
+        repeated = len(np.unique(ids)) < len(ids)
+        n = 0
+        for low in range(0, len(left), MEET_ROWS):
+            part = left[low : low + MEET_ROWS]
+            near = vectors[part] @ vectors[right].T >= threshold
+            if same_tile:
+                near &= right[None, :] > part[:, None]
+            if repeated:
+                near &= ids[part][:, None] != ids[right][None, :]
+            n += int(np.count_nonzero(near))
+        return pa.table({"block": unit["block"].slice(0, 1), "n": pa.array([n], pa.int64())})
 
     return run
 
@@ -230,8 +303,8 @@ def place_in_cells(
     )
 
 
-def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges of the rows placed in cells, compared tile against tile.
+def _met_tiles(counted: DataFrame, tile_rows: int, carried: Sequence[str] = ("row_id", "unit")):
+    """The rows placed in cells, grouped by the two tiles that meet.
 
     ``counted`` carries ``n0, n1, n2``, the rows of each role in the cell.
     """
@@ -279,14 +352,59 @@ def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = TILE_RO
     )
     return (
         counted.withColumn("_tile", tile)
-        .select("block", "cell", "row_id", "unit", F.explode_outer(units).alias("u"))
+        .select("block", "cell", *carried, F.explode_outer(units).alias("u"))
         .where("u is not null")
-        .select("block", "cell", "u.*", "row_id", "unit")
+        .select("block", "cell", "u.*", *carried)
         .groupBy("block", "cell", "kind", "a", "b")
-        .applyInArrow(_compare_units(threshold), EDGE)
     )
 
 
+def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = UNIT_ROWS) -> DataFrame:
+    """Edges of the rows placed in cells, compared tile against tile (see ``_met_tiles``)."""
+    return _met_tiles(counted, tile_rows).applyInArrow(_compare_units(threshold), EDGE)
+
+
+def _by_role() -> list[Column]:
+    return [F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, 1, 2)]
+
+
+def pairs_in_cells(
+    placed: DataFrame, vectors: DataFrame, threshold: float, unit_rows: int = UNIT_ROWS
+) -> DataFrame:
+    """How many similar pairs of a block share a cell, each counted once: ``block, n``.
+
+    ``placed``: the stored result of ``place_in_cells``; ``vectors``: ``block, row_id, id, unit``, where
+    ``row_id`` is unique and a pair is two rows of different ``id``. No pair is listed: tiles
+    of the rows of a cell meet and hand on one number. Of two rows one is at home in the cell where
+    they are to meet, so visitors are not counted with each other; rows within half a radius of
+    their anchor are counted by their number. A block with a slice left uncut is one cell.
+    """
+    uncut = placed.where(F.col("role") == UNCUT).select("block").distinct().withColumn("uncut", F.lit(True))
+    marked = placed.select("block", "cell", "row_id", "role").join(F.broadcast(uncut), "block", "left")
+    whole = F.col("uncut").isNotNull()
+    cells = store(
+        marked.where(~whole | (F.col("role") != 2)).select(
+            "block",
+            F.when(whole, F.lit(0)).otherwise(F.col("cell")).cast("bigint").alias("cell"),
+            "row_id",
+            F.when(whole, F.lit(0)).otherwise(F.col("role")).cast("int").alias("role"),
+        ),
+        "cells",
+    )
+    counts = store(cells.groupBy("block", "cell").agg(*_by_role()), "cell-sizes")
+    counted = lookup(cells, counts, ["block", "cell"], ["row_id"], "inner").join(vectors, ["block", "row_id"])
+    met = _met_tiles(counted, unit_rows, ("id", "unit"))
+    block_type = vectors.schema["block"].dataType.simpleString()
+    found = met.applyInArrow(_count_units(threshold), f"block {block_type}, n bigint")
+    # all alike by the triangle inequality
+    by_id = cells.where("role = 1").join(vectors.select("block", "row_id", "id"), ["block", "row_id"])
+    by_id = by_id.groupBy("block", "cell", "id").agg(F.count(F.lit(1)).alias("c"))
+    pairs = lambda n: F.expr(f"{n} * ({n} - 1) div 2")
+    alike = by_id.groupBy("block", "cell").agg(F.sum("c").alias("c"), F.sum(pairs("c")).alias("same"))
+    found = found.unionByName(alike.select("block", (pairs("c") - F.col("same")).alias("n")))
+    return found.groupBy("block").agg(F.sum("n").alias("n"))
+
+
 def large_block_edges(
     large: DataFrame,
     threshold: float,
@@ -304,9 +422,8 @@ def large_block_edges(
     edges = None
     for level in range(max_levels):
         placed = store(place_in_cells(large, threshold, tile_rows), "placed")
-        by_role = [F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, 1, 2)]
         counts = store(
-            placed.groupBy("block", "cell").agg(*by_role, F.max("role").alias("worst"), F.max("size").alias("size")),
+            placed.groupBy("block", "cell").agg(*_by_role(), F.max("role").alias("worst"), F.max("size").alias("size")),
             "cells",
         )
         tiles = [F.ceil(F.col(f"n{role}") / F.lit(tile_rows)) for role in (0, 1, 2)]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from samesense.operators import similar
 from samesense.operators.components import components
-from samesense.operators.similar import large_block_edges, place_in_cells, similar_groups
+from samesense.operators.similar import large_block_edges, pairs_in_cells, place_in_cells, similar_groups
+from samesense.storage import store
 
 
 def roots_of(nodes, edges):
@@ -124,3 +125,24 @@ def test_blocks_without_structure_stay_uncut(spark):
     assert "unit" not in placed.columns and placed.count() <= 1500 * 5
     found = {(r.node, r.root) for r in components(large_block_edges(rows, 0.9, tile_rows=64), "row_id", "root").collect()}
     assert found == {(i, i) for i in range(50)} | {(1450 + i, i) for i in range(50)}
+
+
+@pytest.mark.parametrize(("spread", "max_visits", "unit_rows"), [(0.15, 32, 16), (0.15, 32, 4096), (0.02, 32, 16), (1.0, 2, 32)])
+def test_pairs_in_cells_are_counted_not_listed(spark, monkeypatch, spread, max_visits, unit_rows):
+    """Each similar pair once, of cells that share rows, of half-radius rows and of slices left uncut; ids may repeat."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(12, 10))[rng.integers(0, 12, 300)] + spread * rng.normal(size=(300, 10))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    ids = np.arange(300) // 2 * (np.arange(300) % 3 > 0) + 1000 * (np.arange(300) % 3 == 0) * np.arange(300)
+    rows = spark.createDataFrame(
+        [(7, 300, i, int(k), [float(x) for x in p]) for i, (k, p) in enumerate(zip(ids, points))],
+        "block int, size bigint, row_id bigint, id bigint, unit array<double>",
+    ).localCheckpoint()
+    # slices of 100 rows: some may find that cutting does not pay where others do not
+    placed = store(place_in_cells(rows, 0.9, tile_rows=8, slice_rows=100, max_visits=max_visits), "placed")
+    written = []
+    monkeypatch.setattr(similar, "store", lambda df, label: written.append(df.count()) or store(df, label))
+    got = pairs_in_cells(placed, rows.drop("size"), 0.9, unit_rows).collect()
+    near = (points @ points.T >= 0.9) & (ids[:, None] < ids[None, :])
+    assert [(r.block, r.n) for r in got] == [(7, int(near.sum()))]
+    assert max(written) <= placed.count()

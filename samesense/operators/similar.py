@@ -411,30 +411,33 @@ def large_block_edges(
     tile_rows: int = TILE_ROWS,
     cell_tiles: int = CELL_TILES,
     max_levels: int = MAX_LEVELS,
+    unit_rows: int = UNIT_ROWS,
 ) -> DataFrame:
     """Edges of large blocks, which are cut into cells again and again.
 
-    Who goes where is worked out with ids alone and counted. A block whose cells would copy
-    more vectors than its tiles is compared tile by tile, uncut. A cell that still holds
-    more than ``cell_tiles`` tiles of rows to compare becomes a block of its own as long as
-    that halves the block.
+    Who goes where is worked out with ids alone and counted. A block whose cells would cost more
+    copies of vectors and compared pairs than its tiles is compared tile by tile, uncut. A cell that
+    still holds more than ``cell_tiles`` tiles of ``tile_rows`` to compare becomes a block of its own as long as
+    that halves the block. What is compared meets in tiles of at least ``unit_rows``, however
+    small the blocks are that are cut: vectors are copied once per tile they meet.
     """
     edges = None
+    unit_rows = max(unit_rows, tile_rows)
     for level in range(max_levels):
         placed = store(place_in_cells(large, threshold, tile_rows), "placed")
         counts = store(
             placed.groupBy("block", "cell").agg(*_by_role(), F.max("role").alias("worst"), F.max("size").alias("size")),
             "cells",
         )
-        tiles = [F.ceil(F.col(f"n{role}") / F.lit(tile_rows)) for role in (0, 1, 2)]
+        tiles = [F.ceil(F.col(f"n{role}") / F.lit(unit_rows)) for role in (0, 1, 2)]
         copies = F.col("n0") * (tiles[0] + tiles[1] + tiles[2]) + F.col("n1") * (tiles[0] + tiles[2])
         copies = copies + F.col("n2") * (tiles[0] + tiles[1])
-        # per block: vectors that its cells would copy, against those of its tiles uncut
+        pairs = F.col("n0") * (F.col("n0") / 2 + F.col("n1") + F.col("n2")) + F.col("n1") * F.col("n2")
+        # per block: what its cells would copy and compare, against its tiles uncut
+        size = F.max("size")
+        whole = size * F.ceil(size / F.lit(unit_rows)) + size * size / (2 * COPY_PAIRS)
         uncut = counts.groupBy("block").agg(
-            (
-                (F.max("worst") == UNCUT)
-                | (F.sum(copies) >= F.max("size") * F.ceil(F.max("size") / F.lit(tile_rows)))
-            ).alias("uncut")
+            ((F.max("worst") == UNCUT) | (F.sum(copies + pairs / COPY_PAIRS) >= whole)).alias("uncut")
         )
         rows = F.col("n0") + F.col("n1") + F.col("n2")
         again = (F.col("n0") + F.col("n2") > cell_tiles * tile_rows) & (rows * 2 <= F.col("size"))
@@ -466,7 +469,7 @@ def large_block_edges(
         alike = sized.where("role = 1 and row_id <> anchor").select(
             "row_id", F.col("anchor").alias("root")
         )
-        found = alike.unionByName(compare_cells(here, threshold, tile_rows))
+        found = alike.unionByName(compare_cells(here, threshold, unit_rows))
         edges = found if edges is None else edges.unionByName(found)
         if cells.where("again").isEmpty():
             return edges

@@ -146,3 +146,27 @@ def test_pairs_in_cells_are_counted_not_listed(spark, monkeypatch, spread, max_v
     near = (points @ points.T >= 0.9) & (ids[:, None] < ids[None, :])
     assert [(r.block, r.n) for r in got] == [(7, int(near.sum()))]
     assert max(written) <= placed.count()
+
+
+def test_small_tiles_do_not_multiply_the_copies(spark, monkeypatch):
+    """A block without structure is cut at sixteen rows, yet its vectors are not copied once per sixteen rows."""
+    df, ids, block, vectors = make(spark, 700, 1, 1.0, 11, blocks=1, copies=1, dims=48)
+    grouped = []
+    tiles = similar._met_tiles
+
+    def met(counted, tile_rows, *carried):
+        grouped.append((counted.count(), tile_rows))
+        return tiles(counted, tile_rows, *carried)
+
+    monkeypatch.setattr(similar, "_met_tiles", met)
+    got = similar_groups(df, "block_id", "v", 0.55, tile_rows=16)
+    assert {r.row_id: r.root for r in got.collect()} == brute_force(ids, block, vectors, 0.55)
+    assert sum(rows * -(-700 // tile) for rows, tile in grouped) <= 2 * 700
+    # units of bounded size give the same
+    unit = similar.fold_copies(df, "block_id", "v").select(
+        F.col("block").cast("string").alias("block"), F.lit(700).cast("bigint").alias("size"), "row_id", "unit"
+    )
+    for unit_rows in (64, 4096):
+        edges = large_block_edges(unit, 0.55, tile_rows=16, unit_rows=unit_rows)
+        found = {r.node: r.root for r in components(edges, "row_id", "root").collect()}
+        assert found == brute_force(ids, block, vectors, 0.55)

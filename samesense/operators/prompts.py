@@ -12,11 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samesense.functions.text import group_label
-from samesense.operators.cover import covering_pages, half_pages
+from samesense.operators.cover import covering_pages
 from samesense.skew import lookup, meet, positions
 from samesense.storage import store
 
 PAGE_ROWS = 200
+# Lines of half pages that meet others together, and pages that are made in one task.
+TILE_LINES = 640
+TASK_PAGES = 20_000
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -46,6 +49,53 @@ def _line(number: Column) -> Column:
     )
 
 
+def _half_pages(shown: DataFrame, page_rows: int) -> DataFrame:
+    """Lines of each half page, one row each; a cluster that fits a page is one row. Grows with the rows."""
+    half = max(1, page_rows // 2)
+    large = F.col("n") > page_rows
+    at = F.when(large, F.floor((F.col("pos") - 1) / F.lit(half))).otherwise(0).cast("bigint")
+    halves = F.when(large, F.ceil(F.col("n") / F.lit(half))).otherwise(1).cast("bigint")
+    line = F.struct("pos", _line(F.col("pos")).alias("line"), "attribute_name")
+    return shown.groupBy("cluster_id", halves.alias("halves"), at.alias("half")).agg(
+        F.sort_array(F.collect_list(line)).alias("_lines"), F.sum("copies").alias("n_rows")
+    )
+
+
+def _paired(halves: DataFrame, page_rows: int) -> DataFrame:
+    """Every two half pages of a cluster as a page: ``cluster_id, page, pages, n_rows, _lines``.
+
+    ``halves`` is a stored table. Half pages go to tiles and every two tiles meet; the pages of two tiles are made
+    one after the other where they are read. Pages are as many as the square of the half
+    pages, but none is written or shuffled here, only tiles once per tile they meet.
+    """
+    pages = F.expr("halves * (halves - 1) div 2")
+    per_tile = max(1, TILE_LINES // max(1, page_rows // 2))
+    tiles = store(
+        halves.groupBy("cluster_id", "halves", F.expr(f"half div {per_tile}").alias("tile")).agg(
+            F.collect_list(F.struct("half", "n_rows", "_lines")).alias("own")
+        ),
+        "tiles-of-halves",
+    )
+    last = F.expr(f"(halves - 1) div {per_tile}")
+    met = tiles.select("cluster_id", "halves", F.col("own").alias("_left"), F.col("tile").alias("a"), F.explode(F.sequence("tile", last)).alias("b"))
+    met = met.join(tiles.select("cluster_id", F.col("tile").alias("b"), F.col("own").alias("_right")), ["cluster_id", "b"])
+    total = halves.where("half = 0").agg(F.sum(pages)).first()[0] or 0
+    slots = halves.sparkSession.sparkContext.defaultParallelism
+    if total > TASK_PAGES:
+        met = met.repartition(max(slots, -(-total // TASK_PAGES)), "cluster_id", "a", "b")
+    one = met.select("cluster_id", "halves", "_right", F.explode("_left").alias("x"))
+    later = F.filter("_right", lambda y: y["half"] > F.col("x.half"))
+    two = one.select("cluster_id", "halves", "x", F.explode(later).alias("y"))
+    return two.select(
+        "cluster_id",
+        (F.col("x.half") * F.col("halves") + F.col("y.half")).alias("page"),
+        pages.alias("pages"),
+        (F.col("x.n_rows") + F.col("y.n_rows")).alias("n_rows"),
+        (F.size("x._lines") + F.size("y._lines")).cast("bigint").alias("n_lines"),
+        F.concat("x._lines", "y._lines").alias("_lines"),
+    )
+
+
 def listings(
     df: DataFrame, page_rows: int = PAGE_ROWS, vector: str | None = None, threshold: float | None = None
 ) -> DataFrame:
@@ -59,26 +109,38 @@ def listings(
     shown = positions(lines, "row_id", ["cluster_id"])
     if vector is None or threshold is None:
         sizes = lines.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-        paged = half_pages(lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner"), page_rows)
-    else:
-        vectors = lines.select("cluster_id", "row_id").join(df.select("row_id", vector), "row_id")
-        paged = shown.join(covering_pages(vectors, vector, threshold, page_rows), ["cluster_id", "row_id"])
-    paged = store(paged, "paged-lines")
-    pages = paged.groupBy("cluster_id").agg(F.count_distinct("page").alias("pages"))
-    paged = lookup(paged, pages, ["cluster_id"], ["row_id"], "inner")
-    line = F.struct("pos", _line(F.col("pos")).alias("line"), "attribute_name")
-    return (
-        paged.groupBy("cluster_id", "page", "pages")
-        .agg(F.sort_array(F.collect_list(line)).alias("_lines"), F.sum("copies").alias("n_rows"))
-        .select(
+        sized = lookup(shown, sizes, ["cluster_id"], ["row_id"], "inner")
+        halves = store(_half_pages(sized, page_rows), "half-pages")
+        first, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+        whole = halves.where("halves = 1").select(
             "cluster_id",
-            "page",
-            "pages",
+            first.alias("page"),
+            one.alias("pages"),
             "n_rows",
             F.size("_lines").cast("bigint").alias("n_lines"),
-            F.array_distinct("_lines.attribute_name").alias("attributes"),
-            F.concat_ws("\n", F.col("_lines.line")).alias("listing"),
+            "_lines",
+        )
+        paged = whole.unionByName(_paired(halves.where("halves > 1"), page_rows))
+    else:
+        vectors = lines.select("cluster_id", "row_id").join(df.select("row_id", vector), "row_id")
+        paged = shown.join(covering_pages(vectors, vector, threshold, page_rows), ["cluster_id", "row_id"])
+        paged = store(paged, "paged-lines")
+        pages = paged.groupBy("cluster_id").agg(F.count_distinct("page").alias("pages"))
+        paged = lookup(paged, pages, ["cluster_id"], ["row_id"], "inner")
+        line = F.struct("pos", _line(F.col("pos")).alias("line"), "attribute_name")
+        paged = (
+            paged.groupBy("cluster_id", "page", "pages")
+            .agg(F.sort_array(F.collect_list(line)).alias("_lines"), F.sum("copies").alias("n_rows"))
+            .withColumn("n_lines", F.size("_lines").cast("bigint"))
         )
+    return paged.select(
+        "cluster_id",
+        "page",
+        "pages",
+        "n_rows",
+        "n_lines",
+        F.array_distinct("_lines.attribute_name").alias("attributes"),
+        F.concat_ws("\n", F.col("_lines.line")).alias("listing"),
     )
 
 

@@ -89,3 +89,32 @@ def test_listings_take_covering_pages(spark):
     assert "| Rows: 2" in next(r.listing for r in one if "name0" in r.attributes)
     # the same prompts from every pair: far more pages
     assert P.listings(df, 12).where(F.col("cluster_id") == 1).count() == 20 * 19 / 2
+
+
+def test_pages_of_every_pair_are_not_written(spark, monkeypatch):
+    """Every two rows of a cluster share a page; what is stored grows with the rows, not with the pages."""
+    rows = [(c, 1000 * c + i, f"n{i % 7}", f"d{i}") for c, n in ((1, 203), (2, 6), (3, 7), (4, 1)) for i in range(n)]
+    rows += [(1, 9000, "n0", "d0")]
+    df = spark.createDataFrame(rows, "cluster_id int, row_id bigint, attribute_name string, attribute_definition string")
+    monkeypatch.setattr(P, "TILE_LINES", 12)
+    kept = P.store
+    written = []
+
+    def store(df, label):
+        done = kept(df, label)
+        written.append(done.select(F.explode("own")).count() if "own" in done.columns else done.count())
+        return done
+
+    monkeypatch.setattr(P, "store", store)
+    pages = P.listings(df, 6).collect()
+    assert max(written) <= 217
+    count = {c: [p for p in pages if p.cluster_id == c] for c in (1, 2, 3, 4)}
+    assert {c: len(p) for c, p in count.items()} == {1: 68 * 67 / 2, 2: 1, 3: 3, 4: 1}
+    assert all(p.pages == len(count[p.cluster_id]) and p.n_lines == len(p.listing.splitlines()) <= 6 for p in pages)
+    assert len({(p.cluster_id, p.page) for p in pages}) == len(pages)
+    seen = set()
+    for p in count[1]:
+        at = [int(line.split(".")[0]) for line in p.listing.splitlines()]
+        assert at == sorted(at) and p.n_rows == p.n_lines + (1 in at)
+        seen |= {(x, y) for x in at for y in at if x < y}
+    assert len(seen) == 203 * 202 / 2

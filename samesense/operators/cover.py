@@ -8,17 +8,20 @@ every cell whose border is within the radius of the threshold (the bisector rule
 ``similar``), cells that are still too large are cut again, and cells are packed like groups.
 
 What cannot be cut, since its rows are nearly all alike, is shown as pairs of half pages: there
-the pairs themselves are as many as the square of the rows. All other rows are on one page,
+the pairs themselves are as many as the square of the rows, so they are numbered and not
+written, and who needs their rows meets them in tiles (``meet_halves``). All other rows are on one page,
 or on as many as borders they lie at.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from samesense.functions.vectors import normalised
-from samesense.operators.similar import MAX_LEVELS, UNCUT, place_in_cells, similar_groups
+from samesense.operators.similar import MAX_LEVELS, MEET_ROWS, UNCUT, UNIT_ROWS, place_in_cells, similar_groups
 from samesense.skew import lookup, positions
 from samesense.storage import store
 
@@ -26,16 +29,76 @@ from samesense.storage import store
 MAX_VISITS = 3
 
 
-def half_pages(rows: DataFrame, page_rows: int, page: str = "page") -> DataFrame:
-    """``rows`` with ``pos`` and ``n`` of their group, once per pair of half pages they are in."""
-    half = max(1, page_rows // 2)
-    halves = F.ceil(F.col("n") / F.lit(half))
-    own = F.floor((F.col("pos") - 1) / F.lit(half))
+def half_pages(halved: DataFrame) -> DataFrame:
+    """Rows of the pages of every two halves of a unit: ``cluster_id, row_id, page``, made where they are read.
+
+    ``halved``: ``half`` of the ``halves`` of the unit, and ``base``, the number of its first page.
+    """
+    own, halves = F.col("half"), F.col("halves")
     partners = F.filter(F.sequence(F.lit(0).cast("bigint"), halves - 1), lambda o: o != own)
-    pages = F.when(F.col("n") <= page_rows, F.array(F.lit(0).cast("bigint"))).otherwise(
-        F.transform(partners, lambda o: F.least(own, o) * halves + F.greatest(own, o))
-    )
-    return rows.withColumn(page, F.explode(pages))
+
+    def number(o):
+        low, high = F.least(own, o), F.greatest(own, o)
+        return F.col("base") + F.floor(low * (halves * 2 - low - 1) / 2) + high - low - 1
+
+    pages = F.when(halves == 1, F.array("base")).otherwise(F.transform(partners, number))
+    return halved.select("cluster_id", "row_id", F.explode(pages).alias("page"))
+
+
+def meet_halves(halved: DataFrame, vectors: DataFrame, page_rows: int, tile_rows: int = UNIT_ROWS):
+    """Rows of the halves of a unit, grouped by the two tiles of halves that meet: ``a, b, side``.
+
+    Each page, two halves of a unit, is in exactly one group; a half alone in its unit is in one too.
+    A row is copied once per tile it meets, not once per page. ``vectors``: ``row_id`` and what is carried along.
+    """
+    per_tile = max(1, tile_rows // max(1, page_rows // 2))
+    tile, tiles = F.expr(f"half div {per_tile}"), F.expr(f"(halves - 1) div {per_tile} + 1")
+    others = F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)).alias("other")
+    dealt = halved.join(vectors, "row_id").withColumn("tile", tile).select("*", others)
+    return dealt.withColumns(
+        {
+            "a": F.least("tile", "other"),
+            "b": F.greatest("tile", "other"),
+            "side": F.when(F.col("tile") > F.col("other"), 1).otherwise(0),
+        }
+    ).drop("tile", "other").groupBy("cluster_id", "unit_id", "a", "b")
+
+
+def judge_halves(threshold: float, page_rows: int):
+    """For ``meet_halves``: whether each row is on a page with an alike one, and its pages fit.
+
+    ``vectors`` carry ``unit``. Two rows of a group share a page: one half has all others of its unit for partners.
+    """
+
+    def run(unit: pa.Table) -> pa.Table:
+        ids, half, side = (unit[c].to_numpy() for c in ("row_id", "half", "side"))
+        vectors = np.stack(unit["unit"].to_numpy())
+        alone = unit["a"][0] == unit["b"][0]
+        left, right = [np.arange(len(ids))] * 2 if alone else [np.flatnonzero(side == v) for v in (0, 1)]
+        repeated = alone or len(np.unique(ids)) < len(ids)
+        found = np.zeros(len(ids), bool)
+        for low in range(0, len(left), MEET_ROWS):
+            part = left[low : low + MEET_ROWS]
+            near = vectors[part] @ vectors[right].T >= threshold
+            if repeated:
+                near &= ids[part][:, None] != ids[right][None, :]
+            found[part] |= near.any(axis=1)
+            found[right] |= near.any(axis=0)
+        # the longest page of a row: its half and the longest of those it meets here
+        _, place, rows = np.unique(half, return_inverse=True, return_counts=True)
+        fits = np.ones(len(ids), bool)
+        for own, other in ((left, right), (right, left)):
+            if len(own) and len(other):
+                met = np.zeros(len(rows), np.int64)
+                met[place[other]] = rows[place[other]]
+                longest, second = met.argmax(), 0
+                if len(met) > 1:
+                    second = np.delete(met, longest).max()
+                longest_met = np.where(place[own] == longest, second, met[longest])
+                fits[own] &= rows[place[own]] + longest_met <= page_rows
+        return pa.table({"row_id": unit["row_id"], "cluster_id": unit["cluster_id"], "found": pa.array(found), "fits": pa.array(fits)})
+
+    return run
 
 
 def _cut(large: DataFrame, threshold: float, page_rows: int) -> tuple[DataFrame, DataFrame | None]:
@@ -83,6 +146,16 @@ def covering_pages(rows: DataFrame, vector: str, threshold: float, page_rows: in
     Any two rows of a block that fits a page share it, and any two of a larger block whose cosine
     is at least ``threshold``.
     """
+    paged, halved = cover(rows, vector, threshold, page_rows)
+    return paged if halved is None else paged.unionByName(half_pages(halved))
+
+
+def cover(rows: DataFrame, vector: str, threshold: float, page_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """``covering_pages`` in two tables that grow with the rows.
+
+    ``cluster_id, row_id, page`` for rows on pages of their own; and for what cannot be cut the halves of which
+    every two are a page, ``cluster_id, unit_id, row_id, half, halves, base`` (``half_pages`` lists these pages).
+    """
     rows = store(rows.select("cluster_id", "row_id", F.col(vector).alias("v")), "to-cover")
     sizes = rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     sized = store(lookup(rows, sizes, ["cluster_id"], ["row_id"], "inner"), "sized-blocks")
@@ -90,7 +163,7 @@ def covering_pages(rows: DataFrame, vector: str, threshold: float, page_rows: in
     small = sized.where(F.col("n") <= page_rows).select("cluster_id", "row_id", first.alias("page"))
     large = sized.where(F.col("n") > page_rows).drop("n")
     if large.isEmpty():
-        return small
+        return small, None
     found = store(similar_groups(large, "cluster_id", "v", threshold), "alike")
     grouped = store(
         large.join(found, "row_id", "left").withColumn("root", F.coalesce("root", "row_id")), "grouped"
@@ -124,22 +197,30 @@ def covering_pages(rows: DataFrame, vector: str, threshold: float, page_rows: in
     alone = unit_sizes.where(F.col("n") > half).select("cluster_id", "unit_id", F.concat(F.lit("u"), "unit_id").alias("page_id"))
     paged = lookup(members, packed.unionByName(alone), ["cluster_id", "unit_id"], ["row_id"], "inner")
     paged = paged.select("cluster_id", "row_id", "page_id")
-    if stuck is not None and not stuck.isEmpty():
-        numbered = positions(stuck, "row_id", ["cluster_id", "unit_id"])
-        many = stuck.groupBy("cluster_id", "unit_id").agg(F.count(F.lit(1)).alias("n"))
-        halved = half_pages(lookup(numbered, many, ["cluster_id", "unit_id"], ["row_id"], "inner"), page_rows, "pair")
-        paged = paged.unionByName(
-            halved.select("cluster_id", "row_id", F.concat(F.lit("h"), "unit_id", F.lit(":"), F.col("pair").cast("string")).alias("page_id"))
-        )
     paged = store(paged.distinct(), "pages")
     pages = paged.select("cluster_id", "page_id").distinct().withColumn(
         "by", F.struct(F.xxhash64("page_id").alias("h"), "page_id")
     )
-    numbers = positions(store(pages, "page-names"), "by", ["cluster_id"], "number").select(
+    numbers = store(positions(store(pages, "page-names"), "by", ["cluster_id"], "number"), "page-numbers").select(
         "cluster_id", "page_id", (F.col("number") - 1).alias("page")
     )
     shown = lookup(paged, numbers, ["cluster_id", "page_id"], ["row_id"], "inner")
-    return small.unionByName(shown.select("cluster_id", "row_id", "page"))
+    plain = small.unionByName(shown.select("cluster_id", "row_id", "page"))
+    if stuck is None or stuck.isEmpty():
+        return plain, None
+    # pages of every two halves come after the others of their block, unit by unit
+    halves = F.when(F.col("rows") <= page_rows, 1).otherwise(F.ceil(F.col("rows") / F.lit(half))).cast("bigint")
+    units = stuck.groupBy("cluster_id", "unit_id").agg(F.count(F.lit(1)).alias("rows")).withColumn("halves", halves)
+    pairs = F.greatest(F.lit(1).cast("bigint"), F.expr("halves * (halves - 1) div 2"))
+    units = _running_totals(store(units.select("*", pairs.alias("n"), order.alias("by")), "units-in-halves"))
+    before = numbers.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("before"))
+    base = F.col("start") + F.coalesce("before", F.lit(0))
+    units = units.join(before, "cluster_id", "left").select("cluster_id", "unit_id", "halves", base.alias("base"))
+    numbered = positions(stuck, "row_id", ["cluster_id", "unit_id"])
+    placed = lookup(numbered, store(units, "unit-pages"), ["cluster_id", "unit_id"], ["row_id"], "inner")
+    at = F.when(F.col("halves") == 1, 0).otherwise(F.floor((F.col("pos") - 1) / F.lit(half))).cast("bigint")
+    halved = placed.select("cluster_id", "unit_id", "row_id", at.alias("half"), "halves", "base")
+    return plain, store(halved, "halves")
 
 
 def _running_totals(units: DataFrame) -> DataFrame:

@@ -118,3 +118,33 @@ def test_pages_of_every_pair_are_not_written(spark, monkeypatch):
         assert at == sorted(at) and p.n_rows == p.n_lines + (1 in at)
         seen |= {(x, y) for x in at for y in at if x < y}
     assert len(seen) == 203 * 202 / 2
+
+
+def test_halves_grow_with_the_rows_and_meet_on_every_page(spark):
+    """What cannot be cut: no table of pages is written, and tiles of halves meet as the listed pages do."""
+    rng = np.random.default_rng(5)
+    blocks = {1: rng.normal(size=(150, 24)), 2: np.ones(6).repeat(4).reshape(1, 24) + 0.001 * rng.normal(size=(45, 24)), 3: rng.normal(size=(4, 24))}
+    count = checked(spark, blocks, 0.2, 10)
+    rows, df = rows_of(spark, blocks)
+    unit = {i: np.array(v) / np.linalg.norm(v) for _, i, v in rows}
+    paged, halved = cover.cover(df, "v", 0.2, 10)
+    paged = paged.localCheckpoint()
+    assert paged.count() + halved.count() <= 2 * len(rows) < cover.half_pages(halved).count()
+    assert count[2] == 36
+    vectors = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in unit.items()], "row_id bigint, unit array<double>")
+    pages = {}
+    for r in cover.half_pages(halved).collect():
+        pages.setdefault((r.cluster_id, r.page), []).append(r.row_id)
+    for room in (10, 9):
+        want = {}
+        for members in pages.values():
+            for i in members:
+                found = any(i != j and unit[i] @ unit[j] >= 0.2 for j in members)
+                seen, fits = want.get(i, (False, True))
+                want[i] = (seen or found, fits and len(members) <= room)
+        for tile_rows in (20, 4096):
+            met = cover.meet_halves(halved, vectors, 10, tile_rows).applyInArrow(
+                cover.judge_halves(0.2, room), "row_id bigint, cluster_id int, found boolean, fits boolean"
+            )
+            got = met.groupBy("row_id").agg(F.max("found").alias("f"), F.min("fits").alias("t")).collect()
+            assert {r.row_id: (r.f, r.t) for r in got} == want

@@ -78,6 +78,7 @@ def infer(
     batch_prompts: int = 16,
     batch_tokens: int = 32_768,
     partitions: int | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Add ``response, attempts, error``.
 
@@ -88,6 +89,8 @@ def infer(
     work, so they are dealt out over ``partitions`` instead of being left in the few
     partitions their size would suggest: by default ``TASK_PROMPTS`` a task, and at least one task
     per slot. For that the prompts are counted, so ``df`` should be cheap to read twice.
+    With ``in_place`` prompts are asked where they are made, are not counted or shuffled, and end
+    there: the result has the other columns.
     """
     if on_error not in ("raise", "record"):
         raise ValueError("on_error must be 'raise' or 'record'")
@@ -116,6 +119,8 @@ def infer(
             raise error
         return None, used, repr(error)
 
+    kept = [i for i in range(len(df.columns)) if not in_place or i != position]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prompts = batch.column(position).to_pylist()
@@ -136,16 +141,18 @@ def infer(
                         out += [alone(text, 1) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns,
+                    *[batch.column(i) for i in kept],
                     pa.array([o[0] for o in out], pa.string()),
                     pa.array([o[1] for o in out], pa.int32()),
                     pa.array([o[2] for o in out], pa.string()),
                 ],
-                names=[*batch.schema.names, "response", "attempts", "error"],
+                names=[*[batch.schema.names[i] for i in kept], "response", "attempts", "error"],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.repartition(partitions or _parts(df)).mapInArrow(run, f"{schema}, response string, attempts int, error string")
+    fields = [df.schema.fields[i] for i in kept]
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+    dealt = df if in_place else df.repartition(partitions or _parts(df))
+    return dealt.mapInArrow(run, f"{schema}response string, attempts int, error string")
 
 
 def _parts(prompts: DataFrame) -> int:

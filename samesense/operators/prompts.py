@@ -17,9 +17,9 @@ from samesense.skew import lookup, meet, positions
 from samesense.storage import store
 
 PAGE_ROWS = 200
-# Lines of half pages that meet others together, and pages that are made in one task.
+# Lines of half pages that meet others together, and lines of the pages that are made in one task.
 TILE_LINES = 640
-TASK_PAGES = 20_000
+TASK_LINES = 400_000
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -61,8 +61,8 @@ def _half_pages(shown: DataFrame, page_rows: int) -> DataFrame:
     )
 
 
-def _paired(halves: DataFrame, page_rows: int) -> DataFrame:
-    """Every two half pages of a cluster as a page: ``cluster_id, page, pages, n_rows, _lines``.
+def _paired(halves: DataFrame, page_rows: int) -> tuple[DataFrame, int]:
+    """Every two half pages of a cluster as a page: ``cluster_id, page, pages, n_rows, _lines``; and their number.
 
     ``halves`` is a stored table. Half pages go to tiles and every two tiles meet; the pages of two tiles are made
     one after the other where they are read. Pages are as many as the square of the half
@@ -81,12 +81,12 @@ def _paired(halves: DataFrame, page_rows: int) -> DataFrame:
     met = met.join(tiles.select("cluster_id", F.col("tile").alias("b"), F.col("own").alias("_right")), ["cluster_id", "b"])
     total = halves.where("half = 0").agg(F.sum(pages)).first()[0] or 0
     slots = halves.sparkSession.sparkContext.defaultParallelism
-    if total > TASK_PAGES:
-        met = met.repartition(max(slots, -(-total // TASK_PAGES)), "cluster_id", "a", "b")
+    if total > (task_pages := _task_pages(page_rows)):
+        met = met.repartition(max(slots, -(-total // task_pages)), "cluster_id", "a", "b")
     one = met.select("cluster_id", "halves", "_right", F.explode("_left").alias("x"))
     later = F.filter("_right", lambda y: y["half"] > F.col("x.half"))
     two = one.select("cluster_id", "halves", "x", F.explode(later).alias("y"))
-    return two.select(
+    paged = two.select(
         "cluster_id",
         (F.col("x.half") * F.col("halves") + F.col("y.half")).alias("page"),
         pages.alias("pages"),
@@ -94,6 +94,11 @@ def _paired(halves: DataFrame, page_rows: int) -> DataFrame:
         (F.size("x._lines") + F.size("y._lines")).cast("bigint").alias("n_lines"),
         F.concat("x._lines", "y._lines").alias("_lines"),
     )
+    return paged, total
+
+
+def _task_pages(page_rows: int) -> int:
+    return max(1, TASK_LINES // max(1, page_rows))
 
 
 def listings(
@@ -105,6 +110,17 @@ def listings(
     ``vector`` every two rows of a cluster share a page; with it those whose cosine is at least
     ``threshold``, and the number of pages follows the number of rows.
     """
+    return listed_pages(df, page_rows, vector, threshold)[0]
+
+
+def listed_pages(
+    df: DataFrame, page_rows: int = PAGE_ROWS, vector: str | None = None, threshold: float | None = None
+) -> tuple[DataFrame, bool]:
+    """``listings``, and whether they are pairs of half pages beyond what one task makes.
+
+    Those grow with the square of a cluster and should be used up where they are made, not written.
+    """
+    many = False
     lines = store(distinct_rows(df), "lines")
     shown = positions(lines, "row_id", ["cluster_id"])
     if vector is None or threshold is None:
@@ -120,7 +136,9 @@ def listings(
             F.size("_lines").cast("bigint").alias("n_lines"),
             "_lines",
         )
-        paged = whole.unionByName(_paired(halves.where("halves > 1"), page_rows))
+        paired, total = _paired(halves.where("halves > 1"), page_rows)
+        many = total > _task_pages(page_rows)
+        paged = whole.unionByName(paired)
     else:
         vectors = lines.select("cluster_id", "row_id").join(df.select("row_id", vector), "row_id")
         paged = shown.join(covering_pages(vectors, vector, threshold, page_rows), ["cluster_id", "row_id"])
@@ -133,7 +151,7 @@ def listings(
             .agg(F.sort_array(F.collect_list(line)).alias("_lines"), F.sum("copies").alias("n_rows"))
             .withColumn("n_lines", F.size("_lines").cast("bigint"))
         )
-    return paged.select(
+    listed = paged.select(
         "cluster_id",
         "page",
         "pages",
@@ -142,6 +160,7 @@ def listings(
         F.array_distinct("_lines.attribute_name").alias("attributes"),
         F.concat_ws("\n", F.col("_lines.line")).alias("listing"),
     )
+    return listed, many
 
 
 DETECT_HEAD = (

@@ -92,21 +92,74 @@ def merge_pages(items: DataFrame, rows: DataFrame) -> DataFrame:
     share a name are one group; the groups of a cluster are numbered by their first row.
     Each name comes once, with its number of rows in the cluster as ``copies``.
     """
-    nodes = store(
-        rows.groupBy("cluster_id", "attribute_name").agg(
-            F.min("row_id").alias("node"), F.count(F.lit(1)).alias("copies")
-        ),
-        "names",
-    )
+    nodes = _nodes(rows)
     # a name with many definitions is mentioned once per page and reply
     flagged = items.where("is_duplicate").select("cluster_id", "page", "duplicate_group_id", "attribute_name").distinct()
     flagged = store(
         flagged.join(nodes, ["cluster_id", "attribute_name"]).select("cluster_id", "page", "duplicate_group_id", "node"),
         "flagged",
     )
+    return _numbered(nodes, flagged, _to_hubs(flagged))
+
+
+def linked_names(replies: DataFrame) -> DataFrame:
+    """What the replies say, each thing once, however many pages say it.
+
+    ``cluster_id, attribute_name, hub, page, duplicate_group_id``. The names of a group of a reply are tied to a
+    ``hub``, the least of them that its page shows, and the page is forgotten; a group of which its
+    page shows no name keeps its page and id, and has no hub. Made of one row, the reply, so it is reduced where
+    the reply was given. A group without an id holds nothing together.
+    """
+    flagged = F.filter("items", lambda i: i["is_duplicate"] & i["attribute_name"].isNotNull())
+    gids = F.array_distinct(F.transform("_flagged", lambda i: i["duplicate_group_id"]))
+
+    def of(gid):
+        mine = F.filter("_flagged", lambda i: i["duplicate_group_id"].eqNullSafe(gid))
+        names = F.array_distinct(F.transform(mine, lambda i: i["attribute_name"]))
+        return F.struct(gid.alias("gid"), names.alias("names"), F.array_min(F.array_intersect(names, "attributes")).alias("hub"))
+
+    read = read_replies(replies).select("cluster_id", "page", "attributes", flagged.alias("_flagged"))
+    groups = read.select("cluster_id", "page", F.explode(F.transform(gids, of)).alias("g"))
+    names = groups.select("cluster_id", "page", "g.gid", "g.hub", F.explode("g.names").alias("attribute_name"))
+    loose = F.col("gid").isNotNull() & F.col("hub").isNull()
+    return names.select(
+        "cluster_id",
+        "attribute_name",
+        F.when(F.col("gid").isNull(), F.col("attribute_name")).otherwise(F.col("hub")).alias("hub"),
+        F.when(loose, F.col("page")).alias("page"),
+        F.when(loose, F.col("gid")).alias("duplicate_group_id"),
+    ).distinct()
+
+
+def merge_links(linked: DataFrame, rows: DataFrame) -> DataFrame:
+    """``merge_pages`` from the stored result of ``linked_names``."""
+    nodes = _nodes(rows)
+    known = store(lookup(linked, nodes.drop("copies"), ["cluster_id", "attribute_name"], ["hub", "page"], "inner"), "flagged")
+    hubs = nodes.select("cluster_id", F.col("attribute_name").alias("hub"), F.col("node").alias("to"))
+    tied = lookup(known.where("hub is not null"), hubs, ["cluster_id", "hub"], ["node"], "inner")
+    edges = tied.select("node", F.col("to").alias("hub")).unionByName(
+        _to_hubs(known.where("hub is null").drop("hub")).select("node", "hub")
+    )
+    return _numbered(nodes, known, edges)
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    return store(
+        rows.groupBy("cluster_id", "attribute_name").agg(
+            F.min("row_id").alias("node"), F.count(F.lit(1)).alias("copies")
+        ),
+        "names",
+    )
+
+
+def _to_hubs(flagged: DataFrame) -> DataFrame:
     group = ["cluster_id", "page", "duplicate_group_id"]
     hub = flagged.groupBy(*group).agg(F.min("node").alias("hub"))
-    edges = lookup(flagged, hub, group, ["node"], "inner")
+    return lookup(flagged, hub, group, ["node"], "inner")
+
+
+def _numbered(nodes: DataFrame, flagged: DataFrame, edges: DataFrame) -> DataFrame:
+    """Items of the groups that the ``edges`` hold together, of the ``flagged`` names."""
     roots = components(edges, "node", "hub")
     # a name alone in its group is its own root
     rooted = flagged.select("node").distinct().join(roots, "node", "left").select(

@@ -48,7 +48,7 @@ def candidate(reply: Column) -> Column:
     """
     block = _part(reply, JSON_FENCE, 1)
     first = F.locate("{", reply)
-    last = F.length(reply) - F.locate("}", F.reverse(reply)) + F.lit(1)
+    last = F.length(reply) - F.length(F.substring_index(reply, "}", -1))
     braces = reply.contains("{") & reply.contains("}") & (last > first)
     return (
         F.when(
@@ -153,30 +153,30 @@ def valid_items(parsed: Column) -> Column:
     no row and reads null.
     """
 
-    def key(item, name):
-        return F.try_variant_get(item, f"$.{name}", "variant")
-
     def is_true(item):
-        return F.coalesce(F.try_variant_get(item, "$.is_duplicate", "boolean"), F.lit(False))
+        return F.coalesce(F.try_variant_get(item["is_duplicate"], "$", "boolean"), F.lit(False))
 
     def valid(item):
         return (
-            key(item, "attribute_name").isNotNull()
-            & (F.coalesce(F.schema_of_variant(key(item, "is_duplicate")), F.lit("")) == "BOOLEAN")
-            & (~is_true(item) | key(item, "duplicate_group_id").isNotNull())
+            item["attribute_name"].isNotNull()
+            & (F.coalesce(F.schema_of_variant(item["is_duplicate"]), F.lit("")) == "BOOLEAN")
+            & (~is_true(item) | item["duplicate_group_id"].isNotNull())
         )
 
     def shape(item):
-        name = key(item, "attribute_name")
+        name = item["attribute_name"]
         return F.struct(
             F.when(
                 F.schema_of_variant(name) == "STRING", F.try_variant_get(name, "$", "string")
             ).alias("attribute_name"),
             is_true(item).alias("is_duplicate"),
-            _id_text(key(item, "duplicate_group_id")).alias("duplicate_group_id"),
+            _id_text(item["duplicate_group_id"]).alias("duplicate_group_id"),
         )
 
-    listed = F.try_variant_get(parsed, "$.duplicates", "array<variant>")
+    # all keys in one pass; an item that is no object is null
+    listed = F.try_variant_get(
+        parsed, "$.duplicates", "array<struct<attribute_name:variant,is_duplicate:variant,duplicate_group_id:variant>>"
+    )
     return F.coalesce(
         F.transform(F.filter(listed, valid), shape), F.array().cast(ITEMS)
     )
@@ -195,7 +195,7 @@ def read_replies(df: DataFrame, reply: str = "response") -> DataFrame:
     )
     steps = steps.withColumn(
         "_sections",
-        F.when(F.size(F.coalesce("_entries", F.array().cast("array<struct<gid:string,names:array<string>>>"))) == 0, section_groups(text)),
+        F.when(F.col("_parsed").isNull() & (F.size(F.coalesce("_entries", F.array().cast("array<struct<gid:string,names:array<string>>>"))) == 0), section_groups(text)),
     )
     none = F.array().cast(ITEMS)
     items = F.when(F.col("_parsed").isNotNull(), valid_items(F.col("_parsed"))).when(

@@ -41,8 +41,17 @@ PACK_ROWS = 4096
 # Rows of a side that meet in one task, and of these at a time.
 UNIT_ROWS = 4096
 MEET_ROWS = 1024
+# A large block has this many tiles, until a tile has so many bytes of vectors: rows are copied once per tile they meet.
+UNIT_SPLIT = 16
+UNIT_BYTES = 32 << 20
+# Rows of both sides whose products are taken at a time, and pairs that are then compared in double precision.
+SIEVE_ROWS = 512
+SIEVE_WIDTH = 4096
+VERIFY_PAIRS = 1 << 16
+# Cosines this close to the threshold are worked out again, by a product of matrices.
+CLOSE = 1e-12
 # Compared pairs that cost as much as one more copy of a vector.
-COPY_PAIRS = 256
+COPY_PAIRS = 8192
 SLICE_ROWS = 20_000
 MAX_ANCHORS = 512
 # A cell with more tiles than this is cut again, at most so many times.
@@ -117,41 +126,85 @@ def _compare_packs(threshold: float):
     return run
 
 
-def _near(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-    near = np.empty((len(left), len(right)), bool)
-    for low in range(0, len(left), MEET_ROWS):
-        near[low : low + MEET_ROWS] = left[low : low + MEET_ROWS] @ right.T >= threshold
-    return near
-
-
-def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the rows of two sides that are near one across, with the lowest id of their component.
-
-    Each row is looked at once, from a flat frontier, so nothing as large as ``near`` is made but its transpose.
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` after the trees of the rows ``a`` and ``b`` are one; every row points at its lowest row."""
+    while True:
+        a, b = root[a], root[b]
+        apart = a != b
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        above = root[root]
+        while not np.array_equal(above, root):
+            root, above = above, above[above]
+
+
+def _alike(vectors: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of rows have a cosine of at least ``threshold``, as a product of matrices gives it."""
+    cosine = np.einsum("ij,ij->i", vectors[a], vectors[b])
+    alike = cosine >= threshold
+    # sums in another order differ in the last digits
+    doubt = np.flatnonzero(np.abs(cosine - threshold) < CLOSE)
+    for low in range(0, len(doubt), MEET_ROWS):
+        part = doubt[low : low + MEET_ROWS]
+        rows, at_row = np.unique(a[part], return_inverse=True)
+        others, at_other = np.unique(b[part], return_inverse=True)
+        alike[part] = (vectors[rows] @ vectors[others].T >= threshold)[at_row, at_other]
+    return alike
+
+
+def _linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> np.ndarray:
+    """For each row the lowest row of its component, where similar rows of two sides are linked.
+
+    Rows are taken in the order of their distance to the middle: two similar ones differ by no more than
+    the radius in it. Of the others, floats rule out most pairs; those they leave open, and that are not
+    connected yet, are compared in double precision.
     """
-    back = np.ascontiguousarray(near.T)
-    root_of = [np.full(len(left), -1), np.full(len(right), -1)]
-    lowest: list[int] = []
-    for start in np.flatnonzero(near.any(axis=1)):
-        if root_of[0][start] >= 0:
-            continue
-        number, least, side = len(lowest), left[start], 0
-        frontier = np.array([start])
-        root_of[0][start] = number
-        while frontier.size:
-            links, found = (near, root_of[1]) if side == 0 else (back, root_of[0])
-            hit = np.zeros(links.shape[1], bool)
-            for low in range(0, len(frontier), MEET_ROWS):
-                hit |= links[frontier[low : low + MEET_ROWS]].any(axis=0)
-            frontier = np.flatnonzero(hit & (found < 0))
-            found[frontier] = number
-            side = 1 - side
-            if frontier.size:
-                least = min(least, (left if side == 0 else right)[frontier].min())
-        lowest.append(least)
-    ids = np.concatenate([left[root_of[0] >= 0], right[root_of[1] >= 0]])
-    number = np.concatenate([r[r >= 0] for r in root_of])
-    return ids, np.array(lowest, np.int64)[number]
+    root = np.arange(len(vectors))
+    # a vector that is not finite is like no other
+    finite = np.isfinite(vectors).all(axis=1)
+    left, right = left[finite[left]], right[finite[right]]
+    if not len(left) or not len(right):
+        return root
+    middle = vectors[right].mean(axis=0)
+    far = [np.linalg.norm(vectors[side] - middle, axis=1) for side in (left, right)]
+    order = [np.argsort(distance, kind="stable") for distance in far]
+    (far_left, far_right), (left, right) = ([x[o] for x, o in zip(pair, order)] for pair in (far, (left, right)))
+    ours, theirs = vectors[left].astype(np.float32), vectors[right].astype(np.float32)
+    rounding = np.finfo(np.float32).eps * (vectors.shape[1] + 4)
+    reach = _radius(threshold) + SLACK
+    for low in range(0, len(left), SIEVE_ROWS):
+        part = left[low : low + SIEVE_ROWS]
+        begin = low if same else int(np.searchsorted(far_right, far_left[low] - reach))
+        end = int(np.searchsorted(far_right, far_left[low : low + SIEVE_ROWS][-1] + reach, "right"))
+        for start in range(begin, end, SIEVE_WIDTH):
+            others = right[start : min(start + SIEVE_WIDTH, end)]
+            first = root[part[0]]
+            if (root[part] == first).all() and (root[others] == first).all():
+                continue
+            cosine = ours[low : low + SIEVE_ROWS] @ theirs[start : start + len(others)].T
+            if same and start == low:
+                np.fill_diagonal(cosine[:, : len(part)], -2.0)
+            near = cosine >= threshold - rounding
+            if np.count_nonzero(near) > VERIFY_PAIRS:
+                # each row is linked with the one most like it first; that connects most of the others
+                for axis, rows, found in ((1, part, others), (0, others, part)):
+                    best = cosine.max(axis=axis) >= threshold + rounding
+                    root = _joined(root, rows[best], found[cosine.argmax(axis=axis)[best]])
+                near &= root[part][:, None] != root[others][None, :]
+            at, to = np.nonzero(near)
+            a, b = part[at], others[to]
+            sure = cosine[at, to] >= threshold + rounding
+            root = _joined(root, a[sure], b[sure])
+            a, b = a[~sure], b[~sure]
+            while len(a):
+                apart = root[a] != root[b]
+                a, b = a[apart], b[apart]
+                alike = _alike(vectors, a[:VERIFY_PAIRS], b[:VERIFY_PAIRS], threshold)
+                root = _joined(root, a[:VERIFY_PAIRS][alike], b[:VERIFY_PAIRS][alike])
+                a, b = a[VERIFY_PAIRS:], b[VERIFY_PAIRS:]
+    return root
 
 
 def _sides(unit: pa.Table) -> tuple[bool, list[np.ndarray]]:
@@ -168,14 +221,12 @@ def _compare_units(threshold: float):
         if unit.num_rows < 2:
             return _table([])
         ids = unit["row_id"].to_numpy()
-        vectors = _matrix(unit["unit"], unit.num_rows)
         same_tile, (left, right) = _sides(unit)
-        near = _near(vectors[left], vectors[right], threshold)
-        if same_tile:
-            np.fill_diagonal(near, False)
-            touched = np.flatnonzero(near.any(axis=1))
-            near[touched, touched] = True
-        return _table([_forest(near, ids[left], ids[right])])
+        root = _linked(_matrix(unit["unit"], unit.num_rows), left, right, same_tile, threshold)
+        least = ids.copy()
+        np.minimum.at(least, root, ids)
+        touched = np.bincount(root, minlength=len(root))[root] > 1
+        return _table([(ids[touched], least[root[touched]])])
 
     return run
 
@@ -303,14 +354,19 @@ def place_in_cells(
     )
 
 
-def _met_tiles(counted: DataFrame, tile_rows: int, carried: Sequence[str] = ("row_id", "unit")):
+def _tiles(rows: Column, tile_rows: int, most_rows: int) -> Column:
+    """Tiles of so many rows: ``tile_rows`` each, or if that makes more than ``UNIT_SPLIT``, larger ones up to ``most_rows``."""
+    return F.ceil(rows / F.least(F.lit(max(tile_rows, most_rows)), F.greatest(F.lit(tile_rows), F.ceil(rows / F.lit(UNIT_SPLIT)))))
+
+
+def _met_tiles(
+    counted: DataFrame, tile_rows: int, carried: Sequence[str] = ("row_id", "unit"), most_rows: int = 0
+):
     """The rows placed in cells, grouped by the two tiles that meet.
 
     ``counted`` carries ``n0, n1, n2``, the rows of each role in the cell.
     """
-    t0, t1, t2 = [
-        F.ceil(F.col(f"n{role}") / F.lit(tile_rows)).cast("int") for role in (0, 1, 2)
-    ]
+    t0, t1, t2 = [_tiles(F.col(f"n{role}"), tile_rows, most_rows).cast("int") for role in (0, 1, 2)]
     own = F.when(F.col("role") == 0, t0).when(F.col("role") == 1, t1).otherwise(t2)
     tile = F.pmod(F.xxhash64("row_id", F.lit("tile")), own).cast("int")
 
@@ -359,9 +415,9 @@ def _met_tiles(counted: DataFrame, tile_rows: int, carried: Sequence[str] = ("ro
     )
 
 
-def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = UNIT_ROWS) -> DataFrame:
+def compare_cells(counted: DataFrame, threshold: float, tile_rows: int = UNIT_ROWS, most_rows: int = 0) -> DataFrame:
     """Edges of the rows placed in cells, compared tile against tile (see ``_met_tiles``)."""
-    return _met_tiles(counted, tile_rows).applyInArrow(_compare_units(threshold), EDGE)
+    return _met_tiles(counted, tile_rows, ("row_id", "unit"), most_rows).applyInArrow(_compare_units(threshold), EDGE)
 
 
 def _by_role() -> list[Column]:
@@ -419,23 +475,26 @@ def large_block_edges(
     copies of vectors and compared pairs than its tiles is compared tile by tile, uncut. A cell that
     still holds more than ``cell_tiles`` tiles of ``tile_rows`` to compare becomes a block of its own as long as
     that halves the block. What is compared meets in tiles of at least ``unit_rows``, however
-    small the blocks are that are cut: vectors are copied once per tile they meet.
+    small the blocks are that are cut: vectors are copied once per tile they meet. Tiles of large blocks
+    hold more rows, up to ``UNIT_BYTES``.
     """
     edges = None
     unit_rows = max(unit_rows, tile_rows)
+    first = large.select(F.size("unit")).first()
+    most_rows = UNIT_BYTES // (8 * max(1, first[0])) if first else 0
     for level in range(max_levels):
         placed = store(place_in_cells(large, threshold, tile_rows), "placed")
         counts = store(
             placed.groupBy("block", "cell").agg(*_by_role(), F.max("role").alias("worst"), F.max("size").alias("size")),
             "cells",
         )
-        tiles = [F.ceil(F.col(f"n{role}") / F.lit(unit_rows)) for role in (0, 1, 2)]
+        tiles = [_tiles(F.col(f"n{role}"), unit_rows, most_rows) for role in (0, 1, 2)]
         copies = F.col("n0") * (tiles[0] + tiles[1] + tiles[2]) + F.col("n1") * (tiles[0] + tiles[2])
         copies = copies + F.col("n2") * (tiles[0] + tiles[1])
         pairs = F.col("n0") * (F.col("n0") / 2 + F.col("n1") + F.col("n2")) + F.col("n1") * F.col("n2")
         # per block: what its cells would copy and compare, against its tiles uncut
         size = F.max("size")
-        whole = size * F.ceil(size / F.lit(unit_rows)) + size * size / (2 * COPY_PAIRS)
+        whole = size * _tiles(size, unit_rows, most_rows) + size * size / (2 * COPY_PAIRS)
         uncut = counts.groupBy("block").agg(
             ((F.max("worst") == UNCUT) | (F.sum(copies + pairs / COPY_PAIRS) >= whole)).alias("uncut")
         )
@@ -469,7 +528,7 @@ def large_block_edges(
         alike = sized.where("role = 1 and row_id <> anchor").select(
             "row_id", F.col("anchor").alias("root")
         )
-        found = alike.unionByName(compare_cells(here, threshold, unit_rows))
+        found = alike.unionByName(compare_cells(here, threshold, unit_rows, most_rows))
         edges = found if edges is None else edges.unionByName(found)
         if cells.where("again").isEmpty():
             return edges

@@ -170,3 +170,48 @@ def test_small_tiles_do_not_multiply_the_copies(spark, monkeypatch):
         edges = large_block_edges(unit, 0.55, tile_rows=16, unit_rows=unit_rows)
         found = {r.node: r.root for r in components(edges, "row_id", "root").collect()}
         assert found == brute_force(ids, block, vectors, 0.55)
+
+
+def test_copies_of_a_large_block_grow_with_its_rows(spark, monkeypatch):
+    """However many tiles its rows would fill, a row of a block without structure is copied sixteen times at most."""
+    df, ids, block, vectors = make(spark, 700, 1, 1.0, 11, blocks=1, copies=1, dims=48)
+    unit = similar.fold_copies(df, "block_id", "v").select(
+        F.col("block").cast("string").alias("block"), F.lit(700).cast("bigint").alias("size"), "row_id", "unit"
+    )
+    dealt = []
+    tiles = similar._met_tiles
+
+    def met(*args):
+        units = tiles(*args)
+        dealt.append(units.count().agg(F.sum("count")).first()[0] or 0)
+        return units
+
+    monkeypatch.setattr(similar, "_met_tiles", met)
+    edges = large_block_edges(unit, 0.55, tile_rows=4, unit_rows=8)
+    found = {r.node: r.root for r in components(edges, "row_id", "root").collect()}
+    assert found == brute_force(ids, block, vectors, 0.55)
+    assert sum(dealt) <= 700 * 16
+
+
+@pytest.mark.parametrize(
+    ("rows", "spread", "threshold"), [(1500, 1.0, 0.6), (1500, 0.05, 0.99), (9000, 0.3, 0.9), (1500, 0.2, -0.5), (40, 0.1, 0.97)]
+)
+def test_linked_rows_equal_brute_force(rows, spread, threshold):
+    """Within a tile and across two, sparse and dense; exact ties count, vectors that are not finite link nothing."""
+    rng = np.random.default_rng(rows)
+    vectors = rng.normal(size=(20, 10))[rng.integers(0, 20, rows)] + spread * rng.normal(size=(rows, 10))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[:20] = 0.0
+    vectors[np.arange(20), np.arange(20) % 10] = 1.0
+    vectors[[5, 30]] = np.nan
+    near = vectors @ vectors.T >= threshold
+    everywhere, half = np.arange(rows), rows // 2
+    for left, right, same in ((everywhere, everywhere, True), (everywhere[:half], everywhere[half:], False)):
+        edges = np.zeros((rows, rows), bool)
+        edges[np.ix_(left, right)] = near[np.ix_(left, right)]
+        np.fill_diagonal(edges, True)
+        assert np.array_equal(similar._linked(vectors, left, right, same, threshold), similar._local_groups(everywhere, edges | edges.T)[1])
+    if threshold > 0:
+        angle = np.array([[1.0, 0.0], [threshold, np.sqrt(1 - threshold**2)]])
+        tie = similar._linked(angle, np.arange(2), np.arange(2), True, threshold)
+        assert tie.tolist() == [0, 0 if (angle @ angle.T)[0, 1] >= threshold else 1]

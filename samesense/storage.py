@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -95,12 +96,18 @@ def discard(stored: DataFrame) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, least_rows: int = 0) -> DataFrame:
     """Deal a scan over all task slots if it fills only a few of them.
 
     For work that is heavy per row on a table that is small in bytes. A table with
     enough splits is left as it is, without a shuffle. Meant for plain scans: asking a
-    plan with a shuffle in it for its partitions would run that shuffle.
+    plan with a shuffle in it for its partitions would run that shuffle. With ``least_rows`` only splits
+    that hold rows count, as a file of one row group fills one of its splits, and no more
+    tasks are asked for than have that many rows each.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+    if not least_rows:
+        return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+    filled, rows = df.select(F.spark_partition_id().alias("_part")).agg(F.count_distinct("_part"), F.count(F.lit(1))).first()
+    slots = min(slots, rows // least_rows)
+    return df if filled >= slots else df.repartition(slots)

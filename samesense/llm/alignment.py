@@ -16,6 +16,7 @@ corpus is looked up by blocks of documents (``exchange``).
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import re
@@ -38,10 +39,12 @@ MARK = "▁"
 # blank before white space, the byte tokenizer may join over the boundary, so the block goes on.
 CHUNK = re.compile(r" +[^ ]*(?:(?<=\s)(?! \S) +[^ ]*)*")
 # Entries and bytes of a worker's table of blocks before it is thinned out to the half used most.
-TABLE_ENTRIES = 150_000
-TABLE_BYTES = 32 << 20
+TABLE_ENTRIES = 75_000
+TABLE_BYTES = 16 << 20
 # Texts that share a list of linked ids. A worker holds the blocks of that much text beside its table.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
+# Blocks that are read at a time, in written bytes.
+GROUP_BYTES = 1 << 20
 # Texts whose blocks are looked up, and blocks that are aligned, at a time.
 SLICE_CHARACTERS = 1 << 20
 LEARN = 20_000
@@ -361,6 +364,15 @@ def worker_blocks(byte_file: str, piece_file: str) -> Blocks:
     return _WORKER[key]
 
 
+def give_back(tables: bool = False) -> None:
+    """Return what this Python worker has freed to the system, with ``tables`` its tables of blocks too."""
+    if tables:
+        _WORKER.clear()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def align(
     docs: DataFrame, byte_file: str, piece_file: str, text: str = "text", lookup_pairs: int = LOOKUP_PAIRS
 ) -> tuple[DataFrame, str]:
@@ -392,6 +404,7 @@ def align(
 
         def work(batch, texts):
             blocks.thin_out()
+            give_back()
             documents = blocks.documents([data.decode() for data in texts])
             hashes = [
                 hashlib.sha256(b";".join([blocks.shown[i] for i in own])).hexdigest() if len(own) else ""
@@ -428,7 +441,7 @@ def align(
 
         return work
 
-    blocks = exchange.write_blocks(docs, text, start, per_doc, per_key, per_block, "aligned-blocks", TEXT_BYTES)
+    blocks = exchange.write_blocks(docs, text, start, per_doc, per_key, per_block, "aligned-blocks", TEXT_BYTES, GROUP_BYTES)
     pairs = store(exchange.keys_of(blocks).groupBy("pair").agg(F.sum("n").alias("n")), "id-pairs")
     b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
     best = pairs.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
@@ -444,6 +457,9 @@ def align(
         answers = exchange.answered(blocks, table, "pair", [F.col("total"), F.col("best")])
 
     def work(block, found):
+        if _WORKER:
+            # another task of this worker left them
+            give_back(tables=True)
         if few and len(block["keys"].values):
             listed, marked = shared.value
             mine = marked[np.searchsorted(listed, block["keys"].values.field("pair").to_numpy())]

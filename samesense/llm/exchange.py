@@ -46,12 +46,14 @@ def write_blocks(
     per_block: StructType,
     label: str,
     block_bytes: int = BLOCK_BYTES,
+    group_bytes: int | None = None,
 ) -> DataFrame:
     """Written rows ``block, docs, keys`` and the block's own values.
 
     ``docs`` are arrays of structs of the other columns of ``docs`` under ``row``, and those that
     the work adds. ``start()`` runs once per task; its function takes a batch and its texts in
-    UTF-8 (null: empty).
+    UTF-8 (null: empty). A reader holds a row group at a time; with ``group_bytes`` one ends
+    after the row that fills it, and not after a hundred.
     """
     others = [f for f in docs.schema.fields if f.name != text]
     row_kind = StructType(others)
@@ -75,7 +77,8 @@ def write_blocks(
                 )
                 number += 1
 
-    return store(plain.mapInArrow(run, kind), label)
+    options = {} if group_bytes is None else {"parquet.block.size": str(group_bytes), "parquet.page.size.row.check.min": "1"}
+    return store(plain.mapInArrow(run, kind), label, **options)
 
 
 def keys_of(blocks: DataFrame) -> DataFrame:

@@ -44,10 +44,10 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 _open: list[dict[str, DataFrame]] = []
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table (cuts the lineage)."""
+def store(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once and return the written table (cuts the lineage); ``options`` go to the writer."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     if _open:

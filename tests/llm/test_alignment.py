@@ -199,3 +199,33 @@ def test_links_share_bytes_and_groups():
     linked = [(x, y) for part in alignment.product(left, right) for x, y in zip(part[0].tolist(), part[1].tolist(), strict=True)]
     assert linked == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 2), (3, 3), (3, 4)]
     assert alignment.product_sizes(left, right).tolist() == [2, 2, 1, 2]
+
+
+def test_blocks_are_read_one_by_one(spark):
+    """A row of a block fills a row group, and a worker's tables do not outlive the tasks that need them."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+
+    from samesense.llm import alignment, exchange
+
+    def start():
+        def work(batch, texts):
+            numbers = pa.array(range(len(texts)), pa.int64())
+            ints = pa.ListArray.from_arrays(pa.array([0, 5000], pa.int32()), pa.array(range(5000), pa.int32()))
+            return {"n": numbers}, {"pair": numbers}, {"places": ints}
+
+        return work
+
+    import pyarrow as pa
+
+    long = lambda name: StructType().add(name, LongType())
+    docs = spark.range(6).coalesce(1).selectExpr("id AS doc_id", "'some text' AS text")
+    places = StructType().add("places", ArrayType(IntegerType(), False))
+    blocks = exchange.write_blocks(docs, "text", start, long("n"), long("pair"), places, "blocks", 9, 1000)
+    (file,) = glob.glob(f"{blocks._stored_at.removeprefix('file:')}/*.parquet")
+    assert blocks.count() == 6 and pq.ParquetFile(file).num_row_groups == 6
+    alignment._WORKER[("a", "b")] = None
+    alignment.give_back(tables=True)
+    assert not alignment._WORKER

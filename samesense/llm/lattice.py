@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, LongType, StringType, StructType
 
 from samesense.llm import exchange
 from samesense.llm.words import fresh, parts
@@ -34,6 +34,9 @@ from samesense.storage import store
 MARK = "▁"
 # Added to each word's count in the base score.
 BASE_SMOOTH = 0.1
+# Text of the documents in a part of a block, and written bytes that are read at a time.
+PART_BYTES = 1 << 20
+GROUP_BYTES = 1 << 20
 # Weight of the vocabulary's own order, in occurrences per piece.
 PRIOR = 0.1
 
@@ -60,6 +63,25 @@ def word_counts(data: bytes) -> Counter:
     return found
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on: how many bytes each needs, their lowest bytes, the next ones, and so on.
+
+    Apart, the higher bytes compress well.
+    """
+    if not len(values):
+        return b""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<i8").view("uint8").reshape(-1, 8).T[:width].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, "int64")
+    found = np.zeros(((len(data) - 1) // data[0], 8), "uint8")
+    found[:, : data[0]] = np.frombuffer(data, "uint8", offset=1).reshape(data[0], -1).T
+    return found.view("<i8").ravel()
+
+
 class Lattice:
     """Pieces as bytes with log weights, and the forward recursion over them."""
 
@@ -175,16 +197,15 @@ def score(
     """
     name, flag = fresh(docs, "scores"), fresh(docs, "_learn")
     row_kind = StructType([f for f in docs.schema.fields if f.name != text])
-    ints = ArrayType(IntegerType(), False)
-    per_doc = StructType().add("n_words", LongType()).add("word", ints).add("times", ints)
+    per_doc = StructType().add("n_words", LongType()).add("word", BinaryType()).add("times", BinaryType())
     per_key = StructType().add("word", StringType()).add("seen", LongType())
     flagged = docs.withColumn(flag, learn)
 
     def start():
         def work(batch, texts):
             number: dict[bytes, int] = {}
-            own, times, seen = array("i"), array("i"), array("q")
-            offsets, lengths = [0], []
+            seen = array("q")
+            own, times, lengths = [], [], []
             learned = batch.column(flag).to_pylist()
             for data, counted in zip(texts, learned, strict=True):
                 found = word_counts(data)
@@ -193,11 +214,11 @@ def score(
                 if counted:
                     for place, n in zip(places, found.values(), strict=True):
                         seen[place] += n
-                own.extend(places)
-                times.extend(found.values())
-                offsets.append(len(own))
-                lengths.append(sum(found.values()))
-            listed = lambda values: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(values, "int32")))
+                counts = np.fromiter(found.values(), "int64", len(found))
+                own.append(packed(np.array(places, "int64")))
+                times.append(packed(counts))
+                lengths.append(int(counts.sum()))
+            listed = lambda values: pa.array(values, pa.binary())
             return (
                 {"n_words": pa.array(lengths, pa.int64()), "word": listed(own), "times": listed(times)},
                 {"word": pa.array(list(number), pa.binary()).cast(pa.string()), "seen": pa.array(np.frombuffer(seen, "int64"))},
@@ -206,34 +227,33 @@ def score(
 
         return work
 
-    blocks = exchange.write_blocks(flagged, text, start, per_doc, per_key, StructType().add("ends", LongType()), "word-blocks")
+    blocks = exchange.write_blocks(flagged, text, start, per_doc, per_key, StructType().add("ends", LongType()), "word-blocks", group_bytes=GROUP_BYTES, part_bytes=PART_BYTES)
     words = store(exchange.keys_of(blocks).groupBy("word").agg(F.sum("seen").alias("c")), "words")
     ends = blocks.agg(F.coalesce(F.sum("ends"), F.lit(0))).first()[0]
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     total, distinct = total + ends, distinct + (ends > 0)
     weights, end_weight = learned_weights(words, ends, model)
     table = store(scored_words(words, weights), "scored-words")
-    answers = exchange.answered(blocks, table, "word", [F.col("c"), F.col("lp")])
+    answers = exchange.looked_up(blocks, table, "word", ["c", "lp"])
     below = total + BASE_SMOOTH * (distinct + 1)
     base_of = lambda n: np.log10((n + BASE_SMOOTH) / below)
 
-    def work(block, found):
-        docs = block["docs"]
+    def work(docs, found):
         rows = len(docs)
-        c, lp = (x.to_numpy() for x in found) if found else (np.zeros(0, "int64"), np.zeros(0))
-        lists = docs.field("word")
-        at = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy()))
-        word, times = lists.flatten().to_numpy(), docs.field("times").flatten().to_numpy()
+        c, lp = found.get("c", np.zeros(0, "int64")), found.get("lp", np.zeros(0))
+        lists = [unpacked(data) for data in docs.field("word").to_pylist()]
+        at = np.repeat(np.arange(rows), [len(x) for x in lists])
+        word, times = np.concatenate(lists), np.concatenate([unpacked(data) for data in docs.field("times").to_pylist()])
         add = lambda values: np.bincount(at, values * times, rows) if len(at) else np.zeros(rows)
         words = docs.field("n_words").to_numpy()
-        known = add((c > 0)[word].astype("float64")).astype("int64")
+        known = add((c[word] > 0).astype("float64")).astype("int64")
         return {
             "n_tokens": pa.array(words + 1),
             "n_known": pa.array(known + int(ends > 0)),
             "train_tokens": pa.array(np.full(rows, total, "int64")),
-            "base_score": pa.array(add(base_of(c)[word]) + base_of(np.int64(ends))),
+            "base_score": pa.array(add(base_of(c[word])) + base_of(np.int64(ends))),
             "score": pa.array((add(lp[word]) + end_weight) / math.log(10)),
         }
 
     flags = StructType([*row_kind.fields]).add(flag, BooleanType())
-    return exchange.finish(answers, flags, name, SCORES, work).drop(flag), name
+    return exchange.finish_parts(blocks, answers, flags, name, SCORES, work).drop(flag), name

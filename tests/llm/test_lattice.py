@@ -100,6 +100,40 @@ def test_equals_plain_version(spark, monkeypatch, rows_per_block):
     close(sorted(((r["doc_id"], *r[name]) for r in got.collect()), key=key), sorted(plain_scores(rows), key=key))
 
 
+def test_a_block_is_read_in_parts(spark, monkeypatch):
+    """No row of the written blocks holds all documents or keys of a block, and each is read alone."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    written = []
+    store = lattice.exchange.store
+    monkeypatch.setattr(lattice.exchange, "store", lambda *a, **b: written.append(store(*a, **b)) or written[-1])
+    monkeypatch.setattr(lattice.exchange, "PART_KEYS", 8, raising=False)
+    monkeypatch.setattr(lattice, "PART_BYTES", 200, raising=False)
+    monkeypatch.setattr(lattice, "GROUP_BYTES", 100, raising=False)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(30)))) for i in range(40)]
+    # more keys than documents, and a text larger than a part
+    rows.append((40, " ".join(f"v{i}" for i in range(300))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got, name = lattice.score(docs, lattice.training(), MODEL)
+    blocks = written[0]
+    found = blocks.selectExpr("block", "size(keys) AS n").collect()
+    assert len({r["block"] for r in found}) == 1 and len(found) > 40
+    assert max(r["n"] for r in found) <= 8
+    places = sorted(r["place"] for r in lattice.exchange.keys_of(blocks).collect())
+    assert places == list(range(len(places)))
+    (file,) = glob.glob(f"{blocks._stored_at.removeprefix('file:')}/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups == len(found)
+    close(sorted(((r["doc_id"], *r[name]) for r in got.collect()), key=key), sorted(plain_scores(rows), key=key))
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [255, 0, 256], [1 << 40, 7], list(range(70_000))):
+        assert lattice.unpacked(lattice.packed(lattice.np.array(values, "int64"))).tolist() == values
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark).withColumnRenamed("quality", "scores").withColumnRenamed("pieces", "_learn")
     got, name = lattice.score(docs, lattice.training(), MODEL)
